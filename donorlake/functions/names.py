@@ -27,8 +27,8 @@ def join_name(*parts, mode: str = "skip_blank", sep: str = " ") -> Column:
 
     ``skip_blank``: NULL or '' parts are skipped, result trimmed.
     ``ws``: NULL parts skipped, '' kept (``concat_ws``).
-    ``concat``: NULL treated as '' (the database ``concat()``; Spark's
-    ``concat`` would return NULL).
+    ``concat``: NULL treated as '' (the database ``concat(a, ' ', b)``;
+    Spark's ``concat`` would return NULL).
     ``strict``: NULL if any part is NULL (the ``||`` operator).
     """
     cols = [as_col(p) for p in parts]
@@ -36,14 +36,12 @@ def join_name(*parts, mode: str = "skip_blank", sep: str = " ") -> Column:
         return F.trim(F.concat_ws(sep, *[F.nullif(c, F.lit("")) for c in cols]))
     if mode == "ws":
         return F.concat_ws(sep, *cols)
-    if mode == "concat":
-        return F.concat(*[F.coalesce(c, F.lit("")) for c in cols])
-    if mode == "strict":
+    if mode in ("concat", "strict"):
         out = []
         for i, c in enumerate(cols):
-            if i:
+            if i and sep:
                 out.append(F.lit(sep))
-            out.append(c)
+            out.append(F.coalesce(c, F.lit("")) if mode == "concat" else c)
         return F.concat(*out)
     raise ValueError(f"unknown join_name mode {mode!r}")
 
