@@ -54,13 +54,40 @@ def get_session(
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Apply the engine's SQL confs to an existing session."""
+    """Apply the engine's SQL confs to an existing session and make the
+    package importable on the Python workers."""
     for k, v in ENGINE_CONFS.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Distribute this package to the executors once per SparkContext
+    (``addPyFile``, the same mechanism as ``--py-files``): pandas functions
+    that reference package helpers are unpickled on the workers."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="donorlake-pyfiles-"), "donorlake.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job outputs.
 
