@@ -324,7 +324,8 @@ def master_rows(df: DataFrame, floor: str) -> DataFrame:
 
 
 def contributions_master(spark: SparkSession, d: str, floor: str = DEMO_DATE_FLOOR,
-                         conformed: DataFrame | None = None) -> DataFrame:
+                         conformed: DataFrame | None = None,
+                         committees: DataFrame | None = None) -> DataFrame:
     """Master contributions: union → guards → dedup by source_id → committee
     name. A's rows keep their candidate columns; B and C are padded."""
     registry = {
@@ -335,7 +336,8 @@ def contributions_master(spark: SparkSession, d: str, floor: str = DEMO_DATE_FLO
     union = agg.union_sources(registry, CONTRIB_SCHEMA, with_candidate=("A", "all"))
     rows = master_rows(union, floor)
     one = dedup.first_per_key(rows, ["source_id"])
-    cm = committee_master_unfiltered(spark, d).select("committee_id", F.col("name").alias("committee_name"))
+    cm = (committees if committees is not None else committee_master_unfiltered(spark, d)) \
+        .select("committee_id", F.col("name").alias("committee_name"))
     out = joins.enrich(one, cm, "committee_id")
     return out.withColumn("candidate_office", F.lit(None).cast("string")).select(*MASTER_CONTRIB_COLS)
 

@@ -36,6 +36,5 @@ def load_all() -> None:
         q_masters,
         q_normalize,
         q_quality,
-        q_sync,
         q_tables,
     )
