@@ -7,6 +7,7 @@ where the column is a stored one (``PushedFilters`` in the plan).
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,9 +57,17 @@ def where_between(df: DataFrame, col, lo=None, hi=None, inclusive: bool = False)
 INT32_MIN, INT32_MAX = -2147483648, 2147483647
 
 
+def int32_safe_expr(c: Column) -> Column:
+    """-2^31 < c < 2^31-1 as one comparison on c (exact decimal arithmetic),
+    FALSE for NULL: an expensive parsed column is evaluated once."""
+    half, bound = F.lit(Decimal("0.5")), F.lit(Decimal("2147483647.5"))
+    return F.coalesce(F.abs(c + half) < bound, F.lit(False))
+
+
 def int32_safe(df: DataFrame, col) -> DataFrame:
-    """FIL3 as the master model uses it: value fits a 32-bit int."""
-    return where_between(df, col, INT32_MIN, INT32_MAX)
+    """FIL3 as the master model uses it: value fits a 32-bit int (bounds
+    exclusive)."""
+    return df.filter(int32_safe_expr(as_col(col)))
 
 
 def since(df: DataFrame, ts_col, floor: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from donorlake import functions as fn
 from donorlake.operators import aggregates as agg
 from donorlake.operators import dedup, filters, joins
-from donorlake.session import table_path
+from donorlake.session import spread, table_path
 
 # Master-build date floor. The reference build uses 2015-01-01; the driver
 # tables date orders 1995-2001, so queries pass a floor inside that span.
@@ -89,7 +89,7 @@ CANDIDATE_SCHEMA = T.StructType([
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def _money_text(c: Column) -> Column:
@@ -303,11 +303,14 @@ MASTER_CONTRIB_COLS = [
 
 def master_rows(df: DataFrame, floor: str) -> DataFrame:
     """Master-model guards and projection (FIL1, FIL3, FIL4, PRJ10, FN27)."""
-    df = filters.since(df, "contribution_datetime", floor)
-    df = filters.require_not_null(
-        df, ["source", "source_id", "committee_id", "name", "amount", "contribution_datetime", "zip_code"]
+    # Catalyst pushes these guards below the conforming projection and
+    # inlines the parse expressions; each guard on a parsed column is one
+    # null-safe comparison (NULL fails it) so every parse runs once here.
+    df = df.filter(
+        F.coalesce(F.col("contribution_datetime") >= F.lit(floor).cast("timestamp"), F.lit(False))
+        & filters.int32_safe_expr(F.col("amount"))
     )
-    df = filters.int32_safe(df, "amount")
+    df = filters.require_not_null(df, ["source", "source_id", "committee_id", "name", "zip_code"])
     df = df.filter((F.col("name") != "") & (F.col("zip_code") != ""))
     return df.select(
         "source",

@@ -126,5 +126,17 @@ def local_path(path: str) -> str:
     return path
 
 
+def spread(df):
+    """Round-robin repartition a scan that yields fewer partitions than the
+    cluster's default parallelism (e.g. a small file with one row group),
+    so per-row parsing before the first shuffle uses every core. Large
+    inputs (thousands of files) are left alone: no extra shuffle. Filters
+    and column pruning still reach the scan below the repartition."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
