@@ -89,15 +89,11 @@ def city_expr(c: Column) -> Column:
     return F.when(~s.isin(INVALID_CITIES), s)
 
 
-def _on_distinct(df: DataFrame, src: str, out: str, fn) -> DataFrame:
-    """Normalise each distinct value once, then join back (NRM8/NRM11)."""
-    vocab = df.select(src).where(F.col(src).isNotNull()).distinct().withColumn(out, fn(F.col(src)))
-    return df.join(vocab, src, "left")
-
-
 def normal_address(df: DataFrame, col: str, out: str = "address_norm") -> DataFrame:
-    """NRM8: upper case, no punctuation, USPS suffix abbreviations."""
-    return _on_distinct(df, col, out, address_expr)
+    """NRM8: upper case, no punctuation, USPS suffix abbreviations. The
+    expression is cheap and addresses are nearly unique, so it runs per row
+    (no distinct + join-back shuffle)."""
+    return df.withColumn(out, address_expr(F.col(col)))
 
 
 def normal_zip(df: DataFrame, col: str, out: str = "zip_norm") -> DataFrame:
@@ -114,8 +110,8 @@ def normal_state(df: DataFrame, col: str, out: str = "state_norm",
 
 def normal_city(df: DataFrame, col: str, out: str = "city_norm") -> DataFrame:
     """NRM11: upper case, no punctuation, abbreviations expanded,
-    placeholder values → NULL."""
-    return _on_distinct(df, col, out, city_expr)
+    placeholder values → NULL (per row, like NRM8)."""
+    return df.withColumn(out, city_expr(F.col(col)))
 
 
 def is_abbrev(abb: Column, full: Column) -> Column:
@@ -159,10 +155,12 @@ def one_gram(c: Column) -> Column:
     return F.array_join(F.array_sort(chars), "")
 
 
-def _merge_by_key(df: DataFrame, col: str, key_fn, out: str) -> DataFrame:
+def _merge_by_key(df: DataFrame, col: str, key_fn, out: str, weight: str | None = None) -> DataFrame:
     """Replace each value by the most common value sharing its key (ties:
-    lowest value). Counts are aggregated before the shuffle."""
-    counts = (df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+    lowest value). Counts are aggregated before the shuffle; ``weight``
+    names a row-count column when ``df`` is already a vocabulary."""
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = (df.where(F.col(col).isNotNull()).groupBy(col).agg(n.alias("_n"))
                 .withColumn("_k", key_fn(F.col(col))))
     best = best_per_key(counts.select("_k", F.col(col).alias("_best"), "_n"), ["_k"],
                         [asc(-F.col("_n")), asc("_best")]).select("_k", "_best")
@@ -171,12 +169,12 @@ def _merge_by_key(df: DataFrame, col: str, key_fn, out: str) -> DataFrame:
 
 
 def refine_city(df: DataFrame, zips: DataFrame, city: str = "city_swap", state: str = "state_norm",
-                zip_col: str = "zip_norm", out: str = "city_refine") -> DataFrame:
+                zip_col: str = "zip_norm", out: str = "city_refine", weight: str | None = None) -> DataFrame:
     """NRM13: key-collision then 1-gram merge; a refined value is kept only
     when (city, state, zip) is a valid combination and the original does not
     start with a compass word; otherwise the input value stays."""
-    step1 = _merge_by_key(df, city, fingerprint, "_r1")
-    step2 = _merge_by_key(step1, "_r1", one_gram, "_r2")
+    step1 = _merge_by_key(df, city, fingerprint, "_r1", weight)
+    step2 = _merge_by_key(step1, "_r1", one_gram, "_r2", weight)
     valid = zips.select(F.col("city").alias("_r2"), F.col("state").alias(state), F.col("zip").alias(zip_col)) \
         .distinct().withColumn("_ok", F.lit(True))
     j = step2.join(valid, ["_r2", state, zip_col], "left")
@@ -185,6 +183,30 @@ def refine_city(df: DataFrame, zips: DataFrame, city: str = "city_swap", state:
     return j.withColumn(out, F.when(keep, F.col("_r2")).otherwise(F.col(city))).drop("_r1", "_r2", "_ok")
 
 
+def normalize_places(df: DataFrame, zips: DataFrame, city: str = "city_raw", state: str = "state_raw",
+                     zip_col: str = "zip_raw", address: str | None = "address_raw") -> DataFrame:
+    """NRM8-NRM13 as one job: per-row normalisers (no shuffle), then one
+    aggregation to the weighted vocabulary of (city, state, zip), written to
+    the shared checkpoint folder; swap and refine run on that vocabulary
+    (small), and the result joins back to the rows once."""
+    from donorlake.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    if address:
+        df = normal_address(df, address)
+    df = normal_city(normal_state(normal_zip(df, zip_col), state), city)
+    keys = ["city_norm", "state_norm", "zip_norm"]
+    vocab = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).checkpoint()
+    vocab = swap_city(vocab, zips).checkpoint()
+    vocab = refine_city(vocab, zips, weight="_rows")
+    v = vocab.select(*[F.col(k).alias(f"_v_{k}") for k in keys], "city_swap", "city_refine")
+    cond = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col(f"_v_{k}"))
+        cond = e if cond is None else cond & e
+    return df.join(v, cond, "left").drop(*[f"_v_{k}" for k in keys])
+
+
 # --- profiles --------------------------------------------------------------------
 
 
@@ -268,27 +290,24 @@ def tidy_text(df: DataFrame, date_cols: Mapping[str, str] | None = None) -> Data
 def progress_table(df: DataFrame, stages: Sequence[str], valid: DataFrame) -> DataFrame:
     """NRM14: per stage column: share of non-NULL values in the valid set,
     distinct values, share NULL, values out of the set, distinct out.
-    ``valid`` is a one-column frame of accepted values (semi join)."""
+    One pass: the stage columns are unpivoted, joined once to the distinct
+    valid values (one column of ``valid``), and aggregated per stage."""
     vcol = valid.columns[0]
     vals = valid.select(F.col(vcol).alias("_v")).distinct().withColumn("_ok", F.lit(True))
-    parts = []
-    for s in stages:
-        j = df.select(F.col(s).alias("_x")).join(vals, F.col("_x") == F.col("_v"), "left")
-        present = F.col("_x").isNotNull()
-        out_of = present & F.col("_ok").isNull()
-        parts.append(j.agg(
-            F.lit(s).alias("stage"),
-            F.round(F.count_if(present & F.col("_ok").isNotNull()) / F.nullif(F.count_if(present), F.lit(0)), 6)
-            .alias("prop_in"),
-            F.count_distinct("_x").alias("n_distinct"),
-            F.round(F.count_if(~present) / F.count(F.lit(1)), 6).alias("prop_na"),
-            F.count_if(out_of).alias("n_out"),
-            F.count_distinct(F.when(out_of, F.col("_x"))).alias("n_diff"),
-        ))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(s).alias("stage"), F.col(s).cast("string").alias("_x")) for s in stages])).alias("_s")
+    ).select("_s.*")
+    j = long.join(vals, F.col("_x") == F.col("_v"), "left")
+    present = F.col("_x").isNotNull()
+    out_of = present & F.col("_ok").isNull()
+    return j.groupBy("stage").agg(
+        F.round(F.count_if(present & F.col("_ok").isNotNull()) / F.nullif(F.count_if(present), F.lit(0)), 6)
+        .alias("prop_in"),
+        F.count_distinct("_x").alias("n_distinct"),
+        F.round(F.count_if(~present) / F.count(F.lit(1)), 6).alias("prop_na"),
+        F.count_if(out_of).alias("n_out"),
+        F.count_distinct(F.when(out_of, F.col("_x"))).alias("n_diff"),
+    )
 
 
 def changes(df: DataFrame, before: str, after: str) -> DataFrame:

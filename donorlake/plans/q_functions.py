@@ -570,3 +570,12 @@ def fil10_after_high_water(spark, d):
     lb = dm.landing_b(spark, d)
     target = lb.filter(F.col("return_flag") == "A")
     return filters.after_high_water(lb, target, "ship_date", "20150101").select("line_id", "ship_date")
+
+
+@register("fn29_load_time", with_views(
+    "SELECT source_id, true AS stamped FROM conformed_c", "conformed_c"))
+def fn29_load_time(spark, d):
+    """FN29: rows carry a load timestamp; the value itself is excluded from
+    compared output (it is the run time), only its presence is checked."""
+    c = dm.conformed_c(spark, d).withColumn("insert_datetime", fn.load_time())
+    return c.select("source_id", F.col("insert_datetime").isNotNull().alias("stamped"))

@@ -70,20 +70,20 @@ def zip_reference(spark, d) -> DataFrame:
 
 
 def geo_norm(spark, d) -> DataFrame:
+    """Per-row normalisers only (NRM8-NRM11): no shuffle."""
     g = geo_raw(spark, d)
     g = nz.normal_address(g, "address_raw")
     g = nz.normal_zip(g, "zip_raw")
     g = nz.normal_state(g, "state_raw")
-    g = nz.normal_city(g, "city_raw")
-    return g
+    return nz.normal_city(g, "city_raw")
 
 
-def geo_swapped(spark, d) -> DataFrame:
-    return nz.swap_city(geo_norm(spark, d), zip_reference(spark, d))
+def geo_refined(spark, d) -> DataFrame:
+    """Full chain (NRM8-NRM13) on a checkpointed vocabulary, joined back once."""
+    return nz.normalize_places(geo_raw(spark, d), zip_reference(spark, d))
 
 
-def geo_refined(spark, d) -> DataFrame:
-    return nz.refine_city(geo_swapped(spark, d), zip_reference(spark, d))
+geo_swapped = geo_refined
 
 
 # --- SQL spelling of the same view and normalisers ------------------------------

@@ -126,14 +126,30 @@ def local_path(path: str) -> str:
     return path
 
 
-def spread(df):
+SPREAD_MIN_BYTES = 1 << 20
+
+
+def input_bytes(df) -> int:
+    """Total size of the files behind a file-source DataFrame (metadata)."""
+    sc = df.sparkSession.sparkContext
+    jvm = sc._jvm
+    conf = sc._jsc.hadoopConfiguration()
+    total = 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(f)
+        total += p.getFileSystem(conf).getFileStatus(p).getLen()
+    return total
+
+
+def spread(df, min_bytes: int = SPREAD_MIN_BYTES):
     """Round-robin repartition a scan that yields fewer partitions than the
-    cluster's default parallelism (e.g. a small file with one row group),
-    so per-row parsing before the first shuffle uses every core. Large
-    inputs (thousands of files) are left alone: no extra shuffle. Filters
-    and column pruning still reach the scan below the repartition."""
+    cluster's default parallelism (e.g. a file with one row group), so the
+    per-row parsing before the first shuffle uses every core. Large inputs
+    (thousands of splits) are left alone, and so are tiny ones (a few
+    hundred KB, broadcast anyway). Filters and column pruning still reach
+    the scan below the repartition."""
     target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if df.rdd.getNumPartitions() < target and input_bytes(df) >= min_bytes:
         return df.repartition(target)
     return df
 
