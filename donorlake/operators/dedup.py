@@ -195,7 +195,8 @@ def row_number_by(
     1. range-partition on (partition cols, order, all columns) and sort
        inside partitions: rows of one key are contiguous and in order,
        and a hot key is spread over many partitions;
-    2. position of each row inside its partition;
+    2. position of each row inside its partition; this layout is
+       checkpointed so every later step sees the same positions;
     3. per (key, partition): first position and row count (small);
     4. rows of the same key in earlier partitions (window over the small
        per-partition table) give the offset.
@@ -204,12 +205,18 @@ def row_number_by(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = list(partition_cols)
     sort = [F.col(c).asc_nulls_first() for c in parts] + _sort_exprs(df, parts, order)
+    # The positions depend on the physical layout, so the layout is fixed
+    # once: written to the shared checkpoint folder (lineage cut, survives
+    # executor loss) and read by both the statistics and the numbering.
+    from donorlake.session import checkpoint_root
+
+    checkpoint_root(spark)
     ranged = (
         df.repartitionByRange(n, *sort)
         .sortWithinPartitions(*sort)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id())
-    )
+    ).checkpoint(eager=True)
     stats = ranged.groupBy(*parts, "_pid").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")
     )
