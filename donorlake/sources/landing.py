@@ -84,21 +84,29 @@ def sniff_delimiters(spark: SparkSession, path: str, header_first: str) -> DataF
     """SRC3 helper: per file, tab if its header line has more tabs than
     commas. A distributed job over the text; one row per file results."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
-    heads = lines.filter(F.col("value").startswith(header_first))
+    head = F.col("value").startswith(header_first)
     tabs = F.length("value") - F.length(F.regexp_replace("value", "\t", ""))
     commas = F.length("value") - F.length(F.regexp_replace("value", ",", ""))
-    return heads.groupBy("file").agg(
-        F.when(F.max(tabs) > F.max(commas), F.lit("\t")).otherwise(F.lit(",")).alias("sep"))
-
-
-def scan_mixed_delimiters(spark: SparkSession, path: str, columns: Sequence[str], **opts) -> DataFrame:
-    """SRC3: files with different delimiters under one folder: route each
-    file by its sniffed delimiter (or ``.txt`` suffix → tab), read each
-    group with its own separator, union by name."""
+    g = lines.groupBy("file").agg(
+        F.max(F.when(head, tabs)).alias("ht"), F.max(F.when(head, commas)).alias("hc"),
+        F.max(tabs).alias("at"), F.max(commas).alias("ac"))
+    # files without a header line are decided on all their lines
+    is_tab = F.when(F.col("ht").isNotNull(), F.col("ht") > F.col("hc")).otherwise(F.col("at") > F.col("ac"))
+    return g.select("file", F.when(is_tab, F.lit("\t")).otherwise(F.lit(",")).alias("sep"))
+
+
+def scan_mixed_delimiters(spark: SparkSession, path: str, columns: Sequence[str],
+                          tab_suffixes: Sequence[str] = (".txt",), **opts) -> DataFrame:
+    """SRC3: files with different delimiters under one folder: a file whose
+    name ends in a ``tab_suffixes`` entry is tab-separated; any other file
+    is routed by its sniffed header line. Each group is read with its own
+    separator and the groups are unioned by name. Only one row per file
+    reaches the driver."""
     routes = sniff_delimiters(spark, path, columns[0]).collect()  # one row per file
     groups: dict[str, list[str]] = {}
     for r in routes:
-        groups.setdefault(r["sep"], []).append(r["file"])
+        sep = "\t" if r["file"].lower().endswith(tuple(tab_suffixes)) else r["sep"]
+        groups.setdefault(sep, []).append(r["file"])
     parts = [delimited_scan(spark, files, columns, sep=sep, **opts) for sep, files in sorted(groups.items())]
     if not parts:
         return spark.createDataFrame([], text_schema(columns))
