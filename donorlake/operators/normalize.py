@@ -254,7 +254,7 @@ def distinct_profile(df: DataFrame, cols: Sequence[str] | None = None, approx: b
                       .alias("p_distinct"))
 
 
-def amount_summary(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
+def amount_summary(df: DataFrame, col: str, exact: bool = True, digits: int | None = None) -> DataFrame:
     """NRM5: min, quartiles, mean, max and share ≤ 0. Exact percentiles
     (linear interpolation) merge value counts; ``exact=False`` uses the
     bounded-memory approximate percentile."""
@@ -263,8 +263,11 @@ def amount_summary(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
         q = [F.percentile(x, p).alias(n) for p, n in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))]
     else:
         q = [F.percentile_approx(x, p, 10000).alias(n) for p, n in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))]
-    return df.agg(F.min(x).alias("min"), *q, F.avg(x).alias("mean"), F.max(x).alias("max"),
-                  (F.count_if(x <= 0) / F.count(x)).alias("p_nonpositive"))
+    out = df.agg(F.min(x).alias("min"), *q, F.avg(x).alias("mean"), F.max(x).alias("max"),
+                 (F.count_if(x <= 0) / F.count(x)).alias("p_nonpositive"))
+    if digits is not None:  # report precision; summation order differs between engines
+        out = out.select(*[F.round(c, digits).alias(c) for c in out.columns])
+    return out
 
 
 def date_profile(df: DataFrame, col: str, lo: str, hi: str) -> DataFrame:

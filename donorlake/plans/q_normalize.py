@@ -272,12 +272,13 @@ def nrm4_distinct_profile(spark, d):
 
 
 @register("nrm5_amount_summary", """
-SELECT min(c_acctbal) AS min, quantile_cont(c_acctbal, 0.25) AS q25, quantile_cont(c_acctbal, 0.5) AS median,
-       quantile_cont(c_acctbal, 0.75) AS q75, avg(c_acctbal) AS mean, max(c_acctbal) AS max,
-       CAST(count_if(c_acctbal <= 0) AS DOUBLE) / count(c_acctbal) AS p_nonpositive
+SELECT round(min(c_acctbal), 6) AS min, round(quantile_cont(c_acctbal, 0.25), 6) AS q25,
+       round(quantile_cont(c_acctbal, 0.5), 6) AS median, round(quantile_cont(c_acctbal, 0.75), 6) AS q75,
+       round(avg(c_acctbal), 6) AS mean, round(max(c_acctbal), 6) AS max,
+       round(CAST(count_if(c_acctbal <= 0) AS DOUBLE) / count(c_acctbal), 6) AS p_nonpositive
 FROM customer""")
 def nrm5_amount_summary(spark, d):
-    return nz.amount_summary(dm.read(spark, d, "customer"), "c_acctbal")
+    return nz.amount_summary(dm.read(spark, d, "customer"), "c_acctbal", digits=6)
 
 
 @register("nrm6_date_profile", """
