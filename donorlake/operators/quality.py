@@ -64,10 +64,20 @@ def _row_rule_expr(r: Rule) -> Column:
     raise ValueError(r.kind)
 
 
-def run_suite(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """QC5: violations per rule as a DataFrame (rule, column, violations)."""
+def run_suite(df: DataFrame, rules: Sequence[Rule], materialize: bool = True) -> DataFrame:
+    """QC5: violations per rule as a DataFrame (rule, column, violations).
+
+    When the suite needs more than one pass (row rules plus ``unique``
+    rules), a computed input is checkpointed once to the shared folder so
+    the passes scan it instead of recomputing it."""
     spark = df.sparkSession
     row_rules = [r for r in rules if r.kind != "unique"]
+    passes = (1 if row_rules else 0) + sum(r.kind == "unique" for r in rules)
+    if materialize and passes > 1:
+        from donorlake.session import checkpoint_root
+
+        checkpoint_root(spark)
+        df = df.checkpoint(eager=True)
     parts: list[DataFrame] = []
     if row_rules:
         wide = df.agg(*[_row_rule_expr(r).cast("long").alias(f"r{i}") for i, r in enumerate(row_rules)])
