@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from donorlake import functions as fn
 from donorlake.operators import aggregates as agg
 from donorlake.operators import dedup, filters, joins
-from donorlake.session import spread, table_path
+from donorlake.session import session_key, spread, table_path
 
 # Master-build date floor. The reference build uses 2015-01-01; the driver
 # tables date orders 1995-2001, so queries pass a floor inside that span.
@@ -102,7 +102,7 @@ def per_session(fn):
     def wrapper(spark: SparkSession, d: str, *args, **kwargs):
         if any(isinstance(v, DataFrame) for v in (*args, *kwargs.values())):
             return fn(spark, d, *args, **kwargs)
-        key = (fn.__name__, id(spark._jsparkSession), d, args, tuple(sorted(kwargs.items())))
+        key = (fn.__name__, session_key(spark), d, args, tuple(sorted(kwargs.items())))
         df = _VIEWS.get(key)
         if df is None:
             df = _VIEWS[key] = fn(spark, d, *args, **kwargs)
@@ -115,10 +115,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. The given tables are read-only, so the resolved scan
     (file listing, footer schema, spread decision) is built once per
     session and path and reused by every query."""
-    key = (id(spark._jsparkSession), table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    key = (session_key(spark), path)
     df = _READS.get(key)
     if df is None:
-        df = _READS[key] = spread(spark.read.parquet(key[1]))
+        df = _READS[key] = spread(spark.read.parquet(path))
     return df
 
 

@@ -63,7 +63,7 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -73,7 +73,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    key = id(sc._jsc)
+    key = sc.applicationId
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -88,6 +88,12 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
+def session_key(spark: SparkSession) -> tuple[str, str]:
+    """Stable identity of a session (application id, session uuid); Python
+    object ids can be reused once a session is stopped."""
+    return spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job outputs.
 
