@@ -53,8 +53,10 @@ def _lit_map(m: Mapping[str, str]) -> Column:
 
 
 def _squash(c: Column) -> Column:
-    """Upper case, punctuation → space, single spaces, trimmed."""
-    s = F.regexp_replace(F.upper(c), r"[^A-Z0-9 ]", " ")
+    """Punctuation and non-ASCII → space, upper case, single spaces,
+    trimmed. Characters are dropped before upper-casing, so locale-specific
+    case mappings (``ß`` → ``SS``) cannot change a key."""
+    s = F.upper(F.regexp_replace(c, r"[^A-Za-z0-9 ]", " "))
     return F.trim(F.regexp_replace(s, r"\s+", " "))
 
 
@@ -168,6 +170,13 @@ def _merge_by_key(df: DataFrame, col: str, key_fn, out: str, weight: str | None
     return df.join(vocab, col, "left")
 
 
+def cluster_merge(df: DataFrame, col: str, out: str, weight: str | None = None) -> DataFrame:
+    """NRM13 without the validity check: key-collision merge, then 1-gram
+    merge; each value becomes the most common spelling of its cluster."""
+    step1 = _merge_by_key(df, col, fingerprint, "_r1", weight)
+    return _merge_by_key(step1, "_r1", one_gram, out, weight).drop("_r1")
+
+
 def refine_city(df: DataFrame, zips: DataFrame, city: str = "city_swap", state: str = "state_norm",
                 zip_col: str = "zip_norm", out: str = "city_refine", weight: str | None = None) -> DataFrame:
     """NRM13: key-collision then 1-gram merge; a refined value is kept only

@@ -98,7 +98,7 @@ def _case_map(x, m, default):
 
 
 def _squash(x):
-    return f"trim(regexp_replace(regexp_replace(upper({x}), '[^A-Z0-9 ]', ' ', 'g'), '\\s+', ' ', 'g'))"
+    return f"trim(regexp_replace(upper(regexp_replace({x}, '[^A-Za-z0-9 ]', ' ', 'g')), '\\s+', ' ', 'g'))"
 
 
 def _map_tokens(x, m):
@@ -321,3 +321,32 @@ SELECT state_raw, state_norm, count(*) AS n FROM geo_norm WHERE state_raw IS DIS
 GROUP BY state_raw, state_norm"""))
 def nrm15_changes(spark, d):
     return nz.changes(geo_norm(spark, d), "state_raw", "state_norm")
+
+
+_WORDS_SQL = """SELECT word, count(*) AS n FROM (
+  SELECT unnest(string_split_regex(text, '\\s+')) AS word FROM documents) WHERE length(word) > 0 GROUP BY word"""
+
+
+def _wmerge_sql(src, col, key_sql, out):
+    k = key_sql.format(x="v")
+    return f"""
+SELECT s.*, b.best AS {out} FROM {src} s LEFT JOIN (
+  SELECT c.v, w.best FROM (SELECT v, {k} AS k FROM (SELECT {col} AS v FROM {src} WHERE {col} IS NOT NULL GROUP BY {col})) c
+  JOIN (SELECT k, v AS best FROM (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY n DESC, v ASC) AS rn
+        FROM (SELECT v, n, {k} AS k FROM (SELECT {col} AS v, sum(n) AS n FROM {src} WHERE {col} IS NOT NULL
+                                          GROUP BY {col}))) WHERE rn = 1) w ON c.k = w.k) b ON s.{col} = b.v"""
+
+
+@register("nrm13_cluster_document_words", with_views(
+    "SELECT word, n, word_refine FROM words_r2",
+    extra={"words": _WORDS_SQL,
+           "words_r1": _wmerge_sql("words", "word", _fp("{x}"), "r1"),
+           "words_r2": _wmerge_sql("words_r1", "r1", _gram("{x}"), "word_refine")}))
+def nrm13_cluster_document_words(spark, d):
+    """Spelling clusters over every token of every document (whole texts):
+    one aggregation to the weighted word vocabulary, then key-collision and
+    1-gram merges on the vocabulary."""
+    docs = dm.read(spark, d, "documents")
+    words = docs.select(F.explode(F.split("text", r"\s+")).alias("word")).filter(F.length("word") > 0)
+    vocab = words.groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return nz.cluster_merge(vocab, "word", "word_refine", weight="n").select("word", "n", "word_refine")
