@@ -16,9 +16,10 @@ never re-sent, even if it changed (as in the source pipeline).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from donorlake.operators.aggregates import keep_newest
@@ -85,9 +86,18 @@ def sync(master: DataFrame, root: str, batch_id: str, now: dt.datetime,
     # materialise the delta: later steps read a fixed set, and the lineage
     # is cut (a lost executor does not recompute the anti join)
     dpath = f"{root}/delta/batch_id={batch_id}"
-    _retry(lambda: delta(master, ledger, key).write.mode("overwrite").parquet(dpath))
+    counted: dict = {}
+
+    def write_delta():
+        # count while writing (observe): no second pass over the delta
+        obs = Observation(f"delta_{batch_id}_{uuid.uuid4().hex[:8]}")
+        delta(master, ledger, key).observe(obs, F.count(F.lit(1)).alias("rows")) \
+            .write.mode("overwrite").parquet(dpath)
+        counted["rows"] = int(obs.get["rows"])
+
+    _retry(write_delta)
     d = spark.read.parquet(dpath)
-    n = d.count()
+    n = counted["rows"]
     if n == 0:
         return SyncReport(batch_id, 0, 0, 0)
     overflow = max(n - max_rows, 0)

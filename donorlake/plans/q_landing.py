@@ -212,11 +212,11 @@ def src10_route_by_filename(spark, d):
     _csv(dm.read(spark, d, "region"), f"{root}/misc", sep="|")  # matches no key: skipped
     schemas = {"orders_filing": A_COLS, "line_items": B_COLS, "web_events": C_COLS}
     files = ld.list_files(spark, root, "*.csv")
-    rel = [f.split(root.split(":", 1)[-1], 1)[-1] for f in files]
-    routes = ld.route_by_filename(rel, schemas)
+    # keys sit in the folder names below the fresh scratch root
+    routes = ld.route_by_filename(files, schemas)
     parts = []
     for key, cols in schemas.items():
-        paths = [f"{root}{r}" for r in routes.get(key, [])]
+        paths = routes.get(key, [])
         df = ld.split_valid(ld.delimited_scan(spark, paths, cols, sep="|"))[0]
         parts.append(df.agg(F.lit(key).alias("table_key"), F.count(F.lit(1)).alias("n_rows")))
     out = parts[0]

@@ -72,11 +72,13 @@ def scan_years(spark: SparkSession, paths_by_year: Mapping[str, str], columns: S
     if not present:
         return spark.createDataFrame([], text_schema([*columns, year_col]))
     df = delimited_scan(spark, list(present.values()), columns, **opts)
-    # map each file back to its year by path prefix, as a literal CASE
-    fp = F.col("_metadata.file_path")
+    # map each file back to its year by folder prefix, as a literal CASE;
+    # scheme and authority slashes are normalised on both sides
+    fp = F.regexp_replace(F.col("_metadata.file_path"), r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
     year = F.lit(None).cast("string")
     for y, p in present.items():
-        year = F.when(fp.contains(p.rstrip("/").split(":", 1)[-1]), F.lit(y)).otherwise(year)
+        prefix = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", p.rstrip("/")) + "/"
+        year = F.when(fp.startswith(prefix), F.lit(y)).otherwise(year)
     return df.withColumn(year_col, year)
 
 
