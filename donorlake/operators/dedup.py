@@ -108,7 +108,7 @@ def best_per_key(
     use_max = bool(order) and order[0].desc
     encoded = _encode(df, order, use_max)
     if encoded is None:
-        return _best_per_key_window(df, keys, order, rank_col)
+        return _best_per_key_passes(df, keys, order, rank_col)
     tie = [F.col(c) for c in _tiebreak_cols(df, keys)]
     sort_key = F.struct(*encoded, *[t.alias(f"_t{i}") for i, t in enumerate(tie)])
     payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
@@ -120,13 +120,30 @@ def best_per_key(
     return out
 
 
-def _best_per_key_window(df, keys, order, rank_col):
-    """Fallback for orders a struct cannot express (mixed string
-    directions): a plain window. Not hot-key safe; callers rarely need it."""
-    w = Window.partitionBy(*keys).orderBy(*_sort_exprs(df, keys, order))
-    name = rank_col or "_rn"
-    out = df.withColumn(name, F.row_number().over(w)).filter(F.col(name) == 1)
-    return out if rank_col else out.drop(name)
+def _best_per_key_passes(df, keys, order, rank_col):
+    """Orders a single struct cannot express (a string key against the
+    leading direction): one pass per order key keeps the rows holding the
+    key's preferred value (an aggregation per key, joined back), then the
+    total tiebreak picks one row. Every pass combines map-side, so hot keys
+    stay safe; it costs one extra shuffle per order key."""
+    cur = df
+    kk = [f"_pk{i}" for i in range(len(keys))]
+    for b in order:
+        cand = cur.withColumn("_cmp", b.col)
+        pick = F.max("_cmp") if b.desc else F.min("_cmp")  # ignore NULLs
+        best = cand.groupBy(*keys).agg(pick.alias("_best"), F.count_if(F.col("_cmp").isNull()).alias("_nulls"))
+        best = best.select(*[F.col(k).alias(a) for k, a in zip(keys, kk)], "_best", "_nulls")
+        cond = None
+        for k, a in zip(keys, kk):
+            e = F.col(k).eqNullSafe(F.col(a))
+            cond = e if cond is None else cond & e
+        j = cand.join(best, cond, "inner")
+        if b.nulls_first:
+            keep = F.when(F.col("_nulls") > 0, F.col("_cmp").isNull()).otherwise(F.col("_cmp") == F.col("_best"))
+        else:
+            keep = F.col("_cmp").eqNullSafe(F.col("_best"))
+        cur = j.filter(keep).drop("_cmp", "_best", "_nulls", *kk)
+    return best_per_key(cur.select(*df.columns), keys, (), rank_col)
 
 
 def _sort_exprs(df: DataFrame, keys: Sequence[str], order: Sequence[By]) -> list[Column]:

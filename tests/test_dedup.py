@@ -78,3 +78,13 @@ def test_mode_by_lowest_on_tie(spark):
     df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, "a"), (1, None), (1, None), (1, None)],
                                "k int, v string")
     assert agg.mode_by(df, ["k"], "v").first()["v"] == "a"
+
+
+def test_mixed_string_directions_use_passes(spark):
+    df = skewed(spark)
+    got = dedup.best_per_key(df, ["k"], [desc("v"), asc("s", nulls_first=True)])
+    w = Window.partitionBy("k").orderBy(F.col("v").desc_nulls_last(), F.col("s").asc_nulls_first(), F.col("id"))
+    ref = df.withColumn("rn", F.row_number().over(w)).filter("rn = 1").drop("rn")
+    assert as_set(got) == as_set(ref)
+    # no window in the plan
+    assert "Window" not in got._jdf.queryExecution().executedPlan().toString()
