@@ -68,12 +68,13 @@ def run_suite(df: DataFrame, rules: Sequence[Rule], materialize: bool = True) ->
     """QC5: violations per rule as a DataFrame (rule, column, violations).
 
     When the suite needs more than one pass (row rules plus ``unique``
-    rules), a computed input is checkpointed once to the shared folder so
-    the passes scan it instead of recomputing it."""
+    rules) and the input is computed with a shuffle (not a stored table),
+    it is checkpointed once to the shared folder so the passes scan it
+    instead of recomputing it; a stored table is simply scanned again."""
     spark = df.sparkSession
     row_rules = [r for r in rules if r.kind != "unique"]
     passes = (1 if row_rules else 0) + sum(r.kind == "unique" for r in rules)
-    if materialize and passes > 1:
+    if materialize and passes > 1 and "Exchange" in df._jdf.queryExecution().executedPlan().toString():
         from donorlake.session import checkpoint_root
 
         checkpoint_root(spark)
