@@ -70,14 +70,17 @@ def src4_archive_scan(spark, d):
     return ld.split_lines(lines, A_COLS, sep="|")
 
 
-@register("src5_workbook_scan", with_views("SELECT * FROM landing_b", "landing_b"))
+@register("src5_workbook_scan", with_views(
+    "SELECT line_id, supplier_key, contributor_name, zip, employer, occupation, amount, "
+    "substr(ship_date, 1, 4) || '-' || substr(ship_date, 5, 2) || '-' || substr(ship_date, 7, 2) AS ship_date, "
+    "return_flag FROM landing_b", "landing_b"))
 def src5_workbook_scan(spark, d):
     lb = dm.landing_b(spark, d)
     bucket = F.floor(F.split_part("line_id", F.lit("_"), F.lit(1)).cast("long") / 250)
     order = F.struct(F.split_part("line_id", F.lit("_"), F.lit(1)).cast("long"),
                      F.split_part("line_id", F.lit("_"), F.lit(2)).cast("long"))
     groups = fx.bucketed_lines(lb, bucket, F.array(*B_COLS), order)
-    books = fx.workbooks(groups, B_COLS)
+    books = fx.workbooks(groups, B_COLS, date_cols=["ship_date"])  # dates land as ISO text
     rows = ld.workbook_rows(books).filter(F.col("row_no") > 1)
     return rows.select(*[F.coalesce(F.try_element_at("cells", F.lit(i + 1)), F.lit("")).alias(c)
                          for i, c in enumerate(B_COLS)])

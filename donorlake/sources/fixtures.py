@@ -60,7 +60,15 @@ def zip_archives(groups: DataFrame, header: str, nested_every: int = 2) -> DataF
     return groups.mapInPandas(run, BINARY_SCHEMA)
 
 
-def _xlsx(rows: Sequence[Sequence[str]]) -> bytes:
+def _serial(iso_or_yyyymmdd: str) -> str:
+    import datetime as dt
+
+    t = iso_or_yyyymmdd.replace("-", "")
+    d = dt.date(int(t[:4]), int(t[4:6]), int(t[6:8]))
+    return str((d - dt.date(1899, 12, 30)).days)
+
+
+def _xlsx(rows: Sequence[Sequence[str]], date_cols: Sequence[int] = ()) -> bytes:
     def col(i):
         s = ""
         i += 1
@@ -69,11 +77,14 @@ def _xlsx(rows: Sequence[Sequence[str]]) -> bytes:
             s = chr(65 + r) + s
         return s
 
+    def cell(r, i, v):
+        if r > 1 and i in date_cols:  # a real date cell: serial number + date style
+            return f'<c r="{col(i)}{r}" s="1"><v>{_serial(v)}</v></c>'
+        return f'<c r="{col(i)}{r}" t="inlineStr"><is><t>{escape(v)}</t></is></c>'
+
     body = []
     for r, cells in enumerate(rows, start=1):
-        cs = "".join(
-            f'<c r="{col(i)}{r}" t="inlineStr"><is><t>{escape(v)}</t></is></c>'
-            for i, v in enumerate(cells) if v is not None and v != "")
+        cs = "".join(cell(r, i, v) for i, v in enumerate(cells) if v is not None and v != "")
         body.append(f'<row r="{r}">{cs}</row>')
     sheet = ('<?xml version="1.0" encoding="UTF-8" standalone="yes"?>'
              '<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><sheetData>'
@@ -83,20 +94,25 @@ def _xlsx(rows: Sequence[Sequence[str]]) -> bytes:
         z.writestr("[Content_Types].xml", '<?xml version="1.0"?><Types xmlns="http://schemas.openxmlformats.org/package/2006/content-types"/>')
         z.writestr("xl/workbook.xml", '<?xml version="1.0"?><workbook xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"/>')
         z.writestr("xl/worksheets/sheet1.xml", sheet)
+        z.writestr("xl/styles.xml", '<?xml version="1.0"?><styleSheet xmlns="http://schemas.openxmlformats.org/'
+                   'spreadsheetml/2006/main"><cellXfs count="2"><xf numFmtId="0"/><xf numFmtId="14"/></cellXfs>'
+                   '</styleSheet>')
     return out.getvalue()
 
 
-def workbooks(groups: DataFrame, header: Sequence[str]) -> DataFrame:
+def workbooks(groups: DataFrame, header: Sequence[str], date_cols: Sequence[str] = ()) -> DataFrame:
     """One .xlsx per bucket: header row then one row per array of cells
     (``lines`` holds arrays of text here). Blank cells are left out of the
-    sheet, as spreadsheet writers do."""
+    sheet, as spreadsheet writers do; ``date_cols`` (YYYYMMDD or ISO text)
+    are written as date-formatted serial numbers."""
+    date_idx = [list(header).index(c) for c in date_cols]
 
     def run(batches):
         for pdf in batches:
             paths, blobs = [], []
             for b, rows in zip(pdf["bucket"], pdf["lines"]):
                 paths.append(f"book_{b}.xlsx")
-                blobs.append(_xlsx([list(header), *[list(r) for r in rows]]))
+                blobs.append(_xlsx([list(header), *[list(r) for r in rows]], date_idx))
             yield pd.DataFrame({"path": paths, "content": blobs})
 
     return groups.mapInPandas(run, BINARY_SCHEMA)

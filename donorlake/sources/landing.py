@@ -257,10 +257,44 @@ def _col_index(ref: str) -> int:
     return n - 1
 
 
+# Spreadsheet built-in number formats that are dates/times.
+BUILTIN_DATE_FORMATS = set(range(14, 23)) | {45, 46, 47}
+
+
+def _date_styles(zf: zipfile.ZipFile) -> set[int]:
+    """Indexes of cell styles whose number format is a date/time."""
+    import xml.etree.ElementTree as ET
+
+    if "xl/styles.xml" not in zf.namelist():
+        return set()
+    root = ET.fromstring(zf.read("xl/styles.xml"))
+    custom = {}
+    for nf in root.iter(f"{{{_NS['m']}}}numFmt"):
+        code = re.sub(r'"[^"]*"|\\.|\[[^\]]*\]', "", nf.get("formatCode", ""))
+        custom[int(nf.get("numFmtId", "0"))] = bool(re.search(r"[ymdhs]", code, re.I))
+    xfs = root.find(f"m:cellXfs", _NS)
+    out = set()
+    if xfs is not None:
+        for i, xf in enumerate(xfs.findall("m:xf", _NS)):
+            fid = int(xf.get("numFmtId", "0"))
+            if fid in BUILTIN_DATE_FORMATS or custom.get(fid, False):
+                out.add(i)
+    return out
+
+
+def _serial_to_iso(v: str) -> str:
+    import datetime as dt
+
+    t = dt.datetime(1899, 12, 30) + dt.timedelta(days=float(v))
+    t = t.replace(microsecond=0)
+    return t.date().isoformat() if t.time() == dt.time(0) else t.isoformat()
+
+
 def _sheet_rows(data: bytes, sheet_idx: int):
     import xml.etree.ElementTree as ET
 
     zf = zipfile.ZipFile(io.BytesIO(data))
+    date_styles = _date_styles(zf)
     shared: list[str] = []
     if "xl/sharedStrings.xml" in zf.namelist():
         root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
@@ -281,6 +315,8 @@ def _sheet_rows(data: bytes, sheet_idx: int):
                 val = ""
             elif t == "s":
                 val = shared[int(v.text)]
+            elif t in (None, "n") and int(c.get("s", "0")) in date_styles:
+                val = _serial_to_iso(v.text)  # date-formatted number → ISO text
             else:
                 val = v.text
             cells[_col_index(c.get("r", "A1"))] = val
@@ -290,7 +326,8 @@ def _sheet_rows(data: bytes, sheet_idx: int):
 
 def workbook_rows(binary: DataFrame, sheet_idx: int = 0) -> DataFrame:
     """SRC5 on (path, content): rows of sheet ``sheet_idx`` as text cells
-    (missing cells → ''). Reads the workbook XML with the stdlib."""
+    (missing cells → '', date-formatted cells → ISO dates). Reads the
+    workbook XML with the stdlib."""
 
     def run(batches):
         for pdf in batches:

@@ -83,3 +83,11 @@ def test_map_headers_and_routing(spark):
     assert tuple(out.first()) == ("1", "Jane", "")
     routes = ld.route_by_filename(["/a/orders_2024.csv", "/a/misc.csv"], {"orders": ["x"]})
     assert routes == {"orders": ["/a/orders_2024.csv"], None: ["/a/misc.csv"]}
+
+
+def test_workbook_date_cells_land_as_iso(spark, tmp_dir):
+    groups = spark.createDataFrame([(0, [["a", "20240203"], ["b", "2023-12-31"]])],
+                                   "bucket long, lines array<array<string>>")
+    fx.write_binary(fx.workbooks(groups, ["name", "day"], date_cols=["day"]), tmp_dir)
+    df = ld.workbook_scan(spark, tmp_dir, ["name", "day"])
+    assert sorted(tuple(r) for r in df.collect()) == [("a", "2024-02-03"), ("b", "2023-12-31")]
