@@ -72,8 +72,8 @@ q AS (SELECT lang, source, rule, floor_, both_,
              CASE WHEN total >= {quality_rules.MIN_GROUP} THEN q1 ELSE l1 END AS q1,
              CASE WHEN total >= {quality_rules.MIN_GROUP} THEN q3 ELSE l3 END AS q3
       FROM qo JOIN ql USING (lang, rule)),
-f AS (SELECT rid, bool_or(value > q3 + {quality_rules.REACH} * greatest(q3 - q1, floor_)
-                          OR (both_ AND value < q1 - {quality_rules.REACH} * greatest(q3 - q1, floor_))) AS bad
+f AS (SELECT rid, bool_or(value > q3 + {quality_rules.REACH} * greatest(q3 - q1, q.floor_)
+                          OR (q.both_ AND value < q1 - {quality_rules.REACH} * greatest(q3 - q1, q.floor_))) AS bad
       FROM v JOIN q USING (lang, source, rule) GROUP BY rid)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        (n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.MAX_REPEAT_PCT} * n_words) AS base_failed,
