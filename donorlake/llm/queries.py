@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from donorlake.llm import bpe, decontaminate, quality_rules
+from donorlake.llm import bpe, bwt, decontaminate, quality_rules, rlz
 from donorlake.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,11 +88,35 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules.digest(quality_rules.quality_rules(table(spark, sf_dir, "documents")))
 
 
+@query("op4_suffix_dedup")
+def op4_suffix_dedup(spark, sf_dir):
+    return bwt.digest(bwt.suffix_dedup(table(spark, sf_dir, "documents")))
+
+
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark, sf_dir):
     return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
 
+OP9_SQL = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(doc_id, 9223372036854775807) AS k, {_WORDS} AS w FROM documents),
+win AS (SELECT rid, k, p, array_to_string(w[p : p + 12], ' ') AS x
+        FROM (SELECT rid, k, w, unnest(range(1, len(w) - 11)) AS p FROM d WHERE len(w) >= 13)),
+dup AS (SELECT rid, p FROM win JOIN (SELECT x, min(k) AS least FROM win GROUP BY x) USING (x) WHERE least < k),
+gone AS (SELECT DISTINCT rid, unnest(range(p, p + 13)) AS q FROM dup),
+word AS (SELECT rid, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+kept AS (SELECT word.rid, string_agg(word, ' ' ORDER BY word.q) FILTER (gone.q IS NULL) AS text, count(gone.q) AS n
+         FROM word LEFT JOIN gone ON word.rid = gone.rid AND word.q = gone.q GROUP BY word.rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (rid)
+"""
+
+
+@query("op9_rlz_dedup", OP9_SQL)
+def op9_rlz_dedup(spark, sf_dir):
+    return rlz.digest(rlz.substring_dedup(table(spark, sf_dir, "documents")))
+
+
 OP10_SQL = rf"""
 WITH words AS (
   SELECT doc_id, row_number() OVER () AS rid,
