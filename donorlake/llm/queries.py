@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from donorlake.llm import bpe, bwt, decontaminate, quality_rules, rlz
+from donorlake.llm import bpe, bwt, decontaminate, langid, quality_rules, resample, rlz, superminhash
 from donorlake.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,34 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+OP1_SQL = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, row_number() OVER () AS rid,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT rid, w[p] || ' ' || w[p + 1] AS x
+  FROM (SELECT rid, w, unnest(range(1, len(w))) AS p FROM d WHERE len(w) >= 2)
+  UNION ALL SELECT rid, w[1] FROM d WHERE len(w) = 1),
+size AS (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
+both AS (SELECT a.rid AS a, b.rid AS b, count(*) AS inter FROM sets a JOIN sets b ON a.x = b.x AND a.rid < b.rid
+         GROUP BY a.rid, b.rid),
+link AS (SELECT a, b FROM both JOIN size s ON s.rid = a JOIN size t ON t.rid = b
+         WHERE 100 * inter >= 80 * (s.n + t.n - inter)),
+edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
+reach AS (SELECT a AS node, a AS other FROM edge UNION SELECT node, b FROM reach JOIN edge ON other = a),
+named AS (SELECT node, min(d.doc_id) AS least FROM reach JOIN d ON d.rid = other GROUP BY node)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(least, doc_id)::BIGINT AS component_id,
+       doc_id IS NOT DISTINCT FROM coalesce(least, doc_id) AS kept
+FROM d LEFT JOIN size USING (rid) LEFT JOIN named ON node = rid
+"""
+
+
+@query("op1_superminhash", OP1_SQL)
+def op1_superminhash(spark, sf_dir):
+    return superminhash.digest(superminhash.near_duplicates(table(spark, sf_dir, "documents"), k=2))
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _QUALITY_RULES = quality_rules.RULES
@@ -98,6 +126,16 @@ def op6_byte_bpe(spark, sf_dir):
     return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
 
+@query("op7_importance_resampling")
+def op7_importance_resampling(spark, sf_dir):
+    return resample.digest(resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")))
+
+
+@query("op8_language_id")
+def op8_language_id(spark, sf_dir):
+    return langid.digest(langid.language_id(table(spark, sf_dir, "documents")))
+
+
 OP9_SQL = rf"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(doc_id, 9223372036854775807) AS k, {_WORDS} AS w FROM documents),
 win AS (SELECT rid, k, p, array_to_string(w[p : p + 12], ' ') AS x
