@@ -8,13 +8,60 @@ next one's ``docs``. All but the last return the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from donorlake.llm import bpe, decontaminate, pii, resample, superminhash
 from donorlake.llm.util import materialise, table
 
-STAGES: list = []
+#: Columns of ``documents``; others are left behind.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-#: Models trained from labels and hashing-based groups have no SQL form; the
-#: stages are tested against brute force instead.
+
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier draws; the others go."""
+    scored = resample.resample(docs, table(spark, sf_dir, "labels"), keep=COLUMNS)
+    return scored.filter("kept").select(*COLUMNS)
+
+
+def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates (five-word shingles)."""
+    kept = superminhash.near_duplicates(docs, k=5).filter("kept").select(F.col("doc_id").alias("kept_id"))
+    rows = docs.select(*COLUMNS)
+    return (rows.join(kept, rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
+            .dropDuplicates(["doc_id", "text"]))
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of any benchmark item."""
+    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), keep=COLUMNS)
+    return found.filter("NOT contaminated").select(*COLUMNS)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by its kind; n_chars follows the text."""
+    found = pii.detect(docs, pii.fit(docs), keep=COLUMNS)
+    return pii.redact(found).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document and whether they decode to its text."""
+    encoded = bpe.encode(docs, keep=("doc_id", "lang", "source", "text"))
+    decoded = bpe.decode(encoded, keep=("doc_id", "lang", "source", "text", "ids"))
+    return decoded.select(
+        "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
+        F.col("raw").eqNullSafe(F.coalesce("text", F.lit("")).cast("binary")).alias("round_trip"))
+
+
+STAGES = [
+    ("quality_classifier", classify),
+    ("near_dedup", deduplicate),
+    ("decontamination", decontaminated),
+    ("pii", redact),
+    ("byte_bpe", tokenise),
+]
+
+#: Models trained from labels and hashed groups have no SQL form; the stages
+#: are tested against brute force instead.
 ORACLE_SQL = None
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from donorlake.llm import bpe, bwt, decontaminate, langid, quality_rules, resample, rlz, superminhash
+from donorlake.llm import bpe, bwt, decontaminate, langid, pii, quality_rules, resample, rlz, superminhash
 from donorlake.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,6 +116,12 @@ def op3_quality_rules(spark, sf_dir):
     return quality_rules.digest(quality_rules.quality_rules(table(spark, sf_dir, "documents")))
 
 
+@query("op2_weak_pii")
+def op2_weak_pii(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.detect(docs, pii.fit(docs)))
+
+
 @query("op4_suffix_dedup")
 def op4_suffix_dedup(spark, sf_dir):
     return bwt.digest(bwt.suffix_dedup(table(spark, sf_dir, "documents")))
