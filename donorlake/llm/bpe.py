@@ -205,10 +205,10 @@ def encode(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("d
     as chunk rows, are pre-tokenised apart and stitched."""
     prepare(docs.sparkSession)
     path = path or vocabulary_path()
-    rows = docs.select(*keep, "text", F.monotonically_increasing_id().alias("row"))
+    rows = docs.select(*dict.fromkeys([*keep, "text"]), F.monotonically_increasing_id().alias("row"))
     long = F.coalesce(F.length("text"), F.lit(0)) > chunk
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    short = rows.filter(~long).select(*keep, "text").mapInArrow(
+    short = rows.filter(~long).drop("row").mapInArrow(
         _encode_short(path, list(keep)), f"{fields}, ids array<int>")
     chunks = (
         rows.filter(long).select("row", "text")

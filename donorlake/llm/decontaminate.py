@@ -286,7 +286,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW,
             counts[r["size"]][np.searchsorted(rarity[r["size"]], r["code"])] = r["n"]
         prefixes = choose_prefixes(block, {s: (rarity[s], counts[s]) for s in rarity})
         blocks.append(spark.sparkContext.broadcast((block, prefixes)))
-    kept = docs.select(*keep, "text")
+    kept = docs.select(*dict.fromkeys([*keep, "text"]))
     out = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name in keep)
     return kept.mapInArrow(
         _matcher(blocks, list(keep)),
