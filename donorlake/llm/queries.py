@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from donorlake.llm import bpe, bwt, decontaminate, langid, pii, quality_rules, resample, rlz, superminhash
+from donorlake.llm import bpe, bwt, classlm, decontaminate, langid, pii, quality_rules, resample, rlz, superminhash
 from donorlake.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,6 +127,11 @@ def op4_suffix_dedup(spark, sf_dir):
     return bwt.digest(bwt.suffix_dedup(table(spark, sf_dir, "documents")))
 
 
+@query("op5_class_lm")
+def op5_class_lm(spark, sf_dir):
+    return classlm.digest(classlm.class_lm(table(spark, sf_dir, "documents")))
+
+
 @query("op6_byte_bpe")
 def op6_byte_bpe(spark, sf_dir):
     return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
