@@ -39,6 +39,7 @@ from donorlake.functions.text import (
     last_part,
     letters_only,
     map_codes,
+    pad_left,
     part,
     replace_all,
     replace_first,

@@ -1,7 +1,13 @@
 """One-field address parsing (FN22).
 
-Returns ``struct<city, state, zip_code>`` so a job extracts all three with
-one expression (common subexpressions are shared by codegen).
+One parser reads every layout from the right: an optional zip word, an
+optional two-letter state, the city, and whatever stands before it as the
+street. Words are told apart by their shape (letters become ``A``, digits
+``9``), so layouts differ only in where the commas are.
+
+    CITY, ST 12345          STREET, CITY, ST 12345-6789
+    CITY, ST                STREET, CITY, ST, 12345
+    CITY ST 12345           CITY 12345
 """
 
 from __future__ import annotations
@@ -11,40 +17,43 @@ from pyspark.sql import functions as F
 
 from donorlake.functions._util import as_col
 
-# Fixed patterns for the two address layouts the sources use.
-# "CITY, ST 12345": city before the first comma, state = two letters after a
-# comma followed by end/space/digit, zip = first five digits before end/space.
-RE_CSZ_STATE = r",\s*([A-Za-z]{2})($|\s|\d)"
-RE_CSZ_ZIP = r"(\d{5})($|\s)"
-# "STREET, CITY, ST 12345-6789": city and state are anchored on the
-# comma-separated state/zip tail; zip is a 5 or 5+4 digit word.
-RE_SCSZ_CITY = r",\s*([^,]+),\s*[A-Z]{2}\s*\d{5}(?:-\d{4})?"
-RE_SCSZ_STATE = r",\s*[^,]+,\s*([A-Z]{2})\s*\d{5}(?:-\d{4})?"
-RE_SCSZ_ZIP = r"\b\d{5}(?:-\d{4})?\b"
-
-
-def _group_or_null(c: Column, regex: str, group: int) -> Column:
-    return F.when(c.rlike(regex), F.regexp_extract(c, regex, group))
-
-
-def parse_address(c, style: str = "city_state_zip") -> Column:
-    c = as_col(c)
-    if style == "city_state_zip":
-        comma = F.locate(",", c)
-        city = F.nullif(
-            F.regexp_replace(
-                F.when(comma > 0, F.trim(F.substring(c, F.lit(1), comma - 1))),
-                r"[^a-zA-Z0-9 ]",
-                "",
-            ),
-            F.lit(""),
-        )
-        state = F.upper(F.nullif(_group_or_null(c, RE_CSZ_STATE, 1), F.lit("")))
-        zip_code = F.nullif(_group_or_null(c, RE_CSZ_ZIP, 1), F.lit(""))
-    elif style == "street_city_state_zip":
-        city = _group_or_null(c, RE_SCSZ_CITY, 1)
-        state = _group_or_null(c, RE_SCSZ_STATE, 1)
-        zip_code = F.regexp_substr(c, F.lit(RE_SCSZ_ZIP))
-    else:
-        raise ValueError(f"unknown address style {style!r}")
-    return F.struct(city.alias("city"), state.alias("state"), zip_code.alias("zip_code"))
+_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_DIGITS = "0123456789"
+
+
+def word_shape(word: Column) -> Column:
+    return F.translate(F.upper(word), _LETTERS + _DIGITS, "A" * 26 + "9" * 10)
+
+
+def _last(words: Column) -> Column:
+    return F.try_element_at(words, F.lit(-1))
+
+
+def _but_last(words: Column) -> Column:
+    return F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+
+
+def parse_address(c) -> Column:
+    """struct<street, city, state, zip_code>; all NULL where neither a zip
+    nor a state (which needs a zip behind it or a comma before it) is found."""
+    text = F.trim(as_col(c))
+    parts = F.filter(F.transform(F.split(text, ","), lambda s: F.trim(s)), lambda s: s != "")
+    tail = F.split(_last(parts), " +")
+    has_zip = F.coalesce(word_shape(_last(tail)).isin("99999", "99999-9999"), F.lit(False))
+    # "…, ST, 12345": the zip has a part of its own
+    alone = has_zip & (F.size(tail) == 1) & (F.size(parts) > 1)
+    parts = F.when(alone, _but_last(parts)).otherwise(parts)
+    words = F.when(alone, F.split(_last(parts), " +")).when(has_zip, _but_last(tail)).otherwise(tail)
+    has_state = F.coalesce(
+        (word_shape(_last(words)) == "AA") & (has_zip | ((F.size(words) == 1) & (F.size(parts) > 1))), F.lit(False))
+    city_words = F.when(has_state, _but_last(words)).otherwise(words)
+    beside = F.size(city_words) > 0  # the city shares its part with the state or zip
+    before = _but_last(parts)
+    known = has_zip | has_state
+    city = F.when(beside, F.array_join(city_words, " ")).otherwise(_last(before))
+    street = F.array_join(F.when(beside, before).otherwise(_but_last(before)), ", ")
+    return F.struct(
+        F.when(known, F.nullif(street, F.lit(""))).alias("street"),
+        F.when(known, city).alias("city"),
+        F.when(has_state, F.upper(_last(words))).alias("state"),
+        F.when(has_zip, _last(tail)).alias("zip_code"))

@@ -21,13 +21,12 @@ def to_amount(c) -> Column:
 
 
 def clean_amount(c) -> Column:
-    """FN1: ``$1,200.50`` → 1200.50, ``($300)`` → -300, else NULL."""
+    """FN1: ``$1,200.50`` → 1200.50, ``($300)`` → -300, else NULL. The sign
+    comes from the parentheses, the size from what is left without marks."""
     c = as_col(c)
-    in_parens = c.rlike(r"^\(.*\)$")
-    text = F.when(
-        in_parens, F.concat(F.lit("-"), F.regexp_replace(c, r"[$,()]", ""))
-    ).otherwise(F.regexp_replace(c, r"[$,]", ""))
-    return to_amount(text)
+    negative = c.startswith("(") & c.endswith(")")
+    size = to_amount(F.translate(c, "$,()", ""))
+    return F.when(negative, -size).otherwise(to_amount(F.translate(c, "$,", ""))).cast(AMOUNT_TYPE)
 
 
 def signed_amount(c) -> Column:

@@ -97,3 +97,10 @@ def map_codes(c, mapping: Mapping[str, str], default: str | None = None,
 def first_present(*cols) -> Column:
     """PRJ7: first column that is neither NULL nor blank."""
     return F.coalesce(*[blank_to_null(c) for c in cols])
+
+
+def pad_left(c, width: int, fill: str = "0") -> Column:
+    """Pad a number or text to ``width``; what is longer stays whole (a plain
+    ``lpad`` would cut it)."""
+    text = as_col(c).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, fill)).otherwise(text)

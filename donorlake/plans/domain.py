@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from donorlake import functions as fn
 from donorlake.operators import aggregates as agg
 from donorlake.operators import dedup, filters, joins
-from donorlake.session import session_key, spread, table_path
+from donorlake.session import spread, table_path
 
 # Master-build date floor. The reference build uses 2015-01-01; the driver
 # tables date orders 1995-2001, so queries pass a floor inside that span.
@@ -88,39 +88,9 @@ CANDIDATE_SCHEMA = T.StructType([
 ])
 
 
-_READS: dict = {}
-_VIEWS: dict = {}
-
-
-def per_session(fn):
-    """Build a view's DataFrame once per session and arguments. Views are
-    plans over read-only tables; reusing the analysed plan saves driver
-    analysis time, and every action still runs the whole plan."""
-    import functools
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, d: str, *args, **kwargs):
-        if any(isinstance(v, DataFrame) for v in (*args, *kwargs.values())):
-            return fn(spark, d, *args, **kwargs)
-        key = (fn.__name__, session_key(spark), d, args, tuple(sorted(kwargs.items())))
-        df = _VIEWS.get(key)
-        if df is None:
-            df = _VIEWS[key] = fn(spark, d, *args, **kwargs)
-        return df
-
-    return wrapper
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. The given tables are read-only, so the resolved scan
-    (file listing, footer schema, spread decision) is built once per
-    session and path and reused by every query."""
-    path = table_path(sf_dir, name)
-    key = (session_key(spark), path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spread(spark.read.parquet(path))
-    return df
+    """A driver table as it is now (nothing is kept between calls)."""
+    return spread(spark.read.parquet(table_path(sf_dir, name)))
 
 
 def _money_text(c: Column) -> Column:
@@ -128,13 +98,12 @@ def _money_text(c: Column) -> Column:
 
 
 def _zip_text(c: Column) -> Column:
-    return F.lpad(c.cast("string"), 5, "0")
+    return fn.pad_left(c, 5)
 
 
 # --- landing (all text) -----------------------------------------------------
 
 
-@per_session
 def landing_a(spark: SparkSession, d: str) -> DataFrame:
     o = read(spark, d, "orders")
     c = read(spark, d, "customer")
@@ -168,7 +137,6 @@ def landing_a(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@per_session
 def landing_b(spark: SparkSession, d: str) -> DataFrame:
     li = read(spark, d, "lineitem")
     p = read(spark, d, "part")
@@ -186,7 +154,6 @@ def landing_b(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@per_session
 def landing_c(spark: SparkSession, d: str) -> DataFrame:
     e = read(spark, d, "events")
     return e.select(
@@ -203,7 +170,6 @@ def landing_c(spark: SparkSession, d: str) -> DataFrame:
 # --- conformed contributions (PRJ1) -------------------------------------------
 
 
-@per_session
 def conformed_a(spark: SparkSession, d: str) -> DataFrame:
     la = landing_a(spark, d)
     return la.select(
@@ -211,7 +177,7 @@ def conformed_a(spark: SparkSession, d: str) -> DataFrame:
         F.concat(F.lit("A_"), F.col("filing_id")).alias("source_id"),
         fn.committee_id("A_", F.col("committee_name")).alias("committee_id"),
         F.concat(F.lit("A_"), F.left("candidate_code", F.lit(1))).alias("candidate_id"),
-        F.substring("candidate_code", 3, 1000).alias("candidate_name"),
+        F.expr("substring(candidate_code, 3)").alias("candidate_name"),
         fn.flip_name("contributor_name").alias("name"),
         F.col("city"),
         F.col("state"),
@@ -223,7 +189,6 @@ def conformed_a(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@per_session
 def conformed_b(spark: SparkSession, d: str) -> DataFrame:
     lb = landing_b(spark, d)
     return lb.select(
@@ -243,7 +208,6 @@ def conformed_b(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@per_session
 def conformed_c(spark: SparkSession, d: str) -> DataFrame:
     lc = landing_c(spark, d)
     return lc.select(
@@ -263,7 +227,6 @@ def conformed_c(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@per_session
 def contributions(spark: SparkSession, d: str) -> DataFrame:
     """All conformed contributions (SET1)."""
     return agg.union_all([conformed_a(spark, d), conformed_b(spark, d), conformed_c(spark, d)])
@@ -272,7 +235,6 @@ def contributions(spark: SparkSession, d: str) -> DataFrame:
 # --- committees / candidates (PRJ2, PRJ3, PRJ5) -------------------------------
 
 
-@per_session
 def committees_a(spark: SparkSession, d: str) -> DataFrame:
     seg = read(spark, d, "customer").select("c_mktsegment").distinct()
     return agg.pad_columns(seg.select(
@@ -283,7 +245,6 @@ def committees_a(spark: SparkSession, d: str) -> DataFrame:
     ), COMMITTEE_SCHEMA)
 
 
-@per_session
 def committees_b(spark: SparkSession, d: str) -> DataFrame:
     s = read(spark, d, "supplier")
     n = read(spark, d, "nation").select("n_nationkey", "n_name")
@@ -302,7 +263,6 @@ def committees_b(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@per_session
 def committees_c(spark: SparkSession, d: str) -> DataFrame:
     et = read(spark, d, "events").select("event_type").distinct()
     return agg.pad_columns(et.select(
@@ -313,13 +273,12 @@ def committees_c(spark: SparkSession, d: str) -> DataFrame:
     ), COMMITTEE_SCHEMA)
 
 
-@per_session
 def candidates_a(spark: SparkSession, d: str) -> DataFrame:
     pr = read(spark, d, "orders").select("o_orderpriority").distinct()
     return agg.pad_columns(pr.select(
         F.lit("A").alias("source"),
         F.concat(F.lit("A_"), F.left("o_orderpriority", F.lit(1))).alias("candidate_id"),
-        F.substring("o_orderpriority", 3, 1000).alias("name"),
+        F.expr("substring(o_orderpriority, 3)").alias("name"),
     ), CANDIDATE_SCHEMA)
 
 
@@ -330,7 +289,6 @@ MASTER_COMMITTEE_COLS = [
 ]
 
 
-@per_session
 def committee_master_unfiltered(spark: SparkSession, d: str) -> DataFrame:
     """Union of conformed committees, not-NULL guards, one row per id."""
     union = agg.union_all([committees_a(spark, d), committees_b(spark, d), committees_c(spark, d)])
@@ -369,7 +327,6 @@ def master_rows(df: DataFrame, floor: str) -> DataFrame:
     )
 
 
-@per_session
 def contributions_master(spark: SparkSession, d: str, floor: str = DEMO_DATE_FLOOR,
                          conformed: DataFrame | None = None,
                          committees: DataFrame | None = None) -> DataFrame:
@@ -389,7 +346,6 @@ def contributions_master(spark: SparkSession, d: str, floor: str = DEMO_DATE_FLO
     return out.withColumn("candidate_office", F.lit(None).cast("string")).select(*MASTER_CONTRIB_COLS)
 
 
-@per_session
 def committee_master(spark: SparkSession, d: str, contribs: DataFrame | None = None) -> DataFrame:
     """Committees that occur in the contributions master (JN7). Built in
     three steps (committees → contributions → semi join) instead of the
@@ -399,12 +355,10 @@ def committee_master(spark: SparkSession, d: str, contribs: DataFrame | None = N
     return joins.only_with(cm, contribs, "committee_id")
 
 
-@per_session
 def candidate_master(spark: SparkSession, d: str) -> DataFrame:
     return agg.union_all([candidates_a(spark, d)])
 
 
-@per_session
 def ground_truth(spark: SparkSession, d: str) -> DataFrame:
     """Hand-gathered sample stand-in: one row per customer, identity key
     ``UPPER(fname|lname|zip5)`` generated like the stored column."""

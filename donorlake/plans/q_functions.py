@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from donorlake import functions as fn
 from donorlake.functions import dates as dts
-from donorlake.functions import address as addr
 from donorlake.operators import filters, projections
 from donorlake.operators.projections import Spec
 from donorlake.plans import domain as dm
 from donorlake.plans import sqlviews as sv
 from donorlake.plans.registry import register
-from donorlake.plans.sqlviews import with_views
+from donorlake.plans.sqlviews import pad_left, with_views
 
 E = F.expr
 
@@ -284,12 +283,12 @@ def fn18_last_part(spark, d):
 
 def _memo():
     return F.when(F.col("o_orderstatus") == "F", F.concat(
-        F.lit("EARMARKED THROUGH C"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"),
-        F.lit(" AND C"), F.lpad(F.col("o_orderkey").cast("string"), 8, "0"))).otherwise(F.lit("none"))
+        F.lit("EARMARKED THROUGH C"), fn.pad_left(F.col("o_custkey"), 8),
+        F.lit(" AND C"), fn.pad_left(F.col("o_orderkey"), 8))).otherwise(F.lit("none"))
 
 
-_MEMO_SQL = ("CASE WHEN o_orderstatus = 'F' THEN 'EARMARKED THROUGH C' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') "
-             "|| ' AND C' || lpad(CAST(o_orderkey AS VARCHAR), 8, '0') ELSE 'none' END")
+_MEMO_SQL = (f"CASE WHEN o_orderstatus = 'F' THEN 'EARMARKED THROUGH C' || {pad_left('o_custkey', 8)} "
+             f"|| ' AND C' || {pad_left('o_orderkey', 8)} ELSE 'none' END")
 
 
 @register("fn19_first_match", f"""
@@ -324,63 +323,66 @@ def fn21_replace_first(spark, d):
 
 
 def _addresses(spark, d):
+    """Every customer's address in four layouts; each fifth names no place."""
     c = dm.read(spark, d, "customer")
     st = F.concat(E("chr(65 + c_nationkey % 26)"), E("chr(65 + (c_nationkey * 7) % 26)"))
-    zp = F.concat(F.lpad(F.col("c_custkey").cast("string"), 5, "0"),
+    zp = F.concat(fn.pad_left(F.col("c_custkey"), 5),
                   F.when(F.col("c_custkey") % 2 == 0, F.lit("-1234")).otherwise(F.lit("")))
-    a1 = F.when(F.col("c_custkey") % 5 == 0, F.lit("no zip here")).otherwise(
-        F.concat(F.lit("Town"), F.col("c_nationkey").cast("string"), F.lit(", "), st, F.lit(" "), zp))
-    a2 = F.concat(F.col("c_custkey").cast("string"), F.lit(" Main St, "), a1)
-    return c.select("c_custkey", a1.alias("a1"), a2.alias("a2"))
+    town = F.concat(F.lit("Town"), F.col("c_nationkey").cast("string"))
+    street = F.concat(F.col("c_custkey").cast("string"), F.lit(" Main St"))
+    lost = lambda a: F.when(F.col("c_custkey") % 5 == 0, F.lit("no place here")).otherwise(a)
+    return c.select(
+        "c_custkey", lost(F.concat(town, F.lit(", "), st, F.lit(" "), zp)).alias("a1"),
+        lost(F.concat(street, F.lit(", "), town, F.lit(", "), st, F.lit(" "), zp)).alias("a2"),
+        lost(F.concat(street, F.lit(", "), town, F.lit(", "), st)).alias("a3"),
+        lost(F.concat(street, F.lit(","), town, F.lit(","), st, F.lit(","), zp)).alias("a4"))
 
 
-_ADDR_SQL = """SELECT c_custkey, a1, CAST(c_custkey AS VARCHAR) || ' Main St, ' || a1 AS a2 FROM (
-  SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 THEN 'no zip here' ELSE
-    'Town' || CAST(c_nationkey AS VARCHAR) || ', ' || chr(65 + c_nationkey % 26) || chr(65 + (c_nationkey * 7) % 26)
-    || ' ' || lpad(CAST(c_custkey AS VARCHAR), 5, '0') || CASE WHEN c_custkey % 2 = 0 THEN '-1234' ELSE '' END END AS a1
-  FROM customer)"""
-
-
-def _grp(x, rx, g):
-    return f"CASE WHEN regexp_matches({x}, '{rx}') THEN regexp_extract({x}, '{rx}', {g}) END"
+# Written from the fields that the addresses are rendered from, not by parsing.
+_ADDR_SQL = f"""SELECT c_custkey, c_custkey % 5 <> 0 AS placed, length({pad_left('c_custkey', 5)}) = 5 AS zipped,
+  'Town' || CAST(c_nationkey AS VARCHAR) AS town, CAST(c_custkey AS VARCHAR) || ' Main St' AS street,
+  chr(65 + c_nationkey % 26) || chr(65 + (c_nationkey * 7) % 26) AS st,
+  {pad_left('c_custkey', 5)} || CASE WHEN c_custkey % 2 = 0 THEN '-1234' ELSE '' END AS zp FROM customer"""
 
 
 @register("fn22_parse_address", f"""
 SELECT c_custkey,
-  nullif(regexp_replace(CASE WHEN position(',' IN a1) > 0 THEN trim(substring(a1, 1, position(',' IN a1) - 1)) END,
-         '[^a-zA-Z0-9 ]', '', 'g'), '') AS city1,
-  upper(nullif({_grp('a1', addr.RE_CSZ_STATE, 1)}, '')) AS state1,
-  nullif({_grp('a1', addr.RE_CSZ_ZIP, 1)}, '') AS zip1,
-  {_grp('a2', addr.RE_SCSZ_CITY, 1)} AS city2,
-  {_grp('a2', addr.RE_SCSZ_STATE, 1)} AS state2,
-  {_grp('a2', addr.RE_SCSZ_ZIP, 0)} AS zip2
-FROM addr""".replace("FROM addr", f"FROM ({_ADDR_SQL})"))
+  CASE WHEN placed AND zipped THEN town END AS city1, CASE WHEN placed AND zipped THEN st END AS state1,
+  CASE WHEN placed AND zipped THEN zp END AS zip1,
+  CASE WHEN placed AND zipped THEN street END AS street2, CASE WHEN placed AND zipped THEN town END AS city2,
+  CASE WHEN placed AND zipped THEN st END AS state2, CASE WHEN placed AND zipped THEN zp END AS zip2,
+  CASE WHEN placed THEN street END AS street3, CASE WHEN placed THEN town END AS city3,
+  CASE WHEN placed THEN st END AS state3,
+  CASE WHEN placed AND zipped THEN street END AS street4, CASE WHEN placed AND zipped THEN town END AS city4,
+  CASE WHEN placed AND zipped THEN st END AS state4, CASE WHEN placed AND zipped THEN zp END AS zip4
+FROM ({_ADDR_SQL})""")
 def fn22_parse_address(spark, d):
-    a = _addresses(spark, d)
-    p1 = fn.parse_address("a1", "city_state_zip")
-    p2 = fn.parse_address("a2", "street_city_state_zip")
-    return a.select("c_custkey", p1.city.alias("city1"), p1.state.alias("state1"), p1.zip_code.alias("zip1"),
-                    p2.city.alias("city2"), p2.state.alias("state2"), p2.zip_code.alias("zip2"))
+    p = {k: fn.parse_address(f"a{k}") for k in (1, 2, 3, 4)}
+    return _addresses(spark, d).select(
+        "c_custkey", p[1].city.alias("city1"), p[1].state.alias("state1"), p[1].zip_code.alias("zip1"),
+        *(p[k][f].alias(f"{n}{k}") for k in (2, 4)
+          for f, n in (("street", "street"), ("city", "city"), ("state", "state"), ("zip_code", "zip"))),
+        p[3].street.alias("street3"), p[3].city.alias("city3"), p[3].state.alias("state3"))
 
 
-@register("fn23_zip5", """
+@register("fn23_zip5", f"""
 SELECT c_custkey, left(nullif(trim(t), ''), 5) AS zip5, coalesce(left(nullif(trim(t), ''), 5), '00000') AS zip5_default
-FROM (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN '  ' ELSE lpad(CAST(c_custkey AS VARCHAR), 5, '0') || '-'
-      || lpad(CAST(c_nationkey AS VARCHAR), 4, '0') END AS t FROM customer)""")
+FROM (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN '  ' ELSE {pad_left('c_custkey', 5)} || '-'
+      || {pad_left('c_nationkey', 4)} END AS t FROM customer)""")
 def fn23_zip5(spark, d):
     c = dm.read(spark, d, "customer")
     t = F.when(F.col("c_custkey") % 10 == 0, F.lit("  ")).otherwise(F.concat(
-        F.lpad(F.col("c_custkey").cast("string"), 5, "0"), F.lit("-"), F.lpad(F.col("c_nationkey").cast("string"), 4, "0")))
+        fn.pad_left(F.col("c_custkey"), 5), F.lit("-"), fn.pad_left(F.col("c_nationkey"), 4)))
     return c.select("c_custkey", fn.zip5(t).alias("zip5"), fn.zip5(t, "00000").alias("zip5_default"))
 
 
 @register("fn24_earmark_committee", f"""
 SELECT o_orderkey, coalesce(CASE WHEN regexp_matches(memo, 'C[0-9]{{8}}') THEN regexp_extract(memo, 'C[0-9]{{8}}', 0) END,
                             filer) AS committee_id
-FROM (SELECT o_orderkey, {_MEMO_SQL} AS memo, 'F' || lpad(CAST(o_custkey AS VARCHAR), 8, '0') AS filer FROM orders)""")
+FROM (SELECT o_orderkey, {_MEMO_SQL} AS memo, 'F' || {pad_left('o_custkey', 8)} AS filer FROM orders)""")
 def fn24_earmark_committee(spark, d):
     o = dm.read(spark, d, "orders")
-    filer = F.concat(F.lit("F"), F.lpad(F.col("o_custkey").cast("string"), 8, "0"))
+    filer = F.concat(F.lit("F"), fn.pad_left(F.col("o_custkey"), 8))
     return o.select("o_orderkey", fn.earmark_committee(_memo(), filer).alias("committee_id"))
 
 

@@ -43,7 +43,8 @@ def src2_scan_years(spark, d):
     lb = dm.landing_b(spark, d)
     lb.withColumn("y", F.substring("ship_date", 1, 4)).write.partitionBy("y").option("header", "true") \
         .option("escape", '"').csv(root)
-    paths = {str(y): f"{root}/y={y}" for y in range(1990, 2005)}  # years without a file are skipped
+    # the folders that were written, and one year without a file, which is skipped
+    paths = {y: f"{root}/y={y}" for y in [*ld.listed_values(spark, root, "y"), "0000"]}
     df = ld.scan_years(spark, paths, B_COLS)
     return ld.split_valid(df)[0]
 

@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from donorlake import functions as fn
 from donorlake.operators import normalize as nz
 from donorlake.plans import domain as dm
 from donorlake.plans.registry import register
-from donorlake.plans.sqlviews import with_views
+from donorlake.plans.sqlviews import pad_left, with_views
 
 # Fixed values for the rendered geography: canonical city names assigned to
 # nations (by nation key modulo the list length) and street names.
@@ -38,7 +39,7 @@ def geo_raw(spark, d) -> DataFrame:
     code = _pick(STATE_CODES, n % len(STATE_CODES))
     full = _pick([nz.US_STATES[s] for s in STATE_CODES], n % len(STATE_CODES))
     canon = _pick(CITIES, n % len(CITIES))
-    zip5 = F.lpad((n * 1000 + k % 7).cast("string"), 5, "0")
+    zip5 = fn.pad_left(n * 1000 + k % 7, 5)
     abbreviated = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(
         canon, "^SAINT ", "ST "), "^MOUNT ", "MT "), "^FORT ", "FT "), "^NORTH ", "N ")
     return c.select(
@@ -49,7 +50,7 @@ def geo_raw(spark, d) -> DataFrame:
          .otherwise(code)).alias("state_raw"),
         (F.when(k % 7 == 0, F.concat(F.lower(canon), F.lit(".")))
          .when(k % 7 == 1, abbreviated)
-         .when(k % 7 == 2, F.concat(F.left(canon, F.lit(1)), F.substring(canon, 3, 100)))
+         .when(k % 7 == 2, F.concat(F.left(canon, F.lit(1)), F.substr(canon, F.lit(3))))
          .when(k % 7 == 3, F.lit("unknown"))
          .when(k % 7 == 4, F.regexp_replace(canon, " ", ",  "))
          .otherwise(canon)).alias("city_raw"),
@@ -64,7 +65,7 @@ def zip_reference(spark, d) -> DataFrame:
     n = F.col("c_nationkey")
     return c.select(
         _pick(STATE_CODES, n % len(STATE_CODES)).alias("state"),
-        F.lpad((n * 1000 + F.col("c_custkey") % 7).cast("string"), 5, "0").alias("zip"),
+        fn.pad_left(n * 1000 + F.col("c_custkey") % 7, 5).alias("zip"),
         _pick(CITIES, n % len(CITIES)).alias("city"),
     ).distinct()
 
@@ -108,7 +109,7 @@ def _map_tokens(x, m):
 _CODE = f"{_arr(STATE_CODES)}[(c_nationkey % {len(STATE_CODES)}) + 1]"
 _FULL = f"{_arr([nz.US_STATES[s] for s in STATE_CODES])}[(c_nationkey % {len(STATE_CODES)}) + 1]"
 _CANON = f"{_arr(CITIES)}[(c_nationkey % {len(CITIES)}) + 1]"
-_ZIP5 = "lpad(CAST(c_nationkey * 1000 + c_custkey % 7 AS VARCHAR), 5, '0')"
+_ZIP5 = pad_left("(c_nationkey * 1000 + c_custkey % 7)", 5)
 
 GEO_RAW_SQL = f"""
 SELECT c_custkey AS id,
@@ -118,7 +119,7 @@ SELECT c_custkey AS id,
   CASE WHEN c_custkey % 7 = 0 THEN lower({_CANON}) || '.'
        WHEN c_custkey % 7 = 1 THEN regexp_replace(regexp_replace(regexp_replace(regexp_replace({_CANON},
             '^SAINT ', 'ST '), '^MOUNT ', 'MT '), '^FORT ', 'FT '), '^NORTH ', 'N ')
-       WHEN c_custkey % 7 = 2 THEN left({_CANON}, 1) || substr({_CANON}, 3, 100)
+       WHEN c_custkey % 7 = 2 THEN left({_CANON}, 1) || substr({_CANON}, 3)
        WHEN c_custkey % 7 = 3 THEN 'unknown'
        WHEN c_custkey % 7 = 4 THEN replace({_CANON}, ' ', ',  ')
        ELSE {_CANON} END AS city_raw,

@@ -12,10 +12,10 @@ from donorlake.plans.domain import DEMO_DATE_FLOOR, NATION_DESIGNATION, SEGMENT_
 
 
 def clean_amount(x: str) -> str:
+    money = "DECIMAL(38,2)"
     return (
-        f"TRY_CAST(CASE WHEN regexp_matches({x}, '^\\(.*\\)$') "
-        f"THEN '-' || regexp_replace({x}, '[$,()]', '', 'g') "
-        f"ELSE regexp_replace({x}, '[$,]', '', 'g') END AS DECIMAL(38,2))"
+        f"if(starts_with({x}, '(') AND ends_with({x}, ')'), -TRY_CAST(translate({x}, '$,()', '') AS {money}), "
+        f"TRY_CAST(translate({x}, '$,', '') AS {money}))"
     )
 
 
@@ -28,14 +28,10 @@ def signed_amount(x: str) -> str:
 
 
 def flex_date(x: str) -> str:
-    iso = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}T[0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2}"
+    """The first layout that reads the text (rendered stamps have a fixed width)."""
     return (
-        f"CASE WHEN regexp_matches({x}, '^[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{4}}$') "
-        f"THEN try_strptime({x}, '%m/%d/%Y') "
-        f"WHEN regexp_matches({x}, '^[0-9]{{4}}-[0-9]{{1,2}}-[0-9]{{1,2}}$') "
-        f"THEN try_strptime({x}, '%Y-%m-%d') "
-        f"WHEN regexp_matches({x}, '{iso}') "
-        f"THEN try_strptime(regexp_extract({x}, '{iso}', 0), '%Y-%m-%dT%H:%M:%S') END"
+        f"coalesce(try_strptime({x}, '%m/%d/%Y'), try_strptime({x}, '%Y-%m-%d'), "
+        f"try_strptime(left({x}, 19), '%Y-%m-%dT%H:%M:%S'))"
     )
 
 
@@ -68,8 +64,12 @@ def money_text(x: str) -> str:
     return f"CAST(CAST({x} AS DECIMAL(12,2)) AS VARCHAR)"
 
 
+def pad_left(x: str, width: int) -> str:
+    return f"repeat('0', greatest({width} - length(CAST({x} AS VARCHAR)), 0)::BIGINT) || CAST({x} AS VARCHAR)"
+
+
 def zip_text(x: str) -> str:
-    return f"lpad(CAST({x} AS VARCHAR), 5, '0')"
+    return pad_left(x, 5)
 
 
 def title(x: str) -> str:
@@ -147,7 +147,7 @@ view("conformed_a", ["landing_a"], f"""
 SELECT 'A' AS source, 'A_' || filing_id AS source_id,
        'A_' || {surrogate('committee_name')} AS committee_id,
        'A_' || left(candidate_code, 1) AS candidate_id,
-       substr(candidate_code, 3, 1000) AS candidate_name,
+       substr(candidate_code, 3) AS candidate_name,
        {flip_name('contributor_name')} AS name,
        city, state, zip AS zip_code, employer, occupation,
        {clean_amount('amount')} AS amount,
@@ -200,7 +200,7 @@ WHERE rn = 1""")
 
 view("candidates_all", [], """
 SELECT 'A' AS source, 'A_' || left(o_orderpriority, 1) AS candidate_id,
-       substr(o_orderpriority, 3, 1000) AS name, CAST(NULL AS VARCHAR) AS affiliation
+       substr(o_orderpriority, 3) AS name, CAST(NULL AS VARCHAR) AS affiliation
 FROM (SELECT DISTINCT o_orderpriority FROM orders)""")
 
 
@@ -213,11 +213,9 @@ SELECT source, source_id, committee_id, candidate_id, candidate_name,
        CAST(contribution_datetime AS DATE) AS contribution_datetime
 FROM {src}
 WHERE contribution_datetime >= TIMESTAMP '{floor}'
-  AND source IS NOT NULL AND source_id IS NOT NULL AND committee_id IS NOT NULL
-  AND name IS NOT NULL AND amount IS NOT NULL AND contribution_datetime IS NOT NULL
-  AND zip_code IS NOT NULL
-  AND amount > -2147483648 AND amount < 2147483647
-  AND name <> '' AND zip_code <> ''"""
+  AND (source || source_id || committee_id) IS NOT NULL
+  AND least(length(name), length(zip_code)) > 0 AND length(name) IS NOT NULL AND length(zip_code) IS NOT NULL
+  AND abs(amount + 0.5) < 2147483647.5"""
 
 
 view("master_rows", ["contributions"], master_rows_sql("contributions"))

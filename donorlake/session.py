@@ -32,13 +32,18 @@ def get_session(
     cpus: int | str = "*",
     shuffle_partitions: int | None = None,
     driver_memory: str = "16g",
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
+    """A local session (tests, bench). ``checkpoint_dir`` stands for the
+    shared folder a cluster would name."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", driver_memory)
+        .config("spark.checkpoint.dir", checkpoint_dir or tempfile.mkdtemp(prefix="donorlake-shared-"))
+        .config(SCAN_PARTITIONS, str(os.cpu_count() if cpus == "*" else int(cpus)))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config(
             "spark.sql.shuffle.partitions",
@@ -88,18 +93,12 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(key)
 
 
-def session_key(spark: SparkSession) -> tuple[str, str]:
-    """Stable identity of a session (application id, session uuid); Python
-    object ids can be reused once a session is stopped."""
-    return spark.sparkContext.applicationId, spark._jsparkSession.sessionUUID()
-
-
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and job outputs.
 
     Read from ``spark.checkpoint.dir`` (what a cluster names as shared
-    storage). Only when it is unset, as in a bare local test session, a
-    fresh local folder is created and registered.
+    storage). Where it is unset, a session in local mode (a test) gets a
+    fresh folder; on a cluster that is an error.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
@@ -111,6 +110,8 @@ def checkpoint_root(spark: SparkSession) -> str:
             # getCheckpointDir appends a per-application uuid; use its parent
             root = current.rsplit("/", 1)[0]
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="donorlake-ckpt-")
         sc.setCheckpointDir(root)
     elif not sc.getCheckpointDir():
@@ -132,32 +133,17 @@ def local_path(path: str) -> str:
     return path
 
 
-SPREAD_MIN_BYTES = 1 << 20
-
-
-def input_bytes(df) -> int:
-    """Total size of the files behind a file-source DataFrame (metadata)."""
-    sc = df.sparkSession.sparkContext
-    jvm = sc._jvm
-    conf = sc._jsc.hadoopConfiguration()
-    total = 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(f)
-        total += p.getFileSystem(conf).getFileStatus(p).getLen()
-    return total
-
-
-def spread(df, min_bytes: int = SPREAD_MIN_BYTES):
-    """Round-robin repartition a scan that yields fewer partitions than the
-    cluster's default parallelism (e.g. a file with one row group), so the
-    per-row parsing before the first shuffle uses every core. Large inputs
-    (thousands of splits) are left alone, and so are tiny ones (a few
-    hundred KB, broadcast anyway). Filters and column pruning still reach
-    the scan below the repartition."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target and input_bytes(df) >= min_bytes:
-        return df.repartition(target)
-    return df
+#: Session setting: into how many partitions table scans are dealt. Unset,
+#: scans keep their file splits, which is right for large tables; a session
+#: over files of one row group each sets it to use all its cores.
+SCAN_PARTITIONS = "spark.donorlake.scanPartitions"
+
+
+def spread(df):
+    """Deal a scan into the number of partitions the session asks for, if it
+    does. Filters and column pruning still reach the scan below it."""
+    n = df.sparkSession.conf.get(SCAN_PARTITIONS, None)
+    return df.repartition(int(n)) if n else df
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -64,6 +64,15 @@ def existing_paths(spark: SparkSession, paths: Sequence[str]) -> list[str]:
     return out
 
 
+def listed_values(spark: SparkSession, root: str, key: str) -> list[str]:
+    """Values of the ``key=value`` folders below ``root`` (driver metadata,
+    one entry a folder)."""
+    hp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    fs = hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(hp)]
+    return sorted(n[len(key) + 1 :] for n in names if n.startswith(f"{key}="))
+
+
 def scan_years(spark: SparkSession, paths_by_year: Mapping[str, str], columns: Sequence[str],
                year_col: str = "year", **opts) -> DataFrame:
     """SRC2: one scan over many yearly files; years whose file is missing

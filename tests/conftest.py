@@ -15,8 +15,12 @@ def spark():
 
     from donorlake.session import ENGINE_CONFS, apply_defaults, checkpoint_root
 
+    import tempfile
+
     b = (SparkSession.builder.master("local[*]").appName("donorlake-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="shared-"))
+         .config("spark.donorlake.scanPartitions", "4")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false"))
     for k, v in ENGINE_CONFS.items():

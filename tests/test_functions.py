@@ -121,14 +121,26 @@ def test_regex_helpers(spark):
     assert [r[0] for r in df.select(fn.earmark_committee("m", "f")).collect()] == ["C00401224", "C99999999"]
 
 
-def test_parse_address_styles(spark):
-    df = spark.createDataFrame([("12 Main St, Salem, OR 97301-1234",), ("Greenville, SC 29601",), ("no zip here",)],
-                               "a string")
-    r = df.select(fn.parse_address("a", "street_city_state_zip").alias("p")).collect()
-    assert (r[0]["p"]["city"], r[0]["p"]["state"], r[0]["p"]["zip_code"]) == ("Salem", "OR", "97301-1234")
-    r = df.select(fn.parse_address("a", "city_state_zip").alias("p")).collect()
-    assert (r[1]["p"]["city"], r[1]["p"]["state"], r[1]["p"]["zip_code"]) == ("Greenville", "SC", "29601")
-    assert r[2]["p"]["zip_code"] is None
+def test_parse_address_layouts(spark):
+    want = {
+        "12 Main St, Salem, OR 97301-1234": ("12 Main St", "Salem", "OR", "97301-1234"),
+        "Greenville, SC 29601": (None, "Greenville", "SC", "29601"),
+        "1 A St, Apt 2, Sun City,az,85351": ("1 A St, Apt 2", "Sun City", "AZ", "85351"),
+        "9 Elm St, Casper, WY": ("9 Elm St", "Casper", "WY", None),
+        "Nashville TN  37201": (None, "Nashville", "TN", "37201"),
+        "Montgomery 36104": (None, "Montgomery", None, "36104"),
+        "12 Main St": (None, None, None, None),
+        "no zip here": (None, None, None, None),
+        "": (None, None, None, None),
+    }
+    df = spark.createDataFrame([(a,) for a in want] + [(None,)], "a string")
+    got = {r["a"]: tuple(r["p"]) for r in df.select("a", fn.parse_address("a").alias("p")).collect()}
+    assert got == want | {None: (None,) * 4}
+
+
+def test_pad_left_keeps_long_values(spark):
+    df = spark.createDataFrame([(7,), (12345,), (123456,)], "n long")
+    assert [r[0] for r in df.select(fn.pad_left("n", 5)).collect()] == ["00007", "12345", "123456"]
 
 
 def test_map_codes_and_first_present(spark):
