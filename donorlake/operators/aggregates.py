@@ -6,11 +6,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from donorlake.operators.dedup import By, asc, best_per_key, desc, row_number_by
+from donorlake.operators.dedup import By, asc, best_per_key, desc
 
 # --- aggregations -----------------------------------------------------------
 
@@ -103,15 +103,27 @@ def keep_newest(df: DataFrame, ts: str, n: int, key: str) -> tuple[DataFrame, Da
     """TOP1 / SYN3: keep the newest ``n`` rows (ties broken by key), and a
     one-row frame with the overflow count.
 
-    A global ``orderBy().limit(n)`` funnels n rows per task into one task;
-    with n = 1,000,000 and thousands of tasks that is a single-task merge
-    of billions of rows. Instead every row gets its exact global position
-    from ``row_number_by`` (range partitioned, no single-task step) and the
-    rows past ``n`` are dropped."""
-    numbered = row_number_by(df, [], [desc(ts), asc(key)], "_pos")
-    kept = numbered.filter(F.col("_pos") <= n).drop("_pos")
-    overflow = df.agg(F.greatest(F.count(F.lit(1)) - F.lit(n), F.lit(0)).alias("overflow_count"))
-    return kept, overflow
+    Rows are counted by day (a small table, combined map-side). All rows of
+    days before the cut-off day are kept by a filter; only the rows of that
+    day are ordered to take what is left. Nothing else is sorted, and no task
+    holds more than the cut-off day's share of the ``n`` rows."""
+    if n <= 0:
+        return df.limit(0), df.agg(F.count(F.lit(1)).alias("overflow_count"))
+    day = F.col(ts).cast("date")
+    counts = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
+    overflow = counts.agg(F.greatest(F.coalesce(F.sum("_n"), F.lit(0)) - F.lit(n), F.lit(0)).alias("overflow_count"))
+    order = F.col("_day").desc_nulls_last()
+    upto = F.sum("_n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    # the day on which the n-th row falls: the first whose running sum reaches n
+    cut = (counts.withColumn("_upto", upto).filter(F.col("_upto") >= n)
+           .orderBy("_upto", order).limit(1).collect())
+    if not cut:
+        return df, overflow
+    last, left = cut[0]["_day"], n - (cut[0]["_upto"] - cut[0]["_n"])
+    on_day = day.eqNullSafe(F.lit(last).cast("date"))
+    newer = day.isNotNull() if last is None else F.coalesce(day > F.lit(last), F.lit(False))
+    some = df.filter(on_day).orderBy(F.col(ts).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(left)
+    return df.filter(newer).unionByName(some), overflow
 
 
 def ranked(df: DataFrame, by: Sequence[str | Column], descending: bool = True) -> DataFrame:

@@ -12,10 +12,10 @@ Every order is made total by appending all remaining columns, so the kept
 row does not depend on partitioning or task timing (the source's unordered
 ROW_NUMBER is arbitrary).
 
-Row *numbering* (WIN6, WIN7) keeps every row. ``row_number_by`` does it
-without a per-key window: range-partition on (key, order) so a hot key
-spans many tasks, number rows inside each task, and add the counts of the
-same key in earlier tasks.
+Row *numbering* (WIN6, WIN7) keeps every row. ``row_number_by`` numbers rows
+inside (key, step of the leading order column), e.g. key and day, and adds
+the rows of the key's earlier steps from a small table of counts. Rows cross
+the network once, and a hot key spreads over its steps.
 """
 
 from __future__ import annotations
@@ -109,12 +109,19 @@ def best_per_key(
     encoded = _encode(df, order, use_max)
     if encoded is None:
         return _best_per_key_passes(df, keys, order, rank_col)
-    tie = [F.col(c) for c in _tiebreak_cols(df, keys)]
-    sort_key = F.struct(*encoded, *[t.alias(f"_t{i}") for i, t in enumerate(tie)])
-    payload = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    pick = F.max_by if use_max else F.min_by
-    out = df.groupBy(*keys).agg(pick(payload, sort_key).alias("_best"))
-    out = out.select(*keys, "_best.*").select(*df.columns)
+    # one struct: the order, then every other column, which breaks ties and
+    # is the kept row; columns without an order ride along behind
+    tie = _tiebreak_cols(df, keys)
+    rest = [c for c in df.columns if c not in keys and c not in tie]
+    whole = F.struct(*encoded, *[F.col(c).alias(f"_t{i}") for i, c in enumerate(tie)])
+    if rest:
+        pick = F.max_by if use_max else F.min_by
+        best = pick(F.struct(whole.alias("_w"), *rest), whole)
+    else:
+        best = F.struct((F.max if use_max else F.min)(whole).alias("_w"))
+    out = df.groupBy(*keys).agg(best.alias("_best")).select(
+        *keys, *[F.col(f"_best._w._t{i}").alias(c) for i, c in enumerate(tie)],
+        *[F.col(f"_best.{c}") for c in rest]).select(*df.columns)
     if rank_col:
         out = out.withColumn(rank_col, F.lit(1).cast("long"))
     return out
@@ -199,56 +206,47 @@ def dedup_two_level(dfs: Sequence[DataFrame], key: str, order: Sequence[By]) ->
     return best_per_key(out, [key], order)
 
 
+def _step(df: DataFrame, c: Column) -> Column:
+    """A coarse value that grows with ``c``: the day of a timestamp, else
+    ``c`` itself."""
+    dtype = df.select(c.alias("_t")).schema["_t"].dataType
+    return c.cast("date") if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)) else c
+
+
 def row_number_by(
     df: DataFrame,
     partition_cols: Sequence[str],
     order: Sequence[By],
     out_col: str = "row_num",
-    num_partitions: int | None = None,
 ) -> DataFrame:
-    """WIN6/WIN7: exact ``row_number() over (partition by … order by …)``
-    for every row, safe for a key that holds a large share of the table.
-
-    1. range-partition on (partition cols, order, all columns) and sort
-       inside partitions: rows of one key are contiguous and in order,
-       and a hot key is spread over many partitions;
-    2. position of each row inside its partition; this layout is
-       checkpointed so every later step sees the same positions;
-    3. per (key, partition): first position and row count (small);
-    4. rows of the same key in earlier partitions (window over the small
-       per-partition table) give the offset.
-    """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """WIN6/WIN7: exact ``row_number() over (partition by … order by …)`` for
+    every row, all remaining columns breaking ties.
+
+    1. count rows by (partition cols, step), where the step is a coarse form
+       of the leading order column: combined map-side, a small table;
+    2. running sum of those counts over a key's steps: the rows before each;
+    3. number the rows inside (partition cols, step) and add that offset.
+
+    The rows themselves are shuffled once, by (partition cols, step); the
+    join with the counts needs the same partitioning. A key that holds a
+    large share of the table is spread over its steps."""
     parts = list(partition_cols)
-    sort = [F.col(c).asc_nulls_first() for c in parts] + _sort_exprs(df, parts, order)
-    # The positions depend on the physical layout, so the layout is fixed
-    # once: written to the shared checkpoint folder (lineage cut, survives
-    # executor loss) and read by both the statistics and the numbering.
-    from donorlake.session import checkpoint_root
-
-    checkpoint_root(spark)
-    ranged = (
-        df.repartitionByRange(n, *sort)
-        .sortWithinPartitions(*sort)
-        .withColumn("_pid", F.spark_partition_id())
-        .withColumn("_pos", F.monotonically_increasing_id())
-    ).checkpoint(eager=True)
-    stats = ranged.groupBy(*parts, "_pid").agg(
-        F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt")
-    )
-    before = Window.partitionBy(*parts).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    stats = stats.withColumn("_before", F.coalesce(F.sum("_cnt").over(before), F.lit(0)))
-    r = ranged.alias("r")
-    s = stats.alias("s")
-    cond = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in parts] + [
-        F.col("r._pid") == F.col("s._pid")
-    ]
-    joined = r.join(s, cond, "inner")
-    return joined.select(
-        *[F.col(f"r.{c}") for c in df.columns],
-        (F.col("r._pos") - F.col("s._first") + 1 + F.col("s._before")).alias(out_col),
-    )
+    tie = _tiebreak_cols(df, parts)
+    lead = order[0] if order else By(tie[0], nulls_first=True) if tie else By(F.lit(0))
+    keys = [f"_k{i}" for i in range(len(parts))]
+    named = df.withColumns({**{k: F.col(c) for k, c in zip(keys, parts)}, "_step": _step(df, lead.col)})
+    step = F.col("_step")
+    direction = ((step.desc_nulls_first() if lead.nulls_first else step.desc_nulls_last()) if lead.desc
+                 else (step.asc_nulls_first() if lead.nulls_first else step.asc_nulls_last()))
+    counts = named.groupBy(*keys, "_step").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*keys, "_step", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(*keys, "_step").orderBy(*_sort_exprs(df, parts, order))
+    numbered = named.withColumn("_pos", F.row_number().over(inside)).alias("r")
+    cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, "_step"]]
+    joined = numbered.join(counts.alias("s"), cond)
+    return joined.select(*[F.col(f"r.{c}") for c in df.columns],
+                         (F.col("r._pos") + F.col("s._before")).cast("long").alias(out_col))
 
 
 def sequence_id(df, partition_cols, order: Sequence[By], out_col="sub_id") -> DataFrame:

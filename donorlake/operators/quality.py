@@ -56,9 +56,6 @@ def _row_rule_expr(r: Rule) -> Column:
     if r.kind == "not_null":
         # failing rows: value is NULL
         return F.count_if(c.isNull())
-    if r.kind == "accepted_values":
-        # failing *values*: distinct non-NULL values outside the list
-        return F.count_distinct(F.when(~c.isin(list(r.values)), c))
     if r.kind == "has_prefix":
         return F.count_if(c.isNotNull() & ~c.startswith(r.values[0]))
     raise ValueError(r.kind)
@@ -67,14 +64,15 @@ def _row_rule_expr(r: Rule) -> Column:
 def run_suite(df: DataFrame, rules: Sequence[Rule], materialize: bool = True) -> DataFrame:
     """QC5: violations per rule as a DataFrame (rule, column, violations).
 
-    When the suite needs more than one pass (row rules plus ``unique``
-    rules) and the input is computed with a shuffle (not a stored table),
-    it is checkpointed once to the shared folder so the passes scan it
-    instead of recomputing it; a stored table is simply scanned again."""
+    Row rules share one aggregation; ``unique`` and ``accepted_values`` count
+    values and take a grouping each, of the values that can violate them
+    only. With ``materialize`` (an input that is computed, not stored) the
+    rules' columns are checkpointed once for all passes."""
     spark = df.sparkSession
-    row_rules = [r for r in rules if r.kind != "unique"]
-    passes = (1 if row_rules else 0) + sum(r.kind == "unique" for r in rules)
-    if materialize and passes > 1 and "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    df = df.select(*dict.fromkeys(r.column for r in rules)) if rules else df
+    row_rules = [r for r in rules if r.kind in ("not_null", "has_prefix")]
+    value_rules = [r for r in rules if r not in row_rules]
+    if materialize and bool(row_rules) + len(value_rules) > 1:
         from donorlake.session import checkpoint_root
 
         checkpoint_root(spark)
@@ -86,12 +84,17 @@ def run_suite(df: DataFrame, rules: Sequence[Rule], materialize: bool = True) ->
             f"'{r.kind}', '{r.column}', r{i}" for i, r in enumerate(row_rules)
         )
         parts.append(wide.selectExpr(f"stack({len(row_rules)}, {stack}) AS (rule, column, violations)"))
-    for r in rules:
+    for r in value_rules:
+        c = F.col(r.column)
         if r.kind == "unique":
-            dup_values = (df.where(F.col(r.column).isNotNull())
-                            .groupBy(r.column).count().where(F.col("count") > 1))
-            parts.append(dup_values.agg(F.count(F.lit(1)).alias("violations")).select(
-                F.lit("unique").alias("rule"), F.lit(r.column).alias("column"), "violations"))
+            bad = df.where(c.isNotNull()).groupBy(r.column).count().where(F.col("count") > 1)
+        elif r.kind == "accepted_values":
+            # failing *values*: distinct non-NULL values outside the list
+            bad = df.where(~c.isin(list(r.values))).select(r.column).distinct()
+        else:
+            raise ValueError(r.kind)
+        parts.append(bad.agg(F.count(F.lit(1)).alias("violations")).select(
+            F.lit(r.kind).alias("rule"), F.lit(r.column).alias("column"), "violations"))
     if not parts:
         return spark.createDataFrame([], "rule string, column string, violations long")
     return reduce(DataFrame.unionByName, parts)

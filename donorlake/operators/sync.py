@@ -1,16 +1,18 @@
 """Delta sync of the master table to a serving table (SYN1-SYN6, TOP1).
 
-State lives in three places under one root: the ledger of synced ids (a
-``VersionedTable``), the materialised delta per batch, and the published
-serving table partitioned by batch id. Order per run:
-
-  delta (anti join against the ledger) → materialise → cap to the newest
-  N → publish (idempotent per batch) → write the new ledger version.
-
-The ledger is written last, so a crash between publish and ledger leaves
-the batch re-publishable under the same batch id (its partition is
-replaced, not duplicated). A row whose id is already in the ledger is
-never re-sent, even if it changed (as in the source pipeline).
+State under one root, each a Parquet folder partitioned by batch id, so a
+batch writes its own partitions and nothing else:
+
+  delta     rows of a batch that no other batch has synced
+  pending   rows past the cap; later runs take them up again
+  serving   published rows, without the id
+  ledger    synced ids
+
+Order per run: delta (anti join against the ids that *other* batches
+synced, over the incoming rows and all pending ones) → cap, if the caller
+asks for one → publish → ledger. The ledger is written last. A batch id may
+be used again: the run rebuilds the batch from what is not synced or was
+synced by it and replaces its partitions, so nothing is lost or doubled.
 """
 
 from __future__ import annotations
@@ -23,11 +25,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from donorlake.operators.aggregates import keep_newest
+from donorlake.operators.dedup import best_per_key, desc
 from donorlake.operators.joins import without
-from donorlake.operators.tables import VersionedTable, replace_slice
+from donorlake.operators.tables import exists, replace_slice
 
-# Fixed values from the source configuration.
-MAX_DELTA_ROWS_AT_ONCE = 1_000_000
+# Fixed value from the source configuration.
 MAX_RETRIES = 1
 
 
@@ -39,25 +41,11 @@ def delta(master: DataFrame, ledger: DataFrame | None, key: str = "source_id") -
     return without(master, ledger, key)
 
 
-def upsert_ledger(ledger: DataFrame | None, synced: DataFrame, now: dt.datetime,
-                  key: str = "source_id") -> DataFrame:
-    """SYN5: new ids get insert_time = synced_at = now; ids already present
-    keep insert_time and get synced_at = now; others are unchanged."""
-    ts = F.lit(now).cast("timestamp")
-    ids = synced.select(key).where(F.col(key).isNotNull()).distinct().withColumn("_hit", F.lit(True))
-    if ledger is None:
-        return ids.select(key, ts.alias("insert_time"), ts.alias("synced_at"))
-    j = ledger.join(ids, key, "full")
-    return j.select(
-        key,
-        F.coalesce(F.col("insert_time"), ts).alias("insert_time"),
-        F.when(F.col("_hit"), ts).otherwise(F.col("synced_at")).alias("synced_at"),
-    )
-
-
 def publish(rows: DataFrame, target: str, batch_id: str, key: str = "source_id") -> str:
-    """SYN4: serving rows carry no ``source_id``; one partition per batch."""
-    return replace_slice(rows.drop(key).withColumn("batch_id", F.lit(batch_id)), target, ["batch_id"])
+    """SYN4: serving rows carry no ``source_id``; one partition per batch,
+    cleared when the batch holds no rows."""
+    return replace_slice(rows.drop(key).withColumn("batch_id", F.lit(batch_id)), target, ["batch_id"],
+                         [{"batch_id": batch_id}])
 
 
 def _retry(fn, retries: int = MAX_RETRIES):
@@ -77,38 +65,65 @@ class SyncReport:
     published_rows: int
 
 
-def sync(master: DataFrame, root: str, batch_id: str, now: dt.datetime,
-         max_rows: int = MAX_DELTA_ROWS_AT_ONCE, key: str = "source_id") -> SyncReport:
-    """SYN6: one sync run (lock handling is left to the scheduler)."""
+class SyncError(RuntimeError):
+    """A sync guard failed."""
+
+
+def _batches(spark: SparkSession, path: str) -> DataFrame | None:
+    return spark.read.option("mergeSchema", "false").parquet(path) if exists(spark, path) else None
+
+
+def _write_counted(df: DataFrame, path: str, batch_id: str) -> int:
+    """Write a batch's partition and count its rows in the same job."""
+    obs = Observation(f"sync_{uuid.uuid4().hex[:12]}")
+    marked = df.withColumn("batch_id", F.lit(batch_id)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    marked.write.mode("overwrite").partitionBy("batch_id").parquet(path)
+    return int(obs.get["rows"])
+
+
+def sync(master: DataFrame, root: str, batch_id: str, now: dt.datetime, max_rows: int | None = None,
+         key: str = "source_id", newest: str = "contribution_datetime",
+         max_overflow: int | None = None) -> SyncReport:
+    """SYN6: one sync run (lock handling is left to the scheduler). Without
+    ``max_rows`` everything is synced; with it the newest rows go first and
+    the others wait as pending. Guards: the published rows must be those of
+    the delta less the overflow, and an overflow above ``max_overflow``
+    raises before anything is published."""
     spark: SparkSession = master.sparkSession
-    ledger_t = VersionedTable(spark, f"{root}/ledger")
-    ledger = ledger_t.current()
-    # materialise the delta: later steps read a fixed set, and the lineage
-    # is cut (a lost executor does not recompute the anti join)
-    dpath = f"{root}/delta/batch_id={batch_id}"
-    counted: dict = {}
-
-    def write_delta():
-        # count while writing (observe): no second pass over the delta
-        obs = Observation(f"delta_{batch_id}_{uuid.uuid4().hex[:8]}")
-        delta(master, ledger, key).observe(obs, F.count(F.lit(1)).alias("rows")) \
-            .write.mode("overwrite").parquet(dpath)
-        counted["rows"] = int(obs.get["rows"])
-
-    _retry(write_delta)
-    d = spark.read.parquet(dpath)
-    n = counted["rows"]
-    if n == 0:
-        return SyncReport(batch_id, 0, 0, 0)
-    overflow = max(n - max_rows, 0)
-    kept = d
+    pending, synced = _batches(spark, f"{root}/pending"), _batches(spark, f"{root}/ledger")
+    rows = master
+    if pending is not None:
+        # a row that waits and comes in again counts once, as it comes in
+        both = master.withColumn("_in", F.lit(1)).unionByName(
+            pending.drop("batch_id").withColumn("_in", F.lit(0)))
+        rows = best_per_key(both, [key], [desc("_in"), desc(newest)]).drop("_in")
+    others = None if synced is None else synced.filter(F.col("batch_id") != F.lit(batch_id))
+    # the delta is written: later steps read a fixed set
+    work = f"{root}/delta"
+    n = _retry(lambda: _write_counted(delta(rows, others, key), f"{work}-of/{batch_id}", batch_id))
+    d = spark.read.schema(master.schema).parquet(f"{work}-of/{batch_id}").select(*master.columns)
+    overflow = max(n - max_rows, 0) if max_rows is not None else 0
+    if max_overflow is not None and overflow > max_overflow:
+        raise SyncError(f"batch {batch_id}: {overflow} rows past the cap, more than {max_overflow}")
+    mine = [{"batch_id": batch_id}]
+    late = d.limit(0)
     if overflow:
-        # drop the overflow (oldest rows) once and keep the capped set fixed
-        cpath = f"{root}/delta_capped/batch_id={batch_id}"
-        keep_newest(d, "contribution_datetime", max_rows, key)[0].write.mode("overwrite").parquet(cpath)
-        kept = spark.read.parquet(cpath)
+        capped = f"{work}-capped/{batch_id}"
+        keep_newest(d, newest, max_rows, key)[0].write.mode("overwrite").parquet(capped)
+        kept = spark.read.schema(master.schema).parquet(capped)
+        late = without(d, kept, key)
+    else:
+        kept = d
+    mark = lambda x: x.withColumn("batch_id", F.lit(batch_id))
+    if overflow or exists(spark, f"{root}/pending"):
+        replace_slice(mark(late), f"{root}/pending", ["batch_id"], mine)
     _retry(lambda: publish(kept, f"{root}/serving", batch_id, key))
-    _retry(lambda: ledger_t.write(upsert_ledger(ledger, kept, now, key)))
+    published = serving(spark, root).filter(F.col("batch_id") == F.lit(batch_id)).count() if n else 0
+    if published != n - overflow:
+        raise SyncError(f"batch {batch_id}: {published} rows published of {n - overflow}")
+    ids = kept.select(key).filter(F.col(key).isNotNull()).distinct()
+    _retry(lambda: replace_slice(mark(ids.withColumn("synced_at", F.lit(now).cast("timestamp"))),
+                                 f"{root}/ledger", ["batch_id"], mine))
     return SyncReport(batch_id, n, overflow, n - overflow)
 
 
@@ -116,5 +131,13 @@ def serving(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/serving")
 
 
-def ledger(spark: SparkSession, root: str) -> DataFrame | None:
-    return VersionedTable(spark, f"{root}/ledger").current()
+def delta_of(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
+    return spark.read.parquet(f"{root}/delta-of/{batch_id}").drop("batch_id")
+
+
+def ledger(spark: SparkSession, root: str, key: str = "source_id") -> DataFrame | None:
+    """SYN5: synced ids; an id that is synced again keeps its insert_time and
+    gets the later synced_at (an upsert on read: batches only add rows)."""
+    rows = _batches(spark, f"{root}/ledger")
+    return None if rows is None else rows.groupBy(key).agg(
+        F.min("synced_at").alias("insert_time"), F.max("synced_at").alias("synced_at"))

@@ -1,17 +1,17 @@
-"""Table maintenance on Parquet folders (SNK1-SNK8).
+"""Table maintenance on partitioned Parquet folders (SNK1-SNK8).
 
 * replace a slice = dynamic partition overwrite on a *derived* physical
-  partition column (year, month, status…): only the partitions present in
-  the new data are replaced, atomically per partition;
-* key merges (delete+insert, append unseen) never overwrite a folder that
-  the same plan reads: ``VersionedTable`` writes the result as the next
-  version folder and readers take the newest committed one;
+  partition column (year, month, status…); a slice named by the caller that
+  the new data no longer holds is cleared;
+* key merges (delete+insert) touch only the hash buckets that hold the new
+  keys: their merged content is written aside first and then replaces those
+  buckets, so nothing is overwritten while it is read;
+* unseen keys are appended, nothing is rewritten;
 * every write is idempotent on re-run (same batch → same partitions).
 """
 
 from __future__ import annotations
 
-import re
 import time
 from collections.abc import Callable, Mapping, Sequence
 
@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from donorlake.operators.joins import without
+from donorlake.session import scratch_path
 
 
 def full_refresh(df: DataFrame, path: str) -> str:
@@ -27,13 +28,29 @@ def full_refresh(df: DataFrame, path: str) -> str:
     return path
 
 
-def replace_slice(df: DataFrame, path: str, slice_cols: Sequence[str]) -> str:
-    """SNK2: replace only the slices (partition values) present in ``df``."""
+def replace_slice(df: DataFrame, path: str, slice_cols: Sequence[str],
+                  slices: Sequence[Mapping[str, object]] = ()) -> str:
+    """SNK2: replace the slices (partition values) present in ``df``, and
+    clear those of ``slices`` that ``df`` has no row for. The data is written
+    first; a failed write clears nothing."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*slice_cols).parquet(path))
+    if slices:
+        spark = df.sparkSession
+        # one row a slice
+        present = {tuple(map(str, r)) for r in df.select(*slice_cols).distinct().collect()}
+        for s in slices:
+            if tuple(str(s[c]) for c in slice_cols) not in present:
+                fs, p, _ = _fs(spark, _slice_path(spark, path, slice_cols, s))
+                fs.delete(p, True)
     return path
 
 
+def _slice_path(spark: SparkSession, path: str, cols: Sequence[str], values: Mapping[str, object]) -> str:
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join([path.rstrip("/"), *(name(c, str(values[c])) for c in cols)])
+
+
 def slice_by_date(df: DataFrame, date: Column, grain: str = "year", name: str | None = None) -> DataFrame:
     """SNK2/SNK3: derive the physical slice column from a real date (a text
     range such as ``"Date" >= 'MM/DD/YYYY'`` compares wrongly across years;
@@ -54,76 +71,115 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-class VersionedTable:
-    """A Parquet table kept as ``<root>/v=NNNNNN`` folders; the newest folder
-    holding ``_SUCCESS`` is current. Writes never touch the folder being
-    read, and a failed write leaves the current version untouched."""
+#: Buckets of a keyed table. A merge rewrites the buckets its keys fall in.
+BUCKETS = 64
+_BUCKET = "key_bucket"
+
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
-    def versions(self) -> list[int]:
-        fs, p, jvm = _fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            m = re.fullmatch(r"v=(\d+)", st.getPath().getName())
-            if m and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(m.group(1)))
-        return sorted(out)
 
-    def path(self, v: int) -> str:
-        return f"{self.root}/v={v:06d}"
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p, _ = _fs(spark, path)
+    return fs.exists(p)
 
-    def current(self) -> DataFrame | None:
-        vs = self.versions()
-        return self.spark.read.parquet(self.path(vs[-1])) if vs else None
 
-    def write(self, df: DataFrame) -> DataFrame:
-        vs = self.versions()
-        nxt = (vs[-1] + 1) if vs else 1
-        df.write.mode("overwrite").parquet(self.path(nxt))
-        return self.spark.read.parquet(self.path(nxt))
+def keyed(spark: SparkSession, path: str) -> DataFrame | None:
+    """The rows of a keyed table, None where nothing was written yet."""
+    return spark.read.parquet(path).drop(_BUCKET) if exists(spark, path) else None
 
 
-def merge_replace(new: DataFrame, table: VersionedTable, key: Sequence[str] | str) -> DataFrame:
-    """SNK4: delete rows whose key occurs in ``new``, insert ``new``."""
-    cur = table.current()
-    result = new if cur is None else without(cur, new, key).unionByName(new)
-    return table.write(result)
+def merge_replace(new: DataFrame, path: str, key: str, high_water: str | None = None,
+                  buckets: int = BUCKETS) -> DataFrame:
+    """SNK4: delete the rows whose key occurs in ``new`` and insert ``new``.
+    With ``high_water`` only rows of ``new`` whose value there is above the
+    table's largest are taken (a row with a NULL there is always taken)."""
+    spark = new.sparkSession
+    write = lambda df, to: (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                            .partitionBy(_BUCKET).parquet(to))
+    if not exists(spark, path):
+        write(_bucketed(new, key, buckets), path)
+        return keyed(spark, path)
+    table = spark.read.parquet(path)
+    if high_water:
+        top = table.agg(F.max(high_water)).first()[0]
+        if top is not None:
+            new = new.filter((F.col(high_water) > F.lit(top)) | F.col(high_water).isNull())
+    aside = scratch_path(spark, "merge")
+    incoming = f"{aside}/new"
+    write(_bucketed(new, key, buckets), incoming)
+    incoming = spark.read.schema(table.schema).parquet(incoming)
+    touched = [r[0] for r in incoming.select(_BUCKET).distinct().collect()]  # at most ``buckets``
+    if touched:
+        kept = without(table.filter(F.col(_BUCKET).isin(touched)), incoming, key)
+        write(kept.unionByName(incoming), f"{aside}/merged")
+        write(spark.read.schema(table.schema).parquet(f"{aside}/merged"), path)
+    return keyed(spark, path)
 
 
-def append_new(new: DataFrame, table: VersionedTable, key: Sequence[str] | str) -> DataFrame:
+def append_new(new: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> DataFrame:
     """SNK5: append only rows whose key the table does not hold yet."""
-    cur = table.current()
-    result = new if cur is None else cur.unionByName(without(new, cur, key))
-    return table.write(result)
+    spark = new.sparkSession
+    table = keyed(spark, path)
+    unseen = new if table is None else without(new, table, key)
+    _bucketed(unseen, key, buckets).write.mode("append").partitionBy(_BUCKET).parquet(path)
+    return keyed(spark, path)
+
+
+class BuildStopped(RuntimeError):
+    """Raised by ``build`` when a model breaks its rules; ``report`` holds
+    (model, rule, violations) of every rule that ran."""
+
+    def __init__(self, report: list[tuple[str, str, int]]):
+        self.report = report
+        super().__init__("; ".join(f"{m}.{r}: {n} rows" for m, r, n in report if n))
 
 
 def build(models: Mapping[str, tuple[Sequence[str], Callable[..., DataFrame]]], root: str,
-          spark: SparkSession) -> dict[str, DataFrame]:
+          spark: SparkSession, rules: Mapping[str, Sequence] | None = None,
+          report: list[tuple[str, str, int]] | None = None) -> dict[str, DataFrame]:
     """SNK7: materialise models in dependency order; each model reads its
-    upstream models back from storage (lineage cut, restartable)."""
+    upstream models back from storage (lineage cut, restartable). A model
+    with ``rules`` (``quality.Rule``) is checked when it is written; if it
+    breaks one, models that need it are not built and ``BuildStopped`` is
+    raised after the others are. ``report`` collects every rule's result."""
+    from donorlake.operators.quality import run_suite
+
+    report = [] if report is None else report
     done: dict[str, DataFrame] = {}
+    broken: set[str] = set()
     visiting: set[str] = set()
 
-    def visit(name: str) -> DataFrame:
-        if name in done:
-            return done[name]
+    def visit(name: str) -> DataFrame | None:
+        if name in done or name in broken:
+            return done.get(name)
         if name in visiting:
             raise ValueError(f"cycle at {name}")
         visiting.add(name)
         deps, fn = models[name]
         inputs = {dep: visit(dep) for dep in deps}
+        visiting.discard(name)
+        if any(dep in broken for dep in deps):
+            broken.add(name)
+            return None
         path = f"{root.rstrip('/')}/{name}"
         fn(**inputs).write.mode("overwrite").parquet(path)
-        done[name] = spark.read.parquet(path)
-        visiting.discard(name)
-        return done[name]
+        out = spark.read.parquet(path)
+        found = [] if not rules or name not in rules else [
+            (name, f"{r['rule']}({r['column']})", r["violations"])
+            for r in run_suite(out, rules[name], materialize=False).collect()]
+        report.extend(found)
+        if any(n for _, _, n in found):
+            broken.add(name)
+        else:
+            done[name] = out
+        return done.get(name)
 
     for n in models:
         visit(n)
+    if broken:
+        raise BuildStopped(report)
     return done
 
 

@@ -50,6 +50,17 @@ def snk2_replace_slice(spark, d):
     return spark.read.parquet(path).withColumn("slice_year", F.col("slice_year").cast("string"))
 
 
+@register("snk2_empty_slice", with_views("""
+SELECT line_id, amount, substr(ship_date, 1, 4) AS slice_year FROM landing_b WHERE substr(ship_date, 1, 4) <> '1996'""",
+    "landing_b"))
+def snk2_empty_slice(spark, d):
+    path = scratch_path(spark, "snk2e")
+    lb = dm.landing_b(spark, d).select("line_id", "amount", F.substring("ship_date", 1, 4).alias("slice_year"))
+    tables.replace_slice(lb, path, ["slice_year"])
+    tables.replace_slice(lb.limit(0), path, ["slice_year"], [{"slice_year": "1996"}])
+    return spark.read.parquet(path).withColumn("slice_year", F.col("slice_year").cast("string"))
+
+
 @register("snk3_range_slice", with_views("""
 SELECT filing_id, strftime(try_strptime(contribution_date, '%m/%d/%Y'), '%Y-%m') AS slice_month FROM landing_a
 WHERE NOT (try_strptime(contribution_date, '%m/%d/%Y') >= TIMESTAMP '1997-01-01'
@@ -66,7 +77,8 @@ def snk3_range_slice(spark, d):
     # compare wrongly across years)
     q1 = sliced.filter((F.col("d") >= F.lit("1997-01-01").cast("timestamp"))
                        & (F.col("d") < F.lit("1997-04-01").cast("timestamp")) & (F.col("status") == "F"))
-    tables.replace_slice(q1.drop("d"), path, ["slice_month"])
+    tables.replace_slice(q1.drop("d"), path, ["slice_month"],
+                         [{"slice_month": f"1997-{m:02d}"} for m in (1, 2, 3)])
     return spark.read.parquet(path).select("filing_id", F.col("slice_month").cast("string"))
 
 
@@ -82,7 +94,7 @@ FROM conformed_c WHERE employer = 'signup'"""
 
 @register("snk4_merge_replace", with_views(_MERGE_SQL, "conformed_c"))
 def snk4_merge_replace(spark, d):
-    t = tables.VersionedTable(spark, scratch_path(spark, "snk4"))
+    t = scratch_path(spark, "snk4")
     c = dm.conformed_c(spark, d)
     tables.merge_replace(c, t, "source_id")
     changed = c.filter(F.col("employer") == "error").withColumn("amount", (F.col("amount") * 10).cast("decimal(38,2)"))
@@ -90,7 +102,7 @@ def snk4_merge_replace(spark, d):
     upd = changed.unionByName(new)
     tables.merge_replace(upd, t, "source_id")
     tables.merge_replace(upd, t, "source_id")  # re-run: same result
-    return t.current()
+    return tables.keyed(spark, t)
 
 
 @register("snk5_append_new", with_views("""
@@ -99,12 +111,12 @@ UNION ALL
 SELECT * FROM conformed_b b
 WHERE NOT EXISTS (SELECT 1 FROM conformed_b o WHERE o.amount < 0 AND o.source_id = b.source_id)""", "conformed_b"))
 def snk5_append_new(spark, d):
-    t = tables.VersionedTable(spark, scratch_path(spark, "snk5"))
+    t = scratch_path(spark, "snk5")
     b = dm.conformed_b(spark, d)
     tables.append_new(b.filter(F.col("amount") < 0), t, "source_id")
     tables.append_new(b, t, "source_id")
     tables.append_new(b, t, "source_id")  # nothing unseen is left
-    return t.current()
+    return tables.keyed(spark, t)
 
 
 @register("snk6_append", with_views(
@@ -134,6 +146,28 @@ def snk7_build(spark, d):
     return built["source_report"]
 
 
+@register("snk7_gated_build", with_views("""
+SELECT 'committees' AS model, 'unique(committee_id)' AS rule, 0::BIGINT AS violations
+UNION ALL SELECT 'landing', 'not_null(candidate_id)', count(*) FROM conformed_b WHERE candidate_id IS NULL""",
+    "conformed_b"))
+def snk7_gated_build(spark, d):
+    """A model that passes and one that fails: what needs the failed one is
+    not built, and the build says so."""
+    root, report = scratch_path(spark, "snk7g"), []
+    models = {
+        "committees": ((), lambda: dm.committee_master_unfiltered(spark, d)),
+        "landing": ((), lambda: dm.conformed_b(spark, d)),
+        "report": (("landing", "committees"), lambda landing, committees: landing),
+    }
+    rules = {"committees": [quality.unique("committee_id")], "landing": [quality.not_null("candidate_id")]}
+    try:
+        tables.build(models, root, spark, rules, report)
+        raise AssertionError("the build went on")
+    except tables.BuildStopped:
+        assert not tables.exists(spark, f"{root}/report")
+    return spark.createDataFrame(report, "model string, rule string, violations long")
+
+
 @register("snk8_load_report", with_views("""
 SELECT 'conformed_a' AS "table", count(*) AS rows FROM conformed_a UNION ALL
 SELECT 'conformed_b', count(*) FROM conformed_b UNION ALL SELECT 'conformed_c', count(*) FROM conformed_c""",
@@ -153,7 +187,7 @@ def snk8_load_report(spark, d):
 def syn1_first_sync(spark, d):
     root = scratch_path(spark, "syn1")
     syn.sync(dm.contributions_master(spark, d), root, "b1", T1)
-    return spark.read.parquet(f"{root}/delta/batch_id=b1")
+    return syn.delta_of(spark, root, "b1")
 
 
 @register("syn2_incremental_delta", with_views("SELECT * FROM master WHERE source <> 'A'", "master"))
@@ -176,6 +210,21 @@ def syn3_cap_newest(spark, d):
     return syn.serving(spark, root)
 
 
+@register("syn3_cap_three_runs", with_views(f"SELECT {_MASTER_NO_ID} FROM master WHERE source = 'A'", "master"))
+def syn3_cap_three_runs(spark, d):
+    """Half the rows a run, a batch run twice: three runs sync all rows once."""
+    root = scratch_path(spark, "syn3x")
+    m = dm.contributions_master(spark, d).filter(F.col("source") == "A")
+    m.write.parquet(f"{root}/in")
+    m = spark.read.parquet(f"{root}/in")
+    half = m.count() // 2 + 1
+    syn.sync(m, f"{root}/s", "b1", T1, max_rows=half)
+    syn.sync(m.limit(0), f"{root}/s", "b2", T2, max_rows=half)
+    syn.sync(m.limit(0), f"{root}/s", "b2", T2, max_rows=half)
+    syn.sync(m, f"{root}/s", "b3", T3)
+    return syn.serving(spark, f"{root}/s").drop("batch_id")
+
+
 @register("syn4_publish", with_views(f"SELECT {_MASTER_NO_ID}, 'b1' AS batch_id FROM master", "master"))
 def syn4_publish(spark, d):
     root = scratch_path(spark, "syn4")

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from donorlake.operators import sync as syn
+from donorlake.operators.dedup import best_per_key, desc
+from donorlake.operators.tables import exists
 from donorlake.sources.landing import CORRUPT, text_schema
 
 
@@ -24,7 +26,9 @@ def land_stream(spark: SparkSession, input_path: str, columns: Sequence[str], ta
                 checkpoint: str, sep: str = ",", header: bool = True, quarantine_path: str | None = None,
                 max_files_per_trigger: int | None = None) -> None:
     """STR1: land new delimited files exactly once into a Parquet table.
-    Rows of the wrong width go to ``quarantine_path`` when given."""
+    Rows of the wrong width go to ``quarantine_path`` (unless given, a
+    folder beside the table)."""
+    quarantine_path = quarantine_path or f"{table_path.rstrip('/')}_quarantine"
     schema = text_schema(columns).add(T.StructField(CORRUPT, T.StringType()))
     r = (spark.readStream.schema(schema).option("sep", sep).option("header", str(header).lower())
          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("escape", '"'))
@@ -39,10 +43,9 @@ def land_stream(spark: SparkSession, input_path: str, columns: Sequence[str], ta
         # idempotent per epoch: a replayed epoch replaces its own partition
         (good.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_epoch").parquet(table_path))
-        if quarantine_path:
-            bad = batch.filter(F.col(CORRUPT).isNotNull() & full).select(F.col(CORRUPT).alias("raw_line"), "_epoch")
-            (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("_epoch").parquet(quarantine_path))
+        bad = batch.filter(F.col(CORRUPT).isNotNull() & full).select(F.col(CORRUPT).alias("raw_line"), "_epoch")
+        (bad.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_epoch").parquet(quarantine_path))
 
     q = (src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -50,11 +53,13 @@ def land_stream(spark: SparkSession, input_path: str, columns: Sequence[str], ta
 
 
 def sync_stream(spark: SparkSession, source_path: str, schema: T.StructType, root: str, checkpoint: str,
-                now: dt.datetime, max_rows: int = syn.MAX_DELTA_ROWS_AT_ONCE,
+                now: dt.datetime, max_rows: int | None = None,
                 max_files_per_trigger: int | None = None) -> list[syn.SyncReport]:
     """STR2: each micro-batch of new master files is deduplicated by
     ``source_id`` and synced (delta vs ledger → publish → ledger). The batch
-    id is the stream epoch, so a replayed epoch republishes idempotently."""
+    id is the stream epoch, so a replayed epoch republishes idempotently.
+    Rows past a cap wait as pending and are taken up by the next epoch; a run
+    without new files takes up what still waits."""
     reports: list[syn.SyncReport] = []
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -62,10 +67,13 @@ def sync_stream(spark: SparkSession, source_path: str, schema: T.StructType, roo
     src = r.parquet(source_path)
 
     def run(batch: DataFrame, epoch: int) -> None:
-        one = batch.dropDuplicates(["source_id"])
+        one = best_per_key(batch, ["source_id"], [desc("contribution_datetime")])
         reports.append(syn.sync(one, root, f"epoch-{epoch:06d}", now, max_rows))
 
     q = (src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    if not reports and exists(spark, f"{root}/pending"):
+        none = spark.createDataFrame([], schema)
+        reports.append(syn.sync(none, root, f"idle-{now:%Y%m%dT%H%M%S}", now, max_rows))
     return reports

@@ -56,7 +56,7 @@ def test_nulls_never_preferred_unless_asked(spark):
 
 def test_row_number_by_exact_under_skew(spark):
     df = skewed(spark)
-    got = dedup.row_number_by(df, ["k"], [asc("v")], "rn", num_partitions=7)
+    got = dedup.row_number_by(df, ["k"], [asc("v")], "rn")
     w = Window.partitionBy("k").orderBy(F.col("v").asc_nulls_last(), *[F.col(c).asc_nulls_first()
                                                                       for c in ["v", "s", "id"]])
     ref = df.withColumn("rn", F.row_number().over(w))

@@ -54,17 +54,55 @@ def test_sync_idempotent_and_capped(spark, tmp_dir):
     syn.publish(m.limit(5), f"{tmp_dir}/serving", "b2")
     syn.publish(m.limit(5), f"{tmp_dir}/serving", "b2")
     assert syn.serving(spark, tmp_dir).filter("batch_id = 'b2'").count() == 5
+    # running the batch again mends it
+    r2 = syn.sync(m, tmp_dir, "b2", t2, max_rows=30)
+    assert r2.published_rows == 20 and syn.serving(spark, tmp_dir).count() == 50
+
+
+def test_sync_without_cap_takes_everything(spark, tmp_dir):
+    m = _master(spark)
+    assert syn.sync(m, tmp_dir, "b1", dt.datetime(2025, 1, 1)).published_rows == 50
+
+
+def test_sync_reused_batch_id_keeps_rows(spark, tmp_dir):
+    m = _master(spark)
+    now = dt.datetime(2025, 1, 1)
+    syn.sync(m.filter("amount < 20"), tmp_dir, "b1", now)
+    report = syn.sync(m.filter("amount < 30"), tmp_dir, "b1", now)
+    assert report.published_rows == 3 and syn.serving(spark, tmp_dir).count() == 3
+    assert syn.ledger(spark, tmp_dir).count() == 3
+
+
+def test_sync_overflow_waits_as_pending(spark, tmp_dir):
+    """Rows past the cap are taken up even if they never come in again."""
+    m = _master(spark)
+    now = dt.datetime(2025, 1, 1)
+    syn.sync(m, tmp_dir, "b1", now, max_rows=20)
+    for b in ("b2", "b2", "b3"):
+        syn.sync(m.limit(0), tmp_dir, b, now, max_rows=20)
+    assert syn.serving(spark, tmp_dir).count() == 50 and syn.ledger(spark, tmp_dir).count() == 50
+    with pytest.raises(syn.SyncError):
+        syn.sync(m, f"{tmp_dir}/other", "b1", now, max_rows=10, max_overflow=5)
 
 
-def test_versioned_merge_and_slices(spark, tmp_dir):
-    t = tables.VersionedTable(spark, f"{tmp_dir}/t")
+def test_merge_and_slices(spark, tmp_dir):
+    t = f"{tmp_dir}/t"
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     tables.merge_replace(base, t, "k")
-    tables.merge_replace(spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string"), t, "k")
-    assert sorted(tuple(r) for r in t.current().collect()) == [(1, "a"), (2, "B"), (3, "c")]
-    assert t.versions() == [1, 2]
+    upd = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
+    tables.merge_replace(upd, t, "k")
+    assert sorted(tuple(r) for r in tables.merge_replace(upd, t, "k").collect()) == [(1, "a"), (2, "B"), (3, "c")]
+    late = spark.createDataFrame([(3, "d"), (9, "z")], "k int, v string")
+    got = tables.merge_replace(late, t, "k", high_water="v")  # 'c' is the mark: both are above
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a"), (2, "B"), (3, "d"), (9, "z")]
+    got = tables.merge_replace(spark.createDataFrame([(1, "a2")], "k int, v string"), t, "k", high_water="v")
+    assert (1, "a") in [tuple(r) for r in got.collect()]
+    got = tables.append_new(spark.createDataFrame([(1, "x"), (5, "y")], "k int, v string"), t, "k")
+    assert sorted(tuple(r) for r in got.collect()) == [(1, "a"), (2, "B"), (3, "d"), (5, "y"), (9, "z")]
     p = f"{tmp_dir}/s"
     df = spark.createDataFrame([("2023", 1), ("2024", 2)], "y string, n int")
     tables.replace_slice(df, p, ["y"])
     tables.replace_slice(spark.createDataFrame([("2024", 9)], "y string, n int"), p, ["y"])
     assert sorted((str(r.y), r.n) for r in spark.read.parquet(p).collect()) == [("2023", 1), ("2024", 9)]
+    tables.replace_slice(df.limit(0), p, ["y"], [{"y": "2023"}])
+    assert [(str(r.y), r.n) for r in spark.read.parquet(p).collect()] == [("2024", 9)]

@@ -1,8 +1,10 @@
 """Streaming landing: each file once, ragged rows quarantined, re-runs
 land nothing new."""
 
+import datetime as dt
 import os
 
+from donorlake.operators import sync as syn
 from donorlake.streaming import jobs
 
 
@@ -21,3 +23,15 @@ def test_land_stream_exactly_once_with_quarantine(spark, tmp_dir):
     rows = sorted((r.id, r.name) for r in spark.read.parquet(args["table_path"]).collect())
     assert rows == [("1", "x"), ("2", "y"), ("3", "z")]
     assert [r.raw_line for r in spark.read.parquet(args["quarantine_path"]).collect()] == ["bad"]
+
+
+def test_sync_stream_keeps_rows_past_the_cap(spark, tmp_dir):
+    src, root, ck = (os.path.join(tmp_dir, x) for x in ("in", "state", "ck"))
+    rows = spark.createDataFrame(
+        [(f"S_{i}", "S", i, dt.date(2024, 1, 1 + i)) for i in range(10)] + [("S_1", "S", 99, dt.date(2024, 2, 1))],
+        "source_id string, source string, amount int, contribution_datetime date")
+    rows.write.parquet(src)
+    for hour in range(4):
+        jobs.sync_stream(spark, src, rows.schema, root, ck, dt.datetime(2025, 1, 1, hour), max_rows=4)
+    out = syn.serving(spark, root)
+    assert out.count() == 10 and out.filter("amount = 99").count() == 1
