@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from donorlake.operators.dedup import By, asc, best_per_key, desc
+from donorlake.operators.dedup import By, asc, best_per_key, desc, step_of
 
 # --- aggregations -----------------------------------------------------------
 
@@ -103,13 +103,13 @@ def keep_newest(df: DataFrame, ts: str, n: int, key: str) -> tuple[DataFrame, Da
     """TOP1 / SYN3: keep the newest ``n`` rows (ties broken by key), and a
     one-row frame with the overflow count.
 
-    Rows are counted by day (a small table, combined map-side). All rows of
-    days before the cut-off day are kept by a filter; only the rows of that
+    Rows are counted by day (by value, if ``ts`` is no timestamp), a small
+    table combined map-side. All rows of days after the cut-off day are kept by a filter; only the rows of that
     day are ordered to take what is left. Nothing else is sorted, and no task
     holds more than the cut-off day's share of the ``n`` rows."""
     if n <= 0:
         return df.limit(0), df.agg(F.count(F.lit(1)).alias("overflow_count"))
-    day = F.col(ts).cast("date")
+    day = step_of(df, F.col(ts))
     counts = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
     overflow = counts.agg(F.greatest(F.coalesce(F.sum("_n"), F.lit(0)) - F.lit(n), F.lit(0)).alias("overflow_count"))
     order = F.col("_day").desc_nulls_last()
@@ -120,7 +120,7 @@ def keep_newest(df: DataFrame, ts: str, n: int, key: str) -> tuple[DataFrame, Da
     if not cut:
         return df, overflow
     last, left = cut[0]["_day"], n - (cut[0]["_upto"] - cut[0]["_n"])
-    on_day = day.eqNullSafe(F.lit(last).cast("date"))
+    on_day = day.eqNullSafe(F.lit(last))
     newer = day.isNotNull() if last is None else F.coalesce(day > F.lit(last), F.lit(False))
     some = df.filter(on_day).orderBy(F.col(ts).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(left)
     return df.filter(newer).unionByName(some), overflow

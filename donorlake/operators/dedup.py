@@ -206,7 +206,7 @@ def dedup_two_level(dfs: Sequence[DataFrame], key: str, order: Sequence[By]) ->
     return best_per_key(out, [key], order)
 
 
-def _step(df: DataFrame, c: Column) -> Column:
+def step_of(df: DataFrame, c: Column) -> Column:
     """A coarse value that grows with ``c``: the day of a timestamp, else
     ``c`` itself."""
     dtype = df.select(c.alias("_t")).schema["_t"].dataType
@@ -234,7 +234,7 @@ def row_number_by(
     tie = _tiebreak_cols(df, parts)
     lead = order[0] if order else By(tie[0], nulls_first=True) if tie else By(F.lit(0))
     keys = [f"_k{i}" for i in range(len(parts))]
-    named = df.withColumns({**{k: F.col(c) for k, c in zip(keys, parts)}, "_step": _step(df, lead.col)})
+    named = df.withColumns({**{k: F.col(c) for k, c in zip(keys, parts)}, "_step": step_of(df, lead.col)})
     step = F.col("_step")
     direction = ((step.desc_nulls_first() if lead.nulls_first else step.desc_nulls_last()) if lead.desc
                  else (step.asc_nulls_first() if lead.nulls_first else step.asc_nulls_last()))

@@ -72,7 +72,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 #: Buckets of a keyed table. A merge rewrites the buckets its keys fall in.
-BUCKETS = 64
+BUCKETS = 16
 _BUCKET = "key_bucket"
 
 
@@ -96,8 +96,9 @@ def merge_replace(new: DataFrame, path: str, key: str, high_water: str | None =
     With ``high_water`` only rows of ``new`` whose value there is above the
     table's largest are taken (a row with a NULL there is always taken)."""
     spark = new.sparkSession
-    write = lambda df, to: (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                            .partitionBy(_BUCKET).parquet(to))
+    # rebalanced by bucket: few files a bucket, large buckets split over tasks
+    write = lambda df, to: (df.hint("rebalance", _BUCKET).write.mode("overwrite")
+                            .option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(to))
     if not exists(spark, path):
         write(_bucketed(new, key, buckets), path)
         return keyed(spark, path)
@@ -123,7 +124,7 @@ def append_new(new: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> D
     spark = new.sparkSession
     table = keyed(spark, path)
     unseen = new if table is None else without(new, table, key)
-    _bucketed(unseen, key, buckets).write.mode("append").partitionBy(_BUCKET).parquet(path)
+    _bucketed(unseen, key, buckets).hint("rebalance", _BUCKET).write.mode("append").partitionBy(_BUCKET).parquet(path)
     return keyed(spark, path)
 
 
