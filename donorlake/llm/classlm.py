@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from donorlake.llm.util import LOWER, Interner, materialise, prepare, sliced, texts_of
+from donorlake.llm.util import LOWER, Interner, freeing, materialise, prepare, sliced, texts_of
 
 UNITS = 1 << 14
 CLASSES = 32
@@ -71,7 +71,7 @@ def _code(batches):
 def code(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out().alias("held_out"))
     return materialise(rows.mapInArrow(
-        _code, "g long, ids array<long>, held array<boolean>, sizes array<int>, words binary, tokens binary"), "coded")
+        freeing(_code, _INTERNED), "g long, ids array<long>, held array<boolean>, sizes array<int>, words binary, tokens binary"), "coded")
 
 
 @dataclass

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from donorlake.llm.util import LOWER, Interner, mix64, prepare, sliced, texts_of
+from donorlake.llm.util import LOWER, Interner, freeing, mix64, prepare, sliced, texts_of
 
 BUCKETS = 1 << 20
 PASSAGE = 64
@@ -105,7 +105,7 @@ def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def count_ngrams(docs: DataFrame, sample: DataFrame) -> dict[tuple[int, str], np.ndarray]:
     """Counts over the labelled documents by (kind, 'word' or 'pair')."""
     tagged = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "kind")
-    seen = tagged.mapInArrow(_count, "kind int, part string, bucket int, n long")
+    seen = tagged.mapInArrow(freeing(_count, _INTERNED), "kind int, part string, bucket int, n long")
     sums = seen.groupBy("part", "bucket").agg(*(
         F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (1, 2)))
     got = sums.toArrow()  # at most 2 x BUCKETS rows
@@ -147,7 +147,7 @@ def weigh(docs: DataFrame, ratios: dict[str, np.ndarray], keep: list[str]) -> Da
         (ratios["word"].astype(np.float32), ratios["pair"].astype(np.float32)))
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    return rows.mapInArrow(_weigh(shared, keep), f"{fields}, log_weight double")
+    return rows.mapInArrow(freeing(_weigh(shared, keep), _INTERNED), f"{fields}, log_weight double")
 
 
 def best_cut(good: np.ndarray, bad: np.ndarray) -> float:

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from donorlake.llm.fragments import Hasher
-from donorlake.llm.util import LOWER, Interner, materialise, mix64, prepare, sliced, texts_of
+from donorlake.llm.util import LOWER, Interner, freeing, materialise, mix64, prepare, sliced, texts_of
 
 BANDS = 40
 ROWS = 5
@@ -39,7 +39,7 @@ SIMILARITY = 80  # per cent
 #: similarity, fewer than 110 of 200 agree with a probability under 1e-14.
 LEAST_AGREEMENT = 110
 #: Shingles whose permutations are held at once (one byte a component).
-HELD = 100_000
+HELD = 40_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _FAR = np.int64(1 << 62)
 _INTERNED = Interner()
@@ -138,7 +138,7 @@ def _digest(s: np.ndarray) -> bytes:
 
 def _sign_batches(k):
     def run(batches):
-        for batch in sliced(batches):
+        for batch in sliced(batches, limit=4 << 20):
             sets = shingle_sets(texts_of(batch), k)
             sig = signatures(sets)
             keys, small = band_keys(sig), mix64(sig.astype(np.uint64)).astype(np.uint8)
@@ -148,7 +148,7 @@ def _sign_batches(k):
                 "node": pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
                 "bands": pa.array(list(keys), pa.list_(pa.int64())),
                 "brief": pa.array([x.tobytes() for x in small], pa.binary())})
-    return run
+    return freeing(run, _INTERNED)
 
 
 def sign(docs: DataFrame, k: int) -> DataFrame:
@@ -169,7 +169,7 @@ def _node_sets(k):
             yield pa.RecordBatch.from_pydict({
                 "node": pa.array([r[0] for r in rows], pa.binary()),
                 "items": pa.array([r[1] for r in rows], pa.binary())})
-    return run
+    return freeing(run, _INTERNED)
 
 
 def _agree(batches):
@@ -237,13 +237,16 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     nodes = signed.filter("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
         F.first("bands").alias("bands"), F.first("brief").alias("brief"))
-    banded = nodes.select("node", "copies", "n", "doc_id", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key")
+    nodes = materialise(nodes, "nodes")
+    banded = nodes.select("node", F.explode("bands").alias("key"))
+    shared = (nodes.select(F.explode("bands").alias("key")).groupBy("key")
+              .agg(F.count("*").alias("size")).filter("size > 1").select("key"))
     members = materialise(banded.join(shared, "key"), "buckets")
-    asked = members.groupBy("node").agg(F.first("doc_id").alias("doc_id"))
-    briefs = signed.select("node", "brief").join(asked.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    briefs = materialise(briefs, "briefs")
-    sets = rows.alias("r").join(asked.alias("a"), F.expr("r.doc_id <=> a.doc_id")).select("a.node", "r.text")
+    asked = members.select("node").distinct().join(nodes.select("node", "doc_id", "copies", "n"), "node")
+    asked = materialise(asked, "candidates")
+    members = members.join(asked.select("node", "copies", "n"), "node")
+    briefs = materialise(nodes.select("node", "brief").join(asked.select("node"), "node", "left_semi"), "briefs")
+    sets = rows.alias("r").join(asked.select("node", "doc_id").alias("a"), F.expr("r.doc_id <=> a.doc_id")).select("a.node", "r.text")
     sets = materialise(sets.mapInArrow(_node_sets(k), "node binary, items binary").dropDuplicates(["node"]), "sets")
 
     tested = roots = None
