@@ -19,11 +19,13 @@ encoded row by row; other columns are carried only when named in ``keep``.
 from __future__ import annotations
 
 import base64
+import hashlib
 from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -144,18 +146,24 @@ def _encode_short(path, keep):
     return run
 
 
-def _cut_chunks(chunk, overlap):
+def _cut_chunks(chunk, overlap, keep):
     def run(batches):
+        made, part = 0, TaskContext.get().partitionId()
         for batch in sliced(batches, limit=4 << 20):
-            for row, t in zip(batch.column("row").to_pylist(), texts_of(batch)):
+            for i, t in enumerate(texts_of(batch)):
                 text = t.decode()
                 ranges = chunk_ranges(len(text), chunk, overlap)
-                yield pa.RecordBatch.from_pydict({
-                    "row": pa.array([row] * len(ranges), pa.int64()),
-                    "k": pa.array(range(len(ranges)), pa.int32()),
-                    "begin": pa.array([a for a, _ in ranges], pa.int64()),
-                    "last": pa.array([b == len(text) for _, b in ranges]),
-                    "part": pa.array([text[a:b] for a, b in ranges], pa.string())})
+                n = len(ranges)
+                # one key for the chunks of a row, also if rows repeat
+                key = hashlib.blake2b(t, digest_size=12).digest() + (part << 40 | made).to_bytes(8, "big")
+                made += 1
+                yield pa.RecordBatch.from_arrays([
+                    *(pa.concat_arrays([batch.column(c).slice(i, 1)] * n) for c in keep),
+                    pa.array([key] * n, pa.binary()), pa.array(range(n), pa.int32()),
+                    pa.array([a for a, _ in ranges], pa.int64()),
+                    pa.array([b == len(text) for _, b in ranges]),
+                    pa.array([text[a:b] for a, b in ranges], pa.string())],
+                    [*keep, "__row", "__k", "__begin", "__last", "__part"])
     return run
 
 
@@ -163,24 +171,28 @@ def _pretokenise(batches):
     pattern = split_pattern()
     for batch in batches:
         cuts = []
-        for begin, last, part in zip(*(batch.column(c).to_pylist() for c in ("begin", "last", "part"))):
+        for begin, last, part in zip(*(batch.column(c).to_pylist() for c in ("__begin", "__last", "__part"))):
             if last:
                 found = boundaries(pattern, part, 0, len(part))
             else:  # the text goes on: a character stands for what is cut off
                 found = boundaries(pattern, part + "\0", 0, len(part))
             cuts.append([begin + x for x in found])
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns, pa.array(cuts, pa.list_(pa.int64()))], [*batch.schema.names, "cuts"])
+            [*batch.columns, pa.array(cuts, pa.list_(pa.int64()))], [*batch.schema.names, "__cuts"])
 
 
-def _join_chunks(path, chunk):
+def _join_chunks(path, chunk, keep, out):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("k")
+        pdf = pdf.sort_values("__k")
         enc = Encoder.shared(path)
-        parts = pdf["part"].tolist()
+        parts = pdf["__part"].tolist()
         text = "".join(p[:chunk] for p in parts[:-1]) + parts[-1]
-        cuts = stitch(enc.pattern, text, [list(map(int, c)) for c in pdf["cuts"]], chunk)
-        return pd.DataFrame({"row": [pdf["row"].iloc[0]], "ids": [enc.encode(text, cuts)]})
+        cuts = stitch(enc.pattern, text, [list(map(int, c)) for c in pdf["__cuts"]], chunk)
+        one = pdf.iloc[:1][keep].copy()
+        if "text" in out:
+            one["text"] = text
+        one["ids"] = [enc.encode(text, cuts)]
+        return one[[*out, "ids"]]
     return run
 
 
@@ -205,19 +217,17 @@ def encode(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("d
     as chunk rows, are pre-tokenised apart and stitched."""
     prepare(docs.sparkSession)
     path = path or vocabulary_path()
-    rows = docs.select(*dict.fromkeys([*keep, "text"]), F.monotonically_increasing_id().alias("row"))
+    rows = docs.select(*dict.fromkeys([*keep, "text"]))
     long = F.coalesce(F.length("text"), F.lit(0)) > chunk
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
-    short = rows.filter(~long).drop("row").mapInArrow(
-        _encode_short(path, list(keep)), f"{fields}, ids array<int>")
+    typed = {f.name: f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema}
+    result = ", ".join([*(typed[c] for c in keep), "ids array<int>"])
+    short = rows.filter(~long).mapInArrow(_encode_short(path, list(keep)), result)
+    carried = [c for c in keep if c != "text"]  # the text comes back from its chunks
+    cut = ", ".join([*(typed[c] for c in carried), "__row binary, __k int, __begin long, __last boolean, __part string"])
     chunks = (
-        rows.filter(long).select("row", "text")
-        .mapInArrow(_cut_chunks(chunk, overlap), "row long, k int, begin long, last boolean, part string")
-        .repartition("row", "k")
-        .mapInArrow(_pretokenise, "row long, k int, begin long, last boolean, part string, cuts array<long>")
-    )
-    joined = chunks.groupBy("row").applyInPandas(_join_chunks(path, chunk), "row long, ids array<int>")
-    stitched = rows.filter(long).select(*keep, "row").join(joined, "row").select(*keep, "ids")
+        rows.filter(long).mapInArrow(_cut_chunks(chunk, overlap, carried), cut)
+        .repartition("__row", "__k").mapInArrow(_pretokenise, f"{cut}, __cuts array<long>"))
+    stitched = chunks.groupBy("__row").applyInPandas(_join_chunks(path, chunk, carried, list(keep)), result)
     return short.unionByName(stitched)
 
 
