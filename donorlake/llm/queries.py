@@ -35,9 +35,9 @@ sets AS (
   FROM (SELECT rid, w, unnest(range(1, len(w))) AS p FROM d WHERE len(w) >= 2)
   UNION ALL SELECT rid, w[1] FROM d WHERE len(w) = 1),
 size AS (SELECT rid, count(*) AS n FROM sets GROUP BY rid),
-both AS (SELECT a.rid AS a, b.rid AS b, count(*) AS inter FROM sets a JOIN sets b ON a.x = b.x AND a.rid < b.rid
+shared AS (SELECT a.rid AS a, b.rid AS b, count(*) AS inter FROM sets a JOIN sets b ON a.x = b.x AND a.rid < b.rid
          GROUP BY a.rid, b.rid),
-link AS (SELECT a, b FROM both JOIN size s ON s.rid = a JOIN size t ON t.rid = b
+link AS (SELECT a, b FROM shared JOIN size s ON s.rid = a JOIN size t ON t.rid = b
          WHERE 100 * inter >= 80 * (s.n + t.n - inter)),
 edge AS (SELECT a, b FROM link UNION SELECT b, a FROM link),
 reach AS (SELECT a AS node, a AS other FROM edge UNION SELECT node, b FROM reach JOIN edge ON other = a),

@@ -8,10 +8,11 @@ first rank that is above all its minima.
 
 Equal shingle sets become one node first, so copies never meet in pairs.
 Nodes that agree in a band of the signature share a bucket. In each bucket
-the members are verified against a leader, on full sets; members already
-joined are not compared again, and what is left in a bucket in different
-groups is compared in full, so no link between different sets is left out
-(a pair at the threshold shares a bucket but for 1 in 8 million). Verified
+the members are verified against a leader, on full sets, and grouped; members
+that are then in one group are not compared again, and what is left in a
+bucket in different groups is compared in full, each pair at its first common
+band only, so no link between different sets is left out (a pair at the
+threshold shares a bucket but for 1 in 8 million). Verified
 links are grouped by hooking and pointer jumping, the distributed form of
 union-find.
 
@@ -36,8 +37,8 @@ ROWS = 5
 COMPONENTS = BANDS * ROWS
 SIMILARITY = 80  # per cent
 #: Pairs whose signatures agree less are below the threshold: at 80 per cent
-#: similarity, fewer than 110 of 200 agree with a probability under 1e-14.
-LEAST_AGREEMENT = 110
+#: similarity, fewer than 128 of 200 agree with a probability under 1e-8.
+LEAST_AGREEMENT = 128
 #: Shingles whose permutations are held at once (one byte a component).
 HELD = 40_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -241,45 +242,36 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = (nodes.select(F.explode("bands").alias("key")).groupBy("key")
               .agg(F.count("*").alias("size")).filter("size > 1").select("key"))
-    members = materialise(banded.join(shared, "key"), "buckets")
+    members = banded.join(shared, "key")
+    members = materialise(members, "buckets")
     asked = members.select("node").distinct().join(nodes.select("node", "doc_id", "copies", "n"), "node")
     asked = materialise(asked, "candidates")
-    members = members.join(asked.select("node", "copies", "n"), "node")
+    members = materialise(members.join(asked.select("node", "copies", "n"), "node"), "members")
     briefs = materialise(nodes.select("node", "brief").join(asked.select("node"), "node", "left_semi"), "briefs")
     sets = rows.alias("r").join(asked.select("node", "doc_id").alias("a"), F.expr("r.doc_id <=> a.doc_id")).select("a.node", "r.text")
     sets = materialise(sets.mapInArrow(_node_sets(k), "node binary, items binary").dropDuplicates(["node"]), "sets")
 
-    tested = roots = None
-    # Leaders: the set with most copies, then two by hash; then all that is left.
-    for turn in range(4):
-        held = members if roots is None else members.join(roots, "node", "left")
-        held = held.withColumn("group", F.coalesce("root", "node") if roots is not None else F.col("node"))
-        if roots is not None:
-            split = held.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x != y")
-            held = materialise(held.join(split.select("key"), "key").select("key", "node", "copies", "n", "group"), "held")
-        if turn < 3:
-            weight = F.col("copies") if turn == 0 else F.xxhash64("node", F.lit(turn))
-            first = held.groupBy("key").agg(F.max_by(
-                F.struct("node", "n", "group"), F.struct(weight, F.col("node"))).alias("leader"))
-            other = first.select("key", *(F.col(f"leader.{c}").alias(f"b_{c}") for c in ("node", "n", "group")))
-            apart = "b_group != group"
-        else:
-            other = held.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "group")))
-            apart = "b_group < group"
-        pairs = (held.join(other, "key").filter(apart)
-                 .filter(f"100 * least(n, b_n) >= {SIMILARITY} * greatest(n, b_n)")
-                 .select(F.col("node").alias("a"), F.col("b_node").alias("b")).distinct())
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti").join(
-                tested.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti")
-        found = materialise(verify(pairs, sets, briefs), "verified")
-        if turn and found.isEmpty():
-            continue
-        links = found.filter("linked").select("a", "b")
-        if roots is not None:
-            links = links.union(roots.filter("node != root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-        tested = found.select("a", "b") if tested is None else tested.union(found.select("a", "b"))
-        roots = components(links)
+    # 1. each bucket's members against its leader, the set with most copies
+    first = members.groupBy("key").agg(F.max_by(
+        F.struct("node", "n"), F.struct("copies", "node")).alias("leader"))
+    close = f"100 * least(n, b_n) >= {SIMILARITY} * greatest(n, b_n)"
+    pairs = (members.join(first.select("key", F.col("leader.node").alias("b"), F.col("leader.n").alias("b_n")), "key")
+             .filter("node <> b").filter(close).select(F.col("node").alias("a"), "b").distinct())
+    found = materialise(verify(pairs, sets, briefs), "verified")
+    roots = components(found.filter("linked"))
+    # 2. what is left in a bucket in different groups
+    held = members.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
+    split = held.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x <> y")
+    held = held.join(split.select("key"), "key").join(nodes.select("node", "bands"), "node")
+    held = materialise(held.select("key", "node", "n", "group", "bands"), "unsettled")
+    other = held.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "group", "bands")))
+    here = F.expr("array_position(zip_with(bands, b_bands, (x, y) -> x = y), true) = array_position(bands, held.key)")
+    pairs = (held.alias("held").join(other.alias("other"), F.expr("held.key = other.key") & F.expr("group < b_group") & F.expr(close) & here)
+             .select(F.col("node").alias("a"), F.col("b_node").alias("b")))
+    known = found.select("a", "b").union(found.select("b", "a"))
+    rest = materialise(verify(pairs.join(known, ["a", "b"], "left_anti"), sets, briefs), "verified").filter("linked")
+    if not rest.isEmpty():
+        roots = components(found.filter("linked").select("a", "b").union(rest.select("a", "b")))
 
     groups = signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     groups = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
