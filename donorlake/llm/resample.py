@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from donorlake.llm.util import LOWER, Interner, freeing, mix64, prepare, sliced, texts_of
 
 BUCKETS = 1 << 20
+PARTS = ("word", "pair")
 PASSAGE = 64
 #: Word pairs overlap, so their log ratios count for less.
 PAIR_SHARE = 0.4
@@ -84,14 +85,14 @@ def _count(batches):
         word, pair, starts = ngram_buckets(texts)
         of = np.repeat(kind, np.diff(starts))
         for k in np.unique(kind):
-            for part, codes in (("word", word), ("pair", pair)):
+            for part, codes in zip(PARTS, (word, pair)):
                 n = np.bincount(codes[of == k], minlength=BUCKETS)
                 total[int(k), part] = total.get((int(k), part), 0) + n
     for (k, part), n in total.items():
         hit = np.flatnonzero(n)
         yield pa.RecordBatch.from_pydict({
-            "kind": pa.array([k] * len(hit), pa.int32()), "part": pa.array([part] * len(hit)),
-            "bucket": pa.array(hit, pa.int32()), "n": pa.array(n[hit], pa.int64())})
+            "kind": pa.array([k] * len(hit), pa.int32()),
+            "part": pa.array([PARTS.index(part)] * len(hit), pa.int32()), "bucket": pa.array(hit, pa.int32()), "n": pa.array(n[hit], pa.int64())})
 
 
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -102,30 +103,34 @@ def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
             .agg((2 - good).cast("int").alias("kind")).orderBy(by, "doc_id").limit(sample))
 
 
-def count_ngrams(docs: DataFrame, sample: DataFrame) -> dict[tuple[int, str], np.ndarray]:
+def count_ngrams(docs: DataFrame, sample: DataFrame) -> tuple[dict[tuple[int, str], np.ndarray], dict[str, int]]:
     """Counts over the labelled documents by (kind, 'word' or 'pair')."""
     tagged = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "kind")
-    seen = tagged.mapInArrow(freeing(_count, _INTERNED), "kind int, part string, bucket int, n long")
+    seen = tagged.mapInArrow(freeing(_count, _INTERNED), "kind int, part int, bucket int, n long")
     sums = seen.groupBy("part", "bucket").agg(*(
         F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (1, 2)))
-    got = sums.toArrow()  # at most 2 x BUCKETS rows
-    out = {(k, p): np.zeros(BUCKETS) for k in (1, 2) for p in ("word", "pair")}
-    part, bucket = np.asarray(got["part"].to_pylist(), object), got["bucket"].to_numpy()
+    # at most 2 x BUCKETS rows; what bad text never has is told by its total
+    got = sums.filter("n2 > 0").toArrow()
+    total = {r["part"]: r["n1"] for r in sums.groupBy("part").agg(F.sum("n1").alias("n1")).collect()}
+    out = {(k, p): np.zeros(BUCKETS) for k in (1, 2) for p in PARTS}
+    part, bucket = got["part"].to_numpy(), got["bucket"].to_numpy()
     for k, p in out:
-        rows = part == p
+        rows = part == PARTS.index(p)
         out[k, p][bucket[rows]] = got[f"n{k}"].to_numpy()[rows]
-    return out
+    return out, {p: total.get(i, 0) for i, p in enumerate(PARTS)}
 
 
-def log_ratios(counts: dict) -> dict[str, np.ndarray]:
+def log_ratios(counts: dict, n_good: dict[str, int]) -> dict[str, np.ndarray]:
     """log target probability - log raw probability of each bucket, shrunk
     to 0 where little is known: occurrences in good text against those
-    expected from the labelled raw text, ``SMOOTHING`` added to both."""
+    expected from the labelled raw text, ``SMOOTHING`` added to both. Buckets
+    that bad text never has count as neutral. ``n_good``: n-grams of good text."""
     out = {}
     for part in ("word", "pair"):
         good, bad = counts[1, part], counts[2, part]
-        share = good.sum() / max(1.0, (good + bad).sum())
-        out[part] = np.log((good + SMOOTHING) / ((good + bad) * share + SMOOTHING))
+        share = n_good[part] / max(1.0, n_good[part] + bad.sum())
+        ratio = np.log((good + SMOOTHING) / ((good + bad) * share + SMOOTHING))
+        out[part] = np.where(bad > 0, ratio, 0).astype(np.float32)
     return out
 
 
@@ -144,7 +149,7 @@ def _weigh(model, keep):
 
 def weigh(docs: DataFrame, ratios: dict[str, np.ndarray], keep: list[str]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(
-        (ratios["word"].astype(np.float32), ratios["pair"].astype(np.float32)))
+        (ratios["word"], ratios["pair"]))
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
     return rows.mapInArrow(freeing(_weigh(shared, keep), _INTERNED), f"{fields}, log_weight double")
@@ -167,7 +172,7 @@ def resample(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_i
     spark = prepare(docs.sparkSession)
     rows = [tuple(r) for r in labelled_sample(labels, sample).collect()]
     tags = spark.createDataFrame(rows, "doc_id long, kind int")
-    ratios = log_ratios(count_ngrams(docs, tags))
+    ratios = log_ratios(*count_ngrams(docs, tags))
     seen = (docs.select("doc_id", "text").join(F.broadcast(tags), "doc_id"))
     seen = weigh(seen, ratios, ["doc_id", "kind"]).filter("log_weight IS NOT NULL")
     scored = seen.groupBy("doc_id", "kind").agg(F.min("log_weight").alias("w")).collect()  # <= sample
