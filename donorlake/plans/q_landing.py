@@ -64,11 +64,25 @@ def _a_bucket():
 
 @register("src4_archive_scan", with_views("SELECT * FROM landing_a", "landing_a"))
 def src4_archive_scan(spark, d):
+    """Archives are written as files and scanned; names hold quoted commas."""
     la = dm.landing_a(spark, d)
-    groups = fx.bucketed_lines(la, _a_bucket(), F.concat_ws("|", *A_COLS), F.col("filing_id").cast("long"))
-    zips = fx.zip_archives(groups, "|".join(A_COLS))
-    lines = ld.archive_lines(zips, mode="first_csv")
-    return ld.split_lines(lines, A_COLS, sep="|")
+    groups = fx.bucketed_lines(la, _a_bucket(), F.to_csv(F.struct(*A_COLS)), F.col("filing_id").cast("long"))
+    folder = fx.write_binary(fx.zip_archives(groups, ",".join(A_COLS)), scratch_path(spark, "src4"))
+    records = ld.archive_scan(spark, folder, mode="first_csv")
+    return ld.split_records(records, A_COLS)[0]
+
+
+@register("src4_archive_quarantine", with_views(
+    "SELECT count(*) FILTER (WHERE status <> 'P') AS good, count(*) FILTER (WHERE status = 'P') AS bad FROM landing_a",
+    "landing_a"))
+def src4_archive_quarantine(spark, d):
+    """Records that lack a field are set aside, and counted, not padded."""
+    la = dm.landing_a(spark, d)
+    line = F.when(F.col("status") == "P", F.to_csv(F.struct(*A_COLS[:-1]))).otherwise(F.to_csv(F.struct(*A_COLS)))
+    groups = fx.bucketed_lines(la, _a_bucket(), line, F.col("filing_id").cast("long"))
+    folder = fx.write_binary(fx.zip_archives(groups, ",".join(A_COLS)), scratch_path(spark, "src4q"))
+    good, bad = ld.split_records(ld.archive_scan(spark, folder, mode="first_csv"), A_COLS)
+    return good.agg(F.count("*").alias("good")).crossJoin(bad.agg(F.count("*").alias("bad")))
 
 
 @register("src5_workbook_scan", with_views(
@@ -82,9 +96,7 @@ def src5_workbook_scan(spark, d):
                      F.split_part("line_id", F.lit("_"), F.lit(2)).cast("long"))
     groups = fx.bucketed_lines(lb, bucket, F.array(*B_COLS), order)
     books = fx.workbooks(groups, B_COLS, date_cols=["ship_date"])  # dates land as ISO text
-    rows = ld.workbook_rows(books).filter(F.col("row_no") > 1)
-    return rows.select(*[F.coalesce(F.try_element_at("cells", F.lit(i + 1)), F.lit("")).alias(c)
-                         for i, c in enumerate(B_COLS)])
+    return ld.workbook_scan(spark, fx.write_binary(books, scratch_path(spark, "src5")), B_COLS)
 
 
 def _event_envelopes(spark, d, quoted: bool):
@@ -110,6 +122,18 @@ def src6_json_envelope_scan(spark, d):
     return ld.json_envelope_scan(env, "body", ["event_id", "event_type", "k"], path="$.d").drop("bucket")
 
 
+@register("src6_json_quarantine", """
+SELECT count(DISTINCT event_id // 100) FILTER (WHERE (event_id // 100) % 3 <> 0) AS readable,
+       count(DISTINCT event_id // 100) FILTER (WHERE (event_id // 100) % 3 = 0) AS unreadable FROM events""")
+def src6_json_quarantine(spark, d):
+    """Every third envelope is cut off: it is set aside, the others are read."""
+    env = _event_envelopes(spark, d, quoted=True)
+    env = env.withColumn("body", F.when(F.col("bucket") % 3 == 0, F.expr("left(body, length(body) - 8)"))
+                         .otherwise(F.col("body")))
+    rows, bad = ld.json_envelope_split(env, "body", ["event_id"], path="$.d")
+    return rows.agg(F.count_distinct("bucket").alias("readable")).crossJoin(bad.agg(F.count("*").alias("unreadable")))
+
+
 @register("src6_json_items_scan", _EVENTS_K_SQL)
 def src6_json_items_scan(spark, d):
     env = _event_envelopes(spark, d, quoted=False)

@@ -12,8 +12,12 @@ nothing is collected to the driver except file listings.
 
 from __future__ import annotations
 
+import csv
 import io
+import itertools
 import re
+import shutil
+import tempfile
 import zipfile
 from collections.abc import Iterator, Mapping, Sequence
 
@@ -173,78 +177,89 @@ def with_load_columns(df: DataFrame, **literals) -> DataFrame:
 
 # --- SRC4: archives ---------------------------------------------------------------------
 
-ARCHIVE_LINE_SCHEMA = T.StructType([
+ARCHIVE_RECORD_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType()),
     T.StructField("member", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("line", T.StringType()),
+    T.StructField("record_no", T.LongType()),
+    T.StructField("fields", T.ArrayType(T.StringType())),
 ])
 
+#: Records a task holds at once while it streams a member.
+RECORDS_AT_ONCE = 5000
+
+
+def _members(archive: zipfile.ZipFile, levels: int, prefix: str = "") -> Iterator[tuple]:
+    """(name, archive, entry) of every file, in order; an inner zip is opened
+    in its place while ``levels`` allow it and is spooled to disk, not held."""
+    for entry in archive.infolist():
+        if entry.is_dir():
+            continue
+        name = prefix + entry.filename
+        if levels > 0 and entry.filename.lower().endswith(".zip"):
+            with tempfile.SpooledTemporaryFile(max_size=16 << 20) as spool:
+                with archive.open(entry) as inner:
+                    shutil.copyfileobj(inner, spool)
+                yield from _members(zipfile.ZipFile(spool), levels - 1, f"{name}/")
+        else:
+            yield name, archive, entry
+
+
+def _records(archive: zipfile.ZipFile, entry, sep: str, quote: str | None, encoding: str) -> Iterator[list[list[str]]]:
+    """A member's records in chunks: quoted separators and line breaks stay in
+    their field, blank lines are skipped."""
+    how = {"quotechar": quote} if quote else {"quoting": csv.QUOTE_NONE}
+    with archive.open(entry) as raw:
+        text = io.TextIOWrapper(raw, encoding=encoding, errors="ignore", newline="")
+        reader = csv.reader(text, delimiter=sep, **how)
+        while chunk := [r for r in itertools.islice(reader, RECORDS_AT_ONCE)]:
+            yield chunk
+
+
+def archive_records(binary: DataFrame, mode: str = "all", member_pattern: str = r"\.(csv|txt)$",
+                    max_depth: int = 2, sep: str = ",", quote: str | None = '"',
+                    encoding: str = "utf-8") -> DataFrame:
+    """SRC4 on a ``binaryFile``-shaped frame (path, content): one row per
+    record. ``mode='all'`` reads every member whose name matches;
+    ``mode='first_csv'`` the first ``.csv`` found, looking into inner zips
+    ``max_depth`` - 1 levels deep (an archive without one is an error)."""
+    wanted = re.compile(member_pattern if mode == "all" else r"(?i)\.csv$")
+    levels = 0 if mode == "all" else max_depth - 1
 
-def _first_csv(zf: zipfile.ZipFile, max_depth: int):
-    depth = 0
-    while True:
-        if depth >= max_depth:
-            raise RuntimeError("nested zip deeper than allowed")
-        nxt = None
-        for info in zf.infolist():
-            name = info.filename.lower()
-            if name.endswith(".csv"):
-                return info.filename, zf.read(info)
-            if name.endswith(".zip"):
-                nxt = zipfile.ZipFile(io.BytesIO(zf.read(info)))
-                break
-        if nxt is None:
-            raise RuntimeError(f"no csv and no zip at depth {depth + 1}")
-        zf = nxt
-        depth += 1
-
-
-def _archive_lines(mode: str, member_pattern: str, max_depth: int):
-    rx = re.compile(member_pattern)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches):
+        csv.field_size_limit(2**31 - 1)
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"]):
-                zf = zipfile.ZipFile(io.BytesIO(bytes(content)))
+                found = ((n, z, e) for n, z, e in _members(zipfile.ZipFile(io.BytesIO(bytes(content))), levels)
+                         if wanted.search(n))
+                every, n = found, 0
                 if mode == "first_csv":
-                    members = [_first_csv(zf, max_depth)]
-                else:
-                    members = [(i.filename, zf.read(i)) for i in zf.infolist()
-                               if not i.filename.endswith("/") and rx.search(i.filename)]
-                for name, data in members:
-                    text = data.decode("utf-8", errors="ignore")
-                    lines = text.splitlines()
-                    yield pd.DataFrame({
-                        "archive": path, "member": name,
-                        "line_no": range(1, len(lines) + 1), "line": lines,
-                    })
-
-    return run
-
+                    found = itertools.islice(every, 1)  # ``every`` keeps inner zips open
+                for name, archive, entry in found:
+                    n, done = n + 1, 0
+                    for chunk in _records(archive, entry, sep, quote, encoding):
+                        rows = [(done + i, r) for i, r in enumerate(chunk, 1) if r]
+                        done += len(chunk)
+                        yield pd.DataFrame({"archive": path, "member": name, "record_no": [i for i, _ in rows],
+                                            "fields": [r for _, r in rows]})
+                if mode == "first_csv" and not n:
+                    raise ValueError(f"{path}: no csv member within {max_depth} levels")
 
-def archive_lines(binary: DataFrame, mode: str = "all", member_pattern: str = r"\.(csv|txt)$",
-                  max_depth: int = 2) -> DataFrame:
-    """SRC4 on a ``binaryFile``-shaped frame (path, content): one output row
-    per text line of each member. ``mode='first_csv'`` follows the first
-    csv, descending into a nested zip (depth limit as the source loader);
-    ``mode='all'`` reads every member whose name matches."""
-    return binary.select("path", "content").mapInPandas(
-        _archive_lines(mode, member_pattern, max_depth), ARCHIVE_LINE_SCHEMA)
+    return binary.select("path", "content").mapInPandas(run, ARCHIVE_RECORD_SCHEMA)
 
 
 def archive_scan(spark: SparkSession, path: str, **kw) -> DataFrame:
-    """SRC4: zip archives under ``path`` → (archive, member, line_no, line)."""
-    return archive_lines(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path), **kw)
+    """SRC4: zip archives under ``path`` → (archive, member, record_no, fields)."""
+    return archive_records(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path), **kw)
 
 
-def split_lines(lines: DataFrame, columns: Sequence[str], sep: str = ",", header: bool = True) -> DataFrame:
-    """Turn scanned lines into text columns (unquoted delimited text); the
-    member's first line is dropped when it is a header."""
+def split_records(records: DataFrame, columns: Sequence[str], header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """ROW1 for archive records: (rows of the right width as text columns,
+    the others as they are). A member's first record is its header."""
     if header:
-        lines = lines.filter(F.col("line_no") > 1)
-    parts = F.split(F.col("line"), re.escape(sep), -1)
-    return lines.select(*[F.try_element_at(parts, F.lit(i + 1)).alias(c) for i, c in enumerate(columns)])
+        records = records.filter(F.col("record_no") > 1)
+    fits = F.size("fields") == len(columns)
+    good = records.filter(fits).select(*[F.col("fields")[i].alias(c) for i, c in enumerate(columns)])
+    return good, records.filter(~fits)
 
 
 # --- SRC5: workbooks ------------------------------------------------------------------
@@ -292,13 +307,34 @@ def _date_styles(zf: zipfile.ZipFile) -> set[int]:
 
 
 def _serial_to_iso(v: str) -> str:
+    """ISO text of a serial number, to the nearest second; a number below 1
+    is a time of day."""
     import datetime as dt
 
-    t = dt.datetime(1899, 12, 30) + dt.timedelta(days=float(v))
-    t = t.replace(microsecond=0)
+    seconds = round(float(v) * 86_400)
+    t = dt.datetime(1899, 12, 30) + dt.timedelta(seconds=seconds)
+    if seconds < 86_400:
+        return t.time().isoformat()
     return t.date().isoformat() if t.time() == dt.time(0) else t.isoformat()
 
 
+def _sheet_parts(zf: zipfile.ZipFile) -> list[str]:
+    """Parts of the sheets in workbook order; in part order where the
+    workbook lists none."""
+    import xml.etree.ElementTree as ET
+
+    rel = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
+    names = set(zf.namelist())
+    if {"xl/workbook.xml", "xl/_rels/workbook.xml.rels"} <= names:
+        targets = {r.get("Id"): r.get("Target", "") for r in ET.fromstring(zf.read("xl/_rels/workbook.xml.rels"))}
+        listed = [targets.get(x.get(rel), "") for x in ET.fromstring(zf.read("xl/workbook.xml")).iter(f"{{{_NS['m']}}}sheet")]
+        listed = [t.lstrip("/") if t.startswith("/") else f"xl/{t}" for t in listed]
+        if listed and set(listed) <= names:
+            return listed
+    found = [n for n in names if re.match(r"xl/worksheets/sheet\d+\.xml$", n)]
+    return sorted(found, key=lambda n: int(re.search(r"(\d+)\.xml$", n).group(1)))
+
+
 def _sheet_rows(data: bytes, sheet_idx: int):
     import xml.etree.ElementTree as ET
 
@@ -309,9 +345,7 @@ def _sheet_rows(data: bytes, sheet_idx: int):
         root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
         for si in root.findall("m:si", _NS):
             shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-    sheets = sorted(n for n in zf.namelist() if re.match(r"xl/worksheets/sheet\d+\.xml$", n))
-    sheets.sort(key=lambda n: int(re.search(r"(\d+)\.xml$", n).group(1)))
-    root = ET.fromstring(zf.read(sheets[sheet_idx]))
+    root = ET.fromstring(zf.read(_sheet_parts(zf)[sheet_idx]))
     for row in root.iter(f"{{{_NS['m']}}}row"):
         cells: dict[int, str] = {}
         for c in row.findall("m:c", _NS):
@@ -324,6 +358,8 @@ def _sheet_rows(data: bytes, sheet_idx: int):
                 val = ""
             elif t == "s":
                 val = shared[int(v.text)]
+            elif t == "b":
+                val = "True" if v.text == "1" else "False"
             elif t in (None, "n") and int(c.get("s", "0")) in date_styles:
                 val = _serial_to_iso(v.text)  # date-formatted number → ISO text
             else:
@@ -361,21 +397,28 @@ def workbook_scan(spark: SparkSession, path: str, columns: Sequence[str], sheet_
 # --- SRC6 / ROW8: JSON ---------------------------------------------------------------------
 
 
-def json_envelope_scan(df: DataFrame, col: str, fields: Sequence[str], path: str = "$.d",
-                       quoted: bool = True, array_key: str = "Table") -> DataFrame:
-    """SRC6: rows out of an API envelope. ``path`` locates the payload
+def json_envelope_split(df: DataFrame, col: str, fields: Sequence[str], path: str = "$.d",
+                        quoted: bool = True, array_key: str = "Table") -> tuple[DataFrame, DataFrame]:
+    """SRC6: (rows, unreadable envelopes). ``path`` locates the payload
     (``$.d`` holding a *quoted* JSON string, or ``$.data.items`` holding the
     array directly); every element becomes a row with the listed keys as
-    text ('' when missing, ROW8)."""
+    text ('' when missing, ROW8). An envelope that is no JSON, is cut off, or
+    has no such array is unreadable; an empty array is read, with no rows."""
     payload = F.get_json_object(F.col(col), path)
     if quoted:
         payload = F.get_json_object(payload, f"$.{array_key}")
     elem = T.ArrayType(T.MapType(T.StringType(), T.StringType()))
-    arr = F.from_json(payload, elem)
-    rows = df.select(*[c for c in df.columns if c != col], F.explode_outer(arr).alias("_e"))
-    rows = rows.filter(F.col("_e").isNotNull())
-    return rows.select(*[c for c in df.columns if c != col],
-                       *[F.coalesce(F.col("_e")[k], F.lit("")).alias(k) for k in fields])
+    keys = [c for c in df.columns if c != col]
+    read = df.select(*df.columns, F.from_json(payload, elem).alias("_rows"))
+    rows = read.filter("_rows IS NOT NULL").select(*keys, F.explode("_rows").alias("_e"))
+    rows = rows.select(*keys, *[F.coalesce(F.col("_e")[k], F.lit("")).alias(k) for k in fields])
+    return rows, read.filter("_rows IS NULL").drop("_rows")
+
+
+def json_envelope_scan(df: DataFrame, col: str, fields: Sequence[str], path: str = "$.d",
+                       quoted: bool = True, array_key: str = "Table") -> DataFrame:
+    """SRC6: the rows of ``json_envelope_split``."""
+    return json_envelope_split(df, col, fields, path, quoted, array_key)[0]
 
 
 def nested_entity_scan(df: DataFrame, col: str, array_path: str, entity_key: str,
@@ -509,13 +552,13 @@ def itemization_scan(lines: DataFrame, columns: Sequence[str], prefix: str = "SA
 
 
 def route_by_filename(paths: Sequence[str], schemas: Mapping[str, Sequence[str]]) -> dict[str, list[str]]:
-    """SRC10: the first key contained in a file's (relative) path picks the
-    table; files matching no key are returned under ``None`` (skipped)."""
+    """SRC10: the key contained in a file's name picks the table, else the
+    one in the name of its folder (writers such as Spark name the folder);
+    files matching no key are returned under ``None`` (skipped)."""
     routes: dict = {}
     for p in paths:
-        # the key may sit in the folder: writers such as Spark name the files
-        name = p
-        key = next((k for k in schemas if k in name), None)
+        folder, name = ["", *p.rstrip("/").split("/")][-2:]
+        key = next((k for where in (name, folder) for k in schemas if k in where), None)
         routes.setdefault(key, []).append(p)
     return routes
 

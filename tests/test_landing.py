@@ -22,14 +22,43 @@ def test_archive_scan_nested_first_csv(spark, tmp_dir):
     with zipfile.ZipFile(os.path.join(tmp_dir, "flat.zip"), "w") as z:
         z.writestr("dir/", "")
         z.writestr("dir/x.csv", "a,b\n5,6\n")
-    lines = ld.archive_scan(spark, tmp_dir, mode="first_csv")
-    rows = ld.split_lines(lines, ["a", "b"]).collect()
+    records = ld.archive_scan(spark, tmp_dir, mode="first_csv")
+    rows = ld.split_records(records, ["a", "b"])[0].collect()
     assert sorted((r.a, r.b) for r in rows) == [("1", "2"), ("3", "4"), ("5", "6")]
     # mode "all" reads every matching top-level member (no descent)
     every = ld.archive_scan(spark, tmp_dir, mode="all", member_pattern=r"\.(txt|csv)$")
     assert sorted(r.member for r in every.select("member").distinct().collect()) == ["dir/x.csv", "notes.txt"]
 
 
+def test_archive_records_keep_quotes_and_set_bad_ones_aside(spark, tmp_dir):
+    text = 'id,name,amount\n1,"DOE, JANE",5\n2,"two\nlines",6\n3,a\u0085b,7\n4,short\n\n5,x,8,long\n'
+    with zipfile.ZipFile(os.path.join(tmp_dir, "a.zip"), "w") as z:
+        z.writestr("a.csv", text)
+    good, bad = ld.split_records(ld.archive_scan(spark, tmp_dir), ["id", "name", "amount"])
+    assert sorted(tuple(r) for r in good.collect()) == [
+        ("1", "DOE, JANE", "5"), ("2", "two\nlines", "6"), ("3", "a\u0085b", "7")]
+    assert sorted(r.fields for r in bad.collect()) == [["4", "short"], ["5", "x", "8", "long"]]
+
+
+def test_serials_round_to_the_nearest_second():
+    import datetime as dt
+
+    for s in range(0, 86_400, 7):
+        t = dt.datetime(2024, 2, 3) + dt.timedelta(seconds=s)
+        want = t.date().isoformat() if s == 0 else t.isoformat()
+        assert ld._serial_to_iso(f"{45325 + s / 86_400:.10f}") == want
+    assert ld._serial_to_iso("0.5") == "12:00:00"
+
+
+def test_unreadable_envelopes_are_set_aside(spark):
+    good = '{"d": "{\\"Table\\": [{\\"a\\": 1}]}"}'
+    df = spark.createDataFrame([(1, good), (2, good[:-9]), (3, "<html>"), (4, '{"d": "{\\"Table\\": []}"}')],
+                               "id int, body string")
+    rows, bad = ld.json_envelope_split(df, "body", ["a"])
+    assert [tuple(r) for r in rows.collect()] == [(1, "1")]
+    assert sorted(r.id for r in bad.collect()) == [2, 3]
+
+
 def test_workbook_roundtrip(spark, tmp_dir):
     groups = spark.createDataFrame([(0, [["a", "1"], ["b", ""]]), (1, [["c", "3"]])],
                                    "bucket long, lines array<array<string>>")
@@ -83,6 +112,8 @@ def test_map_headers_and_routing(spark):
     assert tuple(out.first()) == ("1", "Jane", "")
     routes = ld.route_by_filename(["/a/orders_2024.csv", "/a/misc.csv"], {"orders": ["x"]})
     assert routes == {"orders": ["/a/orders_2024.csv"], None: ["/a/misc.csv"]}
+    deep = "/data/line_items/run/orders_filing/part-0.csv"
+    assert ld.route_by_filename([deep], {"line_items": ["x"], "orders": ["y"]}) == {"orders": [deep]}
 
 
 def test_workbook_date_cells_land_as_iso(spark, tmp_dir):
