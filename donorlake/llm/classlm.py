@@ -106,52 +106,64 @@ def units_of(words: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------ word counts
 
-_ENTRY = np.dtype([("word", "<u8"), ("n", "<i8")])
+_UNIT = np.dtype([("unit", "<i8"), ("words", "<i8"), ("tokens", "<i8")])
+
+
+def _by_bucket(words: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Order that puts a batch's words bucket by bucket, and where each
+    bucket begins in it: sender and receiver agree on it, so an answer needs
+    no words."""
+    bucket = units_of(words) % n_buckets
+    order = np.argsort(bucket, kind="stable")
+    return order, np.searchsorted(bucket[order], np.arange(n_buckets + 1))
 
 
 def _send_words(n_buckets):
     def run(batches):
+        import zstandard
+
+        z = zstandard.ZstdCompressor(level=1)
         for b in _read(batches):
             train = np.repeat(~b.held, b.sizes)
-            e = np.empty(len(b.words), _ENTRY)
-            e["word"], e["n"] = b.words, np.bincount(b.tokens[train], minlength=len(b.words))
-            bucket = units_of(b.words) % n_buckets
-            by = np.argsort(bucket, kind="stable")
-            cut = np.searchsorted(bucket[by], np.arange(n_buckets + 1))
-            out = [(i, e[by[cut[i] : cut[i + 1]]].tobytes()) for i in range(n_buckets) if cut[i + 1] > cut[i]]
+            n = np.bincount(b.tokens[train], minlength=len(b.words)).astype("<i8")
+            order, cut = _by_bucket(b.words, n_buckets)
+            filled = [i for i in range(n_buckets) if cut[i + 1] > cut[i]]
+            part = lambda x, i: x[order[cut[i] : cut[i + 1]]].tobytes()
             yield pa.RecordBatch.from_pydict({
-                "bucket": pa.array([i for i, _ in out], pa.int32()),
-                "g": pa.array([b.g] * len(out), pa.int64()),
-                "entries": pa.array([x for _, x in out], pa.binary())})
+                "bucket": pa.array(filled, pa.int32()), "g": pa.array([b.g] * len(filled), pa.int64()),
+                "words": pa.array([part(b.words, i) for i in filled], pa.binary()),
+                "n": pa.array([z.compress(part(n, i)) for i in filled], pa.binary())})
     return run
 
 
 def _count_words(pdf: pd.DataFrame) -> pd.DataFrame:
-    parts = [np.frombuffer(x, _ENTRY) for x in pdf["entries"]]
-    e = np.concatenate(parts)
-    words, index = np.unique(e["word"], return_inverse=True)
+    import zstandard
+
+    z, d = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+    parts = [np.frombuffer(x, "<u8") for x in pdf["words"]]
+    words, index = np.unique(np.concatenate(parts), return_inverse=True)
     total = np.zeros(len(words), np.int64)
-    np.add.at(total, index, e["n"])
+    np.add.at(total, index, np.concatenate([np.frombuffer(d.decompress(x), "<i8") for x in pdf["n"]]))
     known = total > 0
-    unit = units_of(words[known])
-    of_unit = np.empty(len(np.unique(unit)), np.dtype([("unit", "<i8"), ("words", "<i8"), ("tokens", "<i8")]))
-    of_unit["unit"], at, of_unit["words"] = np.unique(unit, return_inverse=True, return_counts=True)
-    of_unit["tokens"] = np.bincount(at, weights=total[known], minlength=len(of_unit)).astype(np.int64) if len(at) else 0
-    answers, begin = [], 0
-    for p in parts:
-        x = np.empty(len(p), _ENTRY)
-        x["word"], x["n"] = p["word"], total[index[begin : begin + len(p)]]
-        begin += len(p)
-        answers.append(x[x["n"] > 0].tobytes())
-    return pd.DataFrame({"g": [*pdf["g"], -1], "entries": [*answers, of_unit.tobytes()]})
-
-
-def count_words(coded: DataFrame) -> DataFrame:
-    """Total training counts of the words of each batch (g), and with g = -1
-    the distinct words and tokens of each unit."""
-    n = int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sent = coded.mapInArrow(_send_words(n), "bucket int, g long, entries binary")
-    return materialise(sent.groupBy("bucket").applyInPandas(_count_words, "g long, entries binary"), "counts")
+    unit, at, n = np.unique(units_of(words[known]), return_inverse=True, return_counts=True)
+    of_unit = np.empty(len(unit), _UNIT)
+    of_unit["unit"], of_unit["words"] = unit, n
+    of_unit["tokens"] = np.bincount(at, weights=total[known], minlength=len(unit))
+    cut = np.concatenate([[0], np.cumsum([len(p) for p in parts])])
+    answers = [z.compress(total[index[a:b]].astype("<i8").tobytes()) for a, b in zip(cut, cut[1:])]
+    bucket = int(pdf["bucket"].iloc[0])
+    return pd.DataFrame({"g": [*pdf["g"], -1], "bucket": bucket, "n": [*answers, of_unit.tobytes()]})
+
+
+def n_buckets_of(coded: DataFrame) -> int:
+    return int(coded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def count_words(coded: DataFrame, n_buckets: int) -> DataFrame:
+    """Total training counts of the words of each batch (g) by bucket, and
+    with g = -1 the distinct words and tokens of each unit."""
+    sent = coded.mapInArrow(_send_words(n_buckets), "bucket int, g long, words binary, n binary")
+    return materialise(sent.groupBy("bucket").applyInPandas(_count_words, "g long, bucket int, n binary"), "counts")
 
 
 # ------------------------------------------------------------ clustering
@@ -273,7 +285,7 @@ class Model:
 def fit(coded: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
     words, tokens = np.zeros(UNITS, np.int64), np.zeros(UNITS, np.int64)
     for r in counts.filter("g = -1").collect():  # at most UNITS entries in all
-        e = np.frombuffer(bytes(r["entries"]), np.dtype([("unit", "<i8"), ("words", "<i8"), ("tokens", "<i8")]))
+        e = np.frombuffer(bytes(r["n"]), _UNIT)
         words[e["unit"]], tokens[e["unit"]] = e["words"], e["tokens"]
     of_unit = first_classes(tokens)
     for _ in range(rounds):
@@ -292,16 +304,19 @@ def fit(coded: DataFrame, counts: DataFrame, rounds: int = ROUNDS) -> Model:
                  int(tokens.sum()) + n_ends, int(words.sum()) + (n_ends > 0), n_ends)
 
 
-def _score(shared):
+def _score(shared, n_buckets):
     def run(batches):
+        import zstandard
+
+        d = zstandard.ZstdDecompressor()
         m = shared.value
         scale = np.log10(m.n_tokens + 0.5 * (m.n_types + 1))
         for b in _read(batches):
-            blobs = [np.frombuffer(x, _ENTRY) for x in b.extra["answers"] or []]
-            e = np.concatenate([np.empty(0, _ENTRY), *blobs])
-            at = np.searchsorted(b.words, e["word"])
+            order, cut = _by_bucket(b.words, n_buckets)
             n = np.zeros(len(b.words), np.int64)
-            n[at] = e["n"]
+            for x in b.extra["answers"] or []:
+                i = x["bucket"]
+                n[order[cut[i] : cut[i + 1]]] = np.frombuffer(d.decompress(x["n"]), "<i8")
             cls = m.of_unit[units_of(b.words)]
             begin = np.concatenate([[0], np.cumsum(b.sizes)])
             doc = np.repeat(np.arange(len(b.sizes)), b.sizes)
@@ -331,11 +346,12 @@ def class_lm(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     (log10) and perplexity of every row."""
     spark = prepare(docs.sparkSession)
     coded = code(docs)
-    counts = count_words(coded)
+    n_buckets = n_buckets_of(coded)
+    counts = count_words(coded, n_buckets)
     model = spark.sparkContext.broadcast(fit(coded, counts, rounds))
-    answers = counts.filter("g >= 0").groupBy("g").agg(F.collect_list("entries").alias("answers"))
+    answers = counts.filter("g >= 0").groupBy("g").agg(F.collect_list(F.struct("bucket", "n")).alias("answers"))
     scored = coded.join(answers, "g", "left").mapInArrow(
-        _score(model), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        _score(model, n_buckets), "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
         "base_score double, score double")
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 

@@ -208,7 +208,7 @@ def test_class_lm_base_counts_and_score(docs, pairs):
 
 def test_class_lm_probabilities_sum_to_one(docs):
     coded = classlm.code(docs)
-    counts = classlm.count_words(coded)
+    counts = classlm.count_words(coded, 5)
     m = classlm.fit(coded, counts, rounds=1)
     assert np.allclose((10.0 ** m.transition).sum(1), 1)
 
