@@ -10,6 +10,7 @@ value and the single expected city of its (state, zip).
 
 from __future__ import annotations
 
+from functools import reduce
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -145,36 +146,75 @@ def swap_city(df: DataFrame, zips: DataFrame, city: str = "city_norm", state: st
     return df.join(vocab, cond, "left").drop("_k0", "_k1", "_k2")
 
 
+def _folds() -> tuple[str, str]:
+    """Characters that a key folds and what they become: Latin letters lose
+    their accents, a-z become A-Z. Built from the character database."""
+    import unicodedata
+
+    src, dst = [], []
+    for code in (*range(0x61, 0x7B), *range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+        c = chr(code)
+        base = unicodedata.normalize("NFD", c)[0]
+        if base.isascii() and base.isalpha():
+            src.append(c)
+            dst.append(base.upper())
+    # Latin letters that have no accent to lose.
+    for c, base in {"ß": "S", "ø": "O", "æ": "A", "œ": "O", "ł": "L", "đ": "D", "ð": "D", "þ": "T"}.items():
+        src += dict.fromkeys([c, c.upper() if len(c.upper()) == 1 else c])
+        dst += [base] * len(dict.fromkeys([c, c.upper() if len(c.upper()) == 1 else c]))
+    return "".join(src), "".join(dst)
+
+
+KEY_FOLDS = _folds()
+#: Most edits between a value and the spelling it is merged into: one for
+#: every four characters, two at the most.
+EDITS_EVERY, MAX_EDITS = 4, 2
+
+
+def key_text(c: Column) -> Column:
+    """Letters and digits of any script, Latin ones folded; single spaces."""
+    s = F.regexp_replace(F.translate(c, *KEY_FOLDS), r"[^\p{L}\p{N} ]", " ")
+    return F.trim(F.regexp_replace(s, " +", " "))
+
+
 def fingerprint(c: Column) -> Column:
-    """Key collision: upper, punctuation removed, unique sorted tokens."""
-    toks = F.array_distinct(F.split(_squash(c), " "))
+    """Key collision: folded, punctuation removed, unique sorted tokens."""
+    toks = F.array_distinct(F.split(key_text(c), " "))
     return F.array_join(F.array_sort(toks), " ")
 
 
 def one_gram(c: Column) -> Column:
     """1-gram key: unique sorted characters, spaces dropped."""
-    chars = F.array_distinct(F.split(F.regexp_replace(_squash(c), " ", ""), ""))
+    chars = F.array_distinct(F.split(F.regexp_replace(key_text(c), " ", ""), ""))
     return F.array_join(F.array_sort(chars), "")
 
 
-def _merge_by_key(df: DataFrame, col: str, key_fn, out: str, weight: str | None = None) -> DataFrame:
+def _merge_by_key(df: DataFrame, col: str, key_fn, out: str, weight: str | None = None,
+                  near: bool = False) -> DataFrame:
     """Replace each value by the most common value sharing its key (ties:
-    lowest value). Counts are aggregated before the shuffle; ``weight``
-    names a row-count column when ``df`` is already a vocabulary."""
+    lowest value); a value with an empty key stays, and with ``near`` so does
+    one that is too many edits away. Counts are aggregated before the
+    shuffle; ``weight`` names a row-count column when ``df`` is already a
+    vocabulary."""
     n = F.sum(weight) if weight else F.count(F.lit(1))
     counts = (df.where(F.col(col).isNotNull()).groupBy(col).agg(n.alias("_n"))
-                .withColumn("_k", key_fn(F.col(col))))
+                .withColumn("_k", key_fn(F.col(col))).filter(F.length("_k") > 0))
     best = best_per_key(counts.select("_k", F.col(col).alias("_best"), "_n"), ["_k"],
                         [asc(-F.col("_n")), asc("_best")]).select("_k", "_best")
-    vocab = counts.join(best, "_k").select(col, F.col("_best").alias(out))
-    return df.join(vocab, col, "left")
+    vocab = counts.join(best, "_k")
+    if near:
+        edits = F.least(F.lit(MAX_EDITS), F.floor(F.length("_best") / EDITS_EVERY).cast("int"))
+        vocab = vocab.filter(F.levenshtein(key_text(F.col(col)), key_text(F.col("_best"))) <= edits)
+    vocab = vocab.select(col, F.col("_best").alias(out))
+    return df.join(vocab, col, "left").withColumn(out, F.coalesce(out, col))
 
 
 def cluster_merge(df: DataFrame, col: str, out: str, weight: str | None = None) -> DataFrame:
     """NRM13 without the validity check: key-collision merge, then 1-gram
-    merge; each value becomes the most common spelling of its cluster."""
+    merge within a few edits; each value becomes the most common spelling of
+    its cluster."""
     step1 = _merge_by_key(df, col, fingerprint, "_r1", weight)
-    return _merge_by_key(step1, "_r1", one_gram, out, weight).drop("_r1")
+    return _merge_by_key(step1, "_r1", one_gram, out, weight, near=True).drop("_r1")
 
 
 def refine_city(df: DataFrame, zips: DataFrame, city: str = "city_swap", state: str = "state_norm",
@@ -183,7 +223,7 @@ def refine_city(df: DataFrame, zips: DataFrame, city: str = "city_swap", state:
     when (city, state, zip) is a valid combination and the original does not
     start with a compass word; otherwise the input value stays."""
     step1 = _merge_by_key(df, city, fingerprint, "_r1", weight)
-    step2 = _merge_by_key(step1, "_r1", one_gram, "_r2", weight)
+    step2 = _merge_by_key(step1, "_r1", one_gram, "_r2", weight, near=True)
     valid = zips.select(F.col("city").alias("_r2"), F.col("state").alias(state), F.col("zip").alias(zip_col)) \
         .distinct().withColumn("_ok", F.lit(True))
     j = step2.join(valid, ["_r2", state, zip_col], "left")
@@ -239,41 +279,89 @@ def flag_missing(df: DataFrame, keys: Sequence[str], out: str = "na_flag") -> Da
 
 
 def flag_duplicates(df: DataFrame, ignore: Sequence[str], out: str = "dupe_flag") -> DataFrame:
-    """NRM3: rows whose other columns repeat. Counted per group with a
-    map-side combined aggregation, joined back on a row hash (a hot group
-    becomes a skewed join partition that AQE splits)."""
+    """NRM3: rows whose other columns repeat. Rows are counted by a 128-bit
+    hash of those columns (NULLs included), combined map-side; only the
+    hashes that repeat are joined back."""
     cols = [c for c in df.columns if c not in ignore]
-    h = F.xxhash64(*[F.col(c) for c in cols])
-    counted = df.withColumn("_h", h)
-    groups = counted.groupBy("_h", *cols).agg(F.count(F.lit(1)).alias("_n"))
-    keys = ["_h"] + cols
-    j = counted.alias("l").join(groups.alias("r"), [F.col(f"l.{k}").eqNullSafe(F.col(f"r.{k}")) for k in keys], "left")
-    return j.select(*[F.col(f"l.{c}") for c in df.columns], (F.col("r._n") > 1).alias(out))
+    parts = [x for c in cols for x in (F.col(c), F.col(c).isNull())]
+    hashed = df.withColumns({"_h1": F.xxhash64(*parts), "_h2": F.xxhash64(F.lit("second"), *parts)})
+    repeated = (hashed.groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+                .select("_h1", "_h2", F.lit(True).alias("_twice")))
+    return hashed.join(repeated, ["_h1", "_h2"], "left").select(
+        *df.columns, F.coalesce("_twice", F.lit(False)).alias(out))
 
 
 def distinct_profile(df: DataFrame, cols: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """NRM4: distinct count and share per column (exact by default;
-    ``approx`` uses HyperLogLog for very wide scans)."""
+    """NRM4: distinct count and share per column. Exact by default: each
+    column is grouped on its own (values combine map-side); ``approx`` uses
+    HyperLogLog in one pass."""
     cols = list(cols or df.columns)
-    cd = (lambda c: F.approx_count_distinct(c)) if approx else (lambda c: F.count_distinct(c))
-    wide = df.agg(F.count(F.lit(1)).alias("_rows"), *[cd(F.col(c)).alias(f"_d{i}") for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', _d{i}" for i, c in enumerate(cols))
-    out = wide.selectExpr("_rows", f"stack({len(cols)}, {stack}) AS (column, n_distinct)")
-    return out.select("column", "n_distinct", F.round(F.col("n_distinct") / F.nullif(F.col("_rows"), F.lit(0)), 6)
-                      .alias("p_distinct"))
+    total = df.agg(F.count(F.lit(1)).alias("_rows"))
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(c).alias(f"_d{i}") for i, c in enumerate(cols)])
+        stack = ", ".join(f"'{c}', _d{i}" for i, c in enumerate(cols))
+        counts = wide.selectExpr(f"stack({len(cols)}, {stack}) AS (column, n_distinct)")
+    else:
+        counts = reduce(DataFrame.unionByName, [
+            df.select(c).distinct().agg(F.count(c).alias("n_distinct")).select(F.lit(c).alias("column"), "n_distinct")
+            for c in cols])
+    return counts.crossJoin(total).select(
+        "column", "n_distinct", F.round(F.col("n_distinct") / F.nullif(F.col("_rows"), F.lit(0)), 6).alias("p_distinct"))
+
+
+#: Buckets of one step of ``exact_quantiles``.
+QUANTILE_BUCKETS = 1024
+
+
+def exact_quantiles(df: DataFrame, x: Column, shares: Sequence[float]) -> list[float | None]:
+    """Quantiles with linear interpolation, without sorting: the value of a
+    rank is found by counting rows in at most ``QUANTILE_BUCKETS`` buckets
+    of a range and going on in the one that holds the rank."""
+    values = df.select(x.cast("double").alias("x")).filter("x IS NOT NULL")
+    n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    if not n:
+        return [None for _ in shares]
+
+    def at(rank: int) -> float:
+        a, b, before = low, high, 0
+        while a < b:
+            width = (b - a) / QUANTILE_BUCKETS
+            bucket = F.least(F.lit(QUANTILE_BUCKETS - 1), F.floor((F.col("x") - F.lit(a)) / F.lit(width)))
+            part = values.filter(F.col("x").between(a, b)) if width > 0 else None
+            if part is None:
+                break
+            rows = sorted(part.groupBy(bucket.alias("bucket")).agg(
+                F.count("x").alias("n"), F.min("x").alias("a"), F.max("x").alias("b")).collect())
+            for r in rows:
+                if before + r["n"] > rank:
+                    a, b = r["a"], r["b"]
+                    break
+                before += r["n"]
+        return a
+
+    known: dict[int, float] = {}
+    out = []
+    for share in shares:
+        pos = (n - 1) * share
+        lo = int(pos)
+        ends = [known[r] if r in known else known.setdefault(r, at(r)) for r in (lo, min(lo + 1, n - 1))]
+        out.append(ends[0] + (ends[1] - ends[0]) * (pos - lo))
+    return out
 
 
 def amount_summary(df: DataFrame, col: str, exact: bool = True, digits: int | None = None) -> DataFrame:
-    """NRM5: min, quartiles, mean, max and share ≤ 0. Exact percentiles
-    (linear interpolation) merge value counts; ``exact=False`` uses the
+    """NRM5: min, quartiles, mean, max and share ≤ 0. Exact quartiles count
+    by buckets (no task holds all values); ``exact=False`` uses the
     bounded-memory approximate percentile."""
     x = F.col(col).cast("double")
+    names = {"q25": 0.25, "median": 0.5, "q75": 0.75}
     if exact:
-        q = [F.percentile(x, p).alias(n) for p, n in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))]
+        q = [F.lit(v).cast("double").alias(n) for n, v in zip(names, exact_quantiles(df, x, list(names.values())))]
     else:
-        q = [F.percentile_approx(x, p, 10000).alias(n) for p, n in ((0.25, "q25"), (0.5, "median"), (0.75, "q75"))]
-    out = df.agg(F.min(x).alias("min"), *q, F.avg(x).alias("mean"), F.max(x).alias("max"),
+        q = [F.percentile_approx(x, p, 10000).alias(n) for n, p in names.items()]
+    out = df.agg(F.min(x).alias("min"), *([] if exact else q), F.avg(x).alias("mean"), F.max(x).alias("max"),
                  (F.count_if(x <= 0) / F.count(x)).alias("p_nonpositive"))
+    out = out.select("min", *(q if exact else names), "mean", "max", "p_nonpositive")
     if digits is not None:  # report precision; summation order differs between engines
         out = out.select(*[F.round(c, digits).alias(c) for c in out.columns])
     return out
@@ -301,25 +389,28 @@ def tidy_text(df: DataFrame, date_cols: Mapping[str, str] | None = None) -> Data
 
 def progress_table(df: DataFrame, stages: Sequence[str], valid: DataFrame) -> DataFrame:
     """NRM14: per stage column: share of non-NULL values in the valid set,
-    distinct values, share NULL, values out of the set, distinct out.
-    One pass: the stage columns are unpivoted, joined once to the distinct
-    valid values (one column of ``valid``), and aggregated per stage."""
+    distinct values, share NULL, values out of the set, distinct out. The
+    rows are reduced once to the vocabulary of the stage columns with their
+    counts (checkpointed); each stage groups that."""
+    from donorlake.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
     vcol = valid.columns[0]
-    vals = valid.select(F.col(vcol).alias("_v")).distinct().withColumn("_ok", F.lit(True))
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(s).alias("stage"), F.col(s).cast("string").alias("_x")) for s in stages])).alias("_s")
-    ).select("_s.*")
-    j = long.join(vals, F.col("_x") == F.col("_v"), "left")
-    present = F.col("_x").isNotNull()
-    out_of = present & F.col("_ok").isNull()
-    return j.groupBy("stage").agg(
-        F.round(F.count_if(present & F.col("_ok").isNotNull()) / F.nullif(F.count_if(present), F.lit(0)), 6)
-        .alias("prop_in"),
-        F.count_distinct("_x").alias("n_distinct"),
-        F.round(F.count_if(~present) / F.count(F.lit(1)), 6).alias("prop_na"),
-        F.count_if(out_of).alias("n_out"),
-        F.count_distinct(F.when(out_of, F.col("_x"))).alias("n_diff"),
-    )
+    vals = valid.select(F.col(vcol).alias("_x")).filter("_x IS NOT NULL").distinct().withColumn("_ok", F.lit(True))
+    vocab = df.groupBy(*stages).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    parts = []
+    for s in stages:
+        words = vocab.groupBy(F.col(s).cast("string").alias("_x")).agg(F.sum("_n").alias("_n")).join(vals, "_x", "left")
+        present, inside = F.col("_x").isNotNull(), F.col("_ok").isNotNull()
+        rows = lambda c: F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0))
+        parts.append(words.agg(
+            F.round(rows(present & inside) / F.nullif(rows(present), F.lit(0)), 6).alias("prop_in"),
+            F.count("_x").alias("n_distinct"),
+            F.round(rows(~present) / F.nullif(rows(F.lit(True)), F.lit(0)), 6).alias("prop_na"),
+            rows(present & ~inside).alias("n_out"),
+            F.count_if(present & ~inside).alias("n_diff"),
+        ).select(F.lit(s).alias("stage"), "prop_in", "n_distinct", "prop_na", "n_out", "n_diff"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def changes(df: DataFrame, before: str, after: str) -> DataFrame:

@@ -160,27 +160,38 @@ FROM geo_norm g LEFT JOIN (SELECT state, zip, min(city) AS expect FROM zipref GR
   ON g.state_norm = e.state AND g.zip_norm = e.zip"""
 
 
+def _key_text(x):
+    folds, bases = nz.KEY_FOLDS
+    return (f"trim(regexp_replace(regexp_replace(translate({x}, '{folds}', '{bases}'), "
+            r"'[^\p{L}\p{N} ]', ' ', 'g'), ' +', ' ', 'g'))")
+
+
 def _fp(x):
-    return f"array_to_string(list_sort(list_distinct(string_split({_squash(x)}, ' '))), ' ')"
+    return f"array_to_string(list_sort(list_distinct(string_split({_key_text(x)}, ' '))), ' ')"
 
 
 def _gram(x):
-    return f"array_to_string(list_sort(list_distinct(string_split(replace({_squash(x)}, ' ', ''), ''))), '')"
+    return f"array_to_string(list_sort(list_distinct(string_split(replace({_key_text(x)}, ' ', ''), ''))), '')"
+
+
+_NEAR = (f"levenshtein({_key_text('c.v')}, {_key_text('w.best')}) <= least({nz.MAX_EDITS}, length(w.best) // {nz.EDITS_EVERY})")
 
 
-def _merge_sql(src_view, col, key_sql, out):
+def _merge_sql(src_view, col, key_sql, out, weight="1", near=False):
+    """Each value's most common spelling among those with the same key;
+    values with an empty key, or too far from it, stay."""
     return f"""
-SELECT s.*, b.best AS {out} FROM {src_view} s LEFT JOIN (
-  SELECT c.v, w.best FROM (SELECT v, n, {key_sql.format(x='v')} AS k FROM
-      (SELECT {col} AS v, count(*) AS n FROM {src_view} WHERE {col} IS NOT NULL GROUP BY {col})) c
-  JOIN (SELECT k, v AS best FROM (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY n DESC, v ASC) AS rn
-        FROM (SELECT v, n, {key_sql.format(x='v')} AS k FROM
-              (SELECT {col} AS v, count(*) AS n FROM {src_view} WHERE {col} IS NOT NULL GROUP BY {col})))
-        WHERE rn = 1) w ON c.k = w.k) b ON s.{col} = b.v"""
+SELECT s.*, coalesce(b.best, s.{col}) AS {out} FROM {src_view} s LEFT JOIN (
+  SELECT c.v, w.best
+  FROM (SELECT {col} AS v, {key_sql(col)} AS k FROM {src_view} WHERE {col} IS NOT NULL GROUP BY {col}) c
+  JOIN (SELECT k, arg_min(v, (-n, v)) AS best
+        FROM (SELECT {col} AS v, sum({weight}) AS n, {key_sql(col)} AS k FROM {src_view}
+              WHERE {col} IS NOT NULL GROUP BY {col}) WHERE k <> '' GROUP BY k) w
+    ON c.k = w.k{" AND " + _NEAR if near else ""}) b ON s.{col} = b.v"""
 
 
-GEO_R1_SQL = _merge_sql("geo_swap", "city_swap", _fp("{x}"), "r1")
-GEO_R2_SQL = _merge_sql("geo_r1", "r1", _gram("{x}"), "r2")
+GEO_R1_SQL = _merge_sql("geo_swap", "city_swap", _fp, "r1")
+GEO_R2_SQL = _merge_sql("geo_r1", "r1", _gram, "r2", near=True)
 GEO_REFINE_SQL = """
 SELECT g.* EXCLUDE (r1, r2),
   CASE WHEN z.city IS NOT NULL AND g.r2 <> g.city_swap AND NOT regexp_matches(g.city_swap, '^(NORTH|SOUTH|EAST|WEST)')
@@ -328,21 +339,11 @@ _WORDS_SQL = """SELECT word, count(*) AS n FROM (
   SELECT unnest(string_split_regex(text, '\\s+')) AS word FROM documents) WHERE length(word) > 0 GROUP BY word"""
 
 
-def _wmerge_sql(src, col, key_sql, out):
-    k = key_sql.format(x="v")
-    return f"""
-SELECT s.*, b.best AS {out} FROM {src} s LEFT JOIN (
-  SELECT c.v, w.best FROM (SELECT v, {k} AS k FROM (SELECT {col} AS v FROM {src} WHERE {col} IS NOT NULL GROUP BY {col})) c
-  JOIN (SELECT k, v AS best FROM (SELECT k, v, row_number() OVER (PARTITION BY k ORDER BY n DESC, v ASC) AS rn
-        FROM (SELECT v, n, {k} AS k FROM (SELECT {col} AS v, sum(n) AS n FROM {src} WHERE {col} IS NOT NULL
-                                          GROUP BY {col}))) WHERE rn = 1) w ON c.k = w.k) b ON s.{col} = b.v"""
-
-
 @register("nrm13_cluster_document_words", with_views(
     "SELECT word, n, word_refine FROM words_r2",
     extra={"words": _WORDS_SQL,
-           "words_r1": _wmerge_sql("words", "word", _fp("{x}"), "r1"),
-           "words_r2": _wmerge_sql("words_r1", "r1", _gram("{x}"), "word_refine")}))
+           "words_r1": _merge_sql("words", "word", _fp, "r1", "n"),
+           "words_r2": _merge_sql("words_r1", "r1", _gram, "word_refine", "n", near=True)}))
 def nrm13_cluster_document_words(spark, d):
     """Spelling clusters over every token of every document (whole texts):
     one aggregation to the weighted word vocabulary, then key-collision and

@@ -43,3 +43,23 @@ def test_profiles(spark):
     assert dups == [False, True, True]
     ch = nz.changes(spark.createDataFrame([("sc", "SC"), ("SC", "SC"), ("sc", "SC")], "a string, b string"), "a", "b")
     assert [tuple(r) for r in ch.collect()] == [("sc", "SC", 2)]
+
+
+def test_clusters_have_a_distance_bound(spark):
+    words = [("listen", 9), ("silent", 5), ("re", 9), ("er", 3), ("北京", 2), ("Москва", 3), ("---", 9), ("ü", 1),
+             ("GREENVILLE", 8), ("GREENVILEL", 1), ("Málaga", 1), ("malaga", 4), ("Main St.", 1), ("st main", 5), ("|", 2)]
+    df = spark.createDataFrame(words, "w string, n long")
+    got = {r.w: r.o for r in nz.cluster_merge(df, "w", "o", weight="n").collect()}
+    moved = {"GREENVILEL": "GREENVILLE", "Málaga": "malaga", "Main St.": "st main"}
+    assert got == {w: moved.get(w, w) for w, _ in words}
+
+
+def test_exact_quantiles_without_sorting(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    x = np.concatenate([np.round(rng.normal(0, 1e4, 3000), 2), np.full(2000, 7.25), [1e12]])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double").repartition(5)
+    got = nz.exact_quantiles(df, F.col("x"), [0, 0.25, 0.5, 0.75, 1])
+    assert np.allclose(got, np.quantile(x, [0, 0.25, 0.5, 0.75, 1]), rtol=1e-12)
+    assert nz.exact_quantiles(df.limit(0), F.col("x"), [0.5]) == [None]
