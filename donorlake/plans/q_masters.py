@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from donorlake.operators import aggregates as agg
-from donorlake.operators import dedup, joins
+from donorlake.operators import dedup, filters, joins
 from donorlake.operators.dedup import asc, desc
 from donorlake.operators import quality
 from donorlake.plans import domain as dm
@@ -215,6 +215,28 @@ def jn6_full_merge(spark, d):
     return joins.full_merge(a, b, "committee_id")
 
 
+@register("jn6_full_merge_one_side", with_views("""
+SELECT m.committee_id, m.name, m.n_rows, c.candidate_id IS NOT NULL AS has_candidate, c.n_filings
+FROM (SELECT coalesce(a.committee_id, b.committee_id) AS committee_id, a.name, b.n_rows, b.committee_id AS right_id
+      FROM (SELECT committee_id, name FROM committees_all WHERE source = 'A') a
+      FULL JOIN (SELECT committee_id, count(*) AS n_rows FROM contributions WHERE amount < 0 GROUP BY committee_id) b
+        ON a.committee_id = b.committee_id) m
+LEFT JOIN (SELECT committee_id, min(candidate_id) AS candidate_id, count(*) AS n_filings FROM conformed_a
+           GROUP BY committee_id) c ON m.right_id = c.committee_id""", "committees_all", "contributions", "conformed_a"))
+def jn6_full_merge_one_side(spark, d):
+    """A full outer merge, then a left join on the key of one side only: rows
+    that only the other side brought find nothing."""
+    a = dm.committees_a(spark, d).select("committee_id", "name")
+    b = (dm.contributions(spark, d).filter("amount < 0").groupBy("committee_id")
+         .agg(F.count(F.lit(1)).alias("n_rows")).withColumn("right_id", F.col("committee_id")))
+    c = dm.conformed_a(spark, d).groupBy("committee_id").agg(
+        F.min("candidate_id").alias("candidate_id"), F.count(F.lit(1)).alias("n_filings"))
+    merged = joins.full_merge(a, b, "committee_id")
+    out = joins.enrich(merged, c.withColumnRenamed("committee_id", "right_id"), "right_id")
+    return out.select("committee_id", "name", "n_rows", F.col("candidate_id").isNotNull().alias("has_candidate"),
+                      "n_filings")
+
+
 @register("jn8_without", with_views("""
 SELECT * FROM committees_all c
 WHERE NOT EXISTS (SELECT 1 FROM contributions x WHERE x.committee_id = c.committee_id)""",
@@ -346,7 +368,8 @@ def agg11_distinct_rows(spark, d):
 @register("agg12_high_water", with_views(
     "SELECT coalesce(max(ship_date), '20150101') AS high_water FROM landing_b", "landing_b"))
 def agg12_high_water(spark, d):
-    return dm.landing_b(spark, d).agg(F.coalesce(F.max("ship_date"), F.lit("20150101")).alias("high_water"))
+    mark = filters.high_water(dm.landing_b(spark, d), "ship_date", "20150101")
+    return spark.createDataFrame([(mark,)], "high_water string")
 
 
 @register("agg13_row_count", with_views("""
@@ -354,11 +377,9 @@ SELECT 'A' AS source, count(*) AS n_rows FROM conformed_a UNION ALL
 SELECT 'B', count(*) FROM conformed_b UNION ALL SELECT 'C', count(*) FROM conformed_c""",
     "conformed_a", "conformed_b", "conformed_c"))
 def agg13_row_count(spark, d):
-    return agg.union_all([
-        dm.conformed_a(spark, d).agg(F.lit("A").alias("source"), F.count(F.lit(1)).alias("n_rows")),
-        dm.conformed_b(spark, d).agg(F.lit("B").alias("source"), F.count(F.lit(1)).alias("n_rows")),
-        dm.conformed_c(spark, d).agg(F.lit("C").alias("source"), F.count(F.lit(1)).alias("n_rows")),
-    ])
+    tables = {"A": dm.conformed_a, "B": dm.conformed_b, "C": dm.conformed_c}
+    return spark.createDataFrame([(k, agg.row_count(f(spark, d))) for k, f in tables.items()],
+                                 "source string, n_rows long")
 
 
 # --- windows (one row per key / numbering) --------------------------------------
