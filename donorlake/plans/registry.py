@@ -36,5 +36,6 @@ def load_all() -> None:
         q_masters,
         q_normalize,
         q_quality,
+        q_specs,
         q_tables,
     )
