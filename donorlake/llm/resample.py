@@ -1,21 +1,27 @@
 """Quality classifier by importance resampling.
 
-Target text (labelled good and not toxic) and raw text (the labelled part of
-the corpus, good and bad as they come) are modelled as hashed n-grams: words
-and word pairs fall into ``BUCKETS`` buckets, and each model is the smoothed
-distribution over them. The log ratio of the two models is the importance
-weight. A document is as good
-as its worst passage, so weights are taken over passages of ``PASSAGE``
-words, and a document carries the least weight of its passages, of words or
-of pairs.
+Target text (labelled good and not toxic) and raw text (every document of the
+corpus, labelled or not) are modelled as hashed n-grams: words and word pairs
+fall into ``BUCKETS`` buckets, and each model is the smoothed distribution
+over them. The log ratio of the two models is the importance weight; an
+n-gram that good text never has weighs against a document, the more the more
+often the corpus has it. A document is as good as its worst passage, so
+weights are taken over passages of ``PASSAGE`` words, and a document carries
+the least weight of its passages, of words or of pairs. What labelled bad text
+says weighs too: the same passages are weighed by good against labelled text,
+for n-grams of labelled bad text only, on a scale on which both best cuts
+agree, and the lesser weight counts.
 Documents are drawn without replacement by Gumbel top-k: the k largest of
 weight + Gumbel noise (a hash of the document's id gives its noise, so
 reruns agree). k is the number of documents that the labels say to keep: the
 weight that best parts labelled good from labelled bad is found on the
 bounded sample, and k counts the perturbed weights above it in the corpus.
 
-The models are fitted on a bounded sample: at most ``SAMPLE`` labelled
-documents, the least by a hash of doc_id. Every document is weighed.
+The target model and the cut are fitted on a bounded sample: at most
+``SAMPLE`` labelled documents, the least by a hash of doc_id. For the cut a
+labelled document is weighed without its own n-grams in the labelled counts,
+as if it had no label. The raw model counts every document, and every
+document is weighed.
 
 Defined results: null and empty texts have no passage and are rejected;
 labels without a document are ignored; contradicting labels of one document
@@ -38,6 +44,8 @@ PASSAGE = 64
 #: Word pairs overlap, so their log ratios count for less.
 PAIR_SHARE = 0.4
 SMOOTHING = 5.0
+#: Standard errors of a count that a log ratio must exceed to say anything.
+ERRORS = 2.0
 SAMPLE = 20_000
 #: Width of the Gumbel noise against log weights.
 TEMPERATURE = 0.25
@@ -78,21 +86,22 @@ def passage_sums(values: np.ndarray, starts: np.ndarray, passage: int = PASSAGE)
 
 
 def _count(batches):
-    total = {}
+    """Sums over a task's documents: n-grams of all of them (n) and of those
+    labelled good and bad."""
+    total = {p: np.zeros((3, BUCKETS), np.int64) for p in PARTS}
     for batch in sliced(batches):
-        texts = texts_of(batch)
-        kind = np.asarray(batch.column("kind"))
-        word, pair, starts = ngram_buckets(texts)
-        of = np.repeat(kind, np.diff(starts))
-        for k in np.unique(kind):
-            for part, codes in zip(PARTS, (word, pair)):
-                n = np.bincount(codes[of == k], minlength=BUCKETS)
-                total[int(k), part] = total.get((int(k), part), 0) + n
-    for (k, part), n in total.items():
+        word, pair, starts = ngram_buckets(texts_of(batch))
+        kind = np.repeat(np.asarray(batch.column("kind")), np.diff(starts))
+        for part, codes in zip(PARTS, (word, pair)):
+            total[part][0] += np.bincount(codes, minlength=BUCKETS)
+            for k in (1, 2):
+                np.add.at(total[part][k], codes[kind == k], 1)
+    for part, (n, good, bad) in total.items():
         hit = np.flatnonzero(n)
-        yield pa.RecordBatch.from_pydict({
-            "kind": pa.array([k] * len(hit), pa.int32()),
-            "part": pa.array([PARTS.index(part)] * len(hit), pa.int32()), "bucket": pa.array(hit, pa.int32()), "n": pa.array(n[hit], pa.int64())})
+        for cut in np.array_split(hit, len(hit) // 50_000 + 1):
+            yield pa.RecordBatch.from_pydict({
+                "part": pa.array([PARTS.index(part)] * len(cut), pa.int32()), "bucket": pa.array(cut, pa.int32()),
+                "n": pa.array(n[cut], pa.int64()), "good": pa.array(good[cut], pa.int64()), "bad": pa.array(bad[cut], pa.int64())})
 
 
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -103,53 +112,117 @@ def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
             .agg((2 - good).cast("int").alias("kind")).orderBy(by, "doc_id").limit(sample))
 
 
-def count_ngrams(docs: DataFrame, sample: DataFrame) -> tuple[dict[tuple[int, str], np.ndarray], dict[str, int]]:
-    """Counts over the labelled documents by (kind, 'word' or 'pair')."""
-    tagged = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "kind")
-    seen = tagged.mapInArrow(freeing(_count, _INTERNED), "kind int, part int, bucket int, n long")
-    sums = seen.groupBy("part", "bucket").agg(*(
-        F.sum(F.when(F.col("kind") == k, F.col("n")).otherwise(0)).alias(f"n{k}") for k in (1, 2)))
-    # at most 2 x BUCKETS rows; what bad text never has is told by its total
-    got = sums.filter("n2 > 0").toArrow()
-    total = {r["part"]: r["n1"] for r in sums.groupBy("part").agg(F.sum("n1").alias("n1")).collect()}
-    out = {(k, p): np.zeros(BUCKETS) for k in (1, 2) for p in PARTS}
+def count_ngrams(docs: DataFrame, sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """part -> (occurrences in all documents, in the good and in the bad ones
+    of the sample) by bucket."""
+    tagged = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
+    tagged = tagged.select("text", F.coalesce("kind", F.lit(0)).alias("kind"))
+    seen = tagged.mapInArrow(freeing(_count, _INTERNED), "part int, bucket int, n long, good long, bad long")
+    # at most 2 x BUCKETS rows
+    sums = seen.groupBy("part", "bucket").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")))
+    got = sums.toArrow()
     part, bucket = got["part"].to_numpy(), got["bucket"].to_numpy()
-    for k, p in out:
-        rows = part == PARTS.index(p)
-        out[k, p][bucket[rows]] = got[f"n{k}"].to_numpy()[rows]
-    return out, {p: total.get(i, 0) for i, p in enumerate(PARTS)}
-
-
-def log_ratios(counts: dict, n_good: dict[str, int]) -> dict[str, np.ndarray]:
-    """log target probability - log raw probability of each bucket, shrunk
-    to 0 where little is known: occurrences in good text against those
-    expected from the labelled raw text, ``SMOOTHING`` added to both. Buckets
-    that bad text never has count as neutral. ``n_good``: n-grams of good text."""
     out = {}
-    for part in ("word", "pair"):
-        good, bad = counts[1, part], counts[2, part]
-        share = n_good[part] / max(1.0, n_good[part] + bad.sum())
-        ratio = np.log((good + SMOOTHING) / ((good + bad) * share + SMOOTHING))
-        out[part] = np.where(bad > 0, ratio, 0).astype(np.float32)
+    for i, p in enumerate(PARTS):
+        rows = part == i
+        out[p] = tuple(np.zeros(BUCKETS, np.int64) for _ in range(3))
+        for x, name in zip(out[p], ("n", "good", "bad")):
+            x[bucket[rows]] = got[name].to_numpy()[rows]
     return out
 
 
+def expected(counts: dict) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
+    """part -> (occurrences in good text, those in bad text, those expected in
+    good text if it were like the corpus, good share of the labelled text)."""
+    return {p: (good, bad, n * (good.sum() / max(1, n.sum())), good.sum() / max(1, good.sum() + bad.sum()))
+            for p, (n, good, bad) in counts.items()}
+
+
+def log_ratio(good: np.ndarray, want: np.ndarray) -> np.ndarray:
+    """log target probability - log raw probability, ``SMOOTHING`` added to
+    both counts. An n-gram of good text counts by what its ratio exceeds the
+    error of its count; one that good text never has counts in full."""
+    ratio = np.log((good + SMOOTHING) / (want + SMOOTHING))
+    sure = np.sign(ratio) * np.maximum(np.abs(ratio) - ERRORS / np.sqrt(want + SMOOTHING), 0)
+    return np.where(good > 0, sure, ratio).astype(np.float32)
+
+
+def contrast(good: np.ndarray, bad: np.ndarray, share: float) -> np.ndarray:
+    """The log ratio of good to labelled text; n-grams that bad text never
+    has are left to the raw model."""
+    ratio = np.log((good + SMOOTHING) / ((good + bad) * share + SMOOTHING))
+    return np.where(bad > 0, ratio, 0).astype(np.float32)
+
+
+def log_ratios(model: dict, scale: float) -> list[np.ndarray]:
+    """Ratios of words and pairs to the corpus, then to the labelled text."""
+    return [*(log_ratio(good, want) for good, _, want, _ in model.values()),
+            *(np.float32(scale) * contrast(good, bad, share) for good, bad, _, share in model.values())]
+
+
+def _least(word: np.ndarray, pair: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.minimum(passage_sums(word, starts), PAIR_SHARE * passage_sums(pair, starts))
+
+
+def _weigh_apart(model):
+    """Weights of labelled documents without their own labelled counts."""
+    def run(batches):
+        for batch in sliced(batches):
+            kind = np.asarray(batch.column("kind"))
+            word, pair, starts = ngram_buckets(texts_of(batch))
+            raw, labelled = [], []
+            for part, codes in zip(PARTS, (word, pair)):
+                good, bad, want, share = model.value[part]
+                own = np.zeros(len(codes), np.int64)
+                for i in np.flatnonzero(np.diff(starts)):
+                    rows = slice(starts[i], starts[i + 1])
+                    _, at, n = np.unique(codes[rows], return_inverse=True, return_counts=True)
+                    own[rows] = n[at]
+                of = np.repeat(kind, np.diff(starts))
+                n_good = np.maximum(good[codes] - own * (of == 1), 0)
+                n_bad = np.maximum(bad[codes] - own * (of == 2), 0)
+                raw.append(log_ratio(n_good, want[codes]))
+                labelled.append(contrast(n_good, n_bad, share))
+            weights = (pa.array(_least(*x, starts), pa.float64(), from_pandas=True) for x in (raw, labelled))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("kind"), *weights],
+                                             ["doc_id", "kind", "raw", "labelled"])
+    return run
+
+
+def fit_cut(docs: DataFrame, sample: DataFrame, model: dict) -> tuple[float, float]:
+    """(scale of the labelled weights, cut) on the sample's documents, weighed
+    as if unlabelled."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    seen = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "kind", "text"))
+    seen = seen.mapInArrow(freeing(_weigh_apart(shared), _INTERNED), "doc_id long, kind int, raw double, labelled double")
+    scored = (seen.filter("raw IS NOT NULL").groupBy("doc_id", "kind")
+              .agg(F.min("raw").alias("raw"), F.min("labelled").alias("labelled")).toArrow())  # <= sample
+    good = scored["kind"].to_numpy() == 1
+    if not good.any() or good.all():
+        return 1.0, float("-inf")
+    raw, labelled = scored["raw"].to_numpy(), scored["labelled"].to_numpy()
+    cuts = [best_cut(x[good], x[~good]) for x in (raw, labelled)]
+    scale = cuts[0] / cuts[1] if cuts[0] < 0 and cuts[1] < 0 else 1.0
+    weight = np.minimum(raw, scale * labelled)
+    return scale, best_cut(weight[good], weight[~good])
+
+
 def _weigh(model, keep):
     def run(batches):
-        word_ratio, pair_ratio = model.value
+        raw_word, raw_pair, labelled_word, labelled_pair = model.value
         for batch in sliced(batches):
             word, pair, starts = ngram_buckets(texts_of(batch))
-            weight = np.minimum(passage_sums(word_ratio[word], starts),
-                                PAIR_SHARE * passage_sums(pair_ratio[pair], starts))
+            weight = np.minimum(_least(raw_word[word], raw_pair[pair], starts),
+                                _least(labelled_word[word], labelled_pair[pair], starts))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(weight, pa.float64(), from_pandas=True)],
                 [*keep, "log_weight"])
     return run
 
 
-def weigh(docs: DataFrame, ratios: dict[str, np.ndarray], keep: list[str]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(
-        (ratios["word"], ratios["pair"]))
+def weigh(docs: DataFrame, ratios: list[np.ndarray], keep: list[str]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(ratios)
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
     return rows.mapInArrow(freeing(_weigh(shared, keep), _INTERNED), f"{fields}, log_weight double")
@@ -172,13 +245,9 @@ def resample(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_i
     spark = prepare(docs.sparkSession)
     rows = [tuple(r) for r in labelled_sample(labels, sample).collect()]
     tags = spark.createDataFrame(rows, "doc_id long, kind int")
-    ratios = log_ratios(*count_ngrams(docs, tags))
-    seen = (docs.select("doc_id", "text").join(F.broadcast(tags), "doc_id"))
-    seen = weigh(seen, ratios, ["doc_id", "kind"]).filter("log_weight IS NOT NULL")
-    scored = seen.groupBy("doc_id", "kind").agg(F.min("log_weight").alias("w")).collect()  # <= sample
-    good = np.array([r["w"] for r in scored if r["kind"] == 1])
-    bad = np.array([r["w"] for r in scored if r["kind"] == 2])
-    cut = best_cut(good, bad) if len(good) and len(bad) else float("-inf")
+    model = expected(count_ngrams(docs, tags))
+    scale, cut = fit_cut(docs, tags, model)
+    ratios = log_ratios(model, scale)
     # uniform in (0, 1) from the id
     u = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("gumbel")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
     noise = -F.log(-F.log(u))

@@ -334,6 +334,21 @@ def test_resampling_parts_good_from_bad(spark):
     assert all(r["kept"] for r in noisy[:k])
 
 
+def test_resampling_weighs_words_that_no_label_covers(spark):
+    """Unlabelled junk whose words no labelled text has: the raw model covers
+    the whole corpus, so it weighs less than any clean document."""
+    docs, labels = labelled(spark)
+    rng = random.Random(7)
+    junk = [(1000 + i, " ".join(rng.choice(["vile", "gross", "filth"] if p % 8 == 0 else [f"g{j}" for j in range(200)])
+                                for p in range(120))) for i in range(60)]
+    out = {r["doc_id"]: r for r in resample.resample(
+        docs.union(spark.createDataFrame(junk, docs.schema)), labels).collect()}
+    clean = [out[i]["log_weight"] for i in range(200, 400) if i % 4]
+    assert max(out[1000 + i]["log_weight"] for i in range(60)) < min(clean)
+    assert sum(out[1000 + i]["kept"] for i in range(60)) == 0
+    assert sum(out[i]["kept"] for i in range(200, 400) if i % 4) >= 148
+
+
 def test_resampling_edge_cases(docs, no_docs, spark):
     _, labels = labelled(spark)
     out = resample.resample(docs, labels).collect()
