@@ -13,9 +13,12 @@ for n-grams of labelled bad text only, on a scale on which both best cuts
 agree, and the lesser weight counts.
 Documents are drawn without replacement by Gumbel top-k: the k largest of
 weight + Gumbel noise (a hash of the document's id gives its noise, so
-reruns agree). k is the number of documents that the labels say to keep: the
-weight that best parts labelled good from labelled bad is found on the
-bounded sample, and k counts the perturbed weights above it in the corpus.
+reruns agree). k is the number of documents of the corpus whose weight, without
+noise, passes the cut that best parts labelled good from labelled bad; the
+k-th largest noisy weight is found exactly by counting. A document whose
+weight lies ``CLEAR`` or more under the cut takes no noise: all k that pass
+stay above it, whatever their noise, so it cannot be drawn. Rows that tie with
+the k-th (repeated rows of one document) are drawn with it.
 
 The target model and the cut are fitted on a bounded sample: at most
 ``SAMPLE`` labelled documents, the least by a hash of doc_id. For the cut a
@@ -36,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from donorlake.llm.util import LOWER, Interner, freeing, mix64, prepare, sliced, texts_of
+from donorlake.llm.util import LOWER, Interner, freeing, materialise, mix64, prepare, sliced, texts_of
 
 BUCKETS = 1 << 20
 PARTS = ("word", "pair")
@@ -49,6 +52,13 @@ ERRORS = 2.0
 SAMPLE = 20_000
 #: Width of the Gumbel noise against log weights.
 TEMPERATURE = 0.25
+#: Weight under the cut from which a document is clearly rejected. The least
+#: noise, -log(-log(2^-53)) = -3.61 temperatures, is less than that.
+CLEAR = 4 * TEMPERATURE
+#: Log ratios are multiples of this, so sums of them are exact in any order.
+STEP = 2.0 ** -16
+#: Bins that one round of the search for the k-th weight counts.
+BINS = 4096
 _INTERNED = Interner()
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -156,8 +166,9 @@ def contrast(good: np.ndarray, bad: np.ndarray, share: float) -> np.ndarray:
 
 def log_ratios(model: dict, scale: float) -> list[np.ndarray]:
     """Ratios of words and pairs to the corpus, then to the labelled text."""
-    return [*(log_ratio(good, want) for good, _, want, _ in model.values()),
-            *(np.float32(scale) * contrast(good, bad, share) for good, bad, _, share in model.values())]
+    ratios = [*(log_ratio(good, want) for good, _, want, _ in model.values()),
+              *(scale * contrast(good, bad, share) for good, bad, _, share in model.values())]
+    return [(np.round(x / STEP) * STEP).astype(np.float32) for x in ratios]
 
 
 def _least(word: np.ndarray, pair: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -239,6 +250,37 @@ def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
     return float(cuts[least[np.argmax(width[least])]])
 
 
+def kth_largest(values: DataFrame, k: int) -> float:
+    """The k-th largest of the double column ``x`` (no nulls): each round
+    counts ``BINS`` bins of the range that still holds it."""
+    if k < 1:
+        return float("inf")
+    low, high = values.agg(F.min("x"), F.max("x")).first()
+    if low is None or k > values.count():
+        return float("-inf")
+    x = F.col("x")
+    while low < high:
+        width = (high - low) / BINS
+        bin_of = F.least(F.floor((x - F.lit(low)) / F.lit(width)), F.lit(BINS - 1)) if width > 0 else (x > low).cast("int")
+        bins = (values.filter(x.between(low, high)).groupBy(bin_of.alias("bin"))
+                .agg(F.count("*").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+                .collect())  # <= BINS
+        for r in sorted(bins, key=lambda r: -r["bin"]):
+            if k <= r["n"]:
+                break
+            k -= r["n"]
+        low, high = r["low"], r["high"]
+    return low
+
+
+def perturbed(weighed: DataFrame, cut: float) -> DataFrame:
+    """``weighed`` with noisy_weight."""
+    # uniform in (0, 1) from the id
+    u = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("gumbel")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
+    noise = F.when(F.col("log_weight") > F.lit(cut - CLEAR), F.lit(-TEMPERATURE) * F.log(-F.log(u))).otherwise(0.0)
+    return weighed.withColumn("noisy_weight", F.col("log_weight") + noise)
+
+
 def resample(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_id",),
              sample: int = SAMPLE) -> DataFrame:
     """Columns ``keep`` with log_weight, noisy_weight and kept."""
@@ -248,12 +290,14 @@ def resample(docs: DataFrame, labels: DataFrame, keep: tuple[str, ...] = ("doc_i
     model = expected(count_ngrams(docs, tags))
     scale, cut = fit_cut(docs, tags, model)
     ratios = log_ratios(model, scale)
-    # uniform in (0, 1) from the id
-    u = (F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("gumbel")), F.lit(1 << 52)) + 0.5) / float(1 << 52)
-    noise = -F.log(-F.log(u))
-    weighed = weigh(docs, ratios, list(keep)).withColumn("noisy_weight", F.col("log_weight") + F.lit(TEMPERATURE) * noise)
-    # the k largest noisy weights are those above the cut, k their number
-    return weighed.withColumn("kept", F.coalesce(F.col("noisy_weight") > F.lit(cut), F.lit(False)))
+    # two doubles a document are written, not its text
+    drawn = perturbed(weigh(docs, ratios, ["doc_id"]), cut).filter("log_weight IS NOT NULL")
+    drawn = materialise(drawn.select("log_weight", F.col("noisy_weight").alias("x")), "weights")
+    k = drawn.filter(F.col("log_weight") > F.lit(cut)).count()
+    least = kth_largest(drawn, k)
+    weighed = perturbed(weigh(docs, ratios, list(dict.fromkeys([*keep, "doc_id"]))), cut)
+    kept = F.coalesce(F.col("noisy_weight") >= F.lit(least), F.lit(False))
+    return weighed.withColumn("kept", kept).select(*dict.fromkeys(keep), "log_weight", "noisy_weight", "kept")
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -349,6 +349,39 @@ def test_resampling_weighs_words_that_no_label_covers(spark):
     assert sum(out[i]["kept"] for i in range(200, 400) if i % 4) >= 148
 
 
+def test_resampling_draws_k_and_no_clear_reject(spark, monkeypatch):
+    """k documents pass the cut and k are drawn; those far under the cut stay
+    out, however large their noise."""
+    from pyspark.sql import functions as F
+
+    docs, labels = labelled(spark)
+    seen = {}
+    fit = resample.fit_cut
+    monkeypatch.setattr(resample, "fit_cut", lambda *a: seen.setdefault("fit", fit(*a)))
+    out = resample.resample(docs, labels).collect()
+    cut = seen["fit"][1]
+    assert sum(r["kept"] for r in out) == sum(r["log_weight"] > cut for r in out)
+    least = min(r["noisy_weight"] for r in out if r["kept"])
+    assert all(r["kept"] == (r["noisy_weight"] >= least) for r in out)
+    # many documents just past clear rejection: noise returned some of them
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 10_000, 0.5).otherwise(
+        -resample.CLEAR).alias("log_weight"))
+    noisy = resample.perturbed(rows, 0.0).select("doc_id", F.col("noisy_weight").alias("x"))
+    least = resample.kth_largest(noisy, 10_000)
+    assert noisy.filter((F.col("x") >= least) & (F.col("doc_id") >= 10_000)).count() == 0
+    assert noisy.filter(F.col("x") >= least).count() == 10_000
+
+
+def test_kth_largest(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(size=5000), np.full(300, 0.25), [-1e9, 1e9, 1e-12, 2e-12]])
+    df = spark.createDataFrame([(float(v),) for v in x], "x double")
+    want = np.sort(x)[::-1]
+    for k in (1, 2, 17, 2000, len(x)):
+        assert resample.kth_largest(df, k) == want[k - 1]
+    assert resample.kth_largest(df, 0) == float("inf")
+
+
 def test_resampling_edge_cases(docs, no_docs, spark):
     _, labels = labelled(spark)
     out = resample.resample(docs, labels).collect()
