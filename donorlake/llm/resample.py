@@ -7,7 +7,8 @@ over them. The log ratio of the two models is the importance weight; an
 n-gram that good text never has weighs against a document, the more the more
 often the corpus has it. A document is as good as its worst passage, so
 weights are taken over passages of ``PASSAGE`` words, and a document carries
-the least weight of its passages, of words or of pairs. What labelled bad text
+the least weight of its passages, of words or of pairs; the sum over a text of
+n < ``PASSAGE`` words counts sqrt(PASSAGE / n) times. What labelled bad text
 says weighs too: the same passages are weighed by good against labelled text,
 for n-grams of labelled bad text only, on a scale on which both best cuts
 agree, and the lesser weight counts.
@@ -172,7 +173,10 @@ def log_ratios(model: dict, scale: float) -> list[np.ndarray]:
 
 
 def _least(word: np.ndarray, pair: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.minimum(passage_sums(word, starts), PAIR_SHARE * passage_sums(pair, starts))
+    """Weight of the worst passage. The spread of a sum goes with the root of
+    its terms, so a shorter text is brought to the scale of a full passage."""
+    sums = np.minimum(passage_sums(word, starts), PAIR_SHARE * passage_sums(pair, starts))
+    return sums * np.sqrt(PASSAGE / np.clip(np.diff(starts), 1, PASSAGE))
 
 
 def _weigh_apart(model):

@@ -372,6 +372,22 @@ def test_resampling_draws_k_and_no_clear_reject(spark, monkeypatch):
     assert noisy.filter(F.col("x") >= least).count() == 10_000
 
 
+def test_resampling_judges_short_texts_on_their_scale(spark):
+    """Two bad words among twelve weigh as much as they would in a passage."""
+    docs, labels = labelled(spark)
+    rng = random.Random(9)
+    short = []
+    for i in range(60):
+        w = [f"g{rng.randrange(200)}" for _ in range(12)]
+        if i < 30:
+            w[3], w[8] = rng.choice(["awful", "nasty"]), "rotten"
+        short.append((2000 + i, " ".join(w)))
+    out = {r["doc_id"]: r["kept"] for r in resample.resample(
+        docs.union(spark.createDataFrame(short, docs.schema)), labels).collect()}
+    assert sum(out[2000 + i] for i in range(30)) == 0
+    assert sum(out[2030 + i] for i in range(30)) == 30
+
+
 def test_kth_largest(spark):
     rng = np.random.default_rng(1)
     x = np.concatenate([rng.normal(size=5000), np.full(300, 0.25), [-1e9, 1e9, 1e-12, 2e-12]])
