@@ -35,6 +35,8 @@ texts; other columns are carried only when named in ``keep``.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -58,6 +60,8 @@ TEMPERATURE = 0.25
 CLEAR = 4 * TEMPERATURE
 #: Log ratios are multiples of this, so sums of them are exact in any order.
 STEP = 2.0 ** -16
+#: Buckets whose counts travel together.
+CHUNK = 1 << 14
 #: Bins that one round of the search for the k-th weight counts.
 BINS = 4096
 _INTERNED = Interner()
@@ -99,6 +103,8 @@ def passage_sums(values: np.ndarray, starts: np.ndarray, passage: int = PASSAGE)
 def _count(batches):
     """Sums over a task's documents: n-grams of all of them (n) and of those
     labelled good and bad."""
+    import zstandard
+
     total = {p: np.zeros((3, BUCKETS), np.int64) for p in PARTS}
     for batch in sliced(batches):
         word, pair, starts = ngram_buckets(texts_of(batch))
@@ -107,12 +113,26 @@ def _count(batches):
             total[part][0] += np.bincount(codes, minlength=BUCKETS)
             for k in (1, 2):
                 np.add.at(total[part][k], codes[kind == k], 1)
-    for part, (n, good, bad) in total.items():
-        hit = np.flatnonzero(n)
-        for cut in np.array_split(hit, len(hit) // 50_000 + 1):
-            yield pa.RecordBatch.from_pydict({
-                "part": pa.array([PARTS.index(part)] * len(cut), pa.int32()), "bucket": pa.array(cut, pa.int32()),
-                "n": pa.array(n[cut], pa.int64()), "good": pa.array(good[cut], pa.int64()), "bad": pa.array(bad[cut], pa.int64())})
+    z = zstandard.ZstdCompressor(level=1)
+    chunks = range(0, BUCKETS, CHUNK)
+    for i, part in enumerate(PARTS):
+        yield pa.RecordBatch.from_pydict({
+            "chunk": pa.array([i * BUCKETS + c for c in chunks], pa.int32()),
+            "counts": pa.array([z.compress(total[part][:, c : c + CHUNK].tobytes()) for c in chunks], pa.binary())})
+
+
+def _add(batches):
+    """Sums of the counts of each chunk, one batch at a time."""
+    import zstandard
+
+    d, z, total = zstandard.ZstdDecompressor(), zstandard.ZstdCompressor(level=1), {}
+    for batch in batches:
+        for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts")):
+            x = np.frombuffer(d.decompress(counts.as_py()), np.int64)
+            total[chunk] = total[chunk] + x if chunk in total else x
+    yield pa.RecordBatch.from_pydict({
+        "chunk": pa.array(list(total), pa.int32()),
+        "counts": pa.array([z.compress(x.tobytes()) for x in total.values()], pa.binary())})
 
 
 def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -126,26 +146,24 @@ def labelled_sample(labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
 def count_ngrams(docs: DataFrame, sample: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """part -> (occurrences in all documents, in the good and in the bad ones
     of the sample) by bucket."""
+    import zstandard
+
     tagged = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
     tagged = tagged.select("text", F.coalesce("kind", F.lit(0)).alias("kind"))
-    seen = tagged.mapInArrow(freeing(_count, _INTERNED), "part int, bucket int, n long, good long, bad long")
-    # at most 2 x BUCKETS rows
-    sums = seen.groupBy("part", "bucket").agg(*(F.sum(c).alias(c) for c in ("n", "good", "bad")))
-    got = sums.toArrow()
-    part, bucket = got["part"].to_numpy(), got["bucket"].to_numpy()
-    out = {}
-    for i, p in enumerate(PARTS):
-        rows = part == i
-        out[p] = tuple(np.zeros(BUCKETS, np.int64) for _ in range(3))
-        for x, name in zip(out[p], ("n", "good", "bad")):
-            x[bucket[rows]] = got[name].to_numpy()[rows]
-    return out
+    schema = "chunk int, counts binary"
+    sums = tagged.mapInArrow(freeing(_count, _INTERNED), schema).repartition("chunk").mapInArrow(_add, schema)
+    table, d = np.zeros((len(PARTS), 3, BUCKETS), np.int64), zstandard.ZstdDecompressor()
+    for r in sums.collect():  # 2 x BUCKETS / CHUNK rows
+        part, at = divmod(r["chunk"], BUCKETS)
+        table[part, :, at : at + CHUNK] = np.frombuffer(d.decompress(bytes(r["counts"])), np.int64).reshape(3, -1)
+    return {p: tuple(x) for p, x in zip(PARTS, table)}
 
 
 def expected(counts: dict) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray, float]]:
     """part -> (occurrences in good text, those in bad text, those expected in
     good text if it were like the corpus, good share of the labelled text)."""
-    return {p: (good, bad, n * (good.sum() / max(1, n.sum())), good.sum() / max(1, good.sum() + bad.sum()))
+    return {p: (good.astype(np.int32), bad.astype(np.int32), (n * (good.sum() / max(1, n.sum()))).astype(np.float32),
+                good.sum() / max(1, good.sum() + bad.sum()))
             for p, (n, good, bad) in counts.items()}
 
 
@@ -179,15 +197,29 @@ def _least(word: np.ndarray, pair: np.ndarray, starts: np.ndarray) -> np.ndarray
     return sums * np.sqrt(PASSAGE / np.clip(np.diff(starts), 1, PASSAGE))
 
 
-def _weigh_apart(model):
+def _packed(spark, model):
+    """Broadcast of a compressed model: each executor keeps a copy on disk."""
+    import zstandard
+
+    return spark.sparkContext.broadcast(zstandard.ZstdCompressor(level=3).compress(pickle.dumps(model)))
+
+
+def _unpacked(shared):
+    import zstandard
+
+    return pickle.loads(zstandard.ZstdDecompressor().decompress(shared.value))
+
+
+def _weigh_apart(shared):
     """Weights of labelled documents without their own labelled counts."""
     def run(batches):
+        model = _unpacked(shared)
         for batch in sliced(batches):
             kind = np.asarray(batch.column("kind"))
             word, pair, starts = ngram_buckets(texts_of(batch))
             raw, labelled = [], []
             for part, codes in zip(PARTS, (word, pair)):
-                good, bad, want, share = model.value[part]
+                good, bad, want, share = model[part]
                 own = np.zeros(len(codes), np.int64)
                 for i in np.flatnonzero(np.diff(starts)):
                     rows = slice(starts[i], starts[i + 1])
@@ -207,7 +239,7 @@ def _weigh_apart(model):
 def fit_cut(docs: DataFrame, sample: DataFrame, model: dict) -> tuple[float, float]:
     """(scale of the labelled weights, cut) on the sample's documents, weighed
     as if unlabelled."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = _packed(docs.sparkSession, model)
     seen = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
             .select(F.col("doc_id").cast("long").alias("doc_id"), "kind", "text"))
     seen = seen.mapInArrow(freeing(_weigh_apart(shared), _INTERNED), "doc_id long, kind int, raw double, labelled double")
@@ -223,9 +255,9 @@ def fit_cut(docs: DataFrame, sample: DataFrame, model: dict) -> tuple[float, flo
     return scale, best_cut(weight[good], weight[~good])
 
 
-def _weigh(model, keep):
+def _weigh(shared, keep):
     def run(batches):
-        raw_word, raw_pair, labelled_word, labelled_pair = model.value
+        raw_word, raw_pair, labelled_word, labelled_pair = _unpacked(shared)
         for batch in sliced(batches):
             word, pair, starts = ngram_buckets(texts_of(batch))
             weight = np.minimum(_least(raw_word[word], raw_pair[pair], starts),
@@ -237,7 +269,7 @@ def _weigh(model, keep):
 
 
 def weigh(docs: DataFrame, ratios: list[np.ndarray], keep: list[str]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    shared = _packed(docs.sparkSession, ratios)
     rows = docs.select(*dict.fromkeys([*keep, "text"]))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in keep)
     return rows.mapInArrow(freeing(_weigh(shared, keep), _INTERNED), f"{fields}, log_weight double")
