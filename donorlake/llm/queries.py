@@ -8,7 +8,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from donorlake.llm import bpe, bwt, classlm, decontaminate, langid, pii, quality_rules, resample, rlz, superminhash
+from donorlake.llm import (bpe, bwt, classlm, decontaminate, divergence, fptree, langid, pii, quality_rules, resample,
+                           rlz, superminhash, tokencount)
 from donorlake.llm.util import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -198,3 +199,68 @@ FROM words LEFT JOIN hit USING (rid) LEFT JOIN ids USING (rid)
 def op10_decontaminate(spark, sf_dir):
     return decontaminate.digest(
         decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+_LOWER_TEXT = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  regexp_extract_all({_LOWER_TEXT}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT rid, lang, source, unnest(w) AS term FROM d),
+vocab AS (SELECT lang, term, count(*) AS n FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= {divergence.MIN_DOCS}),
+cnt AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN vocab USING (lang, term) GROUP BY ALL),
+grp AS (SELECT DISTINCT lang, source FROM d),
+tot AS (SELECT lang, source, sum(n) AS total FROM cnt GROUP BY lang, source),
+lng AS (SELECT lang, count(*) AS v, sum(n) AS total FROM vocab GROUP BY lang),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+             1 + ({divergence.SCALE}::HUGEINT * (coalesce(c.n, 0) + {divergence.SMOOTH}))
+               // (coalesce(tot.total, 0) + {divergence.SMOOTH} * lng.v)::HUGEINT AS p,
+             1 + ({divergence.SCALE}::HUGEINT * (k.n + {divergence.SMOOTH}))
+               // (lng.total + {divergence.SMOOTH} * lng.v)::HUGEINT AS q
+      FROM grp g JOIN vocab k USING (lang) JOIN lng USING (lang) LEFT JOIN tot USING (lang, source)
+      LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+parts AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM ranked
+WHERE part = 'pair' OR rank <= {divergence.TOP_TERMS}
+"""
+
+
+@query("op11_source_divergence", OP11_SQL)
+def op11_source_divergence(spark, sf_dir):
+    return divergence.digest(divergence.audit(table(spark, sf_dir, "documents")))
+
+
+@query("op12_token_counts")
+def op12_token_counts(spark, sf_dir):
+    return tokencount.digest(tokencount.count_tokens(table(spark, sf_dir, "documents")))
+
+
+OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid,
+                  regexp_extract_all({_LOWER_TEXT}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, row_number() OVER () AS iid,
+             regexp_extract_all({_LOWER_TEXT}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM benchmark),
+asked AS (SELECT iid, unnest(w) AS term FROM i),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM asked) GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+total AS (SELECT count(*) AS n, sum(len(w)) AS l FROM d WHERE len(w) > 0),
+m AS (SELECT rid, doc_id, 75 + (25 * len(w)::HUGEINT * total.n) // total.l AS m FROM d, total WHERE len(w) > 0),
+weight AS (SELECT term, floor(1000 * ln((2 * total.n + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM df, total),
+score AS (SELECT iid, rid, doc_id, sum(w * ((1000000000 * tf)::BIGINT // (1000 * tf + 12 * m)))::BIGINT AS score
+          FROM asked JOIN weight USING (term) JOIN tf USING (term) JOIN m USING (rid) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked JOIN i USING (iid) WHERE rank <= {fptree.TOP}
+"""
+
+
+@query("op13_fp_tree_search", OP13_SQL)
+def op13_fp_tree_search(spark, sf_dir):
+    return fptree.digest(fptree.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))

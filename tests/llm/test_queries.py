@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in Q.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", q)[1]) for q in Q.QUERIES) == list(range(1, 14))
     assert set(Q.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
