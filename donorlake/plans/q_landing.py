@@ -36,6 +36,18 @@ def src1_delimited_scan(spark, d):
     return good
 
 
+@register("src1_multiline_scan", with_views("""
+SELECT * REPLACE (CASE WHEN status = 'F' THEN employer || chr(10) || 'c/o "' || contributor_name || '"' ELSE employer END
+                  AS employer) FROM landing_a""", "landing_a"))
+def src1_multiline_scan(spark, d):
+    """Quoted fields with line breaks, commas and quotes, over many splits."""
+    la = dm.landing_a(spark, d)
+    name = F.concat(F.col("employer"), F.lit('\nc/o "'), F.col("contributor_name"), F.lit('"'))
+    la = la.withColumn("employer", F.when(F.col("status") == "F", name).otherwise(F.col("employer")))
+    path = _csv(la, scratch_path(spark, "src1m"))
+    return ld.split_valid(ld.multiline_scan(spark, path, A_COLS, glob="*.csv", split_bytes=256 << 10))[0]
+
+
 @register("src2_scan_years", with_views(
     "SELECT *, substr(ship_date, 1, 4) AS year FROM landing_b", "landing_b"))
 def src2_scan_years(spark, d):
@@ -72,6 +84,16 @@ def src4_archive_scan(spark, d):
     return ld.split_records(records, A_COLS)[0]
 
 
+@register("src4_archive_members", with_views("SELECT * FROM landing_a", "landing_a"))
+def src4_archive_members(spark, d):
+    """Every csv member of every archive, the members dealt over the tasks."""
+    la = dm.landing_a(spark, d)
+    groups = fx.bucketed_lines(la, _a_bucket(), F.to_csv(F.struct(*A_COLS)), F.col("filing_id").cast("long"))
+    folder = fx.write_binary(fx.zip_archives(groups, ",".join(A_COLS), nested_every=0), scratch_path(spark, "src4m"))
+    records = ld.archive_scan(spark, folder, member_pattern=r"\.csv$", split_bytes=16 << 10)
+    return ld.split_records(records, A_COLS)[0]
+
+
 @register("src4_archive_quarantine", with_views(
     "SELECT count(*) FILTER (WHERE status <> 'P') AS good, count(*) FILTER (WHERE status = 'P') AS bad FROM landing_a",
     "landing_a"))

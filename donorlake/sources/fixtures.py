@@ -119,20 +119,23 @@ def workbooks(groups: DataFrame, header: Sequence[str], date_cols: Sequence[str]
 
 
 def write_binary(df: DataFrame, folder: str) -> str:
-    """Write (path, content) rows as files under a POSIX-visible folder
-    (local or a mounted shared folder). Used by tests and local runs."""
-    import os
+    """Write (path, content) rows as files of the shared folder. A file is
+    written under a hidden name and renamed, so a task that runs again never
+    leaves half a file."""
 
-    from donorlake.session import local_path
+    def run(batches):
+        import uuid
 
-    root = local_path(folder)
+        from donorlake.sources.ranges import filesystem
 
-    def run(batches):
-        os.makedirs(root, exist_ok=True)
+        fs, root = filesystem(folder)
+        fs.create_dir(root, recursive=True)
         for pdf in batches:
             for p, c in zip(pdf["path"], pdf["content"]):
-                with open(os.path.join(root, p), "wb") as fh:
-                    fh.write(bytes(c))
+                aside = f"{root}/.{uuid.uuid4().hex}"
+                with fs.open_output_stream(aside) as out:
+                    out.write(bytes(c))
+                fs.move(aside, f"{root}/{p}")
             yield pd.DataFrame({"n": [len(pdf)]})
 
     df.mapInPandas(run, "n long").agg(F.sum("n")).collect()
