@@ -3,23 +3,22 @@
 * replace a slice = dynamic partition overwrite on a *derived* physical
   partition column (year, month, status…); a slice named by the caller that
   the new data no longer holds is cleared;
-* key merges (delete+insert) touch only the hash buckets that hold the new
-  keys: their merged content is written aside first and then replaces those
-  buckets, so nothing is overwritten while it is read;
-* unseen keys are appended, nothing is rewritten;
+* key merges (delete+insert) and appends of unseen keys keep versions of a
+  table of immutable files (``keyed.py``);
 * every write is idempotent on re-run (same batch → same partitions).
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from donorlake.operators.joins import without
-from donorlake.session import scratch_path
+from donorlake.operators.keyed import append_new, keyed, merge_replace  # noqa: F401  (SNK4, SNK5)
 
 
 def full_refresh(df: DataFrame, path: str) -> str:
@@ -37,7 +36,6 @@ def replace_slice(df: DataFrame, path: str, slice_cols: Sequence[str],
        .partitionBy(*slice_cols).parquet(path))
     if slices:
         spark = df.sparkSession
-        # one row a slice
         present = {tuple(map(str, r)) for r in df.select(*slice_cols).distinct().collect()}
         for s in slices:
             if tuple(str(s[c]) for c in slice_cols) not in present:
@@ -71,63 +69,11 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-#: Buckets of a keyed table. A merge rewrites the buckets its keys fall in.
-BUCKETS = 16
-_BUCKET = "key_bucket"
-
-
-def _bucketed(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    return df.withColumn(_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-
-
 def exists(spark: SparkSession, path: str) -> bool:
     fs, p, _ = _fs(spark, path)
     return fs.exists(p)
 
 
-def keyed(spark: SparkSession, path: str) -> DataFrame | None:
-    """The rows of a keyed table, None where nothing was written yet."""
-    return spark.read.parquet(path).drop(_BUCKET) if exists(spark, path) else None
-
-
-def merge_replace(new: DataFrame, path: str, key: str, high_water: str | None = None,
-                  buckets: int = BUCKETS) -> DataFrame:
-    """SNK4: delete the rows whose key occurs in ``new`` and insert ``new``.
-    With ``high_water`` only rows of ``new`` whose value there is above the
-    table's largest are taken (a row with a NULL there is always taken)."""
-    spark = new.sparkSession
-    # rebalanced by bucket: few files a bucket, large buckets split over tasks
-    write = lambda df, to: (df.hint("rebalance", _BUCKET).write.mode("overwrite")
-                            .option("partitionOverwriteMode", "dynamic").partitionBy(_BUCKET).parquet(to))
-    if not exists(spark, path):
-        write(_bucketed(new, key, buckets), path)
-        return keyed(spark, path)
-    table = spark.read.parquet(path)
-    if high_water:
-        top = table.agg(F.max(high_water)).first()[0]
-        if top is not None:
-            new = new.filter((F.col(high_water) > F.lit(top)) | F.col(high_water).isNull())
-    aside = scratch_path(spark, "merge")
-    incoming = f"{aside}/new"
-    write(_bucketed(new, key, buckets), incoming)
-    incoming = spark.read.schema(table.schema).parquet(incoming)
-    touched = [r[0] for r in incoming.select(_BUCKET).distinct().collect()]  # at most ``buckets``
-    if touched:
-        kept = without(table.filter(F.col(_BUCKET).isin(touched)), incoming, key)
-        write(kept.unionByName(incoming), f"{aside}/merged")
-        write(spark.read.schema(table.schema).parquet(f"{aside}/merged"), path)
-    return keyed(spark, path)
-
-
-def append_new(new: DataFrame, path: str, key: str, buckets: int = BUCKETS) -> DataFrame:
-    """SNK5: append only rows whose key the table does not hold yet."""
-    spark = new.sparkSession
-    table = keyed(spark, path)
-    unseen = new if table is None else without(new, table, key)
-    _bucketed(unseen, key, buckets).hint("rebalance", _BUCKET).write.mode("append").partitionBy(_BUCKET).parquet(path)
-    return keyed(spark, path)
-
-
 class BuildStopped(RuntimeError):
     """Raised by ``build`` when a model breaks its rules; ``report`` holds
     (model, rule, violations) of every rule that ran."""
