@@ -3,17 +3,17 @@
 A corpus has far fewer distinct whitespace chunks than chunks, and white space
 never lies inside a term, so terms are taken from chunks, not from texts:
 
-1. Documents are coded once into batches: the distinct chunks of the batch
-   and, for each document, which of them it has and how often.
-2. A batch sends each of its distinct chunks once to the bucket of the chunk's
-   hash. A bucket tokenises every distinct chunk it ever sees once and answers
+1. Documents are coded once into batches: the distinct chunks of the batch,
+   by the bucket of their hash, and, for each document, which of them it has
+   and how often.
+2. A batch sends each of its distinct chunks once to its bucket. A bucket tokenises every distinct chunk it ever sees once and answers
    each batch with the terms, in the order in which the chunks came.
 3. The batch joins the terms back. A document that has a term in several
    chunks counts once for it, so distinct documents are counted here, inside
    the document; occurrences are added up. Each batch sends out one row for
    each (lang, source, term).
 
-Sums by (lang, source, term) and by (lang, term) follow, terms in fewer than
+Sums by (lang, source, term) and over (lang, term) follow in one shuffle, terms in fewer than
 ``MIN_DOCS`` documents of a language go, and every (lang, source) group is
 compared with the others over all kept terms: with p = 1 + floor(10^9 (count +
 5) / (N + 5 V)), the distance of two groups is the sum of abs(p - p'), where a
@@ -35,20 +35,23 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from donorlake.llm.util import Interner, freeing, materialise, mix64, prepare, sliced, texts_of
+from donorlake.llm.util import freeing, materialise, mix64, prepare, texts_of
 
 MIN_DOCS = 30
 TOP_TERMS = 50
 SCALE = 1_000_000_000
 SMOOTH = 5
-BATCH_BYTES = 8 << 20
+#: Text that is coded together: distinct chunks are fewer in more text.
+BATCH_BYTES = 24 << 20
+#: Counts a task combines before it sends them out.
+HELD_ROWS = 2_000_000
 SOURCE_BLOCK = 128
 TERM_BLOCK = 4096
-_HASHED = Interner()
 
 #: Every byte outside the term class becomes a space, A-Z becomes a-z.
 TERM_BYTES = bytes(
@@ -70,81 +73,86 @@ class _Numbers(dict):
         return n
 
 
-def _code(batches):
-    import zstandard
+def _code(n_buckets):
+    def run(batches):
+        part, k, coder = TaskContext.get().partitionId(), 0, _Coder()
+        for batch in batches:
+            for text, lang, source in zip(texts_of(batch), batch.column("lang").to_pylist(), batch.column("source").to_pylist()):
+                coder.add(text, lang, source)
+                if coder.size >= BATCH_BYTES:
+                    yield coder.row((part << 32) + k, n_buckets)
+                    k, coder = k + 1, _Coder()
+        if coder.group:
+            yield coder.row((part << 32) + k, n_buckets)
+    return run
 
-    z = zstandard.ZstdCompressor(level=1)
-    part, k = TaskContext.get().partitionId(), 0
-    for batch in sliced(batches, limit=BATCH_BYTES):
-        chunks, groups = _Numbers(), _Numbers()
-        group, sizes, ids, counts = [], [], [], []
-        for text, lang, source in zip(texts_of(batch), batch.column("lang").to_pylist(), batch.column("source").to_pylist()):
-            words = text.split()
-            at, n = np.unique(np.fromiter(map(chunks.__getitem__, words), np.int64, len(words)), return_counts=True)
-            group.append(groups[lang, source])
-            sizes.append(len(at))
-            ids.append(at)
-            counts.append(n)
-        packed = lambda x: z.compress(np.concatenate(x).astype("<i4").tobytes())
-        yield pa.RecordBatch.from_pydict({
-            "g": pa.array([(part << 32) + k], pa.int64()),
-            "langs": pa.array([[a for a, _ in groups]], pa.list_(pa.string())),
-            "sources": pa.array([[b for _, b in groups]], pa.list_(pa.string())),
-            "doc_group": pa.array([group], pa.list_(pa.int32())),
-            "sizes": pa.array([sizes], pa.list_(pa.int32())),
-            "n": pa.array([sum(sizes)], pa.int64()),
-            "ids": pa.array([packed(ids)], pa.binary()),
-            "counts": pa.array([packed(counts)], pa.binary()),
-            "chunks": pa.array([z.compress(b" ".join(chunks))], pa.large_binary())})
-        k += 1
-
-
-_CODED = ("g long, langs array<string>, sources array<string>, doc_group array<int>, sizes array<int>, n long, "
-          "ids binary, counts binary, chunks binary")
-
-
-def code(docs: DataFrame) -> DataFrame:
-    """One row a batch of documents (columns text, lang, source without nulls)."""
-    rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
-    return materialise(rows.mapInArrow(_code, _CODED), "coded")
 
+class _Coder:
+    """Distinct chunks of some documents, and which each document has."""
 
-def _chunks_of(blob: bytes) -> list[bytes]:
-    import zstandard
+    def __init__(self):
+        self.chunks, self.groups = _Numbers(), _Numbers()
+        self.group, self.sizes, self.ids, self.counts = [], [], [], []
+        self.size = 0
 
-    return zstandard.ZstdDecompressor().decompressobj().decompress(blob).split()
+    def add(self, text: bytes, lang: str, source: str) -> None:
+        counted = Counter(text.split())
+        self.ids.append(np.fromiter(map(self.chunks.__getitem__, counted), np.int32, len(counted)))
+        self.counts.append(np.fromiter(counted.values(), np.int32, len(counted)))
+        self.sizes.append(len(counted))
+        self.group.append(self.groups[lang, source])
+        self.size += len(text) + 100
 
+    def row(self, g: int, n_buckets: int) -> pa.RecordBatch:
+        """Chunks are numbered bucket by bucket, so that a bucket's chunks
+        and its answer are a range of numbers."""
+        import zstandard
 
-def _by_bucket(chunks: list[bytes], n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order that puts chunks bucket by bucket, and where each bucket begins:
-    sender and receiver agree on it, so an answer needs no chunks."""
-    bucket = (mix64(_HASHED.ids(chunks)) % np.uint64(n_buckets)).astype(np.int64)
-    order = np.argsort(bucket, kind="stable")
-    return order, np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+        z = zstandard.ZstdCompressor(level=3)
+        chunks = [*self.chunks]
+        bucket = (mix64(np.fromiter(map(xxhash.xxh3_64_intdigest, chunks), np.uint64, len(chunks)))
+                  % np.uint64(n_buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cut = np.searchsorted(bucket[order], np.arange(n_buckets + 1)).tolist()
+        place = np.empty(len(chunks), np.int32)
+        place[order] = np.arange(len(chunks))
+        filled = [i for i in range(n_buckets) if cut[i + 1] > cut[i]]
+        packed = lambda x: z.compress(x.astype("<i4").tobytes())
+        sent = [{"bucket": i, "chunks": z.compress(b" ".join([chunks[j] for j in order[cut[i] : cut[i + 1]]]))}
+                for i in filled]
+        return pa.RecordBatch.from_pydict({
+            "g": pa.array([g], pa.int64()),
+            "langs": pa.array([[a for a, _ in self.groups]], pa.list_(pa.string())),
+            "sources": pa.array([[b for _, b in self.groups]], pa.list_(pa.string())),
+            "doc_group": pa.array([self.group], pa.list_(pa.int32())),
+            "sizes": pa.array([self.sizes], pa.list_(pa.int32())),
+            "ids": pa.array([packed(place[np.concatenate(self.ids)])], pa.binary()),
+            "counts": pa.array([packed(np.concatenate(self.counts))], pa.binary()),
+            "cut": pa.array([cut], pa.list_(pa.int32())),
+            "sent": pa.array([sent], pa.list_(pa.struct([("bucket", pa.int32()), ("chunks", pa.binary())])))})
+
+
+_CODED = ("g long, langs array<string>, sources array<string>, doc_group array<int>, sizes array<int>, "
+          "ids binary, counts binary, cut array<int>, sent array<struct<bucket: int, chunks: binary>>")
+
+
+def code(docs: DataFrame, n_buckets: int) -> DataFrame:
+    """One row for each batch of documents."""
+    rows = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("text", "lang", "source")))
+    return materialise(rows.mapInArrow(freeing(_code(n_buckets)), _CODED), "coded")
 
 
-def _send(n_buckets):
-    def run(batches):
-        import zstandard
+def _unpack(blob: bytes) -> bytes:
+    import zstandard
 
-        z = zstandard.ZstdCompressor(level=1)
-        for batch in batches:
-            for g, blob in zip(batch.column("g").to_pylist(), batch.column("chunks").to_pylist()):
-                chunks = _chunks_of(blob)
-                order, cut = _by_bucket(chunks, n_buckets)
-                filled = [i for i in range(n_buckets) if cut[i + 1] > cut[i]]
-                yield pa.RecordBatch.from_pydict({
-                    "bucket": pa.array(filled, pa.int32()), "g": pa.array([g] * len(filled), pa.int64()),
-                    "chunks": pa.array([z.compress(b" ".join([chunks[j] for j in order[cut[i] : cut[i + 1]]]))
-                                        for i in filled], pa.binary())})
-    return run
+    return zstandard.ZstdDecompressor().decompressobj().decompress(blob)
 
 
 def _tokenise(batches):
     """Terms of every distinct chunk of the task's buckets, made once."""
     import zstandard
 
-    z = zstandard.ZstdCompressor(level=1)
+    z = zstandard.ZstdCompressor(level=3)
     known: dict[bytes, bytes] = {}
 
     def look_up(chunk):
@@ -154,80 +162,98 @@ def _tokenise(batches):
         return found
 
     for batch in batches:
-        answers = [z.compress(b"\n".join(map(look_up, _chunks_of(x)))) for x in batch.column("chunks").to_pylist()]
+        answers = [z.compress(b"\n".join(map(look_up, _unpack(x).split()))) for x in batch.column("chunks").to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [batch.column("g"), batch.column("bucket"), pa.array(answers, pa.binary())], ["g", "bucket", "terms"])
     known.clear()
 
 
-def _rejoin(n_buckets):
-    def run(batches):
-        import zstandard
-
-        z = zstandard.ZstdDecompressor()
-        unpack = lambda x: np.frombuffer(z.decompressobj().decompress(x), "<i4").astype(np.int64)
-        for rows in batches:
-            for i in range(rows.num_rows):
-                row = {c: rows.column(c)[i].as_py() for c in rows.schema.names}
-                chunks = _chunks_of(row["chunks"])
-                order, cut = _by_bucket(chunks, n_buckets)
-                numbers = _Numbers()
-                found: list[list[int]] = [[] for _ in chunks]
-                for a in row["answers"] or []:
-                    lines = z.decompressobj().decompress(a["terms"]).split(b"\n")
-                    for j, line in zip(order[cut[a["bucket"]] : cut[a["bucket"] + 1]].tolist(), lines, strict=True):
-                        found[j] = [numbers[t] for t in line.split()]
-                yield from _batches_of(count_terms(row, found, len(numbers), unpack), [*numbers], row)
-    return run
-
-
-def count_terms(row: dict, found: list[list[int]], n_terms: int, unpack) -> tuple[np.ndarray, ...]:
-    """(group, term, documents, occurrences) of a batch from the terms of its
-    chunks."""
-    width = np.array([len(x) for x in found], np.int64)
+def _rejoin(batches):
+    """Counts of a task's batches by (lang, source, term), combined while
+    they are few enough to hold."""
+    held, n = [], 0
+    for rows in batches:
+        for i in range(rows.num_rows):
+            row = {c: rows.column(c)[i].as_py() for c in rows.schema.names}
+            numbers = _Numbers()
+            width, flat = np.zeros(row["cut"][-1], np.int64), {}
+            for a in row["answers"] or []:
+                first = row["cut"][a["bucket"]]
+                split = [x.split() for x in _unpack(a["terms"]).split(b"\n")]
+                if first + len(split) != row["cut"][a["bucket"] + 1]:
+                    raise ValueError(f"bucket {a['bucket']} answered {len(split)} chunks")
+                width[first : first + len(split)] = [len(x) for x in split]
+                flat[first] = np.array([numbers[t] for x in split for t in x], np.int64)
+            flat = np.concatenate([np.empty(0, np.int64), *(flat[k] for k in sorted(flat))])
+            held.append(_table(count_terms(row, width, flat, len(numbers)), [*numbers], row))
+            n += held[-1].num_rows
+            if n > HELD_ROWS:
+                held = [_combined(held)]
+                n = held[0].num_rows
+                if n > HELD_ROWS // 2:
+                    yield from held[0].to_batches(max_chunksize=50_000)
+                    held, n = [], 0
+    if held:
+        yield from _combined(held).to_batches(max_chunksize=50_000)
+
+
+def _combined(tables: list[pa.Table]) -> pa.Table:
+    if len(tables) == 1:
+        return tables[0]
+    keys = ["lang", "source", "term"]
+    found = pa.concat_tables(tables).group_by(keys, use_threads=False).aggregate([("docs", "sum"), ("n", "sum")])
+    return found.select([*keys, "docs_sum", "n_sum"]).rename_columns([*keys, "docs", "n"]).combine_chunks()
+
+
+def count_terms(row: dict, width: np.ndarray, flat: np.ndarray, n_terms: int) -> tuple[np.ndarray, ...]:
+    """(group, term, documents, occurrences) of a batch. Chunk c has
+    ``width[c]`` terms, one after the other in ``flat``."""
     begin = np.cumsum(width) - width
-    flat = np.array([t for x in found for t in x], np.int64)
-    ids, counts = unpack(row["ids"]), unpack(row["counts"])
+    ids, counts = (np.frombuffer(_unpack(row[c]), "<i4") for c in ("ids", "counts"))
     sizes, group = np.array(row["sizes"], np.int64), np.array(row["doc_group"], np.int64)
-    doc = np.repeat(np.arange(len(sizes)), sizes)
     w = width[ids]
     at = np.repeat(begin[ids] - np.cumsum(w) + w, w) + np.arange(w.sum())
     # one entry for each document and term
-    key, inverse = np.unique(np.repeat(doc, w) * n_terms + flat[at], return_inverse=True)
-    n = np.zeros(len(key), np.int64)
-    np.add.at(n, inverse, np.repeat(counts, w))
+    key = np.repeat(np.repeat(np.arange(len(sizes)), sizes) * n_terms, w) + flat[at]
+    key, n = _summed(key, np.repeat(counts, w).astype(np.int64))
     doc, term = np.divmod(key, max(n_terms, 1))
-    key, inverse, docs = np.unique(group[doc] * n_terms + term, return_inverse=True, return_counts=True)
-    total = np.zeros(len(key), np.int64)
-    np.add.at(total, inverse, n)
-    group, term = np.divmod(key, max(n_terms, 1))
+    key = group[doc] * n_terms + term
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    docs = np.diff(np.append(first, len(key)))
+    total = np.add.reduceat(n[order], first) if len(first) else n
+    group, term = np.divmod(key[order][first], max(n_terms, 1))
     return group, term, docs, total
 
 
-def _batches_of(counted, names: list[bytes], row: dict, limit: int = 50_000):
+def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.diff(key, prepend=-1))
+    return key[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
+def _table(counted, names: list[bytes], row: dict) -> pa.Table:
     group, term, docs, n = counted
-    names = pa.array([x.decode() for x in names], pa.string())
-    langs, sources = pa.array(row["langs"], pa.string()), pa.array(row["sources"], pa.string())
-    for a in range(0, len(term), limit):
-        s = slice(a, a + limit)
-        yield pa.RecordBatch.from_arrays([
-            langs.take(pa.array(group[s])), sources.take(pa.array(group[s])), names.take(pa.array(term[s])),
-            pa.array(docs[s], pa.int64()), pa.array(n[s], pa.int64())], ["lang", "source", "term", "docs", "n"])
+    texts = (pa.array(x, pa.string()) for x in (row["langs"], row["sources"], [x.decode() for x in names]))
+    return pa.table([x.take(pa.array(at)) for x, at in zip(texts, (group, group, term))]
+                    + [pa.array(docs, pa.int64()), pa.array(n, pa.int64())], ["lang", "source", "term", "docs", "n"])
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
     """(lang, source, term, docs, n): documents that have the term and its
-    occurrences, over all rows."""
+    occurrences, over all rows; dealt by (lang, term)."""
     spark = prepare(docs.sparkSession)
-    coded = code(docs)
     n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    coded = code(docs, n_buckets)
     answers = (
-        coded.select("g", "chunks").mapInArrow(freeing(_send(n_buckets), _HASHED), "bucket int, g long, chunks binary")
+        coded.select("g", F.explode("sent").alias("s")).select("g", "s.bucket", "s.chunks")
         .repartition(n_buckets, "bucket").mapInArrow(freeing(_tokenise), "g long, bucket int, terms binary")
         .groupBy("g").agg(F.collect_list(F.struct("bucket", "terms")).alias("answers")))  # n_buckets entries at most
-    counted = coded.join(answers, "g", "left").mapInArrow(
-        freeing(_rejoin(n_buckets), _HASHED), "lang string, source string, term string, docs long, n long")
-    return counted.groupBy("lang", "source", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("n"))
+    counted = coded.drop("sent").join(answers, "g", "left").mapInArrow(
+        freeing(_rejoin), "lang string, source string, term string, docs long, n long")
+    return (counted.repartition("lang", "term").groupBy("lang", "source", "term")
+            .agg(F.sum("docs").alias("docs"), F.sum("n").alias("n")))
 
 
 # ------------------------------------------------------------ the audit
@@ -279,10 +305,10 @@ def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS)
     other sources (part ``pair``) and the terms a source has more of than its
     language (part ``term``)."""
     spark = prepare(docs.sparkSession)
-    counts = materialise(term_counts(docs), "term-counts")
-    of_lang = (counts.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"))
-               .filter(F.col("docs") >= min_docs).drop("docs"))
-    kept = materialise(counts.join(of_lang, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n"), "kept")
+    of_term = Window.partitionBy("lang", "term")  # one row a source
+    kept = materialise(
+        term_counts(docs).withColumns({"lang_docs": F.sum("docs").over(of_term), "lang_n": F.sum("n").over(of_term)})
+        .filter(F.col("lang_docs") >= min_docs).select("lang", "source", "term", "n", "lang_n"), "kept")
     langs = (kept.groupBy("lang", "term").agg(F.max("lang_n").alias("lang_n"))
              .groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total")))
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
