@@ -47,9 +47,9 @@ TOP_TERMS = 50
 SCALE = 1_000_000_000
 SMOOTH = 5
 #: Text that is coded together: distinct chunks are fewer in more text.
-BATCH_BYTES = 24 << 20
+BATCH_BYTES = 8 << 20
 #: Counts a task combines before it sends them out.
-HELD_ROWS = 2_000_000
+HELD_ROWS = 600_000
 SOURCE_BLOCK = 128
 TERM_BLOCK = 4096
 
