@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from donorlake.operators.dedup import By, asc, best_per_key, desc, step_of
+from donorlake.operators.dedup import By, asc, best_per_key, desc, row_number_by
+from donorlake.operators.ranks import values_at_ranks
 
 # --- aggregations -----------------------------------------------------------
 
@@ -99,31 +100,41 @@ def union_sources(registry: Mapping[str, DataFrame], schema: T.StructType,
 # --- top-k --------------------------------------------------------------------
 
 
-def keep_newest(df: DataFrame, ts: str, n: int, key: str) -> tuple[DataFrame, DataFrame]:
-    """TOP1 / SYN3: keep the newest ``n`` rows (ties broken by key), and a
-    one-row frame with the overflow count.
+def newest_first(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
+    """TOP1 / SYN3: ``df`` with ``_in``, true for the newest ``n`` rows (ties
+    by ``key``, then by all columns; a NULL ``ts`` is oldest).
 
-    Rows are counted by day (by value, if ``ts`` is no timestamp), a small
-    table combined map-side. All rows of days after the cut-off day are kept by a filter; only the rows of that
-    day are ordered to take what is left. Nothing else is sorted, and no task
-    holds more than the cut-off day's share of the ``n`` rows."""
+    The value of the n-th row is found in two scans (``ranks``). Newer rows
+    are in and older ones out by a filter; only the rows that have that very
+    value are numbered, in blocks where they are many. No task orders the
+    rows of a day."""
     if n <= 0:
-        return df.limit(0), df.agg(F.count(F.lit(1)).alias("overflow_count"))
-    day = step_of(df, F.col(ts))
-    counts = df.groupBy(day.alias("_day")).agg(F.count(F.lit(1)).alias("_n"))
-    overflow = counts.agg(F.greatest(F.coalesce(F.sum("_n"), F.lit(0)) - F.lit(n), F.lit(0)).alias("overflow_count"))
-    order = F.col("_day").desc_nulls_last()
-    upto = F.sum("_n").over(Window.orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    # the day on which the n-th row falls: the first whose running sum reaches n
-    cut = (counts.withColumn("_upto", upto).filter(F.col("_upto") >= n)
-           .orderBy("_upto", order).limit(1).collect())
-    if not cut:
-        return df, overflow
-    last, left = cut[0]["_day"], n - (cut[0]["_upto"] - cut[0]["_n"])
-    on_day = day.eqNullSafe(F.lit(last))
-    newer = day.isNotNull() if last is None else F.coalesce(day > F.lit(last), F.lit(False))
-    some = df.filter(on_day).orderBy(F.col(ts).desc_nulls_last(), F.col(key).asc_nulls_last()).limit(left)
-    return df.filter(newer).unionByName(some), overflow
+        return df.withColumn("_in", F.lit(False))
+    dtype = df.schema[ts].dataType
+    when = F.col(ts)
+    as_number = (F.unix_micros(when.cast("timestamp")) if isinstance(dtype, (T.TimestampType, T.TimestampNTZType))
+                 else F.unix_date(when) if isinstance(dtype, T.DateType) else when.cast("double"))
+    total, filled = df.agg(F.count(F.lit(1)), F.count(ts)).first()
+    if total <= n:
+        return df.withColumn("_in", F.lit(True))
+    if filled >= n:
+        cut = values_at_ranks(df, as_number, [filled - n], filled)[0]
+        x = as_number.cast("double")
+        newer, tied = F.coalesce(x > cut, F.lit(False)), F.coalesce(x == cut, F.lit(False))
+    else:
+        newer, tied = when.isNotNull(), when.isNull()
+    left = n - df.filter(newer).count()
+    rest = df.filter(~tied).withColumn("_in", newer)
+    ties = row_number_by(df.filter(tied), [ts], [asc(key)], "_at").withColumn("_in", F.col("_at") <= left).drop("_at")
+    return rest.unionByName(ties)
+
+
+def keep_newest(df: DataFrame, ts: str, n: int, key: str) -> tuple[DataFrame, DataFrame]:
+    """TOP1: the newest ``n`` rows, and a one-row frame with the number of the
+    others."""
+    kept = newest_first(df, ts, key, n).filter("_in").drop("_in")
+    overflow = df.agg(F.greatest(F.count(F.lit(1)) - F.lit(n), F.lit(0)).alias("overflow_count"))
+    return kept, overflow
 
 
 def ranked(df: DataFrame, by: Sequence[str | Column], descending: bool = True) -> DataFrame:
@@ -145,5 +156,5 @@ def extremes(df: DataFrame, col: str) -> DataFrame:
 __all__ = [
     "By", "asc", "desc", "sum_contributions", "latest", "collapse", "mode_by", "distinct_on",
     "distinct_rows", "row_count", "pad_columns", "union_all", "union_distinct", "union_sources",
-    "keep_newest", "ranked", "extremes",
+    "keep_newest", "newest_first", "ranked", "extremes",
 ]

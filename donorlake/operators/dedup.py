@@ -27,6 +27,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from donorlake.session import scratch_path
+
 
 @dataclass(frozen=True)
 class By:
@@ -206,6 +208,12 @@ def dedup_two_level(dfs: Sequence[DataFrame], key: str, order: Sequence[By]) ->
     return best_per_key(out, [key], order)
 
 
+#: Rows of one (key, step) that a task orders; more are numbered in blocks.
+HOT_ROWS = 1_000_000
+#: Rows of a table that may be broadcast, counted before it is.
+BROADCAST_ROWS = 100_000
+
+
 def step_of(df: DataFrame, c: Column) -> Column:
     """A coarse value that grows with ``c``: the day of a timestamp, else
     ``c`` itself."""
@@ -218,6 +226,7 @@ def row_number_by(
     partition_cols: Sequence[str],
     order: Sequence[By],
     out_col: str = "row_num",
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """WIN6/WIN7: exact ``row_number() over (partition by … order by …)`` for
     every row, all remaining columns breaking ties.
@@ -227,9 +236,15 @@ def row_number_by(
     2. running sum of those counts over a key's steps: the rows before each;
     3. number the rows inside (partition cols, step) and add that offset.
 
-    The rows themselves are shuffled once, by (partition cols, step); the
-    join with the counts needs the same partitioning. A key that holds a
-    large share of the table is spread over its steps."""
+    A step with more than ``hot_rows`` rows (one key with one day, or a key
+    whose order starts with a column of few values) is numbered in blocks: its
+    rows are dealt by ranges of the whole order, which Spark samples inside
+    these steps alone, blocks are counted, and a row's number is the rows
+    before its block plus its place in it. A block has about half of
+    ``hot_rows`` rows, whatever the keys; rows that are equal in every column
+    are dealt by where they were read. All other rows are shuffled once, by
+    (partition cols, step), which the join with the counts needs too."""
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     parts = list(partition_cols)
     tie = _tiebreak_cols(df, parts)
     lead = order[0] if order else By(tie[0], nulls_first=True) if tie else By(F.lit(0))
@@ -240,13 +255,47 @@ def row_number_by(
                  else (step.asc_nulls_first() if lead.nulls_first else step.asc_nulls_last()))
     counts = named.groupBy(*keys, "_step").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy(direction).rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(*keys, "_step", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy(*keys, "_step").orderBy(*_sort_exprs(df, parts, order))
-    numbered = named.withColumn("_pos", F.row_number().over(inside)).alias("r")
-    cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in [*keys, "_step"]]
-    joined = numbered.join(counts.alias("s"), cond)
-    return joined.select(*[F.col(f"r.{c}") for c in df.columns],
-                         (F.col("r._pos") + F.col("s._before")).cast("long").alias(out_col))
+    counts = counts.select(*keys, "_step", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    # written: which steps are hot is asked before the rows are dealt
+    path = scratch_path(df.sparkSession, "steps")
+    counts.write.parquet(path)
+    counts = df.sparkSession.read.schema(counts.schema).parquet(path)
+    hot = counts.filter(F.col("_n") > hot_rows)
+    n_hot, hot_total = hot.agg(F.count("*"), F.sum("_n")).first()
+    within = _sort_exprs(df, parts, order)
+
+    def matched(rows: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+        cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in on]
+        return rows.alias("r").join(other.alias("s"), cond, how)
+
+    cold = named
+    if n_hot:
+        few = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot
+        cold = matched(named, few.select(*keys, "_step"), [*keys, "_step"], "left_anti")
+    inside = Window.partitionBy(*keys, "_step").orderBy(*within)
+    numbered = cold.withColumn("_pos", F.row_number().over(inside))
+    out = matched(numbered, counts.filter(F.col("_n") <= hot_rows), [*keys, "_step"]).select(
+        *[F.col(f"r.{c}") for c in df.columns], (F.col("r._pos") + F.col("s._before")).cast("long").alias(out_col))
+    if not n_hot:
+        return out
+    n_blocks = max(2, -(-2 * hot_total // hot_rows))
+    rows = matched(named, few, [*keys, "_step"]).select("r.*", "s._before").withColumn("_read", F.monotonically_increasing_id())
+    whole = [*[F.col(k).asc_nulls_first() for k in keys], step.asc_nulls_first(), *within, F.col("_read").asc()]
+    # the high bits of the id are the block, the low ones the place in it;
+    # written, since blocks are sampled
+    dealt = (rows.repartitionByRange(n_blocks, *whole).sortWithinPartitions(*whole)
+             .withColumn("_at", F.monotonically_increasing_id()).withColumn("_block", F.shiftright("_at", 33)))
+    path = scratch_path(df.sparkSession, "blocks")
+    dealt.write.parquet(path)
+    dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
+    blocks = dealt.groupBy(*keys, "_step", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    earlier = Window.partitionBy(*keys, "_step").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_skip", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    if n_hot + n_blocks <= BROADCAST_ROWS:  # one row a step, and one more where a block ends
+        blocks = F.broadcast(blocks)
+    place = F.col("r._before") + F.col("s._skip") + F.col("r._at") - F.col("s._first") + 1
+    return out.unionByName(matched(dealt, blocks, [*keys, "_step", "_block"]).select(
+        *[F.col(f"r.{c}") for c in df.columns], place.cast("long").alias(out_col)))
 
 
 def sequence_id(df, partition_cols, order: Sequence[By], out_col="sub_id") -> DataFrame:

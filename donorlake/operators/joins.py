@@ -10,7 +10,9 @@ sort-merge join otherwise; skewed partitions are split by
 
 Semi/anti joins and key matching first reduce the other side to its
 distinct keys; the distinct is aggregated map-side, so a hot key costs one
-row per task instead of a third of the table in the shuffle.
+row per task instead of a third of the table in the shuffle. Lookups of ids
+that may be hot (JN5, JN12, ``hot.enrich_hot``) find them with a sketch and salt
+them.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from donorlake.operators.dedup import By, best_per_key
+from donorlake.operators.hot import enrich_hot, skewed_join
 
 
 def _on(on) -> list[str]:
@@ -28,12 +31,13 @@ def _on(on) -> list[str]:
 
 
 def enrich(df: DataFrame, dim: DataFrame, on, cols: Sequence[str] | None = None,
-           how: str = "left", bounded: bool = False) -> DataFrame:
-    """JN1 / JN14: left equi join to a dimension. ``bounded=True`` marks a
-    dimension of fixed size, which is then broadcast."""
+           how: str = "left", bounded: int | None = None) -> DataFrame:
+    """JN1 / JN14: left equi join to a dimension. ``bounded`` is the number of
+    rows up to which the dimension is broadcast: its rows are counted, and one
+    that has more is joined like any other."""
     keys = _on(on)
     right = dim if cols is None else dim.select(*keys, *cols)
-    if bounded:
+    if bounded is not None and right.limit(bounded + 1).count() <= bounded:
         right = F.broadcast(right)
     return df.join(right, keys, how)
 
@@ -62,12 +66,12 @@ def enrich_where(df: DataFrame, dim: DataFrame, on, pred: Column, cols=None) ->
 def enrich_via_link(df: DataFrame, link: DataFrame, dim: DataFrame, df_key: str,
                     link_left: str, link_right: str, dim_key: str,
                     cols: Sequence[str], order: Sequence[By]) -> DataFrame:
-    """JN5: entity → bridge → entity, then one row per original row."""
+    """JN5: entity → bridge → entity, then one row per original row. Hot
+    ids on either side of the bridge are salted."""
     l2 = link.select(F.col(link_left).alias("_ll"), F.col(link_right).alias("_lr"))
     d2 = dim.select(F.col(dim_key).alias("_lr"), *cols)
-    out = (df.join(l2, df[df_key] == l2["_ll"], "left")
-             .join(d2, "_lr", "left")
-             .drop("_ll", "_lr"))
+    out = skewed_join(df.withColumn("_ll", F.col(df_key)), l2, "_ll")
+    out = skewed_join(out, d2, "_lr").drop("_ll", "_lr")
     return best_per_key(out, list(df.columns), order)
 
 
@@ -113,13 +117,14 @@ def lookup_first(df: DataFrame, dim: DataFrame, on, value: str, order: Sequence[
 def resolve_id(df: DataFrame, key: str, dims: Sequence[tuple[DataFrame, str, str]],
                out_col: str) -> DataFrame:
     """JN12: look an id up in several dimensions (e.g. committee, then
-    candidate) and keep the first hit. ``dims`` = (df, key col, value col)."""
+    candidate) and keep the first hit. ``dims`` = (df, key col, value col).
+    Hot ids are salted."""
     out = df
     hits = []
     for i, (d, k, v) in enumerate(dims):
         alias = f"_hit{i}"
         right = best_per_key(d.select(F.col(k).alias(key), F.col(v).alias(alias)), [key])
-        out = out.join(right, key, "left")
+        out = enrich_hot(out, right, key)
         hits.append(F.col(alias))
     return out.withColumn(out_col, F.coalesce(*hits)).drop(*[f"_hit{i}" for i in range(len(dims))])
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from donorlake.operators.dedup import asc, best_per_key
+from donorlake.operators.ranks import values_at_ranks
 
 # USPS street suffix and directional abbreviations (common subset
 # of the postal standard), state names → codes, city-name abbreviation
@@ -309,49 +310,21 @@ def distinct_profile(df: DataFrame, cols: Sequence[str] | None = None, approx: b
         "column", "n_distinct", F.round(F.col("n_distinct") / F.nullif(F.col("_rows"), F.lit(0)), 6).alias("p_distinct"))
 
 
-#: Buckets of one step of ``exact_quantiles``.
-QUANTILE_BUCKETS = 1024
-
-
 def exact_quantiles(df: DataFrame, x: Column, shares: Sequence[float]) -> list[float | None]:
-    """Quantiles with linear interpolation, without sorting: the value of a
-    rank is found by counting rows in at most ``QUANTILE_BUCKETS`` buckets
-    of a range and going on in the one that holds the rank."""
-    values = df.select(x.cast("double").alias("x")).filter("x IS NOT NULL")
-    n, low, high = values.agg(F.count("x"), F.min("x"), F.max("x")).first()
+    """Quantiles with linear interpolation, without sorting: all ranks in two
+    scans (``ranks.values_at_ranks``)."""
+    n = df.agg(F.count(x.cast("double"))).first()[0]
     if not n:
         return [None for _ in shares]
-
-    def at(rank: int) -> float:
-        a, b, before = low, high, 0
-        while a < b:
-            width = (b - a) / QUANTILE_BUCKETS
-            bucket = F.least(F.lit(QUANTILE_BUCKETS - 1), F.floor((F.col("x") - F.lit(a)) / F.lit(width)))
-            part = values.filter(F.col("x").between(a, b)) if width > 0 else None
-            if part is None:
-                break
-            rows = sorted(part.groupBy(bucket.alias("bucket")).agg(
-                F.count("x").alias("n"), F.min("x").alias("a"), F.max("x").alias("b")).collect())
-            for r in rows:
-                if before + r["n"] > rank:
-                    a, b = r["a"], r["b"]
-                    break
-                before += r["n"]
-        return a
-
-    known: dict[int, float] = {}
-    out = []
-    for share in shares:
-        pos = (n - 1) * share
-        lo = int(pos)
-        ends = [known[r] if r in known else known.setdefault(r, at(r)) for r in (lo, min(lo + 1, n - 1))]
-        out.append(ends[0] + (ends[1] - ends[0]) * (pos - lo))
-    return out
+    at = [(n - 1) * s for s in shares]
+    ends = [r for p in at for r in (int(p), min(int(p) + 1, n - 1))]
+    v = values_at_ranks(df, x, ends, n)
+    return [v[2 * i] + (v[2 * i + 1] - v[2 * i]) * (p - int(p)) for i, p in enumerate(at)]
 
 
 def amount_summary(df: DataFrame, col: str, exact: bool = True, digits: int | None = None) -> DataFrame:
-    """NRM5: min, quartiles, mean, max and share ≤ 0. Exact quartiles count
-    by buckets (no task holds all values); ``exact=False`` uses the
+    """NRM5: min, quartiles, mean, max and share ≤ 0. Exact quartiles come
+    from a sketch and one exact pass; ``exact=False`` uses the
     bounded-memory approximate percentile."""
     x = F.col(col).cast("double")
     names = {"q25": 0.25, "median": 0.5, "q75": 0.75}

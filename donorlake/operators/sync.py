@@ -3,16 +3,25 @@
 State under one root, each a Parquet folder partitioned by batch id, so a
 batch writes its own partitions and nothing else:
 
-  delta     rows of a batch that no other batch has synced
-  pending   rows past the cap; later runs take them up again
+  delta-of  rows that a batch takes up
+  pending   rows past the cap; the next batch takes all of them up
+  consumed  the batches whose pending rows a batch has taken up
   serving   published rows, without the id
-  ledger    synced ids
+  ledger    keys of published rows
 
-Order per run: delta (anti join against the ids that *other* batches
-synced, over the incoming rows and all pending ones) → cap, if the caller
-asks for one → publish → ledger. The ledger is written last. A batch id may
-be used again: the run rebuilds the batch from what is not synced or was
-synced by it and replaces its partitions, so nothing is lost or doubled.
+A row's key is its id; a row without an id has the hash of all its columns.
+A batch takes up
+
+* every incoming row whose key no *other* batch has published, and
+* every row that still waits, unless its key comes in again to be taken up
+  (then the incoming rows stand for it),
+
+each row as often as it occurs, with or without a cap: rows of one key that a
+cap parts are published by different batches. Order per run: delta -> cap, if
+the caller asks for one -> publish -> pending -> consumed -> ledger. The
+ledger is written last. A batch id may be used again: what its own first run
+published, left pending or consumed does not count, and its partitions are
+replaced, so nothing is lost or doubled.
 """
 
 from __future__ import annotations
@@ -23,9 +32,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from donorlake.operators.aggregates import keep_newest
-from donorlake.operators.dedup import best_per_key, desc
+from donorlake.operators.aggregates import newest_first
 from donorlake.operators.joins import without
 from donorlake.operators.tables import exists, replace_slice
 
@@ -33,19 +42,31 @@ from donorlake.operators.tables import exists, replace_slice
 MAX_RETRIES = 1
 
 
+_KEY = "_sync_key"
+
+
+def _keyed(df: DataFrame, key: str) -> DataFrame:
+    row = F.concat(F.lit("row:"), F.sha2(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}), 256))
+    return df.withColumn(_KEY, F.coalesce(F.col(key).cast("string"), row))
+
+
 def delta(master: DataFrame, ledger: DataFrame | None, key: str = "source_id") -> DataFrame:
     """SYN1 / SYN2: all rows on the first sync (empty ledger), else the rows
-    whose key the ledger does not hold."""
-    if ledger is None or ledger.isEmpty():
+    whose key the ledger does not hold; rows without an id by all columns."""
+    if ledger is None:
         return master
-    return without(master, ledger, key)
+    synced = ledger.select(F.col(key).cast("string").alias(_KEY))
+    return without(_keyed(master, key), synced, _KEY).drop(_KEY)
 
 
-def publish(rows: DataFrame, target: str, batch_id: str, key: str = "source_id") -> str:
+def publish(rows: DataFrame, target: str, batch_id: str, key: str = "source_id") -> int:
     """SYN4: serving rows carry no ``source_id``; one partition per batch,
-    cleared when the batch holds no rows."""
-    return replace_slice(rows.drop(key).withColumn("batch_id", F.lit(batch_id)), target, ["batch_id"],
-                         [{"batch_id": batch_id}])
+    cleared when the batch holds no rows. The rows written are counted in the
+    same job."""
+    obs = Observation(f"publish_{uuid.uuid4().hex[:12]}")
+    marked = rows.drop(key).withColumn("batch_id", F.lit(batch_id)).observe(obs, F.count(F.lit(1)).alias("rows"))
+    replace_slice(marked, target, ["batch_id"], [{"batch_id": batch_id}])
+    return int(obs.get["rows"])
 
 
 def _retry(fn, retries: int = MAX_RETRIES):
@@ -65,12 +86,23 @@ class SyncReport:
     published_rows: int
 
 
+def _ledger_fields(key: str) -> T.StructType:
+    return T.StructType().add(key, "string").add("synced_at", "timestamp")
+
+
 class SyncError(RuntimeError):
     """A sync guard failed."""
 
 
-def _batches(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.option("mergeSchema", "false").parquet(path) if exists(spark, path) else None
+def _batches(spark: SparkSession, path: str, fields: T.StructType | None = None) -> DataFrame | None:
+    """A partitioned folder with its batch ids; ``fields`` are needed where
+    it may hold no row at all."""
+    if not exists(spark, path):
+        return None
+    reader = spark.read.option("mergeSchema", "false")
+    if fields is not None:
+        reader = reader.schema(T.StructType([*(f for f in fields if f.name != "batch_id"), T.StructField("batch_id", T.StringType())]))
+    return reader.parquet(path)
 
 
 def _write_counted(df: DataFrame, path: str, batch_id: str) -> int:
@@ -90,39 +122,45 @@ def sync(master: DataFrame, root: str, batch_id: str, now: dt.datetime, max_rows
     the delta less the overflow, and an overflow above ``max_overflow``
     raises before anything is published."""
     spark: SparkSession = master.sparkSession
-    pending, synced = _batches(spark, f"{root}/pending"), _batches(spark, f"{root}/ledger")
-    rows = master
-    if pending is not None:
-        # a row that waits and comes in again counts once, as it comes in
-        both = master.withColumn("_in", F.lit(1)).unionByName(
-            pending.drop("batch_id").withColumn("_in", F.lit(0)))
-        rows = best_per_key(both, [key], [desc("_in"), desc(newest)]).drop("_in")
-    others = None if synced is None else synced.filter(F.col("batch_id") != F.lit(batch_id))
+    other = F.col("batch_id") != F.lit(batch_id)
+    mark = lambda x: x.withColumn("batch_id", F.lit(batch_id))
+    mine = [{"batch_id": batch_id}]
+    synced = _batches(spark, f"{root}/ledger", _ledger_fields(key))
+    waiting = _batches(spark, f"{root}/pending", master.schema)
+    rows = _keyed(delta(master, None if synced is None else synced.filter(other), key), key)
+    from_batches = []
+    if waiting is not None:
+        done = _batches(spark, f"{root}/consumed", T.StructType().add("from_batch", "string"))
+        held = waiting.filter(other).select("batch_id").distinct()
+        if done is not None:
+            held = held.join(done.filter(other).select(F.col("from_batch").alias("batch_id")), "batch_id", "left_anti")
+        from_batches = [r["batch_id"] for r in held.collect()]  # batches that nobody took up: as a rule one
+        if from_batches:
+            late = waiting.filter(F.col("batch_id").isin(from_batches)).drop("batch_id")
+            rows = rows.unionByName(without(_keyed(late, key), rows, _KEY))
     # the delta is written: later steps read a fixed set
-    work = f"{root}/delta"
-    n = _retry(lambda: _write_counted(delta(rows, others, key), f"{work}-of/{batch_id}", batch_id))
-    d = spark.read.schema(master.schema).parquet(f"{work}-of/{batch_id}").select(*master.columns)
+    work = f"{root}/delta-of/{batch_id}"
+    n = _retry(lambda: _write_counted(rows, work, batch_id))
+    d = spark.read.schema(rows.schema).parquet(work)
     overflow = max(n - max_rows, 0) if max_rows is not None else 0
     if max_overflow is not None and overflow > max_overflow:
         raise SyncError(f"batch {batch_id}: {overflow} rows past the cap, more than {max_overflow}")
-    mine = [{"batch_id": batch_id}]
-    late = d.limit(0)
+    kept, late = d, d.limit(0)
     if overflow:
-        capped = f"{work}-capped/{batch_id}"
-        keep_newest(d, newest, max_rows, key)[0].write.mode("overwrite").parquet(capped)
-        kept = spark.read.schema(master.schema).parquet(capped)
-        late = without(d, kept, key)
-    else:
-        kept = d
-    mark = lambda x: x.withColumn("batch_id", F.lit(batch_id))
-    if overflow or exists(spark, f"{root}/pending"):
-        replace_slice(mark(late), f"{root}/pending", ["batch_id"], mine)
-    _retry(lambda: publish(kept, f"{root}/serving", batch_id, key))
-    published = serving(spark, root).filter(F.col("batch_id") == F.lit(batch_id)).count() if n else 0
+        # one pass marks every row, equal rows apart: no row is in both parts
+        split = f"{root}/delta-capped/{batch_id}"
+        newest_first(d, newest, key, max_rows).write.mode("overwrite").parquet(split)
+        split = spark.read.schema(d.schema.add("_in", "boolean")).parquet(split)
+        kept, late = split.filter("_in").drop("_in"), split.filter("NOT _in").drop("_in")
+    published = _retry(lambda: publish(kept.drop(_KEY), f"{root}/serving", batch_id, key))
     if published != n - overflow:
         raise SyncError(f"batch {batch_id}: {published} rows published of {n - overflow}")
-    ids = kept.select(key).filter(F.col(key).isNotNull()).distinct()
-    _retry(lambda: replace_slice(mark(ids.withColumn("synced_at", F.lit(now).cast("timestamp"))),
+    if overflow or waiting is not None:
+        replace_slice(mark(late.drop(_KEY)), f"{root}/pending", ["batch_id"], mine)
+        replace_slice(mark(spark.createDataFrame([(b,) for b in from_batches], "from_batch string")),
+                      f"{root}/consumed", ["batch_id"], mine)
+    keys = kept.select(F.col(_KEY).alias(key)).distinct()
+    _retry(lambda: replace_slice(mark(keys.withColumn("synced_at", F.lit(now).cast("timestamp"))),
                                  f"{root}/ledger", ["batch_id"], mine))
     return SyncReport(batch_id, n, overflow, n - overflow)
 
@@ -132,12 +170,12 @@ def serving(spark: SparkSession, root: str) -> DataFrame:
 
 
 def delta_of(spark: SparkSession, root: str, batch_id: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/delta-of/{batch_id}").drop("batch_id")
+    return spark.read.parquet(f"{root}/delta-of/{batch_id}").drop("batch_id", _KEY)
 
 
 def ledger(spark: SparkSession, root: str, key: str = "source_id") -> DataFrame | None:
     """SYN5: synced ids; an id that is synced again keeps its insert_time and
     gets the later synced_at (an upsert on read: batches only add rows)."""
-    rows = _batches(spark, f"{root}/ledger")
+    rows = _batches(spark, f"{root}/ledger", _ledger_fields(key))
     return None if rows is None else rows.groupBy(key).agg(
         F.min("synced_at").alias("insert_time"), F.max("synced_at").alias("synced_at"))

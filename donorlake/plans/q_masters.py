@@ -156,6 +156,17 @@ def jn1_enrich(spark, d):
     return joins.enrich(dm.conformed_a(spark, d).select("source_id", "committee_id"), cu, "committee_id")
 
 
+@register("jn1_enrich_hot", with_views("""
+SELECT a.source_id, a.committee_id, cu.name AS committee_name, cu.committee_designation
+FROM contributions a LEFT JOIN committee_unfiltered cu ON a.committee_id = cu.committee_id""",
+    "contributions", "committee_unfiltered"))
+def jn1_enrich_hot(spark, d):
+    """All sources: a few segment ids hold all of source A."""
+    cu = dm.committee_master_unfiltered(spark, d).select(
+        "committee_id", F.col("name").alias("committee_name"), "committee_designation")
+    return joins.enrich_hot(dm.contributions(spark, d).select("source_id", "committee_id"), cu, "committee_id")
+
+
 @register("jn2_join_required", with_views("""
 SELECT b.source_id, c.name AS committee_name, c.affiliation
 FROM conformed_b b JOIN committees_all c ON b.committee_id = c.committee_id""",
@@ -246,8 +257,8 @@ def jn8_without(spark, d):
 
 
 @register("jn9_without_target", with_views("""
-SELECT * FROM contributions c WHERE NOT EXISTS (SELECT 1 FROM master m WHERE m.source_id = c.source_id)""",
-    "contributions", "master"))
+SELECT c.* FROM contributions c LEFT JOIN (SELECT DISTINCT source_id AS held FROM master) m ON m.held = c.source_id
+WHERE m.held IS NULL""", "contributions", "master"))
 def jn9_without_target(spark, d):
     return joins.without(dm.contributions(spark, d), dm.contributions_master(spark, d), "source_id")
 

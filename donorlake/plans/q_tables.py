@@ -105,6 +105,26 @@ def snk4_merge_replace(spark, d):
     return tables.keyed(spark, t)
 
 
+@register("snk4_late_rows", with_views("""
+SELECT source_id, CASE WHEN contribution_datetime >= (SELECT max(contribution_datetime) FROM conformed_c
+                             WHERE contribution_datetime < TIMESTAMP '2024-01-16') THEN 2 ELSE 1 END AS load FROM conformed_c
+UNION ALL SELECT NULL, 1 FROM conformed_c WHERE employer = 'signup'""", "conformed_c"))
+def snk4_late_rows(spark, d):
+    """Rows up to a moment, then all rows: those of the top value and later
+    are taken (again), earlier ones are not; rows without a key load once."""
+    t = scratch_path(spark, "snk4l")
+    c = dm.conformed_c(spark, d).select("source_id", "contribution_datetime", F.lit(1).alias("load"))
+    nameless = (dm.conformed_c(spark, d).filter("employer = 'signup'")
+                .select(F.lit(None).cast("string").alias("source_id"), F.lit(None).cast("timestamp").alias("contribution_datetime"),
+                        F.lit(1).alias("load")))
+    first = c.filter(F.col("contribution_datetime") < F.lit("2024-01-16").cast("timestamp"))
+    tables.merge_replace(first.unionByName(nameless), t, "source_id", "contribution_datetime")
+    for _ in range(2):
+        again = c.withColumn("load", F.lit(2)).unionByName(nameless)
+        tables.merge_replace(again, t, "source_id", "contribution_datetime")
+    return tables.keyed(spark, t).select("source_id", "load")
+
+
 @register("snk5_append_new", with_views("""
 SELECT * FROM conformed_b WHERE amount < 0
 UNION ALL
@@ -225,6 +245,27 @@ def syn3_cap_three_runs(spark, d):
     return syn.serving(spark, f"{root}/s").drop("batch_id")
 
 
+@register("syn6_keeps_every_row", with_views(f"""
+SELECT {_MASTER_NO_ID} FROM master WHERE source <> 'B'
+UNION ALL SELECT {_MASTER_NO_ID} FROM master WHERE source = 'C'
+UNION ALL SELECT {_MASTER_NO_ID} FROM master WHERE source = 'A' AND amount > 100000""", "master"))
+def syn6_keeps_every_row(spark, d):
+    """Ids that occur twice and rows without an id, half of the rows a run,
+    a batch run twice: every row is published once."""
+    root = scratch_path(spark, "syn6k")
+    m = dm.contributions_master(spark, d).filter("source <> 'B'")
+    m.write.parquet(f"{root}/once")
+    m = spark.read.parquet(f"{root}/once")
+    nameless = m.filter("source = 'A' AND amount > 100000").withColumn("source_id", F.lit(None).cast("string"))
+    m.unionByName(m.filter("source = 'C'")).unionByName(nameless).write.parquet(f"{root}/in")
+    m = spark.read.parquet(f"{root}/in")
+    half = m.count() // 2 + 1
+    for batch in ("b1", "b2", "b2"):
+        syn.sync(m, f"{root}/s", batch, T1, max_rows=half)
+    syn.sync(m, f"{root}/s", "b3", T3)
+    return syn.serving(spark, f"{root}/s").drop("batch_id")
+
+
 @register("syn4_publish", with_views(f"SELECT {_MASTER_NO_ID}, 'b1' AS batch_id FROM master", "master"))
 def syn4_publish(spark, d):
     root = scratch_path(spark, "syn4")

@@ -106,3 +106,34 @@ def test_merge_and_slices(spark, tmp_dir):
     assert sorted((str(r.y), r.n) for r in spark.read.parquet(p).collect()) == [("2023", 1), ("2024", 9)]
     tables.replace_slice(df.limit(0), p, ["y"], [{"y": "2023"}])
     assert [(str(r.y), r.n) for r in spark.read.parquet(p).collect()] == [("2024", 9)]
+
+
+@pytest.mark.parametrize("cap", [None, 1, 3, 4])
+def test_every_row_is_published_once_with_equal_and_missing_ids(spark, tmp_dir, cap):
+    """Duplicates of an id, rows without one and equal rows: three full runs,
+    a batch run twice and a run without a cap publish each row once."""
+    import datetime as dt
+
+    rows = [("a", 1, 10), ("a", 2, 20), ("b", 3, 30), (None, 4, 40), (None, 4, 40), (None, 5, 5), ("c", 6, None)]
+    m = spark.createDataFrame(rows, "source_id string, v int, s int").select(
+        "source_id", "v", F.timestamp_seconds("s").alias("contribution_datetime"))
+    now = dt.datetime(2025, 1, 1)
+    for batch in ("b1", "b2", "b2", "b3"):
+        syn.sync(m, tmp_dir, batch, now, max_rows=cap)
+    syn.sync(m, tmp_dir, "b4", now)
+    assert sorted(r["v"] for r in syn.serving(spark, tmp_dir).collect()) == [1, 2, 3, 4, 4, 5, 6]
+    assert syn.sync(m, tmp_dir, "b5", now).delta_rows == 0
+
+
+def test_a_waiting_row_that_comes_in_changed_goes_out_changed(spark, tmp_dir):
+    import datetime as dt
+
+    def m(*rows):
+        return spark.createDataFrame(list(rows), "source_id string, v int, s int").select(
+            "source_id", "v", F.timestamp_seconds("s").alias("contribution_datetime"))
+
+    now = dt.datetime(2025, 1, 1)
+    syn.sync(m(("a", 1, 9), ("b", 1, 5), ("c", 1, 4)), tmp_dir, "b1", now, max_rows=1)
+    syn.sync(m(("a", 2, 9), ("b", 2, 5)), tmp_dir, "b2", now)  # a is synced, b comes in anew, c waits
+    assert sorted(r["v"] for r in syn.serving(spark, tmp_dir).collect()) == [1, 1, 2]
+    assert syn.ledger(spark, tmp_dir).count() == 3
