@@ -47,7 +47,7 @@ TOP_TERMS = 50
 SCALE = 1_000_000_000
 SMOOTH = 5
 #: Text that is coded together: distinct chunks are fewer in more text.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 14 << 20
 #: Counts a task combines before it sends them out.
 HELD_ROWS = 600_000
 SOURCE_BLOCK = 128
