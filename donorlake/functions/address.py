@@ -8,6 +8,12 @@ street. Words are told apart by their shape (letters become ``A``, digits
     CITY, ST 12345          STREET, CITY, ST 12345-6789
     CITY, ST                STREET, CITY, ST, 12345
     CITY ST 12345           CITY 12345
+
+A zip is five digits, nine (with or without a dash) or five and a dash.
+Without a comma, a run of words that begins with a digit is street and city
+together; which words are the city is not to be seen from the text: they all
+stand in the street and the city is NULL (``operators.addresses`` tells them
+apart by the zip's cities).
 """
 
 from __future__ import annotations
@@ -21,6 +27,9 @@ _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _DIGITS = "0123456789"
 
 
+ZIP_SHAPES = ("99999", "99999-9999", "999999999", "99999-")
+
+
 def word_shape(word: Column) -> Column:
     return F.translate(F.upper(word), _LETTERS + _DIGITS, "A" * 26 + "9" * 10)
 
@@ -39,7 +48,7 @@ def parse_address(c) -> Column:
     text = F.trim(as_col(c))
     parts = F.filter(F.transform(F.split(text, ","), lambda s: F.trim(s)), lambda s: s != "")
     tail = F.split(_last(parts), " +")
-    has_zip = F.coalesce(word_shape(_last(tail)).isin("99999", "99999-9999"), F.lit(False))
+    has_zip = F.coalesce(word_shape(_last(tail)).isin(*ZIP_SHAPES), F.lit(False))
     # "…, ST, 12345": the zip has a part of its own
     alone = has_zip & (F.size(tail) == 1) & (F.size(parts) > 1)
     parts = F.when(alone, _but_last(parts)).otherwise(parts)
@@ -50,10 +59,13 @@ def parse_address(c) -> Column:
     beside = F.size(city_words) > 0  # the city shares its part with the state or zip
     before = _but_last(parts)
     known = has_zip | has_state
-    city = F.when(beside, F.array_join(city_words, " ")).otherwise(_last(before))
-    street = F.array_join(F.when(beside, before).otherwise(_but_last(before)), ", ")
+    together = (F.size(before) == 0) & F.coalesce(F.try_element_at(city_words, F.lit(1)).rlike("^[0-9]"), F.lit(False))
+    city = F.when(together, F.lit(None)).when(beside, F.array_join(city_words, " ")).otherwise(_last(before))
+    street = F.when(together, F.array_join(city_words, " ")).otherwise(
+        F.array_join(F.when(beside, before).otherwise(_but_last(before)), ", "))
+    zip_code = F.regexp_replace(F.regexp_replace(_last(tail), "-$", ""), "^([0-9]{5})([0-9]{4})$", "$1-$2")
     return F.struct(
         F.when(known, F.nullif(street, F.lit(""))).alias("street"),
         F.when(known, city).alias("city"),
         F.when(has_state, F.upper(_last(words))).alias("state"),
-        F.when(has_zip, _last(tail)).alias("zip_code"))
+        F.when(has_zip, zip_code).alias("zip_code"))

@@ -165,6 +165,27 @@ def sync(master: DataFrame, root: str, batch_id: str, now: dt.datetime, max_rows
     return SyncReport(batch_id, n, overflow, n - overflow)
 
 
+def publish_new(rows: DataFrame, root: str, batch_id: str, now: dt.datetime, own: str,
+                key: str = "source_id") -> SyncReport:
+    """Publish rows that their sender knows to be new: serving, then ledger.
+    Only batches whose id does not begin with ``own`` are looked up."""
+    spark = rows.sparkSession
+    synced = _batches(spark, f"{root}/ledger", _ledger_fields(key))
+    foreign = None if synced is None else synced.filter(~F.col("batch_id").startswith(own))
+    if foreign is not None and foreign.isEmpty():  # by partition: the stream's own batches are not read
+        foreign = None
+    work = f"{root}/delta-of/{batch_id}"
+    n = _retry(lambda: _write_counted(_keyed(delta(rows, foreign, key), key), work, batch_id))
+    d = spark.read.schema(T.StructType([*rows.schema, T.StructField(_KEY, T.StringType())])).parquet(work)
+    published = _retry(lambda: publish(d.drop(_KEY), f"{root}/serving", batch_id, key))
+    if published != n:
+        raise SyncError(f"batch {batch_id}: {published} rows published of {n}")
+    keys = d.select(F.col(_KEY).alias(key)).distinct().withColumns(
+        {"synced_at": F.lit(now).cast("timestamp"), "batch_id": F.lit(batch_id)})
+    _retry(lambda: replace_slice(keys, f"{root}/ledger", ["batch_id"], [{"batch_id": batch_id}]))
+    return SyncReport(batch_id, n, 0, n)
+
+
 def serving(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(f"{root}/serving")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from donorlake import functions as fn
 from donorlake.functions import dates as dts
-from donorlake.operators import filters, projections
+from donorlake.operators import addresses, filters, projections
 from donorlake.operators.projections import Spec
 from donorlake.plans import domain as dm
 from donorlake.plans import sqlviews as sv
@@ -365,6 +365,24 @@ def fn22_parse_address(spark, d):
         p[3].street.alias("street3"), p[3].city.alias("city3"), p[3].state.alias("state3"))
 
 
+@register("fn22_place_addresses", """
+SELECT c_custkey, CAST(c_custkey AS VARCHAR) || ' N Main St' || CASE WHEN c_custkey % 7 = 0 THEN ' Nowhere' ELSE '' END AS street,
+       CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN 'New Town' ELSE 'Town' END
+         || CAST(c_nationkey AS VARCHAR) AS city,
+       'OR' AS state, CAST(10000 + c_nationkey AS VARCHAR) AS zip_code FROM customer""")
+def fn22_place_addresses(spark, d):
+    """Street, city, state and zip in one run of words; both ``Town3`` and
+    ``New Town3`` are cities of the zip, and the longer one wins."""
+    c = dm.read(spark, d, "customer")
+    zip5 = (F.lit(10000) + F.col("c_nationkey")).cast("string")
+    town = F.concat(F.lit("Town"), F.col("c_nationkey").cast("string"))
+    cities = c.select(zip5.alias("zip_code"), F.explode(F.array(F.upper(town), F.concat(F.lit("New "), town))).alias("city"))
+    end = (F.when(F.col("c_custkey") % 7 == 0, F.lit("Nowhere"))
+           .when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("New "), town)).otherwise(town))
+    a = c.select("c_custkey", F.concat_ws(" ", F.col("c_custkey").cast("string"), F.lit("N Main St"), end, F.lit("OR"), zip5).alias("a"))
+    return addresses.place_addresses(a, "a", cities).drop("a")
+
+
 @register("fn23_zip5", f"""
 SELECT c_custkey, left(nullif(trim(t), ''), 5) AS zip5, coalesce(left(nullif(trim(t), ''), 5), '00000') AS zip5_default
 FROM (SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN '  ' ELSE {pad_left('c_custkey', 5)} || '-'

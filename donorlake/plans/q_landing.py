@@ -12,6 +12,7 @@ from donorlake.plans import domain as dm
 from donorlake.plans.registry import register
 from donorlake.plans.sqlviews import with_views
 from donorlake.session import scratch_path
+from donorlake.sources import filelog, filings
 from donorlake.sources import fixtures as fx
 from donorlake.sources import landing as ld
 
@@ -275,6 +276,95 @@ def src10_route_by_filename(spark, d):
     return out
 
 
+def _named_files(spark, d, folder: str):
+    """Filings in files of 500 orders each (every fifth file has a short
+    row), events in files of 500, and files that no table takes."""
+    la, lc = dm.landing_a(spark, d), dm.landing_c(spark, d)
+    order = F.col("filing_id").cast("long")
+    cut = ((_a_bucket() % 5 == 0) & (order % 500 == F.lit(7)))
+    line = F.when(cut, F.lit("cut,off")).otherwise(F.to_csv(F.struct(*A_COLS)))
+    parts = [("orders_filing", A_COLS, fx.bucketed_lines(la, _a_bucket(), line, order)),
+             ("web_events", C_COLS, fx.bucketed_lines(lc, F.floor(F.col("event_id").cast("long") / 500),
+                                                      F.to_csv(F.struct(*C_COLS)), F.col("event_id").cast("long"))),
+             ("misc", ["x"], fx.bucketed_lines(lc, F.floor(F.col("event_id").cast("long") / 5000), F.lit("x"),
+                                               F.col("event_id").cast("long")))]
+    for name, cols, groups in parts:
+        text = F.concat(F.lit(",".join(cols) + "\n"), F.array_join("lines", "\n"), F.lit("\n"))
+        files = groups.select(F.concat(F.lit(f"{name}_"), F.col("bucket").cast("string"), F.lit(".csv")).alias("path"),
+                              F.encode(text, "UTF-8").alias("content"))
+        fx.write_binary(files, folder)
+
+
+@register("src10_load_report", with_views("""
+WITH f AS (SELECT CAST(filing_id AS BIGINT) // 500 AS b, count(*) AS n,
+                  count(*) FILTER (CAST(filing_id AS BIGINT) % 500 = 7) AS marked FROM landing_a GROUP BY 1),
+g AS (SELECT *, CASE WHEN b % 5 = 0 THEN marked ELSE 0 END AS bad FROM f),
+e AS (SELECT CAST(event_id AS BIGINT) AS i FROM landing_c),
+first AS (
+  SELECT 'orders_filing' AS "table", CASE WHEN bad > 0 THEN 'failed' ELSE 'loaded' END AS status, count(*) AS files,
+         sum(n - bad)::BIGINT AS rows, sum(bad)::BIGINT AS bad_rows FROM g GROUP BY ALL
+  UNION ALL SELECT 'web_events', 'loaded', count(DISTINCT i // 500), count(*), 0 FROM e
+  UNION ALL SELECT NULL, 'skipped', count(DISTINCT i // 5000), 0, 0 FROM e)
+SELECT 1 AS run, * FROM first
+UNION ALL SELECT 2, "table", CASE status WHEN 'loaded' THEN 'skipped' ELSE status END, files,
+                 CASE status WHEN 'failed' THEN rows ELSE 0 END, bad_rows FROM first""", "landing_a", "landing_c"))
+def src10_load_report(spark, d):
+    """Loaded, skipped and failed files of a run and of the run after it."""
+    folder, root = scratch_path(spark, "src10in"), scratch_path(spark, "src10log")
+    _named_files(spark, d, folder)
+    schemas = {"orders_filing": A_COLS, "web_events": C_COLS}
+    first, second = (filelog.load_files(spark, folder, schemas, root) for _ in range(2))
+    return first.select(F.lit(1).alias("run"), "*").unionByName(second.select(F.lit(2).alias("run"), "*"))
+
+
+@register("src10_loaded_rows", with_views("""
+SELECT a.* FROM landing_a a WHERE (CAST(filing_id AS BIGINT) // 500) % 5 <> 0 OR CAST(filing_id AS BIGINT) // 500 NOT IN (
+  SELECT CAST(filing_id AS BIGINT) // 500 FROM landing_a WHERE CAST(filing_id AS BIGINT) % 500 = 7)""", "landing_a"))
+def src10_loaded_rows(spark, d):
+    """Rows of the files that were loaded: a bad file left none behind."""
+    folder, root = scratch_path(spark, "src10in"), scratch_path(spark, "src10log")
+    _named_files(spark, d, folder)
+    filelog.load_files(spark, folder, {"orders_filing": A_COLS, "web_events": C_COLS}, root)
+    return filelog.table(spark, root, "orders_filing", A_COLS).select(*A_COLS)
+
+
+@register("src9_form_versions", """
+SELECT strftime(DATE '2024-01-01' + CAST(l_orderkey // 250 % 28 AS INTEGER), '%Y-%m-%d') AS partition_date,
+       CASE WHEN l_orderkey // 250 % 2 = 0 THEN 'SA11AI' ELSE 'sa17a' END AS form_type,
+       CAST(l_suppkey AS VARCHAR) AS filer_committee_id_number,
+       CASE WHEN l_orderkey // 250 % 2 = 0 THEN '' ELSE 'DOE, ' || CAST(l_partkey AS VARCHAR) END AS contributor_name,
+       CASE WHEN l_orderkey // 250 % 2 = 0 THEN 'DOE' ELSE '' END AS contributor_last_name,
+       CAST(CAST(l_extendedprice AS DECIMAL(12,2)) AS VARCHAR) AS contribution_amount,
+       strftime(l_shipdate, '%Y%m%d') AS contribution_date
+FROM lineitem WHERE l_returnflag <> 'R'""")
+def src9_form_versions(spark, d):
+    """Filings of two form versions, each with its separator, its positions
+    and the date of its folder."""
+    cols = ["form_type", "filer_committee_id_number", "contributor_name", "contributor_last_name",
+            "contribution_amount", "contribution_date"]
+    li = dm.read(spark, d, "lineitem").withColumn("bucket", F.floor(F.col("l_orderkey") / 250))
+    values = {"filer_committee_id_number": F.col("l_suppkey").cast("string"),
+              "contribution_amount": F.col("l_extendedprice").cast("decimal(12,2)").cast("string"),
+              "contribution_date": F.date_format("l_shipdate", "yyyyMMdd"), "contributor_last_name": F.lit("DOE"),
+              "contributor_name": F.concat(F.lit('"DOE, '), F.col("l_partkey").cast("string"), F.lit('"'))}
+    old, new = filings.SCHEDULE_A[0], filings.SCHEDULE_A[-1]
+
+    def body(layout, form, sep):
+        own = {**values, "form_type": F.when(F.col("l_returnflag") == "R", F.lit("SB21B")).otherwise(F.lit(form))}
+        return F.concat_ws(sep, *[own.get(c, F.lit("")) for c in layout.columns])
+
+    even = F.col("bucket") % 2 == 0
+    line = F.when(even, body(new, "SA11AI", filings.FIELD_SEPARATOR)).otherwise(body(old, "sa17a", ","))
+    groups = fx.bucketed_lines(li, F.col("bucket"), line, F.struct("l_orderkey", "l_linenumber"))
+    head = F.when(even, F.lit(filings.FIELD_SEPARATOR.join(["HDR", "FEC", "8.3"]))).otherwise(F.lit("HDR,FEC,5.3"))
+    day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("bucket") % 28).cast("int")), "yyyy-MM-dd")
+    files = groups.select(
+        F.concat(F.lit("date="), day, F.lit("/filing_"), F.col("bucket").cast("string"), F.lit(".fec")).alias("path"),
+        F.encode(F.concat(head, F.lit("\n"), F.array_join("lines", "\n"), F.lit("\n")), "UTF-8").alias("content"))
+    folder = fx.write_binary(files, scratch_path(spark, "src9v"))
+    return filings.itemizations(spark, folder, cols)[0]
+
+
 @register("src11_map_headers", with_views(
     "SELECT filing_id, contributor_name AS name, zip, '' AS occupation_code FROM landing_a", "landing_a"))
 def src11_map_headers(spark, d):

@@ -135,6 +135,7 @@ def write_binary(df: DataFrame, folder: str) -> str:
                 aside = f"{root}/.{uuid.uuid4().hex}"
                 with fs.open_output_stream(aside) as out:
                     out.write(bytes(c))
+                fs.create_dir(f"{root}/{p}".rsplit("/", 1)[0], recursive=True)
                 fs.move(aside, f"{root}/{p}")
             yield pd.DataFrame({"n": [len(pdf)]})
 

@@ -194,30 +194,39 @@ def _parse(lines: list[str], sep: str, quote: str | None) -> list[list[str | Non
     return out
 
 
-def read_ranges(ranges: DataFrame, columns: Sequence[str], sep: str | None = None, quote: str | None = '"',
+def read_ranges(ranges: DataFrame, columns: Sequence[str] | None, sep: str | None = None, quote: str | None = '"',
                 header: bool = True, encoding: str = "utf-8", carry: Sequence[str] = (),
                 keep_failed: bool = False) -> DataFrame:
     """Rows of ranges with a quote state: ``columns`` as text (an empty field
     is NULL, a quoted empty one ''), ``_corrupt_record`` (the raw record where
     its width is not that of the columns, whose fields are then NULL) and the
-    ranges' columns named in ``carry``. Without ``sep`` the ranges' column
-    ``sep`` is used. With ``keep_failed`` a range that cannot be read is one
+    ranges' columns named in ``carry``. Without ``columns`` a row is its
+    ``fields`` as they are. Ranges may have columns ``sep`` and ``quote`` (''
+    for none) of their own. With ``keep_failed`` a range that cannot be read is one
     row with the reason in ``_failed`` instead of a failed job."""
-    fields = [T.StructField(c, T.StringType()) for c in (*columns, CORRUPT, *([FAILED] if keep_failed else []))]
-    schema = T.StructType([*fields, *(ranges.schema[c] for c in carry)])
-    width, q = len(columns), ord(quote) if quote else None
+    data = ([T.StructField(c, T.StringType()) for c in columns] if columns is not None
+            else [T.StructField("fields", T.ArrayType(T.StringType()))])
+    notes = [T.StructField(c, T.StringType()) for c in (CORRUPT, *([FAILED] if keep_failed else []))]
+    schema = T.StructType([*data, *notes, *(ranges.schema[c] for c in carry)])
+    width = None if columns is None else len(columns)
+
+    none = None if width is None else [None] * width
 
     def batch(rows, corrupt, failed, source, i):
-        cols = [pa.array(x, pa.string()) for x in (zip(*rows) if rows else [[]] * width)]
+        if width is None:
+            cols = [pa.array(rows, pa.list_(pa.string()))]
+        else:
+            cols = [pa.array(x, pa.string()) for x in (zip(*rows) if rows else [[]] * width)]
         cols.append(pa.array(corrupt, pa.string()))
         if keep_failed:
             cols.append(pa.array(failed, pa.string()))
-        cols += [pa.array([source.column(c)[i]] * len(rows), source.schema.field(c).type)
-                 if not len(rows) else pa.concat_arrays([source.column(c).slice(i, 1)] * len(rows)) for c in carry]
+        cols += [source.column(c).take(pa.array([i] * len(rows), pa.int64())) for c in carry]
         return pa.RecordBatch.from_arrays(cols, schema.names)
 
     def one(row, source, i):
         fs, path = filesystem(row["file"])
+        how = row.get("quote", quote) or None
+        q = ord(how) if how else None
         with fs.open_input_file(path) as f:
             begin = record_at(f, row["begin"], row["size"], row["inside"], q)
             end = record_at(f, row["end"], row["size"], row["inside_end"], q)
@@ -227,9 +236,9 @@ def read_ranges(ranges: DataFrame, columns: Sequence[str], sep: str | None = Non
                 lines = [x for x in lines if x]
                 if skip and lines:
                     lines, skip = lines[1:], False
-                parsed = _parse(lines, row.get("sep") or sep, quote)
-                fits = [x is not None and len(x) == width for x in parsed]
-                yield batch([x if ok else [None] * width for x, ok in zip(parsed, fits)],
+                parsed = _parse(lines, row.get("sep") or sep, how)
+                fits = [x is not None and width in (None, len(x)) for x in parsed]
+                yield batch([x if ok else none for x, ok in zip(parsed, fits)],
                             [None if ok else x for x, ok in zip(lines, fits)], [None] * len(lines), source, i)
 
     def run(batches):
@@ -241,7 +250,7 @@ def read_ranges(ranges: DataFrame, columns: Sequence[str], sep: str | None = Non
                 except (OSError, UnicodeError) as e:
                     if not keep_failed:
                         raise
-                    yield batch([[None] * width], [None], [f"{type(e).__name__}: {e}"[:500]], source, i)
+                    yield batch([none], [None], [f"{type(e).__name__}: {e}"[:500]], source, i)
 
     return ranges.mapInArrow(run, schema)
 

@@ -12,15 +12,26 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from donorlake.operators import sync as syn
 from donorlake.operators.dedup import best_per_key, desc
 from donorlake.operators.tables import exists
 from donorlake.sources.landing import CORRUPT, text_schema
 
+#: Batch ids of a stream's epochs begin with this.
+EPOCH = "epoch-"
+#: Keyed state on disk; an epoch's checkpoint holds its changes.
+STATE_CONFS = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def land_stream(spark: SparkSession, input_path: str, columns: Sequence[str], table_path: str,
                 checkpoint: str, sep: str = ",", header: bool = True, quarantine_path: str | None = None,
@@ -52,28 +63,71 @@ def land_stream(spark: SparkSession, input_path: str, columns: Sequence[str], ta
     q.awaitTermination()
 
 
+def first_seen(stream: DataFrame, key: str, newest: str) -> DataFrame:
+    """The rows of a stream whose key no earlier epoch had: of the rows that a
+    key has in its first epoch the newest (then the least by all columns). What
+    was seen is keyed state in the checkpoint: an epoch reads and writes the
+    state of its own keys only, however long the history is. Rows without a
+    key are known by all their columns."""
+    row = F.concat(F.lit("row:"), F.sha2(F.to_json(F.struct(*sorted(stream.columns)), {"ignoreNullFields": "false"}), 256))
+    columns = stream.columns
+
+    def one(_, frames, state):
+        new = not state.exists
+        frames = list(frames)  # rows of one key in one epoch
+        if not new:
+            return
+        state.update((True,))
+        best = None
+        for pdf in frames:
+            for i, r in enumerate(pdf[columns].itertuples(index=False, name=None)):
+                at = r[columns.index(newest)]
+                rank = (pd.isna(at), 0 if pd.isna(at) else -pd.Timestamp(at).value, repr(r))
+                if best is None or rank < best[0]:
+                    best = rank, pdf[columns].iloc[[i]]
+        yield best[1]
+
+    keyed = stream.withColumn("_key", F.coalesce(F.col(key).cast("string"), row))
+    return keyed.groupBy("_key").applyInPandasWithState(one, stream.schema, "seen boolean", "append", GroupStateTimeout.NoTimeout)
+
+
 def sync_stream(spark: SparkSession, source_path: str, schema: T.StructType, root: str, checkpoint: str,
                 now: dt.datetime, max_rows: int | None = None,
                 max_files_per_trigger: int | None = None) -> list[syn.SyncReport]:
-    """STR2: each micro-batch of new master files is deduplicated by
-    ``source_id`` and synced (delta vs ledger → publish → ledger). The batch
-    id is the stream epoch, so a replayed epoch republishes idempotently.
-    Rows past a cap wait as pending and are taken up by the next epoch; a run
-    without new files takes up what still waits."""
+    """STR2: rows of new master files whose ``source_id`` was not published
+    yet are published, a batch an epoch, so a replayed epoch replaces its own.
+
+    Without a cap the ids that were seen are the stream's own state
+    (``first_seen``): neither ledger nor serving is read, and an epoch costs
+    what its rows cost. The ledger is written all the same; batches that are
+    not the stream's own (runs before it) are left out by a join with theirs.
+
+    With ``max_rows`` each micro-batch is deduplicated and synced like a batch
+    run (ledger, pending): rows past the cap wait and are taken up by the next
+    epoch; a run without new files takes up what still waits."""
     reports: list[syn.SyncReport] = []
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     src = r.parquet(source_path)
 
-    def run(batch: DataFrame, epoch: int) -> None:
+    def capped(batch: DataFrame, epoch: int) -> None:
         one = best_per_key(batch, ["source_id"], [desc("contribution_datetime")])
-        reports.append(syn.sync(one, root, f"epoch-{epoch:06d}", now, max_rows))
+        reports.append(syn.sync(one, root, f"{EPOCH}{epoch:06d}", now, max_rows))
+
+    def publish(batch: DataFrame, epoch: int) -> None:
+        reports.append(syn.publish_new(batch, root, f"{EPOCH}{epoch:06d}", now, own=EPOCH))
 
+    if max_rows is None:
+        for name, value in STATE_CONFS.items():
+            spark.conf.set(name, value)
+        src, run = first_seen(src, "source_id", "contribution_datetime"), publish
+    else:
+        run = capped
     q = (src.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    if not reports and exists(spark, f"{root}/pending"):
+    if max_rows is not None and not reports and exists(spark, f"{root}/pending"):
         none = spark.createDataFrame([], schema)
         reports.append(syn.sync(none, root, f"idle-{now:%Y%m%dT%H%M%S}", now, max_rows))
     return reports

@@ -152,3 +152,25 @@ def test_map_codes_and_first_present(spark):
 def test_add_components_blank_is_zero(spark):
     df = spark.createDataFrame([(Decimal("10.00"), "", "2.5")], "a decimal(38,2), b string, c string")
     assert df.select(fn.add_components("a", "b", "c")).first()[0] == Decimal("12.50")
+
+
+def test_addresses_without_commas(spark):
+    from donorlake.operators.addresses import place_addresses
+
+    cities = spark.createDataFrame([("97301", "SALEM"), ("97301-2222", "West Salem"), ("21201", "Baltimore"), ("60601", "X")],
+                                   "zip_code string, city string")
+    given = ["123 ELM ST SALEM OR 97301", "9 Oak Ave West Salem OR 97301-1111", "1 A ST UNKNOWN OR 97301", "5 Pratt St Baltimore MD 21201",
+             "CHICAGO, IL 606011234", "Boise, ID 83702-", "12 Main St, Salem, OR 97301", "SALEM OR 97301", "nothing here", None,
+             "77 SALEM SALEM OR 97301", "44 Elm St OR"]
+    df = spark.createDataFrame([(i, a) for i, a in enumerate(given)] + [(99, given[0])], "i int, a string")
+    got = {r["i"]: tuple(r)[2:] for r in place_addresses(df, "a", cities).collect()}
+    assert got[0] == got[99] == ("123 ELM ST", "SALEM", "OR", "97301")
+    assert got[1] == ("9 Oak Ave", "West Salem", "OR", "97301-1111")
+    assert got[2] == ("1 A ST UNKNOWN", None, "OR", "97301")
+    assert got[3] == ("5 Pratt St", "Baltimore", "MD", "21201")
+    assert got[4] == (None, "CHICAGO", "IL", "60601-1234")
+    assert got[5] == (None, "Boise", "ID", "83702")
+    assert got[6] == ("12 Main St", "Salem", "OR", "97301")
+    assert got[7] == (None, "SALEM", "OR", "97301")
+    assert got[8] == got[9] == got[11] == (None, None, None, None)
+    assert got[10] == ("77 SALEM", "SALEM", "OR", "97301")

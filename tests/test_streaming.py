@@ -35,3 +35,28 @@ def test_sync_stream_keeps_rows_past_the_cap(spark, tmp_dir):
         jobs.sync_stream(spark, src, rows.schema, root, ck, dt.datetime(2025, 1, 1, hour), max_rows=4)
     out = syn.serving(spark, root)
     assert out.count() == 10 and out.filter("amount = 99").count() == 1
+
+
+def test_sync_stream_remembers_ids_without_reading_history(spark, tmp_dir):
+    """Later epochs look at neither ledger nor serving: both are taken away.
+    Rows of batches before the stream are left out."""
+    import shutil
+
+    src, root, ck = (os.path.join(tmp_dir, x) for x in ("in", "state", "ck"))
+    schema = "source_id string, v int, contribution_datetime timestamp"
+    day = lambda n: dt.datetime(2024, 1, n)
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    syn.sync(frame([("old", 0, day(1))]), root, "b0", day(1))
+    frame([("old", 9, day(9)), ("a", 1, day(1)), ("a", 2, day(3)), ("a", None, None), ("b", 3, day(2)), (None, 4, day(1))]).write.parquet(src)
+    args = (spark, src, frame([]).schema, root, ck)
+    (r,) = jobs.sync_stream(*args, day(10))
+    assert r.published_rows == 3
+    served = sorted(x["v"] for x in syn.serving(spark, root).collect())
+    assert served == [0, 2, 3, 4] and syn.ledger(spark, root).count() == 4
+    shutil.rmtree(f"{root}/ledger/batch_id=epoch-000000")
+    shutil.rmtree(f"{root}/serving/batch_id=epoch-000000")
+    frame([("a", 5, day(20)), ("c", 6, day(1)), (None, 4, day(1)), (None, 7, day(1))]).write.mode("append").parquet(src)
+    (r,) = jobs.sync_stream(*args, day(11))
+    assert r.published_rows == 2
+    assert sorted(x["v"] for x in syn.serving(spark, root).collect()) == [0, 6, 7]
+    assert jobs.sync_stream(*args, day(12)) == []
