@@ -65,10 +65,10 @@ def enrich_where(df: DataFrame, dim: DataFrame, on, pred: Column, cols=None) ->
 
 def enrich_via_link(df: DataFrame, link: DataFrame, dim: DataFrame, df_key: str,
                     link_left: str, link_right: str, dim_key: str,
-                    cols: Sequence[str], order: Sequence[By]) -> DataFrame:
-    """JN5: entity → bridge → entity, then one row per original row. Hot
-    ids on either side of the bridge are salted."""
-    l2 = link.select(F.col(link_left).alias("_ll"), F.col(link_right).alias("_lr"))
+                    cols: Sequence[str], order: Sequence[By], link_cols: Sequence[str] = ()) -> DataFrame:
+    """JN5: entity → bridge → entity, then one row per original row, with
+    ``link_cols`` of the bridge. Hot ids on either side of it are salted."""
+    l2 = link.select(F.col(link_left).alias("_ll"), F.col(link_right).alias("_lr"), *link_cols)
     d2 = dim.select(F.col(dim_key).alias("_lr"), *cols)
     out = skewed_join(df.withColumn("_ll", F.col(df_key)), l2, "_ll")
     out = skewed_join(out, d2, "_lr").drop("_ll", "_lr")

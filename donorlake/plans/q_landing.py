@@ -296,6 +296,7 @@ def _named_files(spark, d, folder: str):
 
 
 @register("src10_load_report", with_views("""
+SELECT * FROM (
 WITH f AS (SELECT CAST(filing_id AS BIGINT) // 500 AS b, count(*) AS n,
                   count(*) FILTER (CAST(filing_id AS BIGINT) % 500 = 7) AS marked FROM landing_a GROUP BY 1),
 g AS (SELECT *, CASE WHEN b % 5 = 0 THEN marked ELSE 0 END AS bad FROM f),
@@ -307,7 +308,7 @@ first AS (
   UNION ALL SELECT NULL, 'skipped', count(DISTINCT i // 5000), 0, 0 FROM e)
 SELECT 1 AS run, * FROM first
 UNION ALL SELECT 2, "table", CASE status WHEN 'loaded' THEN 'skipped' ELSE status END, files,
-                 CASE status WHEN 'failed' THEN rows ELSE 0 END, bad_rows FROM first""", "landing_a", "landing_c"))
+                 CASE status WHEN 'failed' THEN rows ELSE 0 END, bad_rows FROM first)""", "landing_a", "landing_c"))
 def src10_load_report(spark, d):
     """Loaded, skipped and failed files of a run and of the run after it."""
     folder, root = scratch_path(spark, "src10in"), scratch_path(spark, "src10log")

@@ -13,7 +13,7 @@ collected to the driver except file listings.
 
 from __future__ import annotations
 
-import io
+import itertools
 import re
 import zipfile
 from collections.abc import Mapping, Sequence
@@ -23,8 +23,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from donorlake.sources.archives import archive_scan  # noqa: F401  (SRC4)
-from donorlake.sources.ranges import CORRUPT, multiline_scan, scan_mixed_delimiters  # noqa: F401  (SRC1, SRC3)
+from donorlake.sources.archives import archive_scan, open_archive  # noqa: F401  (SRC4)
+from donorlake.sources.ranges import (CORRUPT, files_of, multiline_scan, scan_mixed_delimiters,  # noqa: F401
+                                      tasks_for)
 
 
 def text_schema(columns: Sequence[str]) -> T.StructType:
@@ -222,18 +223,33 @@ def _sheet_parts(zf: zipfile.ZipFile) -> list[str]:
     return sorted(found, key=lambda n: int(re.search(r"(\d+)\.xml$", n).group(1)))
 
 
-def _sheet_rows(data: bytes, sheet_idx: int):
+#: Rows of a sheet that a task hands on at once.
+SHEET_ROWS = 5000
+
+
+def _elements(zf: zipfile.ZipFile, part: str, tag: str):
+    """Elements of a part as they are read; each is dropped after its use."""
     import xml.etree.ElementTree as ET
 
-    zf = zipfile.ZipFile(io.BytesIO(data))
+    with zf.open(part) as f:
+        root = None
+        for event, el in ET.iterparse(f, events=("start", "end")):
+            if root is None:
+                root = el
+            elif event == "end" and el.tag == f"{{{_NS['m']}}}{tag}":
+                yield el
+                root.clear()
+                el.clear()
+
+
+def _sheet_rows(zf: zipfile.ZipFile, sheet_idx: int):
+    """(row number, cells) of a sheet, read on as they are asked for; of the
+    workbook only its shared strings are held."""
     date_styles = _date_styles(zf)
     shared: list[str] = []
     if "xl/sharedStrings.xml" in zf.namelist():
-        root = ET.fromstring(zf.read("xl/sharedStrings.xml"))
-        for si in root.findall("m:si", _NS):
-            shared.append("".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")))
-    root = ET.fromstring(zf.read(_sheet_parts(zf)[sheet_idx]))
-    for row in root.iter(f"{{{_NS['m']}}}row"):
+        shared = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in _elements(zf, "xl/sharedStrings.xml", "si")]
+    for row in _elements(zf, _sheet_parts(zf)[sheet_idx], "row"):
         cells: dict[int, str] = {}
         for c in row.findall("m:c", _NS):
             v = c.find("m:v", _NS)
@@ -256,25 +272,27 @@ def _sheet_rows(data: bytes, sheet_idx: int):
         yield int(row.get("r", "0")), [cells.get(i, "") for i in range(width)]
 
 
-def workbook_rows(binary: DataFrame, sheet_idx: int = 0) -> DataFrame:
-    """SRC5 on (path, content): rows of sheet ``sheet_idx`` as text cells
-    (missing cells → '', date-formatted cells → ISO dates). Reads the
-    workbook XML with the stdlib."""
+def workbook_rows(files: DataFrame, sheet_idx: int = 0) -> DataFrame:
+    """SRC5 on a table of files: rows of sheet ``sheet_idx`` as text cells
+    (missing cells → '', date-formatted cells → ISO dates). A workbook is read
+    by ranged reads and its sheet streamed in blocks of rows."""
 
     def run(batches):
         for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"]):
-                rows = list(_sheet_rows(bytes(content), sheet_idx))
-                yield pd.DataFrame({"path": path, "row_no": [r for r, _ in rows], "cells": [c for _, c in rows]})
+            for path in pdf["file"]:
+                with open_archive(path) as zf:
+                    rows = _sheet_rows(zf, sheet_idx)
+                    while some := list(itertools.islice(rows, SHEET_ROWS)):
+                        yield pd.DataFrame({"path": path, "row_no": [r for r, _ in some], "cells": [c for _, c in some]})
 
-    return binary.select("path", "content").mapInPandas(run, WORKBOOK_ROW_SCHEMA)
+    return files.select("file").mapInPandas(run, WORKBOOK_ROW_SCHEMA)
 
 
 def workbook_scan(spark: SparkSession, path: str, columns: Sequence[str], sheet_idx: int = 0,
                   header: bool = True) -> DataFrame:
     """SRC5: ``.xlsx`` files → text columns; the header row is dropped."""
-    b = spark.read.format("binaryFile").option("pathGlobFilter", "*.xlsx").load(path)
-    rows = workbook_rows(b, sheet_idx)
+    files = files_of(spark, path, "*.xlsx")
+    rows = workbook_rows(files.repartition(tasks_for(files), "file"), sheet_idx)
     if header:
         rows = rows.filter(F.col("row_no") > 1)
     return rows.select(*[F.coalesce(F.try_element_at("cells", F.lit(i + 1)), F.lit("")).alias(c)
@@ -384,11 +402,17 @@ def _html_rows(container_tag, attrs, row_tag, cell_tags, min_cells, skip_header)
 
     def run(batches):
         for pdf in batches:
+            found = []  # rows of several pages go on together
             for pid, html in zip(pdf["page_id"], pdf["html"]):
                 p = Rows()
                 p.feed(html or "")
                 p.close()
-                yield pd.DataFrame({"page_id": int(pid), "row_idx": range(len(p.rows)), "cells": p.rows})
+                found += [(int(pid), i, cells) for i, cells in enumerate(p.rows)]
+                if len(found) >= SHEET_ROWS:
+                    yield pd.DataFrame(found, columns=HTML_ROW_SCHEMA.names)
+                    found = []
+            if found:
+                yield pd.DataFrame(found, columns=HTML_ROW_SCHEMA.names)
 
     return run
 
