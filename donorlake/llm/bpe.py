@@ -29,12 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from donorlake.llm.util import prepare, sliced, texts_of
+from donorlake.llm.util import freeing, prepare, sliced, texts_of
 
 CHUNK = 1 << 16
 OVERLAP = 1 << 10
 LOOKAHEAD = 3
-CACHED_PIECES = 200_000
+CACHED_PIECES = 50_000
 
 
 def vocabulary_path(name: str = "byte_bpe_50k.tiktoken") -> str:
@@ -139,11 +139,11 @@ def id_lists(arrays: list[np.ndarray]) -> pa.Array:
 
 def _encode_short(path, keep):
     def run(batches):
-        enc = Encoder(path)
-        for batch in sliced(batches, limit=4 << 20):
+        enc = Encoder.shared(path)
+        for batch in sliced(batches, limit=2 << 20):
             ids = id_lists([enc.encode(t.decode()) for t in texts_of(batch)])
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), ids], [*keep, "ids"])
-    return run
+    return freeing(run)
 
 
 def _cut_chunks(chunk, overlap, keep):
@@ -233,15 +233,42 @@ def encode(docs: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("d
 
 def _decode(path, keep):
     def run(batches):
-        with open(path, "rb") as f:
-            raw = {int(b): base64.b64decode(a) for a, b in map(bytes.split, f)}
-        for batch in batches:
+        raw = _raw_tokens(path)
+        for batch in _small(batches):
             ids = batch.column("ids")
             out = [b"".join(map(raw.__getitem__, x.tolist() if hasattr(x, "tolist") else x))
                    for x in (ids[i].values.to_numpy() for i in range(len(ids)))]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), pa.array(out, pa.binary())], [*keep, "raw"])
-    return run
+    return freeing(run)
+
+
+_RAW: dict[str, list[bytes]] = {}
+
+
+def _raw_tokens(path: str) -> list[bytes]:
+    """Bytes of each id, once a worker process."""
+    if path not in _RAW:
+        with open(path, "rb") as f:
+            ranks = sorted((int(b), base64.b64decode(a)) for a, b in map(bytes.split, f))
+        _RAW[path] = [b""] * (ranks[-1][0] + 1)
+        for i, token in ranks:
+            _RAW[path][i] = token
+    return _RAW[path]
+
+
+def _small(batches, limit: int = 1 << 19):
+    """Batches of at most ``limit`` ids (one longer document makes its own)."""
+    for batch in batches:
+        n = np.diff(batch.column("ids").offsets.to_numpy())
+        begin, total = 0, 0
+        for i, size in enumerate(n.tolist()):
+            if i > begin and total + size > limit:
+                yield batch.slice(begin, i - begin)
+                begin, total = i, 0
+            total += size
+        if batch.num_rows:
+            yield batch.slice(begin)
 
 
 def decode(encoded: DataFrame, path: str | None = None, keep: tuple[str, ...] = ("doc_id", "ids")) -> DataFrame:
