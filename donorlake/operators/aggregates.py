@@ -131,10 +131,13 @@ def newest_first(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
 
 def keep_newest(df: DataFrame, ts: str, n: int, key: str) -> tuple[DataFrame, DataFrame]:
     """TOP1: the newest ``n`` rows, and a one-row frame with the number of the
-    others."""
-    kept = newest_first(df, ts, key, n).filter("_in").drop("_in")
-    overflow = df.agg(F.greatest(F.count(F.lit(1)) - F.lit(n), F.lit(0)).alias("overflow_count"))
-    return kept, overflow
+    others. ``df`` is read several times: pass a stored table."""
+    return newest_first(df, ts, key, n).filter("_in").drop("_in"), overflow_count(df, n)
+
+
+def overflow_count(df: DataFrame, n: int) -> DataFrame:
+    """TOP1: how many rows are past the newest ``n``."""
+    return df.agg(F.greatest(F.count(F.lit(1)) - F.lit(n), F.lit(0)).alias("overflow_count"))
 
 
 def ranked(df: DataFrame, by: Sequence[str | Column], descending: bool = True) -> DataFrame:
@@ -156,5 +159,5 @@ def extremes(df: DataFrame, col: str) -> DataFrame:
 __all__ = [
     "By", "asc", "desc", "sum_contributions", "latest", "collapse", "mode_by", "distinct_on",
     "distinct_rows", "row_count", "pad_columns", "union_all", "union_distinct", "union_sources",
-    "keep_newest", "newest_first", "ranked", "extremes",
+    "keep_newest", "newest_first", "overflow_count", "ranked", "extremes",
 ]

@@ -12,6 +12,7 @@ from donorlake.operators.dedup import asc, desc
 from donorlake.operators import quality
 from donorlake.plans import domain as dm
 from donorlake.plans.registry import register
+from donorlake.session import scratch_path
 from donorlake.plans.sqlviews import CONTRIB_COLS, COMMITTEE_COLS, order_all, with_views
 
 
@@ -502,16 +503,15 @@ KEEP_NEWEST_N = 1000
     f"SELECT * FROM master ORDER BY contribution_datetime DESC NULLS LAST, source_id ASC NULLS LAST "
     f"LIMIT {KEEP_NEWEST_N}", "master"))
 def top1_keep_newest(spark, d):
-    kept, _ = agg.keep_newest(dm.contributions_master(spark, d), "contribution_datetime", KEEP_NEWEST_N, "source_id")
-    return kept
+    path = scratch_path(spark, "top1")  # the master is built once and read by each pass
+    dm.contributions_master(spark, d).write.parquet(path)
+    return agg.keep_newest(spark.read.parquet(path), "contribution_datetime", KEEP_NEWEST_N, "source_id")[0]
 
 
 @register("top1_overflow_count", with_views(
     f"SELECT greatest(count(*) - {KEEP_NEWEST_N}, 0) AS overflow_count FROM master", "master"))
 def top1_overflow_count(spark, d):
-    _, overflow = agg.keep_newest(dm.contributions_master(spark, d), "contribution_datetime", KEEP_NEWEST_N,
-                                  "source_id")
-    return overflow
+    return agg.overflow_count(dm.contributions_master(spark, d), KEEP_NEWEST_N)
 
 
 @register("top4_extremes", with_views(f"""
