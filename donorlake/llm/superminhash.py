@@ -7,13 +7,18 @@ lowers the variance against independent hashes, and a document stops at the
 first rank that is above all its minima.
 
 Equal shingle sets become one node first, so copies never meet in pairs.
-Nodes that agree in a band of the signature share a bucket. In each bucket
-the members are verified against a leader, on full sets, and grouped; members
-that are then in one group are not compared again, and what is left in a
-bucket in different groups is compared in full, each pair at its first common
-band only, so no link between different sets is left out (a pair at the
-threshold shares a bucket but for 1 in 8 million). Verified
-links are grouped by hooking and pointer jumping, the distributed form of
+Nodes that agree in a band of the signature share a bucket, and buckets that
+share nodes form a family. A family of at most ``BLOCK`` shingles travels to
+one task, each set once, where an inverted index counts the common shingles
+of a set with all others and a local union-find leaves out what is already
+joined: only links that join two groups leave the task. A larger family is
+first cut down bucket by bucket: members are verified against the bucket's
+leader, on full sets, and what is then in one group is not compared again;
+the buckets that still hold different groups become units of their own, dealt
+into blocks of ``BLOCK`` shingles that meet two at a time. Either way every
+pair of different sets that shares a bucket is compared or already joined (a
+pair at the threshold shares a bucket but for 1 in 8 million). Links between
+groups are closed by hooking and pointer jumping, the distributed form of
 union-find.
 
 Defined results: null or empty text, or text without words, has an empty
@@ -36,9 +41,8 @@ BANDS = 40
 ROWS = 5
 COMPONENTS = BANDS * ROWS
 SIMILARITY = 80  # per cent
-#: Pairs whose signatures agree less are below the threshold: at 80 per cent
-#: similarity, fewer than 128 of 200 agree with a probability under 1e-8.
-LEAST_AGREEMENT = 128
+#: Shingles that a task compares at once (16 MB of hashes).
+BLOCK = 1 << 21
 #: Shingles whose permutations are held at once (one byte a component).
 HELD = 40_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -142,21 +146,18 @@ def _sign_batches(k):
         for batch in sliced(batches, limit=4 << 20):
             sets = shingle_sets(texts_of(batch), k)
             sig = signatures(sets)
-            keys, small = band_keys(sig), mix64(sig.astype(np.uint64)).astype(np.uint8)
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "node": pa.array([_digest(s) if len(s) else None for s in sets], pa.binary()),
-                "bands": pa.array(list(keys), pa.list_(pa.int64())),
-                "brief": pa.array([x.tobytes() for x in small], pa.binary())})
+                "bands": pa.array(list(band_keys(sig)), pa.list_(pa.int64()))})
     return freeing(run, _INTERNED)
 
 
 def sign(docs: DataFrame, k: int) -> DataFrame:
-    """doc_id, n (set size), node (digest of the set), bands, brief (one byte
-    of each component) of every document."""
+    """doc_id, n (set size), node (digest of the set), bands of every document."""
     return docs.select("doc_id", "text").mapInArrow(
-        _sign_batches(k), "doc_id long, n long, node binary, bands array<long>, brief binary")
+        _sign_batches(k), "doc_id long, n long, node binary, bands array<long>")
 
 
 # ------------------------------------------------------------ verification
@@ -173,14 +174,6 @@ def _node_sets(k):
     return freeing(run, _INTERNED)
 
 
-def _agree(batches):
-    for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, COMPONENTS)
-                for c in ("a_brief", "b_brief"))
-        keep = (a == b).sum(1) >= LEAST_AGREEMENT
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
-
-
 def _verify(batches):
     for batch in batches:
         ok = []
@@ -190,17 +183,76 @@ def _verify(batches):
             both.sort()
             inter = int((both[1:] == both[:-1]).sum())
             ok.append(100 * inter >= SIMILARITY * (len(p) + len(q) - inter))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(ok, pa.bool_())], ["a", "b", "linked"])
+        yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
 
-def verify(pairs: DataFrame, sets: DataFrame, briefs: DataFrame) -> DataFrame:
-    """(a, b, linked) for candidate pairs; ``a`` travels to its leader ``b``."""
-    one = lambda c: briefs.select(F.col("node").alias(c), F.col("brief").alias(f"{c}_brief"))
-    near = pairs.join(one("a"), "a").join(one("b"), "b").mapInArrow(_agree, "a binary, b binary")
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The candidate pairs (a, b) that are links; ``a`` travels to its leader ``b``."""
     side = lambda c: sets.select(F.col("node").alias(c), F.col("items").alias(f"{c}_items"))
-    return near.join(side("a"), "a").join(side("b"), "b").mapInArrow(
-        _verify, "a binary, b binary, linked boolean")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_verify, "a binary, b binary")
+
+
+def joined(group: list[bytes], part: list[int], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+    """Pairs of groups that links between ``sets`` join, no pair that the
+    others already connect. Sets of two parts are compared across them only."""
+    names, label = np.unique(np.array(group, object), return_inverse=True)
+    if len(names) < 2:
+        return []
+    part = np.array(part)
+    across = bool((part != part[0]).any())
+    size = np.array([len(s) for s in sets], np.int64)
+    begin = np.concatenate([[0], np.cumsum(size)])
+    ids = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    held = np.repeat(np.arange(len(sets)), size)[np.argsort(ids, kind="stable")]
+    start = np.concatenate([[0], np.cumsum(np.bincount(ids))])
+    out = []
+    for i in range(len(sets) - 1):
+        other = label != label[i]
+        other[:i] = False
+        if across:
+            other &= part != part[i]
+        other &= 100 * np.minimum(size, size[i]) >= SIMILARITY * np.maximum(size, size[i])
+        if not other.any():
+            continue
+        mine = ids[begin[i] : begin[i + 1]]
+        count = start[mine + 1] - start[mine]
+        at = np.repeat(start[mine] - np.cumsum(count) + count, count) + np.arange(count.sum())
+        both = np.bincount(held[at], minlength=len(sets))
+        found = np.unique(label[other & (100 * both >= SIMILARITY * (size + size[i] - both))])
+        if len(found):
+            out += [(names[label[i]], names[g]) for g in found]
+            label[np.isin(label, found)] = label[i]
+    return out
+
+
+def _settle(batches):
+    def links(rows):
+        pairs = joined(*zip(*rows)) if len(rows) > 1 else []
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    now, rows = None, []
+    for batch in batches:
+        for unit, x, y, group, part, items in zip(*(c.to_pylist() for c in batch.columns)):
+            if (unit, x, y) != now:
+                yield links(rows)
+                now, rows = (unit, x, y), []
+            rows.append((group, part, np.frombuffer(items, np.uint64)))
+    yield links(rows)
+
+
+def settle(units: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """(a, b) groups that links inside a unit join. ``units``: unit, node,
+    group, load (shingles of the unit); a unit over ``block`` is dealt into
+    parts by hash, and every two parts (and each with itself) meet once."""
+    parts = F.ceil(F.col("load") / F.lit(block))
+    dealt = units.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("long")).withColumn("other", F.explode(
+        F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1)))
+    return (dealt.join(sets, "node")
+            .select("unit", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"),
+                    "group", "part", "items")
+            .repartition("unit", "x", "y").sortWithinPartitions("unit", "x", "y")
+            .mapInArrow(_settle, "a binary, b binary"))
 
 
 # ------------------------------------------------------------ grouping
@@ -227,17 +279,36 @@ def components(edges: DataFrame) -> DataFrame:
             return roots
 
 
+def _lead(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links of each bucket's members with its leader, the set with most
+    copies, and as units what is left in a bucket in different groups."""
+    first = members.groupBy("key").agg(F.max_by(
+        F.struct("node", "n"), F.struct("copies", "node")).alias("leader"))
+    close = f"100 * least(n, b_n) >= {SIMILARITY} * greatest(n, b_n)"
+    pairs = (members.join(first.select("key", F.col("leader.node").alias("b"), F.col("leader.n").alias("b_n")), "key")
+             .filter("node <> b").filter(close).select(F.col("node").alias("a"), "b").distinct())
+    found = materialise(verify(pairs, sets), "verified")
+    held = members.join(components(found), "node", "left").withColumn("group", F.coalesce("root", "node"))
+    split = (held.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y"), F.sum("n").alias("load"))
+             .filter("x <> y").select("key", "load"))
+    units = held.join(split, "key").select(
+        F.encode(F.concat(F.lit("bucket "), F.col("key").cast("string")), "utf-8").alias("unit"), "node", "group", "load")
+    return found, materialise(units, "unsettled")
+
+
 # ------------------------------------------------------------ the operator
 
-def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id (least doc_id linked with, itself
-    included), kept (it is that document), group_rows (rows of its group)."""
+    included), kept (it is that document), group_rows (rows of its group).
+    ``block`` is how many shingles a task compares at once; results do not
+    depend on it."""
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signed = materialise(sign(rows, k), "signatures")
     nodes = signed.filter("n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("n").alias("n"),
-        F.first("bands").alias("bands"), F.first("brief").alias("brief"))
+        F.first("bands").alias("bands"))
     nodes = materialise(nodes, "nodes")
     banded = nodes.select("node", F.explode("bands").alias("key"))
     shared = (nodes.select(F.explode("bands").alias("key")).groupBy("key")
@@ -247,31 +318,24 @@ def near_duplicates(docs: DataFrame, k: int = 5) -> DataFrame:
     asked = members.select("node").distinct().join(nodes.select("node", "doc_id", "copies", "n"), "node")
     asked = materialise(asked, "candidates")
     members = materialise(members.join(asked.select("node", "copies", "n"), "node"), "members")
-    briefs = materialise(nodes.select("node", "brief").join(asked.select("node"), "node", "left_semi"), "briefs")
     sets = rows.alias("r").join(asked.select("node", "doc_id").alias("a"), F.expr("r.doc_id <=> a.doc_id")).select("a.node", "r.text")
     sets = materialise(sets.mapInArrow(_node_sets(k), "node binary, items binary").dropDuplicates(["node"]), "sets")
 
-    # 1. each bucket's members against its leader, the set with most copies
-    first = members.groupBy("key").agg(F.max_by(
-        F.struct("node", "n"), F.struct("copies", "node")).alias("leader"))
-    close = f"100 * least(n, b_n) >= {SIMILARITY} * greatest(n, b_n)"
-    pairs = (members.join(first.select("key", F.col("leader.node").alias("b"), F.col("leader.n").alias("b_n")), "key")
-             .filter("node <> b").filter(close).select(F.col("node").alias("a"), "b").distinct())
-    found = materialise(verify(pairs, sets, briefs), "verified")
-    roots = components(found.filter("linked"))
-    # 2. what is left in a bucket in different groups
-    held = members.join(roots, "node", "left").withColumn("group", F.coalesce("root", "node"))
-    split = held.groupBy("key").agg(F.min("group").alias("x"), F.max("group").alias("y")).filter("x <> y")
-    held = held.join(split.select("key"), "key").join(nodes.select("node", "bands"), "node")
-    held = materialise(held.select("key", "node", "n", "group", "bands"), "unsettled")
-    other = held.select("key", *(F.col(c).alias(f"b_{c}") for c in ("node", "n", "group", "bands")))
-    here = F.expr("array_position(zip_with(bands, b_bands, (x, y) -> x = y), true) = array_position(bands, held.key)")
-    pairs = (held.alias("held").join(other.alias("other"), F.expr("held.key = other.key") & F.expr("group < b_group") & F.expr(close) & here)
-             .select(F.col("node").alias("a"), F.col("b_node").alias("b")))
-    known = found.select("a", "b").union(found.select("b", "a"))
-    rest = materialise(verify(pairs.join(known, ["a", "b"], "left_anti"), sets, briefs), "verified").filter("linked")
-    if not rest.isEmpty():
-        roots = components(found.filter("linked").select("a", "b").union(rest.select("a", "b")))
+    # families: what buckets connect
+    least = members.groupBy("key").agg(F.min("node").alias("a"))
+    families = components(members.join(least, "key").filter("node <> a").select("a", F.col("node").alias("b")))
+    placed = asked.select("node", "n").join(families, "node")
+    load = placed.groupBy("root").agg(F.sum("n").alias("load"))
+    placed = materialise(placed.join(load, "root"), "families")
+    units = placed.filter(F.col("load") <= block).select(
+        F.col("root").alias("unit"), "node", F.col("node").alias("group"), "load")
+    large = placed.filter(F.col("load") > block)
+    found = None
+    if not large.isEmpty():
+        found, rest = _lead(members.join(large.select("node"), "node", "left_semi"), sets)
+        units = units.unionByName(rest)
+    links = settle(units, sets, block)
+    roots = components(links if found is None else links.union(found))
 
     groups = signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     groups = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -30,6 +30,72 @@ def test_near_duplicates_match_brute_force(docs, pairs, k):
     assert as_rows(got) == sorted(superminhash.brute_force(known, k), key=key)
 
 
+def near_family(members, words, swaps, seed):
+    """Texts of one family: copies of a base with words of their own, so that
+    two members agree in a bit more or less than the threshold."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(words)]
+    out = []
+    for m in range(members):
+        w = list(base)
+        for p in rng.sample(range(words), rng.randint(*swaps)):
+            w[p] = f"m{m}x{p}"
+        out.append((m, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("block", [superminhash.BLOCK, 2500, 300])
+def test_near_duplicates_of_large_families(spark, block):
+    """Families in one task, cut down bucket by bucket, and dealt into blocks."""
+    family = near_family(70, 120, (2, 9), 4)
+    other = [(100 + i, t.replace("b", "q")) for i, t in near_family(12, 80, (1, 4), 5)]
+    rows = family + other + [(200, family[3][1]), (201, family[3][1])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = superminhash.digest(superminhash.near_duplicates(df, 2, block=block))
+    assert as_rows(got) == sorted(superminhash.brute_force(rows, 2), key=key)
+
+
+def test_joined_groups_equal_all_pairs():
+    rng = np.random.default_rng(2)
+    for case in range(60):
+        n = int(rng.integers(1, 14))
+        base = rng.integers(0, 2**63, 40).astype(np.uint64)
+        sets = []
+        for _ in range(n):
+            s = base[: int(rng.integers(5, 40))].copy()
+            s[: rng.integers(0, 4)] = rng.integers(0, 2**63, 1).astype(np.uint64)
+            sets.append(np.unique(s))
+        group = [bytes([65 + int(rng.integers(0, n))]) for _ in range(n)]
+        part = [int(x) for x in rng.integers(0, 2, n)] if case % 2 else [0] * n
+        across = len(set(part)) > 1
+        want, root = set(), {g: g for g in group}
+
+        def find(g):
+            while root[g] != g:
+                g = root[g]
+            return g
+
+        for i in range(n):
+            for j in range(i):
+                x = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * x >= 80 * (len(sets[i]) + len(sets[j]) - x) and not (across and part[i] == part[j]):
+                    want.add((group[i], group[j]))
+                    root[find(group[i])] = find(group[j])
+        links = superminhash.joined(group, part, sets)
+        assert all(p in want or p[::-1] in want or find(p[0]) == find(p[1]) for p in links)
+        mine = {g: g for g in group}
+        for a, b in links:
+            while mine[a] != a:
+                a = mine[a]
+            while mine[b] != b:
+                b = mine[b]
+            assert a != b  # no pair that the others already connect
+            mine[a] = b
+        name = lambda g: g if mine[g] == g else name(mine[g])
+        assert {(g, h) for g in group for h in group if name(g) == name(h)} == {
+            (g, h) for g in group for h in group if find(g) == find(h)}
+
+
 def test_near_duplicates_null_id_never_names_a_group(docs):
     got = {r["doc_id"]: r for r in superminhash.near_duplicates(docs, 5).collect()}
     assert got[None]["component_id"] == 17 and not got[None]["kept"]
