@@ -166,14 +166,24 @@ def _node_sets(k):
     def run(batches):
         for batch in sliced(batches, limit=4 << 20):
             sets = shingle_sets(texts_of(batch), k)
-            rows = [(n, s.tobytes()) for n, s in zip(batch.column("node").to_pylist(), sets)
+            rows = [(i, s.tobytes()) for i, (n, s) in enumerate(zip(batch.column("node").to_pylist(), sets))
                     if len(s) and _digest(s) == n]
-            yield pa.RecordBatch.from_pydict({
-                "node": pa.array([r[0] for r in rows], pa.binary()),
-                "items": pa.array([r[1] for r in rows], pa.binary())})
+            own = batch.select([c for c in batch.schema.names if c != "text"]).take(pa.array([r[0] for r in rows], pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [*own.columns, pa.array([r[1] for r in rows], pa.binary())], [*own.schema.names, "items"])
     return freeing(run, _INTERNED)
 
 
+def sets_of(rows: DataFrame, nodes: DataFrame, k: int) -> DataFrame:
+    """``nodes`` (doc_id, node, more binary columns) with items, the sorted
+    set that the text of doc_id has. The texts are dealt by doc_id whatever
+    the number of nodes, so that the job is the same at every size."""
+    more = [c for c in nodes.columns if c != "doc_id"]
+    texts = rows.alias("r").join(nodes.hint("merge").alias("a"), F.expr("r.doc_id <=> a.doc_id")).select(
+        *(f"a.{c}" for c in more), "r.text")
+    return texts.mapInArrow(_node_sets(k), ", ".join(f"{c} binary" for c in more) + ", items binary")
+
+
 def _verify(batches):
     for batch in batches:
         ok = []
@@ -241,42 +251,84 @@ def _settle(batches):
     yield links(rows)
 
 
-def settle(units: DataFrame, sets: DataFrame, block: int) -> DataFrame:
-    """(a, b) groups that links inside a unit join. ``units``: unit, node,
-    group, load (shingles of the unit); a unit over ``block`` is dealt into
-    parts by hash, and every two parts (and each with itself) meet once."""
+def deal(units: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Sets dealt to the comparisons of ``units`` (unit, node, group, load, the
+    shingles of the unit): a unit over ``block`` is cut into parts by hash, and
+    every two parts (and each with itself) meet once, as (unit, x, y)."""
     parts = F.ceil(F.col("load") / F.lit(block))
     dealt = units.withColumn("part", F.pmod(F.xxhash64("node"), parts).cast("long")).withColumn("other", F.explode(
         F.sequence(F.lit(0).cast("long"), parts.cast("long") - 1)))
-    return (dealt.join(sets, "node")
-            .select("unit", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"),
-                    "group", "part", "items")
-            .repartition("unit", "x", "y").sortWithinPartitions("unit", "x", "y")
-            .mapInArrow(_settle, "a binary, b binary"))
+    return dealt.join(sets, "node").select(
+        "unit", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "group", "part", "items")
+
+
+def settle(dealt: DataFrame) -> DataFrame:
+    """(a, b) groups that links inside a unit join."""
+    unit = ["unit", "x", "y"]
+    return dealt.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_settle, "a binary, b binary")
 
 
 # ------------------------------------------------------------ grouping
 
+#: Links whose local groups a task holds at once.
+HELD_LINKS = 500_000
+
+
+def _forest(batches):
+    """Links as (least, node) stars of the groups they form in this task."""
+    root: dict[bytes, bytes] = {}
+
+    def find(x):
+        top = x
+        while (up := root.setdefault(top, top)) != top:
+            top = up
+        while x != top:
+            root[x], x = top, root[x]
+        return top
+
+    def stars():
+        pairs = [(find(x), x) for x in list(root)]
+        pairs = [p for p in pairs if p[0] != p[1]]
+        root.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([p[i] for p in pairs], pa.binary()) for i in (0, 1)], ["a", "b"])
+
+    for batch in batches:
+        for a, b in zip(*(c.to_pylist() for c in batch.columns)):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+        if len(root) > HELD_LINKS:
+            yield stars()
+    yield stars()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node each node of ``edges`` (a, b) is
-    connected with. Every round hooks nodes to the least neighbour and
-    shortens paths; each round is a written table."""
-    edges = materialise(
-        edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).distinct(), "links")
-    roots = materialise(edges.groupBy(F.col("a").alias("node")).agg(
-        F.least(F.min("b"), F.first("a")).alias("root")), "roots")
+    connected with. Links are first joined inside each task; then every round
+    hooks nodes to their least neighbour, shortens the paths, and goes on with
+    the links between the nodes hooked to, which get fewer each time. The
+    rounds' tables are put together backwards."""
+    levels = []
     while True:
-        near = (edges.join(roots.select(F.col("node").alias("b"), F.col("root").alias("near")), "b")
-                .groupBy(F.col("a").alias("node")).agg(F.min("near").alias("near")))
-        hooked = roots.join(near, "node").select("node", F.least("root", "near").alias("next"), "root")
-        jump = hooked.select(F.col("node").alias("next"), F.col("next").alias("beyond"))
-        moved = materialise(
-            hooked.join(jump, "next", "left").select(
-                "node", F.coalesce(F.least("next", "beyond"), "next").alias("root"),
-                (F.coalesce(F.least("next", "beyond"), "next") != F.col("root")).alias("changed")), "roots")
-        roots = moved.select("node", "root")
-        if moved.filter("changed").isEmpty():
-            return roots
+        edges = materialise(edges.select("a", "b").mapInArrow(_forest, "a binary, b binary").distinct(), "links")
+        if levels and edges.isEmpty():
+            break
+        both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        up = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("up"))
+        up = materialise(up, "hooks")
+        over = up.select(F.col("node").alias("up"), F.col("up").alias("beyond"))
+        up = materialise(up.join(over, "up").select("node", F.col("beyond").alias("up")), "hooks")
+        levels.append(up)
+        side = lambda c: up.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up"))  # noqa: E731, B023
+        edges = (edges.join(side("a"), "a").join(side("b"), "b")
+                 .select(F.col("a_up").alias("a"), F.col("b_up").alias("b")).filter("a <> b"))
+    roots = levels.pop().select("node", F.col("up").alias("root"))
+    while levels:
+        later = roots.select(F.col("node").alias("up"), "root")
+        roots = materialise(levels.pop().join(later, "up", "left").select(
+            "node", F.coalesce("root", "up").alias("root")), "roots")
+    return roots
 
 
 def _lead(members: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -317,25 +369,23 @@ def near_duplicates(docs: DataFrame, k: int = 5, block: int = BLOCK) -> DataFram
     members = materialise(members, "buckets")
     asked = members.select("node").distinct().join(nodes.select("node", "doc_id", "copies", "n"), "node")
     asked = materialise(asked, "candidates")
-    members = materialise(members.join(asked.select("node", "copies", "n"), "node"), "members")
-    sets = rows.alias("r").join(asked.select("node", "doc_id").alias("a"), F.expr("r.doc_id <=> a.doc_id")).select("a.node", "r.text")
-    sets = materialise(sets.mapInArrow(_node_sets(k), "node binary, items binary").dropDuplicates(["node"]), "sets")
 
     # families: what buckets connect
     least = members.groupBy("key").agg(F.min("node").alias("a"))
     families = components(members.join(least, "key").filter("node <> a").select("a", F.col("node").alias("b")))
-    placed = asked.select("node", "n").join(families, "node")
+    placed = asked.join(families, "node")
     load = placed.groupBy("root").agg(F.sum("n").alias("load"))
     placed = materialise(placed.join(load, "root"), "families")
-    units = placed.filter(F.col("load") <= block).select(
-        F.col("root").alias("unit"), "node", F.col("node").alias("group"), "load")
+    small = placed.filter(F.col("load") <= block).select("doc_id", "node", F.col("root").alias("unit"))
+    none = F.lit(0).cast("long")
+    links = settle(sets_of(rows, small, k).select(
+        "unit", none.alias("x"), none.alias("y"), F.col("node").alias("group"), none.alias("part"), "items"))
     large = placed.filter(F.col("load") > block)
-    found = None
     if not large.isEmpty():
-        found, rest = _lead(members.join(large.select("node"), "node", "left_semi"), sets)
-        units = units.unionByName(rest)
-    links = settle(units, sets, block)
-    roots = components(links if found is None else links.union(found))
+        sets = materialise(sets_of(rows, large.select("doc_id", "node"), k).dropDuplicates(["node"]), "sets")
+        found, units = _lead(members.join(large.select("node", "copies", "n"), "node"), sets)
+        links = links.union(settle(deal(units, sets, block))).union(found)
+    roots = components(links)
 
     groups = signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     groups = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
