@@ -265,7 +265,7 @@ def deal(units: DataFrame, sets: DataFrame, block: int) -> DataFrame:
 def settle(dealt: DataFrame) -> DataFrame:
     """(a, b) groups that links inside a unit join."""
     unit = ["unit", "x", "y"]
-    return dealt.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(_settle, "a binary, b binary")
+    return dealt.repartition(*unit).sortWithinPartitions(*unit).mapInArrow(freeing(_settle), "a binary, b binary")
 
 
 # ------------------------------------------------------------ grouping
@@ -311,7 +311,7 @@ def components(edges: DataFrame) -> DataFrame:
     rounds' tables are put together backwards."""
     levels = []
     while True:
-        edges = materialise(edges.select("a", "b").mapInArrow(_forest, "a binary, b binary").distinct(), "links")
+        edges = materialise(edges.select("a", "b").mapInArrow(freeing(_forest), "a binary, b binary").distinct(), "links")
         if levels and edges.isEmpty():
             break
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
