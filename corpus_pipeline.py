@@ -24,11 +24,21 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles)."""
-    kept = superminhash.near_duplicates(docs, k=5).filter("kept").select(F.col("doc_id").alias("kept_id"))
+    """One document of each group of near duplicates (five-word shingles). Of
+    a kept row that occurs again with its doc_id, one stays; only the texts of
+    such ids are compared."""
+    kept = superminhash.near_duplicates(docs, k=5).filter("kept").groupBy(
+        F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("copies"))
+    kept = materialise(kept, "kept")
     rows = docs.select(*COLUMNS)
-    return (rows.join(kept, rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-            .dropDuplicates(["doc_id", "text"]))
+
+    def those(ids: DataFrame) -> DataFrame:
+        return rows.join(ids.hint("shuffle_hash"), rows["doc_id"].cast("long").eqNullSafe(ids["kept_id"]), "left_semi")
+
+    once, again = kept.filter("copies = 1"), kept.filter("copies > 1")
+    if again.isEmpty():
+        return those(once)
+    return those(once).union(those(again).dropDuplicates(["doc_id", "text"]))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
