@@ -77,3 +77,17 @@ def test_pipeline_stages_on_awkward_rows(spark, docs):
         assert got.columns == list(corpus_pipeline.COLUMNS) and got.count() > 0
     out = corpus_pipeline.tokenise(spark, docs, SF)
     assert out.count() == docs.count() and out.filter("NOT round_trip").count() == 0
+
+
+def test_near_dedup_stage_on_repeated_ids(spark):
+    """Of rows equal in id and text one stays; a kept id (null counts as one)
+    keeps its other texts, also where they are copies of another id's."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(30)) for c in "abc")
+    rows = [(1, one), (1, one), (2, one), (3, two), (3, three), (4, three), (None, two), (None, None), (None, None), (5, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.deduplicate(spark, docs, "")
+    assert got.columns == list(corpus_pipeline.COLUMNS)
+    assert sorted(map(repr, got.select("doc_id", "text").collect())) == sorted(map(repr, (
+        spark.createDataFrame([(1, one), (3, two), (3, three), (None, two), (None, None), (5, None)],
+                              "doc_id long, text string").collect())))
