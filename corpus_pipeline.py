@@ -24,9 +24,10 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates (five-word shingles). Of
-    a kept row that occurs again with its doc_id, one stays; only the texts of
-    such ids are compared."""
+    """One document of each group of near duplicates (five-word shingles). The
+    doc_id decides: an id that is kept (null counts as one) keeps all its
+    texts. Of a kept row that occurs again with its doc_id, one stays; only
+    the texts of such ids are compared."""
     kept = superminhash.near_duplicates(docs, k=5).filter("kept").groupBy(
         F.col("doc_id").alias("kept_id")).agg(F.count("*").alias("copies"))
     kept = materialise(kept, "kept")
