@@ -98,6 +98,11 @@ def _encode(df: DataFrame, order: Sequence[By], use_max: bool) -> list[Column] |
     return fields
 
 
+def newest_order(df: DataFrame, newest: str) -> list[Column]:
+    """Columns whose least value is the newest row's; a NULL comes last."""
+    return _encode(df, [desc(newest)], False)
+
+
 def best_per_key(
     df: DataFrame,
     keys: Sequence[str],

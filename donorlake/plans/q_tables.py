@@ -203,6 +203,13 @@ def snk8_load_report(spark, d):
 # --- delta sync --------------------------------------------------------------------
 
 
+def _master_once(spark, d, root):
+    """The master, built and written once: a job that syncs it several times
+    reads it back instead of building it again."""
+    dm.contributions_master(spark, d).write.parquet(f"{root}/master")
+    return spark.read.parquet(f"{root}/master")
+
+
 @register("syn1_first_sync", with_views("SELECT * FROM master", "master"))
 def syn1_first_sync(spark, d):
     root = scratch_path(spark, "syn1")
@@ -318,7 +325,7 @@ def str1_land_stream(spark, d):
 @register("str2_sync_stream", with_views(f"SELECT {_MASTER_NO_ID} FROM master", "master"))
 def str2_sync_stream(spark, d):
     root = scratch_path(spark, "str2")
-    m = dm.contributions_master(spark, d)
+    m = _master_once(spark, d, root)
     m.filter(F.col("source") == "A").write.parquet(f"{root}/in")
     jobs.sync_stream(spark, f"{root}/in", m.schema, f"{root}/state", f"{root}/_ck", T1)
     m.filter(F.col("source") != "A").write.mode("append").parquet(f"{root}/in")

@@ -60,3 +60,20 @@ def test_sync_stream_remembers_ids_without_reading_history(spark, tmp_dir):
     assert r.published_rows == 2
     assert sorted(x["v"] for x in syn.serving(spark, root).collect()) == [0, 6, 7]
     assert jobs.sync_stream(*args, day(12)) == []
+
+
+def test_first_seen_keeps_its_state_without_python(spark, tmp_dir):
+    """A key costs no Python call; ties of the newest go to the least row, and
+    an id that comes again, even twice at once, is left out."""
+    src, root, ck = (os.path.join(tmp_dir, x) for x in ("in", "state", "ck"))
+    schema = "source_id string, v int, contribution_datetime date"
+    frame = lambda rows: spark.createDataFrame(rows, schema)
+    frame([("a", 5, dt.date(2024, 1, 2)), ("a", 4, dt.date(2024, 1, 2)), ("a", 1, None), ("b", 7, None)]).write.parquet(src)
+    stream = spark.readStream.schema(schema).parquet(src)
+    plan = jobs.first_seen(stream, "source_id", "contribution_datetime")._jdf.queryExecution().analyzed().toString()
+    assert "Pandas" not in plan and "Aggregate" in plan
+    args = (spark, src, frame([]).schema, root, ck)
+    jobs.sync_stream(*args, dt.datetime(2025, 1, 1))
+    frame([("a", 9, dt.date(2025, 1, 1)), ("a", 8, dt.date(2025, 1, 1)), ("c", 3, None)]).write.mode("append").parquet(src)
+    jobs.sync_stream(*args, dt.datetime(2025, 1, 2))
+    assert sorted(r["v"] for r in syn.serving(spark, root).collect()) == [3, 4, 7]
