@@ -13,12 +13,15 @@ collected to the driver except file listings.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import re
 import zipfile
 from collections.abc import Mapping, Sequence
+from xml.sax.saxutils import unescape
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -242,34 +245,122 @@ def _elements(zf: zipfile.ZipFile, part: str, tag: str):
                 el.clear()
 
 
+#: A row of plain cells, as spreadsheet writers put them. What is written any
+#: other way (numbered characters, comments, other attributes) is left to the XML parser.
+_CHARS = "[^<&\\x00-\\x08\\x0b-\\x1f\\ufffe\\uffff]*"
+_TEXT = f"{_CHARS}(?:&(?:amp|lt|gt|quot|apos);{_CHARS})*"
+_ROW = re.compile(f'\\s*<row(?: r="([0-9]+)"| [a-zA-Z:0-9]+="[^"<>&/]*")*>((?:<c [^>]*(?:/>|>(?:<v>{_TEXT}</v>|<is><t(?: xml:space="preserve")?>{_TEXT}</t></is>)</c>))*)</row>')
+_CELL = re.compile(f'<c r="([A-Z]+)[0-9]+"(?: s="([0-9]+)")?(?: t="([a-zA-Z]+)")?(?:/>|>(?:<v>({_TEXT})</v>|<is><t(?: xml:space="preserve")?>({_TEXT})</t></is>)</c>)')
+_HEAD = re.compile(rb'\s*(?:<\?xml version="1\.0"(?: encoding="(?:UTF|utf)-8")?(?: standalone="[a-z]+")?\?>)?\s*<worksheet [^>]*>')
+_SHEET_BYTES = 1 << 18
+
+
+def _plain_rows(f):
+    """(row number, cells) of the leading rows of a sheet that are plain, and
+    None when another one follows: a cell is (column, style, type, value, text)."""
+    head = f.read(_SHEET_BYTES)
+    found = _HEAD.match(head)
+    start = head.find(b"<sheetData>")
+    if not found or start < 0 or f'xmlns="{_NS["m"]}"'.encode() not in found.group() or b"<!" in head[:start] or b"<row" in head[:start]:
+        yield None
+        return
+    rest = head[start + len(b"<sheetData>"):]
+    while True:
+        ended = rest.find(b"</sheetData>")
+        cut = ended if ended >= 0 else rest.rfind(b"</row>") + len("</row>") if b"</row>" in rest else 0
+        try:
+            text, at = rest[:cut].decode("utf-8"), 0
+        except UnicodeDecodeError:
+            text, at = "<", 0
+        if "]]>" in text:
+            text = "<"
+        while at < len(text):
+            m = _ROW.match(text, at)
+            if not m:
+                if text[at:].strip():
+                    yield None
+                    return
+                break
+            cells = _CELL.findall(m.group(2))
+            if m.group(2).count("<c ") != len(cells):
+                yield None
+                return
+            if "&" in m.group(2):
+                cells = [(*c[:3], *(unescape(x, {"&quot;": '"', "&apos;": "'"}) for x in c[3:])) for c in cells]
+            yield m.group(1) or "0", cells
+            at = m.end()
+        if ended >= 0:
+            while f.read(1 << 20):  # to the end: the archive checks its sum there
+                pass
+            return
+        more = f.read(_SHEET_BYTES)
+        rest = rest[cut:] + more
+        if not more:
+            yield None
+            return
+
+
+@functools.lru_cache(1 << 14)
+def _column(letters: str) -> int:
+    return _col_index(letters)
+
+
 def _sheet_rows(zf: zipfile.ZipFile, sheet_idx: int):
     """(row number, cells) of a sheet, read on as they are asked for; of the
-    workbook only its shared strings are held."""
+    workbook only its shared strings are held. Rows of plain cells are cut out
+    of the text; from the first row that is written otherwise on, the sheet
+    goes through the XML parser."""
     date_styles = _date_styles(zf)
     shared: list[str] = []
     if "xl/sharedStrings.xml" in zf.namelist():
         shared = ["".join(t.text or "" for t in si.iter(f"{{{_NS['m']}}}t")) for si in _elements(zf, "xl/sharedStrings.xml", "si")]
-    for row in _elements(zf, _sheet_parts(zf)[sheet_idx], "row"):
+    part = _sheet_parts(zf)[sheet_idx]
+    serials = functools.lru_cache(1 << 14)(_serial_to_iso)
+
+    def value(t, style, v, text):
+        """A cell's text; ``v`` and ``text`` are None where it has no value or no inline string."""
+        if t == "inlineStr":
+            return text or ""
+        if not v:
+            return ""
+        if t == "s":
+            return shared[int(v)]
+        if t == "b":
+            return "True" if v == "1" else "False"
+        if t in (None, "n") and int(style) in date_styles:
+            return serials(v)  # date-formatted number → ISO text
+        return v
+
+    def padded(cells):
+        if list(cells) == list(range(len(cells))):
+            return list(cells.values())
+        return [cells.get(i, "") for i in range(max(cells) + 1 if cells else 0)]
+
+    done = 0
+    with zf.open(part) as f:
+        for row in _plain_rows(f):
+            if row is None:
+                break
+            yield int(row[0]), padded({_column(ref): x if t == "inlineStr" else value(t or None, s or "0", v, x)
+                                       for ref, s, t, v, x in row[1]})
+            done += 1
+        else:
+            return
+    tag = {x: f"{{{_NS['m']}}}{x}" for x in ("c", "v", "is", "t")}
+    for row in itertools.islice(_elements(zf, part, "row"), done, None):
         cells: dict[int, str] = {}
-        for c in row.findall("m:c", _NS):
-            v = c.find("m:v", _NS)
-            t = c.get("t")
-            if t == "inlineStr":
-                is_ = c.find("m:is", _NS)
-                val = "".join(x.text or "" for x in is_.iter(f"{{{_NS['m']}}}t")) if is_ is not None else ""
-            elif v is None or v.text is None:
-                val = ""
-            elif t == "s":
-                val = shared[int(v.text)]
-            elif t == "b":
-                val = "True" if v.text == "1" else "False"
-            elif t in (None, "n") and int(c.get("s", "0")) in date_styles:
-                val = _serial_to_iso(v.text)  # date-formatted number → ISO text
-            else:
-                val = v.text
-            cells[_col_index(c.get("r", "A1"))] = val
-        width = max(cells) + 1 if cells else 0
-        yield int(row.get("r", "0")), [cells.get(i, "") for i in range(width)]
+        for c in row:
+            if c.tag != tag["c"]:
+                continue
+            v = next((x.text for x in c if x.tag == tag["v"]), None)
+            is_ = next((x for x in c if x.tag == tag["is"]), None)
+            text = None if is_ is None else "".join(x.text or "" for x in is_.iter(tag["t"]))
+            cells[_col_index(c.get("r", "A1"))] = value(c.get("t"), c.get("s", "0"), v, text)
+        yield int(row.get("r", "0")), padded(cells)
+
+
+#: Bytes of workbooks that a task reads: the sheets are many times as large.
+WORKBOOK_BYTES = 4 << 20
 
 
 def workbook_rows(files: DataFrame, sheet_idx: int = 0) -> DataFrame:
@@ -278,21 +369,23 @@ def workbook_rows(files: DataFrame, sheet_idx: int = 0) -> DataFrame:
     by ranged reads and its sheet streamed in blocks of rows."""
 
     def run(batches):
-        for pdf in batches:
-            for path in pdf["file"]:
+        for batch in batches:
+            for path in batch.column("file").to_pylist():
                 with open_archive(path) as zf:
                     rows = _sheet_rows(zf, sheet_idx)
                     while some := list(itertools.islice(rows, SHEET_ROWS)):
-                        yield pd.DataFrame({"path": path, "row_no": [r for r, _ in some], "cells": [c for _, c in some]})
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array([path] * len(some), pa.string()), pa.array([r for r, _ in some], pa.int64()),
+                            pa.array([c for _, c in some], pa.list_(pa.string()))], WORKBOOK_ROW_SCHEMA.names)
 
-    return files.select("file").mapInPandas(run, WORKBOOK_ROW_SCHEMA)
+    return files.select("file").mapInArrow(run, WORKBOOK_ROW_SCHEMA)
 
 
 def workbook_scan(spark: SparkSession, path: str, columns: Sequence[str], sheet_idx: int = 0,
                   header: bool = True) -> DataFrame:
     """SRC5: ``.xlsx`` files → text columns; the header row is dropped."""
     files = files_of(spark, path, "*.xlsx")
-    rows = workbook_rows(files.repartition(tasks_for(files), "file"), sheet_idx)
+    rows = workbook_rows(files.repartition(tasks_for(files, WORKBOOK_BYTES), "file"), sheet_idx)
     if header:
         rows = rows.filter(F.col("row_no") > 1)
     return rows.select(*[F.coalesce(F.try_element_at("cells", F.lit(i + 1)), F.lit("")).alias(c)

@@ -122,3 +122,45 @@ def test_workbook_date_cells_land_as_iso(spark, tmp_dir):
     fx.write_binary(fx.workbooks(groups, ["name", "day"], date_cols=["day"]), tmp_dir)
     df = ld.workbook_scan(spark, tmp_dir, ["name", "day"])
     assert sorted(tuple(r) for r in df.collect()) == [("a", "2024-02-03"), ("b", "2023-12-31")]
+
+
+def test_plain_sheet_rows_equal_parsed_ones():
+    """Rows cut out of the text are those of the XML parser, and one that is
+    written otherwise sends the rest of its sheet there."""
+    rows = [[f"{i}_{j} é > \"q\"" if j % 3 else "" for j in range(30)] for i in range(3000)]
+    rows[2000][1] = "A & B <c> &amp;lt;"
+    book = io.BytesIO(fx._xlsx([["h"] * 30, *rows]))
+    with zipfile.ZipFile(book) as z, z.open("xl/worksheets/sheet1.xml") as f:
+        plain = list(ld._plain_rows(f))
+        assert len(plain) == 3001 and None not in plain
+        got = list(ld._sheet_rows(z, 0))
+    assert [n for n, _ in got] == list(range(1, 3002))
+    assert [c for _, c in got][1:] == [[*r[:30]] for r in rows]
+    odd = ('<row r="1"><c r="A1" t="b"><v>1</v></c><c r="C1" s="1"><v>45325.5</v></c><c r="D1" s="1"/></row><row r="2"/>'
+           '<row r="4" spans="1:2"><c t="str" r="B4"><f>1+1</f><v>x</v></c><!-- c --><c r="A4"><v>7</v></c></row>')
+    with zipfile.ZipFile(book) as z:
+        names = {n: z.read(n) for n in z.namelist()}
+    head, _, tail = names["xl/worksheets/sheet1.xml"].partition(b"<sheetData>")
+    names["xl/worksheets/sheet1.xml"] = head + b"<sheetData>" + odd.encode() + b"</sheetData></worksheet>"
+    again = io.BytesIO()
+    with zipfile.ZipFile(again, "w") as z:
+        for n, x in names.items():
+            z.writestr(n, x)
+    with zipfile.ZipFile(again) as z:
+        assert list(ld._sheet_rows(z, 0)) == [(1, ["True", "", "2024-02-03T12:00:00", ""]), (2, []), (4, ["7", "x"])]
+
+
+def test_files_are_rendered_a_few_at_a_time(spark, tmp_dir, monkeypatch):
+    """A worker is never given all the groups of its task at once."""
+    monkeypatch.setattr(fx, "FILES_AT_ONCE", 7)
+    groups = spark.range(100).repartition(1).select(F.col("id").alias("bucket"), F.array(F.lit("x")).alias("lines"))
+
+    def count(batches):
+        for b in batches:
+            assert b.num_rows <= 7
+            yield b
+
+    before = spark.conf.get(fx._BATCH)
+    fx.write_binary(fx.zip_archives(groups.mapInArrow(count, groups.schema), "h"), tmp_dir)
+    assert len(os.listdir(tmp_dir)) == 100 and spark.conf.get(fx._BATCH) == before
+    assert ld.archive_scan(spark, tmp_dir, mode="first_csv").count() == 200
