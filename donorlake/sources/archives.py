@@ -37,10 +37,13 @@ SCHEMA = "archive string, member string, record_no long, fields array<string>"
 RECORDS_AT_ONCE = 5000
 #: Compressed bytes of the members that one task takes.
 SPLIT_BYTES = 64 << 20
+#: Up to here each unit of work is a task of its own; more are packed, several
+#: to a task, as long as a task has less than SPLIT_BYTES.
+TASKS = 512
 
 
-def archives_below(path: str) -> list[str]:
-    """The .zip files of a folder (or the file itself), hidden ones left out."""
+def archives_below(path: str) -> list[tuple[str, int]]:
+    """The .zip files of a folder (or the file itself) with their sizes, hidden ones left out."""
     from pyarrow import fs as pafs
 
     fs, root = filesystem(path)
@@ -48,9 +51,9 @@ def archives_below(path: str) -> list[str]:
     prefix = "" if fs.type_name == "local" else f"{scheme.group(0)}//"
     info = fs.get_file_info(root)
     if info.type == pafs.FileType.File:
-        return [prefix + root]
+        return [(prefix + root, info.size)]
     found = fs.get_file_info(pafs.FileSelector(root, recursive=True))
-    return sorted(prefix + x.path for x in found if x.is_file and x.base_name.lower().endswith(".zip")
+    return sorted((prefix + x.path, x.size) for x in found if x.is_file and x.base_name.lower().endswith(".zip")
                   and x.base_name[0] not in "._")
 
 
@@ -105,8 +108,31 @@ def members(archive: zipfile.ZipFile, levels: int, prefix: str = "") -> Iterator
 class Members(InputPartition):
     """Some members of one archive by number (None: the first csv)."""
 
-    def __init__(self, archive: str, numbers: tuple[int, ...] | None):
-        self.archive, self.numbers = archive, numbers
+    def __init__(self, archive: str, numbers: tuple[int, ...] | None, size: int = 0):
+        self.archive, self.numbers, self.size = archive, numbers, size
+
+
+class Pack(InputPartition):
+    """Units of work that one task takes, one after another."""
+
+    def __init__(self, units: list[Members]):
+        self.units = units
+
+
+def packed(units: list[Members], tasks: int = TASKS, split: int = SPLIT_BYTES) -> list[InputPartition]:
+    """A task for each unit, or packs of about equal bytes where there are
+    more than ``tasks``: so many, and one more for every ``split`` bytes."""
+    if len(units) <= tasks:
+        return units
+    goal = sum(u.size for u in units) / (tasks + sum(u.size for u in units) // split)
+    out, some, size = [], [], 0
+    for u in units:
+        if some and size + u.size / 2 > goal:
+            out.append(Pack(some))
+            some, size = [], 0
+        some.append(u)
+        size += u.size
+    return [*out, Pack(some)]
 
 
 class _Reader(DataSourceReader):
@@ -124,9 +150,9 @@ class _Reader(DataSourceReader):
     def partitions(self):
         found = archives_below(self.path)
         if self.mode == "first_csv":
-            return [Members(a, None) for a in found] or [Members("", ())]
+            return packed([Members(a, None, size) for a, size in found]) or [Members("", ())]
         with ThreadPoolExecutor(16) as pool:  # one directory read an archive
-            return list(itertools.chain.from_iterable(pool.map(self.plan, found))) or [Members("", ())]
+            return packed(list(itertools.chain.from_iterable(pool.map(self.plan, (a for a, _ in found))))) or [Members("", ())]
 
     def plan(self, path: str) -> list[Members]:
         wanted, out, some, size = re.compile(self.pattern), [], [], 0
@@ -135,14 +161,18 @@ class _Reader(DataSourceReader):
                 if e.is_dir() or not wanted.search(e.filename):
                     continue
                 if some and size + e.compress_size > self.split:
-                    out.append(Members(path, tuple(some)))
+                    out.append(Members(path, tuple(some), size))
                     some, size = [], 0
                 some.append(i)
                 size += e.compress_size
-        return [*out, Members(path, tuple(some))] if some else out
+        return [*out, Members(path, tuple(some), size)] if some else out
 
     def read(self, partition):
         csv.field_size_limit(2**31 - 1)
+        for unit in getattr(partition, "units", [partition]):
+            yield from self.unit(unit)
+
+    def unit(self, partition: Members):
         if not partition.archive:
             return
         with open_archive(partition.archive) as z:

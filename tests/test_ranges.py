@@ -151,3 +151,21 @@ def test_archives_past_two_gigabytes(tmp_dir):
 
 def test_no_archives(spark, tmp_dir):
     assert ld.archive_scan(spark, tmp_dir).count() == 0
+
+
+def test_many_archives_share_tasks(spark, tmp_dir, monkeypatch):
+    units = [archives.Members(f"{i}.zip", None, 10) for i in range(1000)]
+    packs = archives.packed(units, 50)
+    assert len(packs) <= 51 and [u for p in packs for u in p.units] == units
+    assert len(archives.packed(units, 50, 100)) > 100  # bytes ask for more
+    assert archives.packed(units[:50], 50) == units[:50]
+    for i in range(30):
+        with zipfile.ZipFile(f"{tmp_dir}/{i}.zip", "w") as z:
+            z.writestr("a.csv", f"h\n{i}\n")
+    monkeypatch.setattr(archives.packed, "__defaults__", (4, archives.SPLIT_BYTES))
+    for how in ("all", "first_csv"):
+        reader = archives._Reader({"path": tmp_dir, "mode": how})
+        parts = reader.partitions()
+        assert len(parts) <= 5
+        got = [f for p in parts for b in reader.read(p) for f in b.column("fields").to_pylist()]
+        assert sorted(x[0] for x in got if x != ["h"]) == sorted(map(str, range(30)))
