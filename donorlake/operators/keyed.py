@@ -306,17 +306,17 @@ def append_new(new: DataFrame, path: str, key: str, buckets: int | None = None)
     if found is None:
         return _first(new, path, key, buckets or BUCKETS)
     v, buckets, schema = found
-    aside = f"{path}/data/{uuid.uuid4().hex}"
-    _write_files(_hashed(new.select(*[c for c in schema.names if c != _HASH]), key), aside, buckets)
+    aside, folder = (f"{path}/data/{uuid.uuid4().hex}" for _ in range(2))
+    # evaluated once, as it comes: only the rows that stay are dealt by key
+    _hashed(new.select(*[c for c in schema.names if c != _HASH]), key).write.parquet(aside)
     incoming = spark.read.schema(schema).parquet(aside)
     files = files_of(spark, path, v)
     touched = candidates(files, incoming, buckets)
     if touched:
         narrow = T.StructType([schema[key], schema[_HASH]])
         held = _live(spark, path, v, touched, narrow, True).select(_HASH, key).distinct().alias("i")
-        folder = f"{path}/data/{uuid.uuid4().hex}"
         _write_files(incoming.alias("o").join(held, _same(key), "left_anti").select("o.*"), folder, buckets)
     else:
-        folder = aside
+        _write_files(incoming, folder, buckets)
     _commit(spark, path, v + 1, files.unionByName(_describe(spark, folder)), _deletes(spark, path, v), key, buckets, schema)
     return keyed(spark, path)

@@ -127,3 +127,15 @@ def test_replaced_slices_read_their_input_once(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 100
     tables.replace_slice(df.filter("part = 1"), path, ["part"], [{"part": 0}, {"part": 1}])
     assert spark.read.parquet(path).count() == 50
+
+
+def test_an_append_deals_only_the_rows_that_stay(spark, tmp_dir, monkeypatch):
+    from donorlake.operators import keyed as kd
+
+    dealt = []
+    write = kd._write_files
+    monkeypatch.setattr(kd, "_write_files", lambda rows, folder, buckets: (dealt.append(rows.count()), write(rows, folder, buckets)))
+    frame = lambda a, b: spark.range(a, b).selectExpr("cast(id as string) k", "id v")
+    kd.append_new(frame(0, 100), tmp_dir, "k")
+    kd.append_new(frame(0, 130), tmp_dir, "k")
+    assert dealt == [100, 30] and kd.keyed(spark, tmp_dir).count() == 130
