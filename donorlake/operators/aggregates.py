@@ -100,33 +100,45 @@ def union_sources(registry: Mapping[str, DataFrame], schema: T.StructType,
 # --- top-k --------------------------------------------------------------------
 
 
-def newest_first(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
-    """TOP1 / SYN3: ``df`` with ``_in``, true for the newest ``n`` rows (ties
-    by ``key``, then by all columns; a NULL ``ts`` is oldest).
+def newest_cut(df: DataFrame, ts: str, n: int) -> tuple[Column, Column, int]:
+    """TOP1 / SYN3: where the newest ``n`` rows end: a filter of the rows that
+    are newer than the n-th, one of those that have its very value, and how many
+    of the latter are among the ``n``. A NULL ``ts`` is oldest.
 
-    The value of the n-th row is found in two scans (``ranks``). Newer rows
-    are in and older ones out by a filter; only the rows that have that very
-    value are numbered, in blocks where they are many. No task orders the
-    rows of a day."""
+    The value of the n-th row is found in two scans (``ranks``)."""
     if n <= 0:
-        return df.withColumn("_in", F.lit(False))
+        return F.lit(False), F.lit(False), 0
     dtype = df.schema[ts].dataType
     when = F.col(ts)
     as_number = (F.unix_micros(when.cast("timestamp")) if isinstance(dtype, (T.TimestampType, T.TimestampNTZType))
                  else F.unix_date(when) if isinstance(dtype, T.DateType) else when.cast("double"))
     total, filled = df.agg(F.count(F.lit(1)), F.count(ts)).first()
     if total <= n:
-        return df.withColumn("_in", F.lit(True))
+        return F.lit(True), F.lit(False), 0
     if filled >= n:
         cut = values_at_ranks(df, as_number, [filled - n], filled)[0]
         x = as_number.cast("double")
         newer, tied = F.coalesce(x > cut, F.lit(False)), F.coalesce(x == cut, F.lit(False))
     else:
         newer, tied = when.isNotNull(), when.isNull()
-    left = n - df.filter(newer).count()
-    rest = df.filter(~tied).withColumn("_in", newer)
-    ties = row_number_by(df.filter(tied), [ts], [asc(key)], "_at").withColumn("_in", F.col("_at") <= left).drop("_at")
-    return rest.unionByName(ties)
+    return newer, tied, n - df.filter(newer).count()
+
+
+def tied_newest(df: DataFrame, tied: Column, left: int, ts: str, key: str) -> DataFrame:
+    """The rows of the n-th value with ``_in``, true for the first ``left`` by
+    ``key``, then by all columns: only they are numbered, in blocks where they
+    are many."""
+    return row_number_by(df.filter(tied), [ts], [asc(key)], "_at").withColumn("_in", F.col("_at") <= left).drop("_at")
+
+
+def newest_first(df: DataFrame, ts: str, key: str, n: int) -> DataFrame:
+    """TOP1 / SYN3: ``df`` with ``_in``, true for the newest ``n`` rows (ties
+    by ``key``, then by all columns; a NULL ``ts`` is oldest). Newer rows are in
+    and older ones out by a filter. No task orders the rows of a day."""
+    newer, tied, left = newest_cut(df, ts, n)
+    if n <= 0 or not left:
+        return df.withColumn("_in", newer)
+    return df.filter(~tied).withColumn("_in", newer).unionByName(tied_newest(df, tied, left, ts, key))
 
 
 def keep_newest(df: DataFrame, ts: str, n: int, key: str) -> tuple[DataFrame, DataFrame]:
@@ -159,5 +171,5 @@ def extremes(df: DataFrame, col: str) -> DataFrame:
 __all__ = [
     "By", "asc", "desc", "sum_contributions", "latest", "collapse", "mode_by", "distinct_on",
     "distinct_rows", "row_count", "pad_columns", "union_all", "union_distinct", "union_sources",
-    "keep_newest", "newest_first", "overflow_count", "ranked", "extremes",
+    "keep_newest", "newest_cut", "newest_first", "tied_newest", "overflow_count", "ranked", "extremes",
 ]

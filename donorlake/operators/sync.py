@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from donorlake.operators.aggregates import newest_first
+from donorlake.operators.aggregates import newest_cut, tied_newest
 from donorlake.operators.joins import without
 from donorlake.operators.tables import exists, replace_slice
 
@@ -147,11 +147,15 @@ def sync(master: DataFrame, root: str, batch_id: str, now: dt.datetime, max_rows
         raise SyncError(f"batch {batch_id}: {overflow} rows past the cap, more than {max_overflow}")
     kept, late = d, d.limit(0)
     if overflow:
-        # one pass marks every row, equal rows apart: no row is in both parts
+        # the delta is a fixed set, so a filter parts it; only the rows that have
+        # the cap's own value are numbered, and written: equal rows apart, none
+        # is in both parts
+        newer, tied, left = newest_cut(d, newest, max_rows)
         split = f"{root}/delta-capped/{batch_id}"
-        newest_first(d, newest, key, max_rows).write.mode("overwrite").parquet(split)
+        tied_newest(d, tied, left, newest, key).write.mode("overwrite").parquet(split)
         split = spark.read.schema(d.schema.add("_in", "boolean")).parquet(split)
-        kept, late = split.filter("_in").drop("_in"), split.filter("NOT _in").drop("_in")
+        kept = d.filter(newer).unionByName(split.filter("_in").drop("_in"))
+        late = d.filter(~newer & ~tied).unionByName(split.filter("NOT _in").drop("_in"))
     published = _retry(lambda: publish(kept.drop(_KEY), f"{root}/serving", batch_id, key))
     if published != n - overflow:
         raise SyncError(f"batch {batch_id}: {published} rows published of {n - overflow}")

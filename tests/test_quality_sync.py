@@ -137,3 +137,17 @@ def test_a_waiting_row_that_comes_in_changed_goes_out_changed(spark, tmp_dir):
     syn.sync(m(("a", 2, 9), ("b", 2, 5)), tmp_dir, "b2", now)  # a is synced, b comes in anew, c waits
     assert sorted(r["v"] for r in syn.serving(spark, tmp_dir).collect()) == [1, 1, 2]
     assert syn.ledger(spark, tmp_dir).count() == 3
+
+
+def test_a_cap_writes_only_the_rows_at_its_value(spark, tmp_dir):
+    """The rows that the cap parts by their date alone are not written again."""
+    import datetime as dt
+
+    from donorlake.operators import sync as syn
+
+    rows = spark.createDataFrame([(f"s{i:02d}", i, dt.date(2024, 1, 1 + i // 4)) for i in range(20)],
+                                 "source_id string, amount int, contribution_datetime date")
+    syn.sync(rows, tmp_dir, "b1", dt.datetime(2025, 1, 1), max_rows=6)
+    assert sorted(r["amount"] for r in syn.serving(spark, tmp_dir).collect()) == [12, 13, 16, 17, 18, 19]
+    assert sorted(r["amount"] for r in spark.read.parquet(f"{tmp_dir}/delta-capped/b1").collect()) == [12, 13, 14, 15]
+    assert spark.read.parquet(f"{tmp_dir}/pending").count() == 14
