@@ -213,11 +213,20 @@ def _merge_by_key(df: DataFrame, col: str, key_fn, out: str, weight: str | None
 def cluster_merge(df: DataFrame, col: str, out: str, weight: str | None = None) -> DataFrame:
     """NRM13 without the validity check: key-collision merge, then 1-gram
     merge within a few edits; each value becomes the most common spelling of
-    its cluster."""
-    step1 = _merge_by_key(df, col, fingerprint, "_r1", weight)
+    its cluster. ``df`` and the first merge are written to the shared folder:
+    each is read several times, and would be made anew each time."""
+    step1 = _written(_merge_by_key(_written(df, "values"), col, fingerprint, "_r1", weight), "merged")
     return _merge_by_key(step1, "_r1", one_gram, out, weight, near=True).drop("_r1")
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    from donorlake.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def refine_city(df: DataFrame, zips: DataFrame, city: str = "city_swap", state: str = "state_norm",
                 zip_col: str = "zip_norm", out: str = "city_refine", weight: str | None = None) -> DataFrame:
     """NRM13: key-collision then 1-gram merge; a refined value is kept only

@@ -63,3 +63,19 @@ def test_exact_quantiles_without_sorting(spark):
     got = nz.exact_quantiles(df, F.col("x"), [0, 0.25, 0.5, 0.75, 1])
     assert np.allclose(got, np.quantile(x, [0, 0.25, 0.5, 0.75, 1]), rtol=1e-12)
     assert nz.exact_quantiles(df.limit(0), F.col("x"), [0.5]) == [None]
+
+
+def test_cluster_merge_reads_its_input_once(spark):
+    """The vocabulary and the first merge are cut off from what they are made of."""
+    made = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    rows = [("Smith", 5), ("SMITH", 2), ("smith!", 1), ("Jones", 3), (None, 1)]
+    df = spark.createDataFrame(rows, "w string, n long").mapInArrow(seen, "w string, n long")
+    got = {r.w: r.o for r in nz.cluster_merge(df, "w", "o", weight="n").collect()}
+    assert got == {"Smith": "Smith", "SMITH": "Smith", "smith!": "Smith", "Jones": "Jones", None: None}
+    assert made.value == len(rows)
