@@ -55,8 +55,10 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document and whether they decode to its text."""
-    encoded = bpe.encode(docs, keep=("doc_id", "lang", "source", "text"))
+    """Token ids of every document and whether they decode to its text. What
+    is encoded is written first: no task holds an encoding and a decoding
+    Python worker at once."""
+    encoded = materialise(bpe.encode(docs, keep=("doc_id", "lang", "source", "text")), "encoded")
     decoded = bpe.decode(encoded, keep=("doc_id", "lang", "source", "text", "ids"))
     return decoded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",

@@ -45,6 +45,8 @@ SIMILARITY = 80  # per cent
 BLOCK = 1 << 21
 #: Shingles whose permutations are held at once (one byte a component).
 HELD = 40_000
+#: Text bytes whose shingles are held at once.
+HELD_BYTES = 1 << 20
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _FAR = np.int64(1 << 62)
 _INTERNED = Interner()
@@ -143,7 +145,7 @@ def _digest(s: np.ndarray) -> bytes:
 
 def _sign_batches(k):
     def run(batches):
-        for batch in sliced(batches, limit=4 << 20):
+        for batch in sliced(batches, limit=HELD_BYTES):
             sets = shingle_sets(texts_of(batch), k)
             sig = signatures(sets)
             yield pa.RecordBatch.from_pydict({
@@ -164,7 +166,7 @@ def sign(docs: DataFrame, k: int) -> DataFrame:
 
 def _node_sets(k):
     def run(batches):
-        for batch in sliced(batches, limit=4 << 20):
+        for batch in sliced(batches, limit=HELD_BYTES):
             sets = shingle_sets(texts_of(batch), k)
             rows = [(i, s.tobytes()) for i, (n, s) in enumerate(zip(batch.column("node").to_pylist(), sets))
                     if len(s) and _digest(s) == n]
@@ -385,7 +387,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, block: int = BLOCK) -> DataFram
         sets = materialise(sets_of(rows, large.select("doc_id", "node"), k).dropDuplicates(["node"]), "sets")
         found, units = _lead(members.join(large.select("node", "copies", "n"), "node"), sets)
         links = links.union(settle(deal(units, sets, block))).union(found)
-    roots = components(links)
+    # written before they are joined: a task never holds two Python workers
+    roots = components(materialise(links, "settled"))
 
     groups = signed.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows"))
     groups = groups.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))

@@ -1,4 +1,4 @@
-"""How shared fragments travel, and what a lineage cut leaves on disk."""
+"""How shared fragments travel, and what is left on disk and in memory."""
 
 import glob
 import random
@@ -7,7 +7,7 @@ import time
 import numpy as np
 
 from donorlake.llm import bwt, fragments
-from donorlake.llm.util import CLEANUP, materialise
+from donorlake.llm.util import CLEANUP, freeing, materialise
 
 
 def test_packed_rows_come_back():
@@ -45,3 +45,19 @@ def test_a_lineage_cut_leaves_no_shuffle_files(spark):
     assert not files() - before
     assert spark.conf.get(CLEANUP, None) == conf
     assert rows.count() == 1000 and np.isclose(rows.agg({"sum(id)": "sum"}).first()[0], 50_000 * 49_999 / 2)
+
+
+def test_a_task_gives_its_memory_back():
+    """Also what lies under an object that outlives the task."""
+    resident = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+    left = []
+
+    def run(batches):
+        for _ in batches:
+            held = [np.ones(12_000) for _ in range(2_000)]  # 192 MB in blocks of the C heap
+            left.append(held[-1])
+            yield resident()
+
+    before = resident()
+    assert all(x > before + (150 << 20) for x in freeing(run)([None]))
+    assert resident() < before + (50 << 20)

@@ -91,3 +91,21 @@ def test_near_dedup_stage_on_repeated_ids(spark):
     assert sorted(map(repr, got.select("doc_id", "text").collect())) == sorted(map(repr, (
         spark.createDataFrame([(1, one), (3, two), (3, three), (None, two), (None, None), (5, None)],
                               "doc_id long, text string").collect())))
+
+
+def test_no_task_holds_two_python_workers(spark, docs, capsys, monkeypatch):
+    """Links are written before they are joined to groups, and ids before they
+    are decoded: two Python functions in one task are two workers a core."""
+    joined, components = [], superminhash.components
+
+    def seen(edges):
+        edges.explain()
+        joined.append(capsys.readouterr().out.count("MapInArrow"))
+        return components(edges)
+
+    monkeypatch.setattr(superminhash, "components", seen)
+    corpus_pipeline.deduplicate(spark, docs, SF)
+    assert joined and not any(joined)
+    capsys.readouterr()
+    corpus_pipeline.tokenise(spark, docs, SF).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
