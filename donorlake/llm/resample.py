@@ -64,16 +64,16 @@ STEP = 2.0 ** -16
 CHUNK = 1 << 14
 #: Bins that one round of the search for the k-th weight counts.
 BINS = 4096
-_INTERNED = Interner()
+_INTERNED = Interner(50_000)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def ngram_buckets(texts: list[bytes], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket of each word, bucket of each word pair, start of each text);
     the last word of a text is paired with its end."""
-    docs = [t.translate(LOWER).split() for t in texts]
+    docs = [_INTERNED.ids(t.translate(LOWER).split()) for t in texts]  # words of one text at a time
     starts = np.concatenate([[0], np.cumsum([len(d) for d in docs])]).astype(np.int64)
-    ids = np.concatenate([np.empty(0, np.uint64), *(_INTERNED.ids(d) for d in docs)])
+    ids = np.concatenate([np.empty(0, np.uint64), *docs])
     after = np.append(ids[1:], np.uint64(0)) if len(ids) else ids
     after[starts[1:][np.diff(starts) > 0] - 1] = 0
     word = (mix64(ids + _GOLD) % np.uint64(buckets)).astype(np.int64)
@@ -110,7 +110,7 @@ def _count(batches):
         word, pair, starts = ngram_buckets(texts_of(batch))
         kind = np.repeat(np.asarray(batch.column("kind")), np.diff(starts))
         for part, codes in zip(PARTS, (word, pair)):
-            total[part][0] += np.bincount(codes, minlength=BUCKETS)
+            np.add.at(total[part][0], codes, 1)
             for k in (1, 2):
                 np.add.at(total[part][k], codes[kind == k], 1)
     z = zstandard.ZstdCompressor(level=1)

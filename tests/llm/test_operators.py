@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -474,6 +475,20 @@ def test_resampling_edge_cases(docs, no_docs, spark):
     assert resample.resample(no_docs, labels).count() == 0
 
 
+def test_ngram_buckets_hold_the_words_of_one_text():
+    rng = np.random.default_rng(1)
+    texts = [b" ".join(b"word%04d" % x for x in rng.integers(0, 3000, 5000)) for _ in range(100)]
+    resample.ngram_buckets(texts[:1])
+    tracemalloc.start()
+    try:
+        word, pair, starts = resample.ngram_buckets(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(word) == len(pair) == starts[-1] == 500_000
+    assert peak < 32 << 20  # arrays of 4 MB, no 500,000 words
+
+
 def test_passage_sums_take_the_worst_passage():
     starts = np.array([0, 3, 3, 13])
     x = np.array([1.0, 1, 1, *[0.0] * 4, -5, *[0.0] * 5])
