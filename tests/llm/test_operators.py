@@ -145,6 +145,23 @@ def test_suffix_dedup_matches_brute_force(docs, pairs, monkeypatch, hot):
     assert as_rows(bwt.digest(bwt.suffix_dedup(docs))) == sorted(bwt.brute_force(pairs), key=key)
 
 
+@pytest.mark.parametrize("hot", [4000, 1])
+@pytest.mark.parametrize("size", [399, 400, 401])
+def test_passages_of_over_50_words_go_from_400_bytes_on(spark, monkeypatch, size, hot):
+    """Words alone do not count: 55 words of 399 bytes stay, and from 400 bytes
+    on the passage goes from every document, the first one included."""
+    monkeypatch.setattr(fragments, "HOT", hot)
+    rng = random.Random(size)
+    text = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(n))
+    passage = text(55) + "z" * (size - 384)
+    # the symbols around the passage differ from document to document
+    pairs = [(i, f"{text(30)} {i}{passage}{9 - i} {text(30)}") for i in range(4)]
+    pairs += [(i, text(120)) for i in range(4, 8)]
+    got = as_rows(bwt.digest(bwt.suffix_dedup(spark.createDataFrame(pairs, "doc_id long, text string").repartition(4))))
+    assert len(passage.split()) == 55 and got == sorted(bwt.brute_force(pairs), key=key)
+    assert [r[2] for r in got] == [size if size >= 400 else 0] * 4 + [0] * 4
+
+
 def test_interval_expansion_on_random_strings():
     rng = random.Random(3)
     for _ in range(150):
