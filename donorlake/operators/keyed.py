@@ -33,12 +33,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from donorlake.session import shuffles_freed
+
 BUCKETS = 16
 #: Rows of a file: the unit that is read for a key, and compacted.
 FILE_ROWS = 1_000_000
 #: Bits of a Bloom filter for each row; three probes give 3 % false hits.
 BLOOM_BITS = 8
 COMPACT = 0.3
+#: An append of more than ``FILE_ROWS`` rows goes through the key hash in shares,
+#: so many at most, and frees a share's shuffles before the next.
+SHARES = 8
 KEPT_VERSIONS = 3
 _HASH = "_key_hash"
 
@@ -121,6 +126,12 @@ def _hashed(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(_HASH, F.when(F.col(key).isNotNull(), F.xxhash64(key)).otherwise(whole))
 
 
+def _hashes(df: DataFrame, key: str) -> DataFrame:
+    """The hashes alone: of a row with a key only the key is read."""
+    named = df.filter(F.col(key).isNotNull()).select(F.xxhash64(key).alias(_HASH))
+    return named.unionByName(_hashed(df.filter(F.col(key).isNull()), key).select(_HASH))
+
+
 def _bucket(buckets: int, hashed: str = _HASH):
     """Ranges of the key hash of equal width."""
     share = f"cast({hashed} as double) / 18446744073709551616.0 + 0.5"
@@ -132,7 +143,7 @@ def _write_files(rows: DataFrame, folder: str, buckets: int) -> None:
     rebalance and every file is sorted, so files hold narrow ranges."""
     (rows.withColumn("_b", _bucket(buckets)).hint("rebalance", "_b")
      .sortWithinPartitions("_b", _HASH).drop("_b")
-     .write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(folder))
+     .write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).option("compression", "zstd").parquet(folder))
 
 
 def bloom_of(hashes: np.ndarray, bits: int = BLOOM_BITS) -> bytes:
@@ -157,15 +168,15 @@ def may_hold(bloom: bytes, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def _describe(spark: SparkSession, folder: str) -> DataFrame:
-    """Manifest rows of the files of a folder: a file has at most
+def _describe(spark: SparkSession, *folders: str) -> DataFrame:
+    """Manifest rows of the files of some folders: a file has at most
     ``FILE_ROWS`` rows, so a group of its hashes is bounded."""
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         h = pdf[_HASH].to_numpy()
         return pd.DataFrame({"file": [pdf["file"].iloc[0]], "n": [len(h)], "lo": [h.min()], "hi": [h.max()],
                              "bloom": [bloom_of(h)], "deleted": [0]})
 
-    hashes = spark.read.parquet(folder).select(F.col("_metadata.file_path").alias("file"), _HASH)
+    hashes = spark.read.parquet(*folders).select(F.col("_metadata.file_path").alias("file"), _HASH)
     return hashes.groupBy("file").applyInPandas(one, _FILES)
 
 
@@ -297,26 +308,48 @@ def merge_replace(new: DataFrame, path: str, key: str, high_water: str | None =
     return keyed(spark, path)
 
 
-def append_new(new: DataFrame, path: str, key: str, buckets: int | None = None) -> DataFrame:
+def _shares(n: int) -> list[tuple[int, int]]:
+    """The first and last hash of ``n`` ranges of equal width."""
+    edges = [-(2**63) + i * 2**64 // n for i in range(n + 1)]
+    return [(lo, hi - 1) for lo, hi in zip(edges, edges[1:])]
+
+
+def append_new(new: DataFrame, path: str, key: str, buckets: int | None = None, stored: bool = False) -> DataFrame:
     """SNK5: append only rows whose key the table does not hold yet (a row
     without a key: only where no equal row is there). Only files that may
-    hold such a key are read, and of those only the key."""
+    hold such a key are read, and of those only the key. ``new`` is evaluated
+    once, into a copy that goes when its rows are appended; ``stored`` says
+    that it only reads files, which are then read again instead of copied."""
     spark = new.sparkSession
     found = _open(spark, path, key, buckets)
-    if found is None:
-        return _first(new, path, key, buckets or BUCKETS)
-    v, buckets, schema = found
-    aside, folder = (f"{path}/data/{uuid.uuid4().hex}" for _ in range(2))
-    # evaluated once, as it comes: only the rows that stay are dealt by key
-    _hashed(new.select(*[c for c in schema.names if c != _HASH]), key).write.parquet(aside)
-    incoming = spark.read.schema(schema).parquet(aside)
-    files = files_of(spark, path, v)
-    touched = candidates(files, incoming, buckets)
-    if touched:
-        narrow = T.StructType([schema[key], schema[_HASH]])
-        held = _live(spark, path, v, touched, narrow, True).select(_HASH, key).distinct().alias("i")
-        _write_files(incoming.alias("o").join(held, _same(key), "left_anti").select("o.*"), folder, buckets)
-    else:
-        _write_files(incoming, folder, buckets)
-    _commit(spark, path, v + 1, files.unionByName(_describe(spark, folder)), _deletes(spark, path, v), key, buckets, schema)
+    with shuffles_freed(spark):
+        if found is None:
+            _first(new, path, key, buckets or BUCKETS)
+        else:
+            _append(new, path, key, *found, stored)
     return keyed(spark, path)
+
+
+def _append(new: DataFrame, path: str, key: str, v: int, buckets: int, schema: T.StructType, stored: bool) -> None:
+    spark = new.sparkSession
+    columns, narrow = T.StructType([f for f in schema if f.name != _HASH]), T.StructType([schema[key], schema[_HASH]])
+    aside, folders = f"{path}/data/{uuid.uuid4().hex}", []
+    if not stored:  # as it comes: only the rows that stay are dealt by key
+        new.select(*columns.names).write.option("compression", "zstd").parquet(aside)
+        new = spark.read.schema(columns).parquet(aside)
+    new = new.select(*[F.col(f.name).cast(f.dataType) for f in columns])
+    files, units = files_of(spark, path, v), max(1, -(-new.count() // FILE_ROWS))
+    ranges = max(buckets, units)
+    for lo, hi in _shares(min(SHARES, units)):
+        inside = F.col(_HASH).between(lo, hi)
+        rows, near = _hashed(new, key).filter(inside), files.filter((F.col("lo") <= hi) & (F.col("hi") >= lo))
+        near = near.withColumns({"lo": F.greatest("lo", F.lit(lo)), "hi": F.least("hi", F.lit(hi))})
+        if touched := candidates(near, _hashes(new, key).filter(inside), ranges):
+            held = _live(spark, path, v, touched, narrow, True).filter(inside).select(_HASH, key).distinct().alias("i")
+            rows = rows.alias("o").join(held, _same(key), "left_anti").select("o.*")
+        folders.append(f"{path}/data/{uuid.uuid4().hex}")
+        _write_files(rows, folders[-1], ranges)
+    if not stored:
+        fs, p, _ = _fs(spark, aside)
+        fs.delete(p, True)
+    _commit(spark, path, v + 1, files.unionByName(_describe(spark, *folders)), _deletes(spark, path, v), key, buckets, schema)

@@ -14,7 +14,7 @@ from donorlake.operators import sync as syn
 from donorlake.plans import domain as dm
 from donorlake.plans.registry import register
 from donorlake.plans.sqlviews import CONTRIB_COLS, with_views
-from donorlake.session import scratch_path
+from donorlake.session import scratch_path, shuffles_freed
 from donorlake.streaming import jobs
 
 # Fixed run times (the master refresh runs at 08:00 and 22:00).
@@ -131,11 +131,14 @@ UNION ALL
 SELECT * FROM conformed_b b
 WHERE NOT EXISTS (SELECT 1 FROM conformed_b o WHERE o.amount < 0 AND o.source_id = b.source_id)""", "conformed_b"))
 def snk5_append_new(spark, d):
-    t = scratch_path(spark, "snk5")
-    b = dm.conformed_b(spark, d)
-    tables.append_new(b.filter(F.col("amount") < 0), t, "source_id")
-    tables.append_new(b, t, "source_id")
-    tables.append_new(b, t, "source_id")  # nothing unseen is left
+    root = scratch_path(spark, "snk5")
+    t = f"{root}/t"
+    with shuffles_freed(spark):  # built and written once, read by each append
+        dm.conformed_b(spark, d).write.option("compression", "zstd").parquet(f"{root}/in")
+    b = spark.read.parquet(f"{root}/in")
+    tables.append_new(b.filter(F.col("amount") < 0), t, "source_id", stored=True)
+    tables.append_new(b, t, "source_id", stored=True)
+    tables.append_new(b, t, "source_id", stored=True)  # nothing unseen is left
     return tables.keyed(spark, t)
 
 

@@ -139,3 +139,51 @@ def test_an_append_deals_only_the_rows_that_stay(spark, tmp_dir, monkeypatch):
     kd.append_new(frame(0, 100), tmp_dir, "k")
     kd.append_new(frame(0, 130), tmp_dir, "k")
     assert dealt == [100, 30] and kd.keyed(spark, tmp_dir).count() == 130
+
+
+def test_an_append_leaves_no_copy_and_no_shuffle_files(spark, tmp_dir):
+    import time
+
+    disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = disk.getAllFiles().iterator()
+        return {n for n in iter(lambda: names.next().getName() if names.hasNext() else None, None) if n.startswith("shuffle_")}
+
+    before = shuffled()
+    some = lambda a, b: spark.range(a, b).repartition(3).selectExpr("cast(id as string) k", "id v")
+    tables.append_new(some(0, 100), tmp_dir, "k")
+    tables.append_new(some(0, 130), tmp_dir, "k")
+    until = time.time() + 10  # they go in the background
+    while (left := shuffled() - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_dir}/data").count() == 130
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_an_append_deals_its_rows_share_by_share(spark, tmp_dir, monkeypatch, stored):
+    monkeypatch.setattr(keyed, "FILE_ROWS", 100)
+    dealt, write = [], keyed._write_files
+    monkeypatch.setattr(keyed, "_write_files", lambda rows, *a: (dealt.append(rows.count()), write(rows, *a)))
+    p = f"{tmp_dir}/t"
+    old = spark.range(400).selectExpr("case when id < 390 then cast(id as string) end k", "id v")
+    twice = "explode(array(id, id)) v"  # keys that repeat, and equal rows without a key
+    spark.range(600).selectExpr("id", twice).selectExpr("case when v >= 10 then cast(380 + v as string) end k", "v + 380 v").write.parquet(f"{tmp_dir}/in")
+    tables.append_new(old, p, "k")
+    new = spark.read.parquet(f"{tmp_dir}/in")
+    tables.append_new(new.filter("v < 0"), p, "k", stored=stored)  # nothing comes
+    for _ in range(2):
+        got = tables.append_new(new, p, "k", stored=stored)
+    want = [(str(i), i) for i in range(390)] + [(None, i) for i in range(390, 400)]
+    want += [(None, i) for i in range(380, 390) for _ in range(2)] + [(str(i), i) for i in range(390, 980) for _ in range(2)]
+    assert rows_of(got.withColumnRenamed("k", "id")) == sorted(want, key=repr)
+    assert len(dealt) == 2 + 2 * keyed.SHARES and sum(dealt[-keyed.SHARES:]) == 0 and max(dealt[2:]) < 400
+    assert spark.read.option("recursiveFileLookup", "true").parquet(f"{p}/data").count() == len(want)
+
+
+def test_shares_cover_every_hash_once():
+    for n in (1, 3, 8):
+        got = keyed._shares(n)
+        assert got[0][0] == -(2**63) and got[-1][1] == 2**63 - 1
+        assert all(a[1] + 1 == b[0] for a, b in zip(got, got[1:]))
