@@ -44,6 +44,8 @@ COMPACT = 0.3
 #: An append of more than ``FILE_ROWS`` rows goes through the key hash in shares,
 #: so many at most, and frees a share's shuffles before the next.
 SHARES = 8
+#: One of so many hashes is tried first where there are many.
+FEW = 64
 KEPT_VERSIONS = 3
 _HASH = "_key_hash"
 
@@ -126,10 +128,12 @@ def _hashed(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn(_HASH, F.when(F.col(key).isNotNull(), F.xxhash64(key)).otherwise(whole))
 
 
-def _hashes(df: DataFrame, key: str) -> DataFrame:
-    """The hashes alone: of a row with a key only the key is read."""
-    named = df.filter(F.col(key).isNotNull()).select(F.xxhash64(key).alias(_HASH))
-    return named.unionByName(_hashed(df.filter(F.col(key).isNull()), key).select(_HASH))
+def _keys(df: DataFrame, key: str) -> DataFrame:
+    """Hashes and keys alone (a key in a struct, so no key equals no key): of
+    a row with a key nothing else is read."""
+    kept = [_HASH, F.struct(key).alias("_k")]
+    named = df.filter(F.col(key).isNotNull()).withColumn(_HASH, F.xxhash64(key)).select(*kept)
+    return named.unionByName(_hashed(df.filter(F.col(key).isNull()), key).select(*kept))
 
 
 def _bucket(buckets: int, hashed: str = _HASH):
@@ -140,9 +144,10 @@ def _bucket(buckets: int, hashed: str = _HASH):
 
 def _write_files(rows: DataFrame, folder: str, buckets: int) -> None:
     """Files of one hash range each: a large range is split over tasks by the
-    rebalance and every file is sorted, so files hold narrow ranges."""
-    (rows.withColumn("_b", _bucket(buckets)).hint("rebalance", "_b")
-     .sortWithinPartitions("_b", _HASH).drop("_b")
+    rebalance and every file is sorted, so files hold narrow ranges. Without
+    buckets the rows are in one range and dealt already."""
+    dealt = rows.withColumn("_b", _bucket(buckets)).hint("rebalance", "_b") if buckets else rows.withColumn("_b", F.lit(0))
+    (dealt.sortWithinPartitions("_b", _HASH).drop("_b")
      .write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).option("compression", "zstd").parquet(folder))
 
 
@@ -180,9 +185,14 @@ def _describe(spark: SparkSession, *folders: str) -> DataFrame:
     return hashes.groupBy("file").applyInPandas(one, _FILES)
 
 
-def candidates(files: DataFrame, hashes: DataFrame, buckets: int) -> list[str]:
+def candidates(files: DataFrame, hashes: DataFrame, buckets: int, many: bool = False) -> list[str]:
     """Files that may hold one of the hashes, by range and Bloom filter. Both
-    sides meet by hash range; no other file of the table is opened."""
+    sides meet by hash range; no other file of the table is opened. Of many
+    hashes a few find most files; all of them are sent only for the others."""
+    if many:
+        found = candidates(files, hashes.filter(F.col(_HASH) % FEW == 0), buckets)
+        files = files.filter("n > deleted").join(files.sparkSession.createDataFrame([(f,) for f in found], "file string"), "file", "left_anti")
+        return found if files.isEmpty() else found + candidates(files, hashes, buckets)
     spread = files.filter("n > deleted").select(
         "file", "lo", "hi", "bloom", F.explode(F.sequence(_bucket(buckets, "lo"), _bucket(buckets, "hi"))).alias("_b"))
     wanted = hashes.select(_HASH, _bucket(buckets).alias("_b")).distinct()
@@ -335,21 +345,36 @@ def _append(new: DataFrame, path: str, key: str, v: int, buckets: int, schema: T
     columns, narrow = T.StructType([f for f in schema if f.name != _HASH]), T.StructType([schema[key], schema[_HASH]])
     aside, folders = f"{path}/data/{uuid.uuid4().hex}", []
     if not stored:  # as it comes: only the rows that stay are dealt by key
-        new.select(*columns.names).write.option("compression", "zstd").parquet(aside)
-        new = spark.read.schema(columns).parquet(aside)
+        new.select(*columns.names).write.option("compression", "zstd").parquet(f"{aside}/rows")
+        new = spark.read.schema(columns).parquet(f"{aside}/rows")
     new = new.select(*[F.col(f.name).cast(f.dataType) for f in columns])
-    files, units = files_of(spark, path, v), max(1, -(-new.count() // FILE_ROWS))
-    ranges = max(buckets, units)
-    for lo, hi in _shares(min(SHARES, units)):
+    n, files = new.count(), files_of(spark, path, v)
+    # where the table has less than half as many rows as come, most stay; else the keys are compared before rows move
+    keys_first = n <= 2 * files.agg(F.coalesce(F.sum(F.expr("n - deleted")), F.lit(0))).first()[0]
+    shares = _shares(min(SHARES, max(1, -(-n // FILE_ROWS))))
+    ranges, many = max(buckets, -(-n // FILE_ROWS)), len(shares) > 1
+    same = (F.col(f"o.{_HASH}") == F.col(f"i.{_HASH}")) & (F.struct(f"o.{key}") == F.col("i._k"))
+    for i, (lo, hi) in enumerate(shares):
         inside = F.col(_HASH).between(lo, hi)
-        rows, near = _hashed(new, key).filter(inside), files.filter((F.col("lo") <= hi) & (F.col("hi") >= lo))
+        near = files.filter((F.col("lo") <= hi) & (F.col("hi") >= lo))
         near = near.withColumns({"lo": F.greatest("lo", F.lit(lo)), "hi": F.least("hi", F.lit(hi))})
-        if touched := candidates(near, _hashes(new, key).filter(inside), ranges):
-            held = _live(spark, path, v, touched, narrow, True).filter(inside).select(_HASH, key).distinct().alias("i")
-            rows = rows.alias("o").join(held, _same(key), "left_anti").select("o.*")
+        rows, keys, ordered = _hashed(new, key).filter(inside), _keys(new, key).filter(inside), False
+        if touched := candidates(near, keys.select(_HASH), ranges, many):
+            held = _live(spark, path, v, touched, narrow, True).filter(inside).select(_HASH, F.struct(key).alias("_k")).distinct()
+            if keys_first:
+                keys.distinct().alias("o").join(held.alias("i"), [_HASH, "_k"], "left_anti").write.parquet(f"{aside}/{i}")
+                unseen = spark.read.schema(keys.schema).parquet(f"{aside}/{i}")
+                if unseen.isEmpty():
+                    continue
+                rows = rows.alias("o").join(unseen.alias("i"), same, "left_semi")
+            else:  # many rows are dealt by the join, which sorts them; the share is their range
+                held, ordered = held.hint("merge") if many else held, many
+                rows = rows.alias("o").join(held.alias("i"), same, "left_anti")
+            rows = rows.select("o.*")
         folders.append(f"{path}/data/{uuid.uuid4().hex}")
-        _write_files(rows, folders[-1], ranges)
-    if not stored:
-        fs, p, _ = _fs(spark, aside)
-        fs.delete(p, True)
-    _commit(spark, path, v + 1, files.unionByName(_describe(spark, *folders)), _deletes(spark, path, v), key, buckets, schema)
+        _write_files(rows, folders[-1], 0 if ordered else ranges)
+    fs, p, _ = _fs(spark, aside)
+    fs.delete(p, True)
+    if folders:
+        files = files.unionByName(_describe(spark, *folders))
+    _commit(spark, path, v + 1, files, _deletes(spark, path, v), key, buckets, schema)
